@@ -88,23 +88,29 @@ def attribute(clicks: DataFrame, buys: DataFrame, keys: Sequence[str], days: int
     )
 
 
+def next_buy(starts: DataFrame, buys: DataFrame, key: str, rows: int = keyed.HOT_ROWS) -> DataFrame:
+    """Every checkout start with `next_at`, the time of the next purchase of the same key."""
+    cols = [key, "id", "at"]
+    both = starts.select(*cols, F.lit(1).alias("kind")).unionByName(buys.select(*cols, F.lit(0).alias("kind")))
+    # Walk backwards in time, so that the running minimum is the next purchase.
+    scanned = keyed.scan_by_key(
+        both, [key], -keyed.micros(F.col("at")), ["kind", "id"],
+        {"next_at": ("min", F.when(F.col("kind") == 0, F.col("at")))}, rows,
+    )
+    return scanned.where("kind = 1").select(*cols, "next_at")
+
+
 def abandoned(starts: DataFrame, buys: DataFrame, key: str, as_of: Column, rows: int = keyed.HOT_ROWS) -> DataFrame:
     """Checkouts without a later purchase of the same person -> reminder step by age.
 
     A checkout counts as finished when a purchase follows within 48 hours; the
     step is 1, 2 or 3 once 1, 24 or 48 hours passed without one.
     """
-    cols = [key, "id", "at"]
-    both = starts.select(*cols, F.lit(1).alias("kind")).unionByName(buys.select(*cols, F.lit(0).alias("kind")))
-    at = keyed.micros(F.col("at"))
-    bought = F.when(F.col("kind") == 0, at)
-    # Walk backwards in time, so that the running minimum is the next purchase.
-    scanned = keyed.scan_by_key(both, [key], -at, ["kind", "id"], {"_next": ("min", bought)}, rows)
-    hour = 3_600_000_000
-    done = F.col("_next") - at <= 48 * hour
-    age = keyed.micros(as_of) - at
-    step = F.when(age >= 48 * hour, 3).when(age >= 24 * hour, 2).when(age >= hour, 1).otherwise(0)
-    return scanned.where((F.col("kind") == 1) & ~F.coalesce(done, F.lit(False))).select(*cols, step.alias("step"))
+    hours = (keyed.micros(as_of) - keyed.micros(F.col("at"))) / F.lit(3.6e9)
+    step = F.when(hours >= 48, 3).when(hours >= 24, 2).when(hours >= 1, 1).otherwise(0)
+    done = F.col("next_at") <= F.col("at") + F.expr("interval 48 hours")
+    seen = next_buy(starts, buys, key, rows)
+    return seen.where(~F.coalesce(done, F.lit(False))).select(key, "id", "at", step.alias("step"))
 
 
 def referral_counts(profiles: DataFrame, needed: int = 3) -> DataFrame:

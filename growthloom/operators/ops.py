@@ -52,22 +52,26 @@ def health_gate(report: DataFrame, floor: float = SUCCESS_FLOOR) -> DataFrame:
     )
 
 
-def failure_alerts(logs: DataFrame, window: str = "1 hour", slide: str | None = None, failures: int = 3,
-                   share: float = 0.5) -> DataFrame:
-    """Windows with enough failures, or with half of their runs failed.
-
-    Works on a stream too; then `started_at` needs a watermark.
-    """
+def failure_counts(logs: DataFrame, window: str = "1 hour", slide: str | None = None) -> DataFrame:
+    """Failures and runs per workflow and window; works on a stream with a watermark too."""
     span = F.window("started_at", window, slide) if slide else F.window("started_at", window)
     sums = logs.groupBy("workflow_id", span.alias("w")).agg(
         F.count_if(F.col("status") == "failed").alias("failures"), F.count(F.lit(1)).alias("runs")
     )
+    return sums.select("workflow_id", F.col("w.start").alias("window_start"), "failures", "runs")
+
+
+def alerts(counts: DataFrame, failures: int = 3, share: float = 0.5) -> DataFrame:
+    """Windows with enough failures, or with at least that share of failed runs."""
     high = F.col("failures") >= failures
     half = F.col("failures") >= F.col("runs") * F.lit(share)
-    return sums.where((F.col("failures") > 0) & (high | half)).select(
-        "workflow_id", F.col("w.start").alias("window_start"), "failures", "runs",
-        F.when(high, "failure_count").otherwise("failure_share").alias("reason"),
-    )
+    reason = F.when(high, "failure_count").otherwise("failure_share")
+    return counts.where((F.col("failures") > 0) & (high | half)).withColumn("reason", reason)
+
+
+def failure_alerts(logs: DataFrame, window: str = "1 hour", slide: str | None = None, failures: int = 3,
+                   share: float = 0.5) -> DataFrame:
+    return alerts(failure_counts(logs, window, slide), failures, share)
 
 
 def uptime(logs: DataFrame) -> DataFrame:

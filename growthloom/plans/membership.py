@@ -18,7 +18,7 @@ def subscription_rows(messages: DataFrame) -> DataFrame:
         "id", "received_at", F.col("msg.type").alias("message_type"),
         o["id"].alias("stripe_subscription_id"), o["customer"].alias("stripe_customer_id"),
         X.map_status(o["status"]).alias("status"),
-        ~F.coalesce(o["status"].isin(X.SUBSCRIPTION_STATUS), F.lit(False)).alias("unknown_status"),
+        (~F.coalesce(o["status"].isin(X.SUBSCRIPTION_STATUS), F.lit(False))).alias("unknown_status"),
         X.epoch_ts(o["current_period_start"]).cast("timestamp_ntz").alias("current_period_start"),
         X.epoch_ts(o["current_period_end"]).cast("timestamp_ntz").alias("current_period_end"),
         X.epoch_ts(o["ended_at"]).cast("timestamp_ntz").alias("ended_at"),

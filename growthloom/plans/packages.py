@@ -15,9 +15,12 @@ def shot_list(scripts: DataFrame, visuals: str = "visuals") -> DataFrame:
     """One row per script line: times, overlay and search terms.  Needs id, category, lines."""
     timed = C.timecodes(align(scripts, ["id", "category"], "lines", visuals))
     shots = timed.withColumn("text_overlay", X.overlay(F.coalesce("visual", F.lit(""))))
+    # The empty suffix keeps Spark from folding lower(upper(x)) into lower(x), which
+    # differs for letters such as the German sharp s.
+    term = F.lower(F.concat("text_overlay", F.lit("")))
     return shots.select(
         "id", "line_no", "line", "start_s", "end_s", "text_overlay",
-        F.array(F.lower("text_overlay"), F.lower("category"), F.lit("cinematic"), F.lit("minimalist")).alias("search_terms"),
+        F.array(term, F.lower("category"), F.lit("cinematic"), F.lit("minimalist")).alias("search_terms"),
     )
 
 

@@ -26,7 +26,11 @@ def with_ctes(sql: str) -> str:
     found: list[str] = []
     _needed(sql, found)
     order = [n for n in CTES if n in found]
-    return ("WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in order) + "\n" + sql) if order else sql
+    if not order:
+        return sql
+    head = "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in order)
+    body = sql.strip()
+    return f"{head},\n{body[5:]}" if body.startswith("WITH ") else f"{head}\n{body}"
 
 
 def op(key: str, sql: str | None = None):

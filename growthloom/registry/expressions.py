@@ -164,7 +164,7 @@ def _(t: Tables) -> DataFrame:
     return lines.select("id", "line_no", X.speech_seconds(X.word_count("line")).alias("seconds"))
 
 
-@op("overlay_text", f"SELECT id, line_no, upper(array_to_string({WORDS.format('line')}[1:2], ' ')) AS overlay FROM wl")
+@op("overlay_text", f"SELECT id, line_no, upper(replace(array_to_string({WORDS.format('line')}[1:2], ' '), 'ß', 'SS')) AS overlay FROM wl")
 def _(t: Tables) -> DataFrame:
     return explode_lines(t.scripts, "id", "lines").select("id", "line_no", X.overlay("line").alias("overlay"))
 

@@ -472,41 +472,45 @@ class Tables:
 
     @cached_property
     def subscription_messages(self) -> DataFrame:
-        """One subscription message per order, in the sender's JSON shape."""
-        key, cust = F.col("o_orderkey"), F.col("o_custkey")
-        start = F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
-        kind = (
-            F.when(key % 11 == 0, "customer.subscription.created")
-            .when(key % 11 == 1, "customer.subscription.deleted")
-            .otherwise("customer.subscription.updated")
-        )
-        status = (
-            F.when(key % 11 == 1, "canceled").when(F.col("o_orderstatus") == "P", "past_due").otherwise("active")
-        )
-        return self.orders.select(
-            key.alias("id"),
-            F.col("o_orderdate").alias("received_at"),
-            F.to_json(
+        return subscription_view(self.raw("orders"))
+
+
+def subscription_view(orders: DataFrame) -> DataFrame:
+    """One subscription message per order, in the sender's JSON shape; works on a stream too."""
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    start = F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
+    kind = (
+        F.when(key % 11 == 0, "customer.subscription.created")
+        .when(key % 11 == 1, "customer.subscription.deleted")
+        .otherwise("customer.subscription.updated")
+    )
+    status = (
+        F.when(key % 11 == 1, "canceled").when(F.col("o_orderstatus") == "P", "past_due").otherwise("active")
+    )
+    return orders.select(
+        key.alias("id"),
+        F.col("o_orderdate").alias("received_at"),
+        F.to_json(
+            F.struct(
+                kind.alias("type"),
                 F.struct(
-                    kind.alias("type"),
                     F.struct(
+                        F.concat(F.lit("sub_"), cust).alias("id"),
+                        status.alias("status"),
+                        F.concat(F.lit("cus_"), cust).alias("customer"),
+                        start.alias("current_period_start"),
+                        (start + 30 * 86400).alias("current_period_end"),
+                        (key % 17 == 0).alias("cancel_at_period_end"),
+                        F.when(key % 11 == 1, start).alias("ended_at"),
                         F.struct(
-                            F.concat(F.lit("sub_"), cust).alias("id"),
-                            status.alias("status"),
-                            F.concat(F.lit("cus_"), cust).alias("customer"),
-                            start.alias("current_period_start"),
-                            (start + 30 * 86400).alias("current_period_end"),
-                            (key % 17 == 0).alias("cancel_at_period_end"),
-                            F.when(key % 11 == 1, start).alias("ended_at"),
-                            F.struct(
-                                F.array(F.struct(F.struct(F.col("price_cents").alias("unit_amount")).alias("price")))
-                                .alias("data")
-                            ).alias("items"),
-                        ).alias("object")
-                    ).alias("data"),
-                )
-            ).alias("body"),
-        )
+                            F.array(F.struct(F.struct(X.cents("o_totalprice").alias("unit_amount")).alias("price")))
+                            .alias("data")
+                        ).alias("items"),
+                    ).alias("object")
+                ).alias("data"),
+            )
+        ).alias("body"),
+    )
 
 
 def funnel_view(events: DataFrame) -> DataFrame:

@@ -1,18 +1,13 @@
-"""Streaming forms of the event rules.  Every input has a zoned event time."""
-from __future__ import annotations
+"""Streaming forms of the event rules, by Spark's own stateful operators.
 
-from collections.abc import Iterator
+Every input has a zoned event time.  Aggregates combine map-side before the
+state store, so one very active key does not load one task with its raw rows.
+"""
+from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from growthloom.operators import ops
-from growthloom.operators.email import WELCOME_HOURS
-from growthloom.operators.joins import attribute
-from growthloom.operators.upsert import upsert
-from growthloom.plans.keyed import HOT_ROWS, latest_by
-from growthloom.session import scratch_path
 
 
 def stream_funnel(events: DataFrame, window: str = "1 hour", late: str = "10 minutes") -> DataFrame:
@@ -25,9 +20,14 @@ def stream_funnel(events: DataFrame, window: str = "1 hour", late: str = "10 min
     )
 
 
-def stream_alerts(logs: DataFrame, window: str = "1 hour", slide: str = "5 minutes", late: str = "10 minutes") -> DataFrame:
-    """Failure alerts over sliding windows."""
-    return ops.failure_alerts(logs.withWatermark("started_at", late), window, slide)
+def stream_failure_counts(logs: DataFrame, window: str = "1 hour", slide: str = "5 minutes", late: str = "10 minutes") -> DataFrame:
+    """Run counts over sliding windows.
+
+    The alert rule is applied to the newest counts when they are read: a window
+    that was half failed can recover with later runs, and a filter inside the
+    stream could not take such an alert back.
+    """
+    return ops.failure_counts(logs.withWatermark("started_at", late), window, slide)
 
 
 def stream_dedup(messages: DataFrame, key: str, at: str, horizon: str = "3 days") -> DataFrame:
@@ -36,6 +36,7 @@ def stream_dedup(messages: DataFrame, key: str, at: str, horizon: str = "3 days"
 
 
 def stream_sessions(events: DataFrame, person: str, ts: str, gap: str = "30 minutes", late: str = "10 minutes") -> DataFrame:
+    """Sessions, emitted once they are closed."""
     return (
         events.withWatermark(ts, late)
         .groupBy(F.session_window(ts, gap).alias("w"), person)
@@ -44,186 +45,18 @@ def stream_sessions(events: DataFrame, person: str, ts: str, gap: str = "30 minu
     )
 
 
-class AttributionSink:
-    """foreachBatch sink: credit each purchase to the latest click before it.
-
-    The stream holds both sides as (key, id, at, kind), kind 0 click and 1 buy.
-    Between batches only the clicks that can still win are kept: the newest one
-    per key before the lateness limit and those after it.  No click-buy pairs
-    are formed, and purchases may come up to `late` after newer clicks.
-    """
-
-    def __init__(self, path: str, key: str, days: int = 60, late: str = "1 hour", rows: int = HOT_ROWS):
-        self.path, self.key, self.days, self.late, self.rows = path, key, days, late, rows
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        clicks = batch.where("kind = 0").select(self.key, "id", "at")
-        if batch_id > 0:
-            clicks = clicks.unionByName(spark.read.parquet(f"{self.path}/clicks/version={batch_id - 1}"))
-        buys = batch.where("kind = 1").select(self.key, "id", "at")
-        credited = attribute(clicks, buys, [self.key], self.days, self.rows)
-        credited.write.mode("overwrite").parquet(f"{self.path}/credited/batch_id={batch_id}")
-        limit = clicks.agg(F.max("at") - F.expr(f"interval {self.late}")).scalar()
-        settled = latest_by(clicks.where(F.col("at") <= limit), [self.key], ["at", "id"]).select(self.key, "id", "at")
-        keep = settled.unionByName(clicks.where(F.col("at") > limit))
-        keep.write.mode("overwrite").parquet(f"{self.path}/clicks/version={batch_id}")
-
-
-def run_attribution(stream: DataFrame, key: str, days: int, late: str = "1 hour") -> DataFrame:
-    spark = stream.sparkSession
-    path = scratch_path(spark, "attribution")
-    run_batches(stream, AttributionSink(path, key, days, late), f"{path}-checkpoint")
-    return spark.read.parquet(f"{path}/credited").drop("batch_id")
-
-
-def stream_abandoned(starts: DataFrame, buys: DataFrame, key: str, wait: str = "1 hour", late: str = "10 minutes") -> DataFrame:
-    """Checkouts without a purchase in `wait`; emitted once the watermark is past it."""
-    s = starts.withWatermark("at", late)
-    b = buys.select(F.col(key).alias("_key"), F.col("at").alias("bought_at")).withWatermark("bought_at", late)
-    reach = F.expr(f"bought_at >= at AND bought_at <= at + interval {wait}")
-    joined = s.join(b, (F.col(key) == F.col("_key")) & reach, "leftOuter")
-    return joined.where("bought_at IS NULL").select(key, "id", "at")
-
-
-MEMBER_OUT = "subscription string, status string, price_cents long, period_start timestamp, last_id long, changes long"
-MEMBER_STATE = "status string, price_cents long, period_start timestamp, last_us long, last_id long, changes long"
-
-
-def _member_step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Newest message per subscription by (time, id), whatever order they arrive in."""
-    cur = state.get if state.exists else (None, None, None, -(1 << 62), -1, 0)
-    status, price, start, last_us, last_id, changes = cur
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        changes += len(pdf)
-        us = pdf["received_at"].astype("datetime64[us]").astype("int64")
-        top = pdf.assign(_us=us).sort_values(["_us", "id"]).iloc[-1]
-        if (int(top["_us"]), int(top["id"])) > (last_us, last_id):
-            status, price, start = top["status"], int(top["price_cents"]), top["current_period_start"]
-            last_us, last_id = int(top["_us"]), int(top["id"])
-    state.update((status, price, start, last_us, last_id, changes))
-    yield pd.DataFrame(
-        {"subscription": [key[0]], "status": [status], "price_cents": [price], "period_start": [start],
-         "last_id": [last_id], "changes": [changes]}
-    )
-
-
 def stream_members(rows: DataFrame) -> DataFrame:
-    """Current state of every subscription; safe against out-of-order messages.
-
-    The state is one small row per subscription, and messages reach it in Arrow
-    batches, so a subscription with very many messages needs no more memory.
-    """
-    return rows.groupBy("stripe_subscription_id").applyInPandasWithState(
-        _member_step, MEMBER_OUT, MEMBER_STATE, "update", GroupStateTimeout.NoTimeout
+    """Current state of every subscription: the newest message by (time, id) wins in
+    whatever order messages arrive.  Run in update mode."""
+    newest = F.max_by(F.struct("status", "price_cents", "current_period_start", "id"), F.struct("received_at", "id"))
+    return rows.groupBy("stripe_subscription_id").agg(newest.alias("m"), F.count(F.lit(1)).alias("messages")).select(
+        "stripe_subscription_id", "m.status", "m.price_cents", "m.current_period_start", F.col("m.id").alias("last_id"),
+        "messages",
     )
 
 
-DRIP_OUT = "subscriber_id long, step long, send_at timestamp"
-DRIP_STATE = "start_us long, sent long"
-_HOUR_US = 3_600_000_000
-
-
-def _drip_step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Emit due steps; the timer wakes the subscriber at the next one."""
-    start, sent = state.get if state.exists else (None, 0)
-    for pdf in batches:
-        if not pdf.empty:
-            first = int(pdf["at"].astype("datetime64[us]").astype("int64").min())
-            start = first if start is None else min(start, first)
-    now = max(state.getCurrentWatermarkMs() * 1000, start)
-    out = []
-    while sent < len(WELCOME_HOURS) and start + WELCOME_HOURS[sent] * _HOUR_US <= now:
-        out.append((key[0], sent + 1, pd.Timestamp(start + WELCOME_HOURS[sent] * _HOUR_US, unit="us")))
-        sent += 1
-    if sent < len(WELCOME_HOURS):
-        state.update((start, sent))
-        due_ms = (start + WELCOME_HOURS[sent] * _HOUR_US) // 1000
-        state.setTimeoutTimestamp(max(due_ms, state.getCurrentWatermarkMs() + 1))
-    else:
-        state.update((start, sent))
-    yield pd.DataFrame(out, columns=["subscriber_id", "step", "send_at"])
-
-
-def stream_drip(starts: DataFrame, late: str = "1 hour") -> DataFrame:
-    """Due welcome steps per subscriber by event time.  Needs subscriber_id and at."""
-    return starts.withWatermark("at", late).groupBy("subscriber_id").applyInPandasWithState(
-        _drip_step, DRIP_OUT, DRIP_STATE, "append", GroupStateTimeout.EventTimeTimeout
+def stream_daily_stages(events: DataFrame) -> DataFrame:
+    """Running totals per day and stage, for the upsert sink.  Run in update mode."""
+    return events.groupBy(F.to_date("created_at").alias("day"), "stage").agg(
+        F.count(F.lit(1)).alias("events"), F.sum("revenue_cents").alias("revenue_cents")
     )
-
-
-class MartUpsert:
-    """foreachBatch sink that upserts into a versioned parquet mart.
-
-    Version n holds the mart after batch n.  A replayed batch starts again from
-    version n-1 and overwrites version n, so the mart is exact.
-    """
-
-    def __init__(self, path: str, key: list[str], set_cols: list[str], order: list[str] | None = None):
-        self.path, self.key, self.set_cols, self.order = path, key, set_cols, order
-
-    def version(self, n: int) -> str:
-        return f"{self.path}/version={n}"
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        cols = [*self.key, *self.set_cols]
-        if batch_id == 0:
-            base = spark.createDataFrame([], batch.select(*cols).schema)
-        else:
-            base = spark.read.parquet(self.version(batch_id - 1))
-        upsert(base, batch, self.key, self.set_cols, self.order).write.mode("overwrite").parquet(self.version(batch_id))
-
-
-def split_late(spark_df: DataFrame, at: str, seen_until, delay: str) -> tuple[DataFrame, DataFrame]:
-    """(in time, late) of a micro-batch against the newest event time seen before it."""
-    limit = seen_until - F.expr(f"interval {delay}")
-    late = F.coalesce(F.col(at) < limit, F.lit(False))
-    return spark_df.where(~late), spark_df.where(late)
-
-
-class LateSplitter:
-    """foreachBatch sink: events in time and late events go to two folders.
-
-    The newest event time of each batch is kept beside its rows, one value per
-    batch, so a replay sees the same limit.
-    """
-
-    def __init__(self, path: str, at: str, delay: str):
-        self.path, self.at, self.delay = path, at, delay
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        top = batch.agg(F.max(self.at).alias("seen"))
-        if batch_id == 0:
-            ok, late, seen = batch, batch.where(F.lit(False)), top
-        else:
-            before = spark.read.parquet(f"{self.path}/seen/batch_id={batch_id - 1}")
-            ok, late = split_late(batch, self.at, before.scalar(), self.delay)
-            seen = top.unionByName(before).agg(F.max("seen").alias("seen"))
-        ok.write.mode("overwrite").parquet(f"{self.path}/ok/batch_id={batch_id}")
-        late.write.mode("overwrite").parquet(f"{self.path}/late/batch_id={batch_id}")
-        seen.write.mode("overwrite").parquet(f"{self.path}/seen/batch_id={batch_id}")
-
-
-def run_batches(df: DataFrame, sink, checkpoint: str) -> None:
-    """Drive a foreachBatch sink to the end of the input."""
-    df.writeStream.foreachBatch(sink).outputMode("update").option("checkpointLocation", checkpoint).trigger(
-        availableNow=True
-    ).start().awaitTermination()
-
-
-def run_upsert(df: DataFrame, name: str, key: list[str], set_cols: list[str], order: list[str] | None = None) -> DataFrame:
-    """Upsert a stream into a mart and return its last version."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    sink, last = MartUpsert(path, key, set_cols, order), [-1]
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        sink(batch, batch_id)
-        last[0] = batch_id
-
-    run_batches(df, write, f"{path}-checkpoint")
-    return spark.read.parquet(sink.version(last[0]))

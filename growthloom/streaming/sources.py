@@ -3,18 +3,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from growthloom.sources.fixtures import funnel_view
 
-
-def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a stream; `ts` becomes a zoned timestamp, which watermarks need."""
-    path = f"{sf_dir.rstrip('/')}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    raw = spark.readStream.schema(schema).parquet(path + "*")
-    return raw.withColumns(
-        {"ts": F.col("ts").cast("timestamp"), "k": F.get_json_object("props", "$.k").cast("int")}
-    )
+def read_stream(spark: SparkSession, path: str, *times: str, files_per_batch: int | None = None) -> DataFrame:
+    """A parquet table as a stream; the named time columns become zoned timestamps,
+    which watermarks need."""
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    raw = reader.parquet(path + "*")
+    return raw.withColumns({c: F.col(c).cast("timestamp") for c in times})
 
 
-def funnel_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return funnel_view(read_events(spark, sf_dir))
+def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = read_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet", "ts")
+    return raw.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
