@@ -52,6 +52,5 @@ def recurrence(commissions: DataFrame, subscription: str, rows: int = keyed.HOT_
     """Number the recurring commissions of each subscription."""
     only = commissions.where("commission_type = 'recurring'")
     return keyed.scan_by_key(
-        only, [subscription], keyed.micros(F.col("created_at")), ["purchase_id"],
-        {"recurrence_number": ("rownum", F.lit(1))}, rows,
+        only, [subscription], "created_at", ["purchase_id"], {"recurrence_number": ("rownum", subscription)}, rows,
     )

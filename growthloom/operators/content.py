@@ -208,9 +208,7 @@ def retry_queue(queue: DataFrame, as_of: Column, rows: int = keyed.HOT_ROWS) ->
         F.col("status").isin("queued", "failed") & (F.col("retry_count") < F.col("max_retries"))
         & (F.col("scheduled_for") <= as_of)
     )
-    return keyed.scan_by_key(
-        ready, ["platform"], keyed.micros(F.col("scheduled_for")), ["id"], {"run_order": ("rownum", F.lit(1))}, rows
-    )
+    return keyed.scan_by_key(ready, ["platform"], "scheduled_for", ["id"], {"run_order": ("rownum", "platform")}, rows)
 
 
 def schedule_posts(videos: DataFrame, at: str, platform: str) -> DataFrame:

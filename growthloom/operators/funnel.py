@@ -51,11 +51,10 @@ def funnel_table(events: DataFrame) -> DataFrame:
 
 def time_to_convert(events: DataFrame, conversions: Sequence[str], rows: int = keyed.HOT_ROWS) -> DataFrame:
     """For each conversion: seconds since the person's previous event and since the first touch."""
-    at = keyed.micros(F.col("created_at"))
     scanned = keyed.scan_by_key(
         events.select("id", "person", "stage", "created_at"),
-        ["person"], at, ["id"],
-        {"_prev": ("lag", F.col("created_at")), "_prev_stage": ("lag", F.col("stage")), "_first": ("min", F.col("created_at"))},
+        ["person"], "created_at", ["id"],
+        {"_prev": ("lag", "created_at"), "_prev_stage": ("lag", "stage"), "_first": ("min", "created_at")},
         rows,
     )
     return scanned.where(F.col("stage").isin(list(conversions))).select(

@@ -20,9 +20,18 @@ def members(memberships: DataFrame, profiles: DataFrame) -> DataFrame:
 
 
 def workflow_logs(workflows: DataFrame, logs: DataFrame, cond: Column, keep_idle: bool = True) -> DataFrame:
-    """Workflows with their runs that meet `cond`; idle workflows stay unless told otherwise."""
+    """Workflows with their runs that meet `cond`; idle workflows stay unless told otherwise.
+
+    Few workflows own all runs, so the runs must not be shuffled by workflow: as
+    the large side of an inner join they stay where they are when the registry
+    fits a broadcast, which an outer join from the registry would not allow.
+    """
     runs = logs.where(cond).withColumnRenamed("id", "run_id").withColumnRenamed("workflow_id", "id")
-    return workflows.join(runs, "id", "left" if keep_idle else "inner")
+    busy = runs.join(workflows, "id")
+    if not keep_idle:
+        return busy
+    idle = workflows.join(runs.select("id").distinct(), "id", "left_anti")
+    return busy.unionByName(idle, allowMissingColumns=True)
 
 
 def or_lookup(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], payload: Sequence[str]) -> DataFrame:
@@ -77,9 +86,7 @@ def attribute(clicks: DataFrame, buys: DataFrame, keys: Sequence[str], days: int
     cols = [*keys, "id", "at"]
     both = clicks.select(*cols, F.lit(0).alias("kind")).unionByName(buys.select(*cols, F.lit(1).alias("kind")))
     seen = F.when(F.col("kind") == 0, F.struct("at", "id"))
-    scanned = keyed.scan_by_key(
-        both, keys, keyed.micros(F.col("at")), ["kind", "id"], {"_click": ("max", seen)}, rows
-    )
+    scanned = keyed.scan_by_key(both, keys, "at", ["kind", "id"], {"_click": ("max", seen)}, rows)
     reach = F.col("_click.at") >= F.col("at") - F.expr(f"interval {days} days")
     return scanned.where("kind = 1").select(
         *cols,
@@ -93,10 +100,8 @@ def next_buy(starts: DataFrame, buys: DataFrame, key: str, rows: int = keyed.HOT
     cols = [key, "id", "at"]
     both = starts.select(*cols, F.lit(1).alias("kind")).unionByName(buys.select(*cols, F.lit(0).alias("kind")))
     # Walk backwards in time, so that the running minimum is the next purchase.
-    scanned = keyed.scan_by_key(
-        both, [key], -keyed.micros(F.col("at")), ["kind", "id"],
-        {"next_at": ("min", F.when(F.col("kind") == 0, F.col("at")))}, rows,
-    )
+    bought = F.when(F.col("kind") == 0, F.col("at"))
+    scanned = keyed.scan_by_key(both, [key], "at", ["kind", "id"], {"next_at": ("min", bought)}, rows, descending=True)
     return scanned.where("kind = 1").select(*cols, "next_at")
 
 

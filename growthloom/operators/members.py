@@ -61,8 +61,8 @@ def transitions(payments: DataFrame, person: str, price: str, at: str, order_id:
                 jump: float = 1.5, pause_days: int = 365) -> DataFrame:
     """Lifecycle event of each payment against the one before it."""
     scanned = keyed.scan_by_key(
-        payments.select(person, price, at, order_id), [person], keyed.micros(F.col(at)), [order_id],
-        {"previous_price": ("lag", F.col(price)), "_before": ("lag", F.col(at))}, rows,
+        payments.select(person, price, at, order_id), [person], at, [order_id],
+        {"previous_price": ("lag", price), "_before": ("lag", at)}, rows,
     )
     now, prev = F.col(price), F.col("previous_price")
     kind = (

@@ -64,9 +64,11 @@ def daily_metrics(src: Sources, start: str, end: str) -> DataFrame:
     spine = src.products.sparkSession.range(1).select(
         F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("metric_date")
     )
-    out = spine
+    # Every part has one row per day, so their union is small and meets in one shuffle.
+    parts = spine
     for part in (steps, money, joined, published, views, runs):
-        out = out.join(part, "metric_date", "left")
+        parts = parts.unionByName(part, allowMissingColumns=True)
+    out = parts.groupBy("metric_date").agg(*[F.max(c).alias(c) for c in parts.columns if c != "metric_date"])
     zero = {c: F.coalesce(F.col(c), F.lit(0)) for c in out.columns if c != "metric_date"}
     return out.withColumns(zero).withColumns(
         {

@@ -23,7 +23,7 @@ def micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
-def _same(left: DataFrame, names: Sequence[str], prefix: str) -> Column:
+def _same(names: Sequence[str], prefix: str) -> Column:
     cond = F.lit(True)
     for n in names:
         cond = cond & F.col(n).eqNullSafe(F.col(f"{prefix}{n}"))
@@ -31,66 +31,83 @@ def _same(left: DataFrame, names: Sequence[str], prefix: str) -> Column:
 
 
 def slice_hot_keys(df: DataFrame, keys: Sequence[str], order: str, rows: int = HOT_ROWS) -> DataFrame:
-    """Add `_hot` and `_slice`: 0 for ordinary keys, an order-true slice for hot ones."""
+    """Add `_hot` and `_slice`: 0 for ordinary keys, an order-true slice for hot ones.
+
+    `order` is a timestamp or a long.  Count, least and greatest value of a key
+    are exact, so every evaluation of the plan cuts the same slices.  When no key
+    is hot, AQE drops the joins with the empty side.
+    """
+    place = F.col(order) if dict(df.dtypes)[order] == "bigint" else micros(F.col(order))
     stats = (
         df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_lo"), F.max(order).alias("_hi"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_lo"), F.max(place).alias("_hi"))
         .where(F.col("_n") > rows)
         .select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_n", "_lo", "_hi")
     )
     parts = F.ceil(F.col("_n") * SLICES_PER_LIMIT / F.lit(rows))
-    share = (F.col(order) - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1)
+    share = (place - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1)
     return (
-        df.join(F.broadcast(stats), _same(df, keys, "_h_"), "left")
+        df.join(F.broadcast(stats), _same(keys, "_h_"), "left")
         .withColumn("_hot", F.col("_n").isNotNull())
         .withColumn("_slice", F.when(F.col("_hot"), F.floor(share * parts)).otherwise(F.lit(0)).cast("long"))
         .drop("_n", "_lo", "_hi", *[f"_h_{k}" for k in keys])
     )
 
 
+RUNNING = {"sum": F.sum, "max": F.max, "min": F.min}
+
+
 def scan_by_key(
     df: DataFrame,
     keys: Sequence[str],
-    order: Column,
+    order: str,
     tie: Sequence[str],
-    outputs: dict[str, tuple[str, Column]],
+    outputs: dict[str, tuple[str, str | Column]],
     rows: int = HOT_ROWS,
+    descending: bool = False,
 ) -> DataFrame:
     """Ordered scan of every key.
 
-    `order` must be a long.  `outputs` maps a new column to (kind, value) with
-    kind one of lag, rownum, sum, max, min; sum/max/min include the row itself.
+    `order` names a timestamp or long column; `tie` makes the order total.
+    `outputs` maps a new column to (kind, value), kind one of lag, rownum, sum,
+    max, min; sum, max and min include the row itself.  Plain column names as
+    values add nothing to the shuffle.
     """
-    keys = list(keys)
-    work = df.withColumn("_ord", order)
-    for name, (_, value) in outputs.items():
-        work = work.withColumn(f"_v_{name}", F.struct(value.alias("x")))
-    work = slice_hot_keys(work, keys, "_ord", rows)
-
-    place = F.struct("_ord", *tie)
-    at = Window.partitionBy(*keys, "_slice").orderBy("_ord", *tie)
+    keys, values, work = list(keys), {}, df
+    for name, (kind, value) in outputs.items():
+        if kind not in ("lag", "rownum", *RUNNING):
+            raise ValueError(f"unknown kind {kind}")
+        if isinstance(value, str):
+            values[name] = value
+        else:
+            values[name] = f"_v_{name}"
+            work = work.withColumn(values[name], value)
+    work = slice_hot_keys(work, keys, order, rows)
+
+    turn = F.desc if descending else F.asc
+    at = Window.partitionBy(*keys, "_slice").orderBy(turn(order), *tie)
     upto = at.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = Window.partitionBy(*keys).orderBy("_slice")
+    before = Window.partitionBy(*keys).orderBy(turn("_slice"))
     all_before = before.rowsBetween(Window.unboundedPreceding, -1)
+    # The last row of a slice in scan order, as an aggregate.
+    place = F.struct(order, *tie)
 
-    local, totals, carries = [], [], []
+    local, totals, carries = [F.row_number().over(at).cast("long").alias("_rn")], [], []
     for name, (kind, _) in outputs.items():
-        box, val = F.col(f"_v_{name}"), F.col(f"_v_{name}.x")
+        value, total = F.col(values[name]), F.col(f"_t_{name}")
         if kind == "lag":
-            local.append(F.lag(box).over(at).alias(f"_l_{name}"))
-            totals.append(F.max_by(box, place).alias(f"_t_{name}"))
-            carries.append(F.lag(f"_t_{name}").over(before).alias(f"_c_{name}"))
+            if descending:
+                raise ValueError("lag runs forward only")
+            local.append(F.lag(value).over(at).alias(f"_l_{name}"))
+            totals.append(F.max_by(F.struct(value.alias("x")), place).alias(f"_t_{name}"))
+            carries.append(F.lag(total).over(before)["x"].alias(f"_c_{name}"))
         elif kind == "rownum":
-            local.append(F.row_number().over(at).cast("long").alias(f"_l_{name}"))
             totals.append(F.count(F.lit(1)).alias(f"_t_{name}"))
-            carries.append(F.sum(f"_t_{name}").over(all_before).alias(f"_c_{name}"))
-        elif kind in ("sum", "max", "min"):
-            fn = {"sum": F.sum, "max": F.max, "min": F.min}[kind]
-            local.append(fn(val).over(upto).alias(f"_l_{name}"))
-            totals.append(fn(val).alias(f"_t_{name}"))
-            carries.append(fn(f"_t_{name}").over(all_before).alias(f"_c_{name}"))
+            carries.append(F.sum(total).over(all_before).alias(f"_c_{name}"))
         else:
-            raise ValueError(f"unknown kind {kind}")
+            local.append(RUNNING[kind](value).over(upto).alias(f"_l_{name}"))
+            totals.append(RUNNING[kind](value).alias(f"_t_{name}"))
+            carries.append(RUNNING[kind](total).over(all_before).alias(f"_c_{name}"))
 
     carry = (
         work.where("_hot")
@@ -98,15 +115,15 @@ def scan_by_key(
         .agg(*totals)
         .select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_slice").alias("_k__slice"), *carries)
     )
-    out = work.select("*", *local).join(F.broadcast(carry), _same(work, [*keys, "_slice"], "_k_"), "left")
+    out = work.select("*", *local).join(F.broadcast(carry), _same([*keys, "_slice"], "_k_"), "left")
     for name, (kind, _) in outputs.items():
         here, past = F.col(f"_l_{name}"), F.col(f"_c_{name}")
         if kind == "lag":
-            value = F.coalesce(here, past)["x"]
+            value = F.when(F.col("_rn") == 1, past).otherwise(here)
         elif kind == "rownum":
-            value = here + F.coalesce(past, F.lit(0))
+            value = F.col("_rn") + F.coalesce(past, F.lit(0))
         elif kind == "sum":
-            value = F.when(here.isNull(), past).otherwise(here + F.coalesce(past, F.lit(0).cast("long")))
+            value = F.when(here.isNull(), past).otherwise(here + F.coalesce(past, F.lit(0)))
         else:
             value = (F.greatest if kind == "max" else F.least)(here, past)
         out = out.withColumn(name, value)

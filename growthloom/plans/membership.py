@@ -32,11 +32,11 @@ def subscription_rows(messages: DataFrame) -> DataFrame:
 def lifecycle_log(rows: DataFrame, limit: int = keyed.HOT_ROWS) -> DataFrame:
     """Lifecycle event of every message against the message before it."""
     scanned = keyed.scan_by_key(
-        rows, ["stripe_subscription_id"], keyed.micros(F.col("received_at")), ["id"],
+        rows, ["stripe_subscription_id"], "received_at", ["id"],
         {
-            "prev_price": ("lag", F.col("price_cents")),
-            "prev_status": ("lag", F.col("status")),
-            "prev_start": ("lag", F.col("current_period_start")),
+            "prev_price": ("lag", "price_cents"),
+            "prev_status": ("lag", "status"),
+            "prev_start": ("lag", "current_period_start"),
         },
         limit,
     )
