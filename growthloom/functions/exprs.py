@@ -160,7 +160,7 @@ def to_fixed(cents_col) -> Column:
 
 
 def _words(col) -> Column:
-    return F.filter(F.split(_c(col), r"\s+"), lambda w: w != "")
+    return F.array_remove(F.split(_c(col), r"\s+"), "")
 
 
 def word_count(col) -> Column:
@@ -238,13 +238,10 @@ def device_class(user_agent) -> Column:
     )
 
 
-def token_set(col) -> Column:
-    """Distinct lower-case words made of letters."""
-    return F.array_distinct(F.filter(F.split(F.lower(_c(col)), "[^a-z]+"), lambda w: w != ""))
-
-
 def vocabulary_hits(col, words: list[str]) -> Column:
-    return F.size(F.array_intersect(token_set(col), F.array(*[F.lit(w) for w in words]))).cast("long")
+    """How many different words of the list occur in the whole text, in any case."""
+    tokens = F.split(F.lower(_c(col)), "[^a-z]+")
+    return F.size(F.array_intersect(tokens, F.array(*[F.lit(w) for w in words]))).cast("long")
 
 
 def hashtags(platform, brand: str | None = None) -> Column:

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from growthloom.functions import exprs as X
 from growthloom.operators import content as C
@@ -22,6 +22,8 @@ class Sources:
     videos: DataFrame
     content: DataFrame
     logs: DataFrame
+    memberships: DataFrame | None = None
+    commissions: DataFrame | None = None
 
 
 def _between(df: DataFrame, ts: str, start: str, end: str) -> DataFrame:
@@ -33,6 +35,50 @@ def _by_day(df: DataFrame, ts: str, start: str, end: str) -> DataFrame:
     return _between(df, ts, start, end).withColumn("metric_date", F.to_date(ts))
 
 
+def _spine(df: DataFrame, start: str, end: str) -> DataFrame:
+    days = F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    return df.sparkSession.range(1).select(F.explode(days).alias("metric_date"))
+
+
+def retention(memberships: DataFrame, start: str, end: str) -> DataFrame:
+    """Members at the end of each day, those who left on it, and the share that left.
+
+    Starts and ends are counted per day; everything before the range folds into
+    its first day, so the running sum covers one row per day of the range.
+    """
+    first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
+    rows = memberships.select(
+        F.inline(
+            F.array(
+                F.struct(F.to_date("created_at").alias("day"), F.lit(1).alias("begun"), F.lit(0).alias("ended")),
+                F.struct(F.to_date("ended_at").alias("day"), F.lit(0).alias("begun"), F.lit(1).alias("ended")),
+            )
+        )
+    ).where(F.col("day") <= last)
+    changes = rows.groupBy(F.greatest("day", F.date_sub(first, 1)).alias("metric_date")).agg(
+        F.sum("begun").alias("begun"), F.sum("ended").alias("ended")
+    )
+    spine = memberships.sparkSession.range(1).select(
+        F.explode(F.sequence(F.date_sub(first, 1), last)).alias("metric_date")
+    )
+    upto = Window.orderBy("metric_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = spine.join(changes, "metric_date", "left").select(
+        "metric_date", F.coalesce("ended", F.lit(0)).alias("churned_members"),
+        F.coalesce(F.sum("begun").over(upto), F.lit(0)).alias("_b"), F.coalesce(F.sum("ended").over(upto), F.lit(0)).alias("_e"),
+    )
+    active = F.col("_b") - F.col("_e")
+    there = active + F.col("churned_members")
+    return running.where(F.col("metric_date") >= first).select(
+        "metric_date", active.alias("active_members"), "churned_members",
+        X.ratio("churned_members", there).alias("churn_rate"),
+    )
+
+
+def payouts_by_day(commissions: DataFrame, start: str, end: str) -> DataFrame:
+    paid = _by_day(commissions.where("status = 'paid'"), "created_at", start, end)
+    return paid.groupBy("metric_date").agg(F.sum("amount_cents").alias("affiliate_payouts_cents"))
+
+
 def daily_metrics(src: Sources, start: str, end: str) -> DataFrame:
     """Rows for every day in [start, end]; days without data hold zeros.
 
@@ -61,15 +107,18 @@ def daily_metrics(src: Sources, start: str, end: str) -> DataFrame:
     views = C.content_totals(inside.withColumnRenamed("event_date", "metric_date"), day)
     runs = ops.run_counts(_by_day(src.logs, "started_at", start, end), day)
 
-    spine = src.products.sparkSession.range(1).select(
-        F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("metric_date")
-    )
+    spine = _spine(src.products, start, end)
     # Every part has one row per day, so their union is small and meets in one shuffle.
     parts = spine
-    for part in (steps, money, joined, published, views, runs):
+    extra = []
+    if src.memberships is not None:
+        extra.append(retention(src.memberships, start, end))
+    if src.commissions is not None:
+        extra.append(payouts_by_day(src.commissions, start, end))
+    for part in (steps, money, joined, published, views, runs, *extra):
         parts = parts.unionByName(part, allowMissingColumns=True)
     out = parts.groupBy("metric_date").agg(*[F.max(c).alias(c) for c in parts.columns if c != "metric_date"])
-    zero = {c: F.coalesce(F.col(c), F.lit(0)) for c in out.columns if c != "metric_date"}
+    zero = {c: F.coalesce(F.col(c), F.lit(0)) for c in out.columns if c not in ("metric_date", "churn_rate")}
     return out.withColumns(zero).withColumns(
         {
             "total_subscribers": active,

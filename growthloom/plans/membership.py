@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from growthloom import schemas
 from growthloom.functions import exprs as X
 from growthloom.operators import upsert as U
+from growthloom.operators.joins import or_lookup
 from growthloom.plans import keyed
 from growthloom.sources.documents import parse_messages
 
@@ -17,6 +18,7 @@ def subscription_rows(messages: DataFrame) -> DataFrame:
     return parse_messages(messages, schemas.SUBSCRIPTION_MESSAGE).select(
         "id", "received_at", F.col("msg.type").alias("message_type"),
         o["id"].alias("stripe_subscription_id"), o["customer"].alias("stripe_customer_id"),
+        o["metadata"]["email"].alias("customer_email"),
         X.map_status(o["status"]).alias("status"),
         (~F.coalesce(o["status"].isin(X.SUBSCRIPTION_STATUS), F.lit(False))).alias("unknown_status"),
         X.epoch_ts(o["current_period_start"]).cast("timestamp_ntz").alias("current_period_start"),
@@ -63,6 +65,25 @@ def membership_sync(memberships: DataFrame, messages: DataFrame) -> DataFrame:
     )
 
 
+def resolve_profiles(rows: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Profile of each customer's newest message, by customer id or else by address.
+
+    A customer without a profile gets one whose id is made from the customer id,
+    so a replay creates the same row.
+    """
+    newest = keyed.latest_by(
+        rows.select("stripe_customer_id", "customer_email", "status", "received_at", "id"),
+        ["stripe_customer_id"], ["received_at", "id"],
+    )
+    known = profiles.select(F.col("id").cast("string").alias("profile_id"), F.col("stripe_customer_id").alias("_cid"), "email")
+    found = or_lookup(newest, known, [("stripe_customer_id", "_cid"), ("customer_email", "email")], ["profile_id"])
+    return found.select(
+        "stripe_customer_id", "status",
+        F.coalesce("profile_id", F.sha2("stripe_customer_id", 256)).alias("profile_id"),
+        F.col("profile_id").isNull().alias("needs_creation"), X.is_member("status").alias("is_member"),
+    )
+
+
 def member_flags(profiles: DataFrame, latest: DataFrame, now: Column) -> DataFrame:
     """Profiles with member flag and first member time; `latest` has profile_id and status."""
     state = latest.select(F.col("profile_id").alias("id"), F.col("status").alias("_status"))

@@ -78,3 +78,12 @@ def buyer_ltv(subscribers: DataFrame, purchases: DataFrame) -> DataFrame:
     """Subscribers' lifetime value after the purchases are added."""
     deltas = purchases.where("profile_id is not null").select(F.col("profile_id").alias("id"), "amount_cents")
     return U.apply_deltas(subscribers, deltas, "id", {"ltv_cents": "amount_cents"})
+
+
+def purchase_tags(tags: DataFrame, purchases: DataFrame) -> DataFrame:
+    """Subscriber tags with `purchased-<type>` added for every product type bought."""
+    slug = F.concat(F.lit("purchased-"), F.translate("product_type", "_", "-"))
+    bought = purchases.where("profile_id is not null and product_type is not null").select(
+        F.col("profile_id").alias("subscriber_id"), slug.alias("tag")
+    )
+    return tags.select("subscriber_id", "tag").union(bought.distinct()).distinct()

@@ -362,3 +362,28 @@ def _(t: Tables) -> DataFrame:
     FROM dp LEFT JOIN (SELECT product_id, CAST(sum(quantity) AS BIGINT) AS units, CAST(sum(line_cents) AS BIGINT) AS cents FROM it GROUP BY 1) s ON s.product_id = dp.id""")
 def _(t: Tables) -> DataFrame:
     return revenue.product_sales(t.purchase_items, t.products)
+
+
+@op("daily_retention", """SELECT d.metric_date, count(*) FILTER (CAST(created_at AS DATE) <= d.metric_date AND (ended_at IS NULL OR CAST(ended_at AS DATE) > d.metric_date)) AS active_members,
+    count(*) FILTER (CAST(ended_at AS DATE) = d.metric_date) AS churned_members,
+    round(count(*) FILTER (CAST(ended_at AS DATE) = d.metric_date) / nullif(count(*) FILTER (CAST(created_at AS DATE) <= d.metric_date AND (ended_at IS NULL OR CAST(ended_at AS DATE) >= d.metric_date)), 0)::DOUBLE, 4) AS churn_rate
+    FROM (SELECT CAST(unnest(generate_series(DATE '2001-07-01', DATE '2001-08-02', INTERVAL 1 DAY)) AS DATE) AS metric_date) d, me GROUP BY 1""")
+def _(t: Tables) -> DataFrame:
+    return daily.retention(t.memberships, "2001-07-01", "2001-08-02")
+
+
+@op("daily_payouts", """SELECT CAST(created_at AS DATE) AS metric_date, CAST(sum(amount_cents) AS BIGINT) AS affiliate_payouts_cents FROM cm
+    WHERE status = 'paid' AND CAST(created_at AS DATE) BETWEEN DATE '1998-01-01' AND DATE '1999-12-31' GROUP BY 1""")
+def _(t: Tables) -> DataFrame:
+    return daily.payouts_by_day(t.commissions, "1998-01-01", "1999-12-31")
+
+
+@op("daily_metrics_complete", """SELECT dm.*, coalesce(m.active_members, 0) AS active_members, CAST(0 AS BIGINT) AS churned_members,
+    CASE WHEN m.active_members > 0 THEN 0.0::DOUBLE END AS churn_rate,
+    CAST(coalesce(c.cents, 0) AS BIGINT) AS affiliate_payouts_cents FROM dm
+    CROSS JOIN (SELECT count(*) FILTER (ended_at IS NULL) AS active_members FROM me) m
+    LEFT JOIN (SELECT CAST(created_at AS DATE) AS dd, sum(amount_cents) AS cents FROM cm WHERE status = 'paid' GROUP BY 1) c ON c.dd = dm.metric_date""")
+def _(t: Tables) -> DataFrame:
+    src = sources(t)
+    src.memberships, src.commissions = t.memberships, t.commissions
+    return daily.daily_metrics(src, "2024-01-01", LAST_DAY)

@@ -79,6 +79,21 @@ def _(t: Tables) -> DataFrame:
     return membership.membership_sync(there, t.subscription_messages)
 
 
+@op("purchase_intake_tags", """SELECT subscriber_id, tag FROM st UNION SELECT user_id, 'purchased-' || replace(dp.product_type, '_', '-') FROM ev JOIN dp ON dp.id = ev.k
+    WHERE event_type = 'purchase'""")
+def _(t: Tables) -> DataFrame:
+    return P.purchase_tags(t.subscriber_tags, P.purchases_from(t.checkout_messages, t.products, t.profiles).purchases)
+
+
+@op("membership_profiles", """SELECT 'cus_' || o_custkey AS stripe_customer_id, CASE WHEN m = 1 THEN 'canceled' WHEN st = 'P' THEN 'past_due' ELSE 'active' END AS status,
+    coalesce(CAST(p.id AS VARCHAR), sha256('cus_' || o_custkey)) AS profile_id, p.id IS NULL AS needs_creation, m <> 1 AND st <> 'P' AS is_member
+    FROM (SELECT o_custkey, o_orderkey % 11 AS m, o_orderstatus AS st FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)
+    LEFT JOIN (SELECT id FROM pr WHERE acct_cents >= 0) p ON p.id = o_custkey""")
+def _(t: Tables) -> DataFrame:
+    rows = membership.subscription_rows(t.subscription_messages)
+    return membership.resolve_profiles(rows, t.profiles.where("acct_cents >= 0"))
+
+
 @op("affiliate_run", """SELECT purchase_id, affiliate_id, purchase_cents, CASE tier WHEN 'premium' THEN CAST(floor(base * 1.1::DOUBLE + 0.5) AS BIGINT)
       WHEN 'elite' THEN CAST(floor(base * 1.25::DOUBLE + 0.5) AS BIGINT) ELSE CAST(base AS BIGINT) END AS amount_cents, commission_type, status FROM
     (SELECT pu.id AS purchase_id, pu.affiliate_id, af.tier, pu.amount_cents AS purchase_cents,

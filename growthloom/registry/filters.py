@@ -108,12 +108,14 @@ _hot("hot_recent_metrics", f"""SELECT metric_date, CAST(count(*) AS BIGINT) AS o
 
 def _visible(t: Tables, table: str, role: str, uid: str | None = None) -> DataFrame:
     frames = {
-        "profiles": t.profiles, "purchases": t.purchases_hist, "memberships": t.memberships, "affiliates": t.affiliates,
-        "purchase_items": t.purchase_items, "affiliate_referrals": t.referrals, "affiliate_commissions": t.commissions,
-        "content_videos": t.videos, "digital_products": t.products, "viral_hooks": t.hooks,
-        "membership_events": t.purchases, "user_sessions": t.funnel_events, "content_scripts": t.scripts,
+        "profiles": "profiles", "purchases": "purchases_hist", "memberships": "memberships", "affiliates": "affiliates",
+        "purchase_items": "purchase_items", "affiliate_referrals": "referrals", "affiliate_commissions": "commissions",
+        "content_videos": "videos", "digital_products": "products", "viral_hooks": "hooks",
+        "membership_events": "purchases", "user_sessions": "funnel_events", "content_scripts": "scripts",
     }
-    return access.visible(frames, table, role, uid)
+    parents = {"purchase_items": ["purchases"], "affiliate_referrals": ["affiliates"], "affiliate_commissions": ["affiliates"]}
+    names = {table, "profiles", *parents.get(table, [])}
+    return access.visible({n: getattr(t, frames[n]) for n in names}, table, role, uid)
 
 
 @op("rls_public", """SELECT 'content_videos' AS tbl, count(*) AS n, CAST(sum(id) AS BIGINT) AS ids FROM vi WHERE status = 'published'

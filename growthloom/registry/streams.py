@@ -7,7 +7,7 @@ from growthloom.operators import ops
 from growthloom.plans.membership import subscription_rows
 from growthloom.registry.aggregates import SLIDES, _ALERT
 from growthloom.registry.core import op
-from growthloom.sources.fixtures import Tables, funnel_view, subscription_view
+from growthloom.sources.fixtures import RAW, Tables, funnel_view, subscription_view
 from growthloom.streaming import jobs, sinks
 from growthloom.streaming.runner import as_ntz, run_append, run_update
 from growthloom.streaming.sources import read_events, read_stream
@@ -86,7 +86,7 @@ def _(t: Tables) -> DataFrame:
       WHEN o_orderstatus = 'P' THEN 'past_due' ELSE 'active' END, (o_orderdate, o_orderkey)) AS status, arg_max(price_cents, (o_orderdate, o_orderkey)) AS price_cents,
       max(o_orderdate) AS current_period_start, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS last_id, count(*) AS messages FROM orr GROUP BY o_custkey""")
 def _(t: Tables) -> DataFrame:
-    orders = read_stream(t.spark, f"{t.dir}/orders.parquet")
+    orders = read_stream(t.spark, f"{t.dir}/orders.parquet", RAW["orders"])
     rows = subscription_rows(subscription_view(orders))
     return run_update(jobs.stream_members(rows), "stream-members", ["stripe_subscription_id"])
 

@@ -87,10 +87,14 @@ def read_sections(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_messages(df: DataFrame, schema: str, body: str = "body") -> DataFrame:
-    """Typed message columns; a body that does not parse is kept in `_corrupt_record`."""
+    """Typed message columns in `msg`; a body that does not parse is kept in `_corrupt_record`.
+
+    The parse sits in a one-element generator: filters on message fields then stay
+    above it, where they would otherwise be pushed down and parse every body twice.
+    """
     full = f"{schema}, _corrupt_record string"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    return df.withColumn("msg", F.from_json(body, full, options))
+    return df.select("*", F.explode(F.array(F.from_json(body, full, options))).alias("msg"))
 
 
 def read_inbox(spark: SparkSession, path: str, schema: str, stream: bool = False) -> DataFrame:

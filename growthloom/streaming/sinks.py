@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from growthloom.operators.email import WELCOME_HOURS
 from growthloom.operators.joins import attribute, next_buy
-from growthloom.operators.upsert import upsert
 from growthloom.plans.keyed import HOT_ROWS, latest_by
 from growthloom.session import scratch_path
 
@@ -42,15 +41,37 @@ class _State:
 
 
 class MartUpsert(_State):
-    """Upsert every batch into a mart; the last version is the mart."""
+    """Upsert a stream into a mart by appending changed rows and compacting now and then.
 
-    def __init__(self, path: str, key: list[str], set_cols: list[str], order: list[str] | None = None):
+    A batch writes its own rows only; every `compact_every` batches a new base
+    version is made of the base before it and the deltas since.  `read` merges
+    base and deltas.  All columns but the key are overwritten.
+    """
+
+    def __init__(self, path: str, key: list[str], set_cols: list[str], order: list[str] | None = None,
+                 compact_every: int = 20):
         super().__init__(path)
-        self.key, self.set_cols, self.order = key, set_cols, order
+        self.key, self.set_cols, self.order, self.compact_every = key, set_cols, order, compact_every
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        before = self.load("mart", batch_id, batch.select(*self.key, *self.set_cols))
-        self.save("mart", batch_id, upsert(before, batch, self.key, self.set_cols, self.order))
+        one = latest_by(batch, self.key, self.order) if self.order else batch
+        delta = self.save("delta", batch_id, one.select(*self.key, *self.set_cols))
+        if (batch_id + 1) % self.compact_every == 0:
+            self.save("base", batch_id, self.read(delta, batch_id, compacting=True))
+
+    def read(self, like: DataFrame, batch_id: int, compacting: bool = False) -> DataFrame:
+        """The mart after batch `batch_id`; `like` has its columns."""
+        reader = like.sparkSession.read.schema(like.schema)
+        base = (batch_id + (0 if compacting else 1)) // self.compact_every * self.compact_every - 1
+        parts = [
+            reader.parquet(self.at("delta", n)).withColumn("_batch", F.lit(n)) for n in range(base + 1, batch_id + 1)
+        ]
+        if base >= 0:
+            parts.append(reader.parquet(self.at("base", base)).withColumn("_batch", F.lit(base)))
+        every = parts[0]
+        for p in parts[1:]:
+            every = every.unionByName(p)
+        return latest_by(every, self.key, ["_batch"]).select(*like.columns)
 
 
 class AttributionSink(_State):
@@ -72,7 +93,9 @@ class AttributionSink(_State):
         buys = batch.where("kind = 1").select(self.key, "id", "at")
         self.save("credited", batch_id, attribute(clicks, buys, [self.key], self.days, self.rows))
         limit = self.clock(batch, batch_id).select(F.col("seen") - F.expr(f"interval {self.late}")).scalar()
-        settled = latest_by(clicks.where(F.col("at") <= limit), [self.key], ["at", "id"]).select(self.key, "id", "at")
+        # Clicks whose cookie has run out can never win again.
+        alive = clicks.where(F.col("at") >= limit - F.expr(f"interval {self.days} days"))
+        settled = latest_by(alive.where(F.col("at") <= limit), [self.key], ["at", "id"]).select(self.key, "id", "at")
         self.save("clicks", batch_id, settled.unionByName(clicks.where(F.col("at") > limit)))
 
 
@@ -176,8 +199,8 @@ def run_sink(df: DataFrame, make: Callable[[str], _State], name: str, table: str
 
 def run_upsert(df: DataFrame, name: str, key: list[str], set_cols: list[str], order: list[str] | None = None,
                mode: str = "update") -> DataFrame:
-    """Upsert a stream into a mart and read its last version."""
+    """Upsert a stream into a mart and read it."""
     path = scratch_path(df.sparkSession, name)
     sink = MartUpsert(path, key, set_cols, order)
     last = run_batches(df, sink, f"{path}-checkpoint", mode)
-    return df.sparkSession.read.parquet(sink.at("mart", last))
+    return sink.read(df.sparkSession.read.parquet(sink.at("delta", last)), last)

@@ -3,11 +3,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from growthloom.sources.fixtures import RAW
 
-def read_stream(spark: SparkSession, path: str, *times: str, files_per_batch: int | None = None) -> DataFrame:
+
+def read_stream(spark: SparkSession, path: str, schema: str, *times: str, files_per_batch: int | None = None) -> DataFrame:
     """A parquet table as a stream; the named time columns become zoned timestamps,
     which watermarks need."""
-    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     raw = reader.parquet(path + "*")
@@ -15,5 +17,5 @@ def read_stream(spark: SparkSession, path: str, *times: str, files_per_batch: in
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = read_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet", "ts")
+    raw = read_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet", RAW["events"], "ts")
     return raw.withColumn("k", F.get_json_object("props", "$.k").cast("int"))

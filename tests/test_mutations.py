@@ -2,12 +2,13 @@
 from __future__ import annotations
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from conftest import rows
 from growthloom import schemas
 from growthloom.operators import access, filters, quality as Q, upsert as U
 from growthloom.sources import sinks, tables
+from growthloom.sources.fixtures import RAW
 from growthloom.session import scratch_path, stage
 
 DDL = "k string, v long, w string, t long"
@@ -194,3 +195,9 @@ def test_stage_cuts_lineage(spark):
     df = stage(spark.range(3).withColumn("r", F.rand()), "t")
     assert rows(df) == rows(df)
     assert "FileScan parquet" in df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(RAW))
+def test_declared_schemas_are_those_of_the_files(spark, sf, name):
+    found = spark.read.parquet(f"{sf}/{name}.parquet").schema
+    assert [(f.name, f.dataType) for f in T.StructType.fromDDL(RAW[name])] == [(f.name, f.dataType) for f in found]

@@ -12,6 +12,7 @@ from growthloom.operators import funnel, joins as J, ops
 from growthloom.session import scratch_path
 from growthloom.streaming import jobs, sinks
 from growthloom.streaming.runner import run_append, run_update
+from growthloom.sources.fixtures import RAW
 from growthloom.streaming.sources import read_stream
 
 T0 = datetime(2024, 1, 1)
@@ -108,19 +109,24 @@ def test_upsert_mart_over_many_batches(feed, frame):
     ddl = "key string, id long, at timestamp, kind int"
     rows_in = feed(data, 5, ddl)
     agg = rows_in.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("last"))
-    got = sinks.run_upsert(agg, "t-upsert", ["key"], ["n", "last"])
+    path = scratch_path(agg.sparkSession, "t-upsert")
+    sink = sinks.MartUpsert(path, ["key"], ["n", "last"], compact_every=2)
+    last = sinks.run_batches(agg, sink, f"{path}-checkpoint", "update")
+    got = sink.read(agg.sparkSession.read.parquet(sink.at("delta", last)), last)
+    assert last >= 4
     want = frame(data, ddl).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("last"))
     assert rows(got, "key", "n", "last") == rows(want, "key", "n", "last")
 
 
 def test_replayed_batch_changes_nothing(spark, frame):
     path = scratch_path(spark, "t-replay")
-    sink = sinks.MartUpsert(path, ["k"], ["v"])
     first, second = frame([("a", 1), ("b", 2)], "k string, v long"), frame([("b", 5), ("c", 6)], "k string, v long")
-    sink(first, 0), sink(second, 1)
-    once = rows(spark.read.parquet(sink.at("mart", 1)))
-    sink(second, 1)
-    assert rows(spark.read.parquet(sink.at("mart", 1))) == once == [("a", 1), ("b", 5), ("c", 6)]
+    for every in (1, 2, 20):
+        sink = sinks.MartUpsert(f"{path}-{every}", ["k"], ["v"], compact_every=every)
+        sink(first, 0), sink(second, 1)
+        once = rows(sink.read(first, 1))
+        sink(second, 1)
+        assert rows(sink.read(first, 1)) == once == [("a", 1), ("b", 5), ("c", 6)]
 
 
 def test_failure_counts_over_many_batches(feed, frame):
@@ -174,5 +180,5 @@ def test_session_gap_edge(frame):
 
 
 def test_read_stream_makes_zoned_times(spark, sf):
-    df = read_stream(spark, f"{sf}/events.parquet", "ts")
+    df = read_stream(spark, f"{sf}/events.parquet", RAW["events"], "ts")
     assert df.isStreaming and dict(df.dtypes)["ts"] == "timestamp"
