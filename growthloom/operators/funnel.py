@@ -142,8 +142,3 @@ def running_totals(daily: DataFrame, day: str, columns: dict[str, str]) -> DataF
     """Cumulative sums over daily rows (one row per day, so the single window is small)."""
     upto = Window.orderBy(day).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return daily.select("*", *[F.sum(c).over(upto).alias(n) for n, c in columns.items()])
-
-
-def uniform_days(start: Column, end: Column, df: DataFrame) -> DataFrame:
-    """One row per day from start to end."""
-    return df.select(F.explode(F.sequence(start, end)).alias("metric_date"))

@@ -165,12 +165,16 @@ def version_lineage(scripts: DataFrame, parent: str = "previous_version_id", max
 
 
 def audience(campaigns: DataFrame, tags: DataFrame) -> DataFrame:
-    """(campaign_id, subscriber_id) with any target tag and no excluded tag."""
-    wants = campaigns.select("campaign_id", F.explode("target_tags").alias("tag"))
-    bans = campaigns.select("campaign_id", F.explode("exclude_tags").alias("tag"))
-    hit = tags.join(wants, "tag").select("campaign_id", "subscriber_id").distinct()
-    out = tags.join(bans, "tag").select("campaign_id", "subscriber_id")
-    return hit.join(out, ["campaign_id", "subscriber_id"], "left_anti")
+    """(campaign_id, subscriber_id) with any target tag and no excluded tag.
+
+    One pass over the tags: wanted and banned tags of all campaigns join together
+    and are told apart while they are counted.
+    """
+    wants = campaigns.select("campaign_id", F.explode("target_tags").alias("tag"), F.lit(True).alias("wanted"))
+    bans = campaigns.select("campaign_id", F.explode("exclude_tags").alias("tag"), F.lit(False).alias("wanted"))
+    hits = tags.join(wants.unionByName(bans), "tag")
+    seen = hits.groupBy("campaign_id", "subscriber_id").agg(F.bool_and("wanted").alias("wanted"))
+    return seen.where("wanted").select("campaign_id", "subscriber_id")
 
 
 def pick_winner(hooks: DataFrame) -> DataFrame:

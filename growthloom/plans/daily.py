@@ -135,6 +135,20 @@ def daily_close(src: Sources, day: str, path: str) -> DataFrame:
     return spark.read.schema(row.schema).parquet(path)
 
 
+def reprocess_late(src: Sources, late: DataFrame, at: str, path: str) -> DataFrame:
+    """Rebuild the days that late events belong to; all other days stay as they are.
+
+    Only the first and last late day come to the driver.
+    """
+    days = late.select(F.to_date(at).alias("metric_date")).distinct()
+    lo, hi = days.agg(F.min("metric_date"), F.max("metric_date")).first()
+    if lo is not None:
+        rows = daily_metrics(src, str(lo), str(hi)).join(days, "metric_date", "left_semi")
+        overwrite_partitions(rows, path, "metric_date")
+    spark = src.products.sparkSession
+    return spark.read.schema(daily_metrics(src, "2000-01-01", "2000-01-01").schema).parquet(path)
+
+
 def snapshot(src: Sources, day: str) -> DataFrame:
     """Dashboard cards of one day."""
     row = daily_metrics(src, day, day)

@@ -10,7 +10,7 @@ from growthloom.functions import exprs as X
 from growthloom.operators import upsert as U
 from growthloom.sources.documents import parse_messages
 
-LEAD_TAG = "lead-magnet-5min"
+LEAD_TAG = "lead-magnet"
 
 
 @dataclass
@@ -34,7 +34,7 @@ def clean_leads(messages: DataFrame) -> DataFrame:
     )
 
 
-def lead_capture(messages: DataFrame, subscribers: DataFrame) -> LeadResult:
+def lead_capture(messages: DataFrame, subscribers: DataFrame, lead_tag: str = LEAD_TAG) -> LeadResult:
     """Valid leads make a subscriber when their address is new; all of them get both tags."""
     rows = clean_leads(messages)
     good, bad = rows.where("valid"), rows.where("not valid")
@@ -44,6 +44,6 @@ def lead_capture(messages: DataFrame, subscribers: DataFrame) -> LeadResult:
         ["email"], ["created_at", "id"],
     ).drop("id").withColumn("status", F.lit("active"))
     tags = good.select(
-        "email", F.explode(F.array(F.concat(F.lit("source-"), F.col("source")), F.lit(LEAD_TAG))).alias("tag")
+        "email", F.explode(F.array(F.concat(F.lit("source-"), F.col("source")), F.lit(lead_tag))).alias("tag")
     ).distinct()
     return LeadResult(good, bad, new, tags)

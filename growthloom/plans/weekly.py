@@ -15,6 +15,12 @@ def _rows(df: DataFrame, section: str, metric, dim, value) -> DataFrame:
     )
 
 
+def _both(df: DataFrame, section: str, dim: str, metrics: list[str]) -> DataFrame:
+    """Several metric columns as rows, from one evaluation of the frame."""
+    wide = df.select(F.col(dim).cast("string").alias("dim"), *[F.col(m).cast("double").alias(m) for m in metrics])
+    return _rows(wide.unpivot(["dim"], metrics, "metric", "value"), section, F.col("metric"), F.col("dim"), F.col("value"))
+
+
 def weekly_report(src: Sources, workflows: DataFrame, as_of) -> DataFrame:
     """Content, funnel, revenue and operations of the last seven days."""
     lo, hi = F.to_date(as_of - F.expr("interval 7 days")), F.to_date(as_of)
@@ -26,13 +32,11 @@ def weekly_report(src: Sources, workflows: DataFrame, as_of) -> DataFrame:
     out = _rows(by_platform, "content", F.col("metric"), F.col("platform"), F.col("value"))
 
     steps = funnel.funnel_table(lookback(src.funnel, "created_at", as_of, "7 days"))
-    out = out.unionByName(_rows(steps, "funnel", F.lit("volume"), F.col("stage"), F.col("volume")))
-    out = out.unionByName(_rows(steps, "funnel", F.lit("conversion_pct"), F.col("stage"), F.col("conversion_pct")))
+    out = out.unionByName(_both(steps, "funnel", "stage", ["volume", "conversion_pct"]))
 
     money = revenue.revenue(lookback(src.purchases, "created_at", as_of, "7 days"), src.products)
     money = money.unpivot([], money.columns, "metric", "value")
     out = out.unionByName(_rows(money, "revenue", F.col("metric"), F.lit("all"), F.col("value")))
 
     runs = ops.health(workflows, src.logs, as_of, "7 days")
-    out = out.unionByName(_rows(runs, "operations", F.lit("success_rate"), F.col("name"), F.col("success_rate")))
-    return out.unionByName(_rows(runs, "operations", F.lit("failures"), F.col("name"), F.col("failures")))
+    return out.unionByName(_both(runs, "operations", "name", ["success_rate", "failures"]))

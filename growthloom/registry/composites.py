@@ -37,7 +37,7 @@ def _(t: Tables) -> DataFrame:
     return leads.lead_capture(t.lead_messages, _known(t)).new_subscribers
 
 
-@op("lead_capture_tags", f"""SELECT DISTINCT email, unnest(['source-' || source, 'lead-magnet-5min']) AS tag FROM {_LEAD} l WHERE valid""")
+@op("lead_capture_tags", f"""SELECT DISTINCT email, unnest(['source-' || source, 'lead-magnet']) AS tag FROM {_LEAD} l WHERE valid""")
 def _(t: Tables) -> DataFrame:
     return leads.lead_capture(t.lead_messages, _known(t)).tags
 
@@ -211,6 +211,16 @@ def _(t: Tables) -> DataFrame:
     return t.spark.read.schema(rows.schema).parquet(path)
 
 
+@op("late_day_rebuild", "SELECT * FROM dm")
+def _(t: Tables) -> DataFrame:
+    # The mart misses its last two days until their events turn up late.
+    path = scratch_path(t.spark, "daily-mart")
+    src = sources(t)
+    overwrite_partitions(daily.daily_metrics(src, "2024-01-01", "2024-01-28"), path, "metric_date")
+    late = t.events.where(F.col("ts") >= as_ts("2024-01-29 00:00:00"))
+    return daily.reprocess_late(src, late, "ts", path)
+
+
 @op("weekly_report", f"""WITH w AS (SELECT * FROM ce WHERE event_date BETWEEN CAST({EA} - INTERVAL 7 DAY AS DATE) AND CAST({EA} AS DATE)),
     p AS (SELECT platform, sum(views) AS a, sum(shares) AS b, sum(saves) AS c, sum(follower_gain) AS d FROM w GROUP BY 1),
     f AS (SELECT * FROM fe WHERE created_at >= {EA} - INTERVAL 7 DAY AND created_at <= {EA}),

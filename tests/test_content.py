@@ -243,7 +243,7 @@ def test_lead_capture(frame):
     assert rows(out.new_subscribers, "email", "full_name", "source") == [("new@x.com", "N", "referral")]
     assert rows(out.invalid, "id") == [(3,), (4,), (5,)]
     assert out.leads.count() + out.invalid.count() == len(bodies)
-    assert ("old@x.com", "lead-magnet-5min") in rows(out.tags, "email", "tag") and ("new@x.com", "source-landing_page") in rows(out.tags, "email", "tag")
+    assert ("old@x.com", "lead-magnet") in rows(out.tags, "email", "tag") and ("new@x.com", "source-landing_page") in rows(out.tags, "email", "tag")
 
 
 def test_checkout_routes(frame):
