@@ -118,24 +118,25 @@ def sessions(events: DataFrame, person: str, ts: str, page: str, event_id: str,
     )
 
 
-def utm_report(events: DataFrame, purchases: DataFrame) -> DataFrame:
-    """Visits, leads, purchases and revenue per source, with subtotals per day.
+UTM = ("utm_source", "utm_medium", "utm_campaign")
 
-    Both sides are reduced to (source, day) before the join and the grouping sets.
+
+def utm_report(events: DataFrame, purchases: DataFrame, by: Sequence[str] = UTM) -> DataFrame:
+    """Visits, leads, purchases and revenue per source, medium and campaign, with subtotals.
+
+    Both sides are reduced to the full key first; the subtotals are made from
+    those sums, so events are neither joined nor expanded.
     """
-    day = F.to_date("created_at").alias("day")
-    visits = events.groupBy("utm_source", day).agg(
+    visits = events.groupBy(*by).agg(
         F.count_if(F.col("stage") == "landing_page_view").alias("visits"),
         F.count_if(F.col("stage") == "lead_magnet_download").alias("leads"),
     )
-    bought = purchases.where("status = 'completed'").groupBy("utm_source", day).agg(
+    bought = purchases.where("status = 'completed'").groupBy(*by).agg(
         F.count(F.lit(1)).alias("purchases"), F.sum("amount_cents").alias("revenue_cents")
     )
-    both = visits.join(bought, ["utm_source", "day"], "full_outer")
+    both = visits.unionByName(bought, allowMissingColumns=True)
     sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("visits", "leads", "purchases", "revenue_cents")]
-    return both.groupingSets(
-        [["utm_source", "day"], ["utm_source"], ["day"], []], "utm_source", "day"
-    ).agg(*sums)
+    return both.rollup(*by).agg(*sums, F.grouping_id().cast("long").alias("level"))
 
 
 def running_totals(daily: DataFrame, day: str, columns: dict[str, str]) -> DataFrame:

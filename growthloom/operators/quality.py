@@ -13,6 +13,34 @@ def enum_rule(table: str, column: str) -> Column:
     return F.coalesce(F.col(column).isin(schemas.ENUMS[(table, column)]), F.lit(True))
 
 
+def table_rules(table: str, columns: Sequence[str]) -> dict[str, Column]:
+    """Every declared rule of a table for the columns at hand."""
+    rules = {f"{c}_required": F.col(c).isNotNull() for c in schemas.REQUIRED.get(table, []) if c in columns}
+    for (t, c) in schemas.ENUMS:
+        if t == table and c in columns:
+            rules[f"{c}_domain"] = enum_rule(t, c)
+    for (t, c), (low, high, open_low) in schemas.RANGES.items():
+        if t == table and c in columns:
+            ok = F.lit(True)
+            if low is not None:
+                ok = ok & ((F.col(c) > low) if open_low else (F.col(c) >= low))
+            rules[f"{c}_range"] = ok & (F.col(c) <= high) if high is not None else ok
+    return rules
+
+
+def check_links(tables: dict[str, DataFrame]) -> DataFrame:
+    """(child, link, orphans) of every declared link between the given tables."""
+    out = None
+    for child, link, parent, _ in schemas.LINKS:
+        if child in tables and parent in tables and link in tables[child].columns:
+            lost = violations_fk(tables[child].select(link), tables[parent], link, "id")
+            row = lost.agg(F.count(F.lit(1)).alias("orphans")).select(
+                F.lit(child).alias("child"), F.lit(link).alias("link"), "orphans"
+            )
+            out = row if out is None else out.unionAll(row)
+    return out
+
+
 def apply_rules(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """Add `failed_rules`, the names of all rules a row breaks (NULL counts as kept)."""
     broken = [F.when(~F.coalesce(ok, F.lit(True)), F.lit(name)) for name, ok in rules.items()]
@@ -81,6 +109,39 @@ def delete_restricted(gone: DataFrame, child: DataFrame, link: str) -> DataFrame
     return keys.join(held, "id")
 
 
+def delete_with_rules(tables: dict[str, DataFrame], parent: str, gone: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Delete rows of `parent` and treat its children as declared.
+
+    Returns the tables after the delete, and the ids that could not go with the
+    number of rows that hold them.  Children that cascade take their own children
+    with them.
+    """
+    out = dict(tables)
+    links = [(c, col, rule) for c, col, p, rule in schemas.LINKS if p == parent and c in out and col in out[c].columns]
+    held = None
+    for child, col, rule in links:
+        if rule == "restrict":
+            rows = delete_restricted(gone, out[child], col)
+            held = rows if held is None else held.unionByName(rows)
+    ids = gone.toDF("id").distinct()
+    if held is None:
+        refused = ids.where(F.lit(False)).withColumn("holders", F.lit(0).cast("long"))
+    else:
+        refused = held.groupBy("id").agg(F.sum("holders").alias("holders"))
+        ids = ids.join(refused, "id", "left_anti")
+    out[parent] = out[parent].join(ids, "id", "left_anti").select(*out[parent].columns)
+    for child, col, rule in links:
+        if rule == "set null":
+            out[child] = delete_set_null(out[child], ids, col).select(*out[child].columns)
+        elif rule == "cascade":
+            if any(p == child for _, _, p, _ in schemas.LINKS) and "id" in out[child].columns:
+                below = out[child].join(ids.toDF("_gone"), F.col(col) == F.col("_gone"), "left_semi").select("id")
+                out, _ = delete_with_rules(out, child, below)
+            else:
+                out[child] = delete_cascade(out[child], ids, col)
+    return out, refused
+
+
 def import_hooks(new: DataFrame, existing: DataFrame, categories: Sequence[str]) -> DataFrame:
     """New hooks that are not there yet and have a known category; scores clamped to 0-10."""
     fresh = new.where(F.col("category").isin(list(categories)))

@@ -20,10 +20,13 @@ def build_prompt(hooks: DataFrame, templates: DataFrame, voice: str, spec: str)
     return joined.select("id", "template_no", F.concat_ws("\n", *lines).alias("prompt"))
 
 
-def ingest_completions(completions: DataFrame, text: str, keys: list[str]) -> DataFrame:
-    """Script rows from model answers."""
-    return completions.select(*keys, X.parse_completion(text).alias("c")).select(
-        *keys, F.col("c.hook").alias("hook_text"), F.col("c.body").alias("body_text"), F.col("c.cta").alias("cta_text"),
+def ingest_completions(completions: DataFrame, text: str, keys: list[str], asked: str | None = None) -> DataFrame:
+    """Script rows from model answers; an answer without a hook keeps the one asked for."""
+    hook = F.nullif(F.col("c.hook"), F.lit(""))
+    hook = F.coalesce(hook, F.col("_asked"), F.lit("")) if asked else F.coalesce(hook, F.lit(""))
+    extra = [F.col(asked).alias("_asked")] if asked else []
+    return completions.select(*keys, *extra, X.parse_completion(text).alias("c")).select(
+        *keys, hook.alias("hook_text"), F.col("c.body").alias("body_text"), F.col("c.cta").alias("cta_text"),
         F.col("c.word_count").alias("word_count"),
     )
 

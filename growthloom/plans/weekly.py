@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from growthloom.operators import content as C
 from growthloom.operators import funnel, ops, revenue
 from growthloom.operators.filters import lookback
 from growthloom.plans.daily import Sources
@@ -38,5 +39,15 @@ def weekly_report(src: Sources, workflows: DataFrame, as_of) -> DataFrame:
     money = money.unpivot([], money.columns, "metric", "value")
     out = out.unionByName(_rows(money, "revenue", F.col("metric"), F.lit("all"), F.col("value")))
 
+    paid = lookback(src.purchases, "created_at", as_of, "7 days")
+    out = out.unionByName(_both(revenue.ltv_summary(paid).withColumn("dim", F.lit("all")), "revenue", "dim", ["mean_ltv_cents"]))
+
+    hooks = C.hook_engagement(src.content, src.videos, as_of)
+    out = out.unionByName(_both(hooks.withColumnRenamed("total_views", "hook_views"), "hooks", "hook_id", ["hook_views", "eng_rate_ls"]))
+    top = week.groupBy("platform").agg(F.sum("views").alias("top_channel_views")).orderBy(
+        F.desc_nulls_last("top_channel_views"), F.asc("platform")
+    )
+    out = out.unionByName(_both(top.limit(1), "summary", "platform", ["top_channel_views"]))
+
     runs = ops.health(workflows, src.logs, as_of, "7 days")
     return out.unionByName(_both(runs, "operations", "name", ["success_rate", "failures"]))

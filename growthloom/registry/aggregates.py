@@ -178,16 +178,27 @@ def _(t: Tables) -> DataFrame:
     return daily.snapshot(sources(t), LAST_DAY)
 
 
-@op("utm_performance", """SELECT utm_source, day, CAST(coalesce(sum(visits), 0) AS BIGINT) AS visits, CAST(coalesce(sum(leads), 0) AS BIGINT) AS leads,
-    CAST(coalesce(sum(purchases), 0) AS BIGINT) AS purchases, CAST(coalesce(sum(revenue_cents), 0) AS BIGINT) AS revenue_cents FROM
-    (SELECT utm_source, CAST(created_at AS DATE) AS day, count(*) FILTER (stage = 'landing_page_view') AS visits, count(*) FILTER (stage = 'lead_magnet_download') AS leads,
-       0 AS purchases, 0 AS revenue_cents FROM fe GROUP BY 1, 2
-     UNION ALL SELECT utm_source, CAST(created_at AS DATE), 0, 0, count(*), sum(amount_cents) FROM pu WHERE status = 'completed' GROUP BY 1, 2)
-    GROUP BY GROUPING SETS ((utm_source, day), (utm_source), (day), ())""")
+@op("utm_performance", """SELECT utm_source, utm_medium, utm_campaign, CAST(coalesce(sum(visits), 0) AS BIGINT) AS visits, CAST(coalesce(sum(leads), 0) AS BIGINT) AS leads,
+    CAST(coalesce(sum(purchases), 0) AS BIGINT) AS purchases, CAST(coalesce(sum(revenue_cents), 0) AS BIGINT) AS revenue_cents,
+    CAST(grouping(utm_source, utm_medium, utm_campaign) AS BIGINT) AS level FROM
+    (SELECT utm_source, utm_medium, utm_campaign, count(*) FILTER (stage = 'landing_page_view') AS visits, count(*) FILTER (stage = 'lead_magnet_download') AS leads,
+       0 AS purchases, 0 AS revenue_cents FROM fe GROUP BY ALL
+     UNION ALL SELECT utm_source, utm_medium, utm_campaign, 0, 0, count(*), sum(amount_cents) FROM pu WHERE status = 'completed' GROUP BY ALL)
+    GROUP BY ROLLUP (utm_source, utm_medium, utm_campaign)""")
 def _(t: Tables) -> DataFrame:
     return funnel.utm_report(t.funnel_events, t.purchases)
 
 
+@op("utm_performance_daily", """SELECT utm_source, day, CAST(coalesce(sum(visits), 0) AS BIGINT) AS visits, CAST(coalesce(sum(purchases), 0) AS BIGINT) AS purchases FROM
+    (SELECT utm_source, CAST(created_at AS DATE) AS day, count(*) FILTER (stage = 'landing_page_view') AS visits, 0 AS purchases FROM fe GROUP BY ALL
+     UNION ALL SELECT utm_source, CAST(created_at AS DATE), 0, count(*) FROM pu WHERE status = 'completed' GROUP BY ALL)
+    GROUP BY ROLLUP (utm_source, day)""")
+def _(t: Tables) -> DataFrame:
+    day = F.to_date("created_at")
+    both = t.funnel_events.withColumn("day", day), t.purchases.withColumn("day", day)
+    return funnel.utm_report(*both, by=("utm_source", "day")).select("utm_source", "day", "visits", "purchases")
+
+
 @op("campaign_metrics", """SELECT *, round(opens / sent::DOUBLE, 4) AS open_rate, round(clicks / sent::DOUBLE, 4) AS click_rate,
     round(clicks / nullif(opens, 0)::DOUBLE, 4) AS click_to_open, round(unsubs / sent::DOUBLE, 4) AS unsub_rate FROM
     (SELECT campaign_id, count(sent_at) AS sent, count(delivered_at) AS delivered, count(opened_at) AS opens, count(clicked_at) AS clicks,
@@ -320,7 +331,8 @@ def _(t: Tables) -> DataFrame:
     return ops.scorecard(daily.kpis(mart(t)).unionByName(lost))
 
 
-@op("page_performance", """SELECT section, device, count(*) AS views, round(CAST(sum(page_load_ms) AS BIGINT) / count(*)::DOUBLE, 2) AS mean_load, max(page_load_ms) AS max_load FROM
+@op("page_performance", """SELECT section, device, count(*) AS views, round(CAST(sum(page_load_ms) AS BIGINT) / count(*)::DOUBLE, 2) AS mean_load,
+    round(quantile_cont(page_load_ms::DOUBLE, 0.95), 2) AS p95_load, max(page_load_ms) AS max_load FROM
     (SELECT string_split(path, '/')[2] AS section, CASE WHEN host LIKE 'm.%' THEN 'mobile' WHEN host LIKE 'blog.%' THEN 'tablet' ELSE 'desktop' END AS device, page_load_ms FROM pv)
     GROUP BY ROLLUP (section, device)""")
 def _(t: Tables) -> DataFrame:

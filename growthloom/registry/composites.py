@@ -223,6 +223,7 @@ def _(t: Tables) -> DataFrame:
 
 @op("weekly_report", f"""WITH w AS (SELECT * FROM ce WHERE event_date BETWEEN CAST({EA} - INTERVAL 7 DAY AS DATE) AND CAST({EA} AS DATE)),
     p AS (SELECT platform, sum(views) AS a, sum(shares) AS b, sum(saves) AS c, sum(follower_gain) AS d FROM w GROUP BY 1),
+    hk AS (SELECT vi.hook_id, CAST(sum(w.views) AS BIGINT) AS v, CAST(sum(w.likes + w.shares) AS BIGINT) AS e FROM w JOIN vi ON vi.id = w.video_id GROUP BY 1 ORDER BY v DESC, vi.hook_id LIMIT 3),
     f AS (SELECT * FROM fe WHERE created_at >= {EA} - INTERVAL 7 DAY AND created_at <= {EA}),
     c AS (SELECT count(*) FILTER (stage = 'content_view') AS s1, count(*) FILTER (stage = 'profile_visit') AS s2, count(*) FILTER (stage = 'landing_page_view') AS s3,
       count(*) FILTER (stage = 'lead_magnet_download') AS s4, count(*) FILTER (stage = 'tripwire_view') AS s5,
@@ -240,6 +241,10 @@ def _(t: Tables) -> DataFrame:
     UNION ALL SELECT 'funnel', 'volume', stage, v FROM r UNION ALL SELECT 'funnel', 'conversion_pct', stage, round(v * 100.0::DOUBLE / nullif(b, 0), 2) FROM r
     UNION ALL SELECT 'revenue', 'tripwire_revenue_cents', 'all', a FROM m UNION ALL SELECT 'revenue', 'membership_revenue_cents', 'all', b FROM m
     UNION ALL SELECT 'revenue', 'automation_revenue_cents', 'all', c FROM m UNION ALL SELECT 'revenue', 'total_revenue_cents', 'all', d FROM m
+    UNION ALL (SELECT 'revenue', 'mean_ltv_cents', 'all', round(sum(s) / count(*)::DOUBLE, 2) FROM (SELECT CAST(sum(amount_cents) AS BIGINT) AS s FROM pu
+      WHERE status = 'completed' AND created_at >= {EA} - INTERVAL 7 DAY AND created_at <= {EA} GROUP BY profile_id))
+    UNION ALL SELECT 'hooks', 'hook_views', CAST(hook_id AS VARCHAR), v FROM hk UNION ALL SELECT 'hooks', 'eng_rate_ls', CAST(hook_id AS VARCHAR), round(e / nullif(v, 0)::DOUBLE, 4) FROM hk
+    UNION ALL (SELECT 'summary', 'top_channel_views', platform, a FROM p ORDER BY a DESC, platform LIMIT 1)
     UNION ALL SELECT 'operations', 'success_rate', name, rate FROM h UNION ALL SELECT 'operations', 'failures', name, failures FROM h""")
 def _(t: Tables) -> DataFrame:
     return weekly.weekly_report(sources(t), t.workflows, as_ts(AS_OF_EVENTS))

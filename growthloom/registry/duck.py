@@ -25,6 +25,7 @@ CTES: dict[str, str] = {
                                     ELSE 'tripwire_purchase' END END AS stage,
         k AS source_video_id,
         ['tiktok','instagram','youtube','email'][k % 4 + 1] AS utm_source,
+        ['short_video','bio_link','newsletter'][k % 3 + 1] AS utm_medium, 'batch-' || (k % 5) AS utm_campaign,
         CASE WHEN event_type = 'purchase' THEN val_cents ELSE 0 END AS revenue_cents,
         ts AS created_at
         FROM ev WHERE event_type <> 'error'""",
@@ -32,7 +33,8 @@ CTES: dict[str, str] = {
         val_cents // 20 AS fee_cents,
         CASE event_id % 10 WHEN 0 THEN 'refunded' WHEN 1 THEN 'pending' ELSE 'completed' END AS status,
         CASE WHEN event_id % 3 = 0 THEN event_id % (SELECT count(*) FROM supplier) END AS affiliate_id,
-        k AS source_video_id, ['tiktok','instagram','youtube','email'][k % 4 + 1] AS utm_source, ts AS created_at
+        k AS source_video_id, ['tiktok','instagram','youtube','email'][k % 4 + 1] AS utm_source,
+        ['short_video','bio_link','newsletter'][k % 3 + 1] AS utm_medium, 'batch-' || (k % 5) AS utm_campaign, ts AS created_at
         FROM ev WHERE event_type = 'purchase'""",
     "dp": """SELECT p_partkey AS id, p_name AS name, p_brand AS brand,
         CASE p_type WHEN 'ECONOMY' THEN 'lead_magnet' WHEN 'SMALL' THEN 'tripwire' WHEN 'PROMO' THEN 'tripwire'

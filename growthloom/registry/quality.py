@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from growthloom.operators import affiliates as AF
 from growthloom.operators import quality as Q
 from growthloom.registry.core import op
 from growthloom.sources import tables
@@ -101,3 +102,71 @@ def _(t: Tables) -> DataFrame:
         "small_revenue": F.col("revenue_cents") <= 20_000,
     }
     return Q.split_rules(t.funnel_events, rules)[1].select("id", "stage", "failed_rules")
+
+
+def _shop(t: Tables) -> dict[str, DataFrame]:
+    """Linked tables under their declared names and columns."""
+    return {
+        "profiles": t.profiles.select("id", "referred_by"),
+        "purchases": t.purchases.select("id", "product_id", "profile_id", "affiliate_id"),
+        "digital_products": t.products.select("id", "product_type"),
+        "affiliates": t.affiliates.select("id", "profile_id"),
+        "affiliate_commissions": AF.affiliate_run(t.purchases, t.affiliates, t.products).select(
+            F.col("purchase_id").alias("id"), "affiliate_id", F.col("purchase_id").alias("source_purchase_id")
+        ),
+        "analytics_funnel_events": t.funnel_events.select("id", "profile_id"),
+    }
+
+
+@op("declared_links", """SELECT * FROM (SELECT 'profiles' AS child, 'referred_by' AS link, count(*) AS orphans FROM pr WHERE referred_by NOT IN (SELECT id FROM pr)
+    UNION ALL SELECT 'purchases', 'product_id', count(*) FROM pu WHERE product_id NOT IN (SELECT id FROM dp WHERE is_active)
+    UNION ALL SELECT 'purchases', 'profile_id', count(*) FROM pu WHERE profile_id NOT IN (SELECT id FROM pr)
+    UNION ALL SELECT 'purchases', 'affiliate_id', count(*) FROM pu WHERE affiliate_id NOT IN (SELECT id FROM af)
+    UNION ALL SELECT 'affiliates', 'profile_id', count(*) FROM af WHERE profile_id NOT IN (SELECT id FROM pr)
+    UNION ALL SELECT 'affiliate_commissions', 'affiliate_id', 0 UNION ALL SELECT 'affiliate_commissions', 'source_purchase_id', 0
+    UNION ALL SELECT 'analytics_funnel_events', 'profile_id', count(*) FROM fe WHERE profile_id NOT IN (SELECT id FROM pr))""")
+def _(t: Tables) -> DataFrame:
+    shop = _shop(t)
+    shop["digital_products"] = t.products.where("is_active").select("id")
+    return Q.check_links(shop)
+
+
+@op("declared_rules", """SELECT id, list_filter([CASE WHEN customer_email IS NULL THEN 'customer_email_required' END,
+      CASE WHEN processor NOT IN ('stripe','gumroad','paypal') THEN 'processor_domain' END, CASE WHEN status = 'gone' THEN 'status_domain' END], lambda x: x IS NOT NULL) AS failed_rules
+    FROM (SELECT id, CASE WHEN profile_id % 2 = 0 THEN 'mail' END AS customer_email, CASE WHEN utm_medium = 'urgent' THEN 'cash' ELSE 'stripe' END AS processor,
+      CASE WHEN status = 'pending' THEN 'gone' ELSE status END AS status FROM ph)""")
+def _(t: Tables) -> DataFrame:
+    rows = t.purchases_hist.select(
+        "id", "amount_cents", F.when(F.col("profile_id") % 2 == 0, "mail").alias("customer_email"),
+        F.when(F.col("utm_medium") == "urgent", "cash").otherwise("stripe").alias("processor"),
+        F.when(F.col("status") == "pending", "gone").otherwise(F.col("status")).alias("status"),
+    )
+    return Q.apply_rules(rows, Q.table_rules("purchases", rows.columns)).select("id", "failed_rules")
+
+
+@op("delete_with_rules", """WITH g AS (SELECT id FROM pr WHERE acct_cents < 0), ga AS (SELECT id FROM af WHERE profile_id IN (SELECT id FROM g)),
+    k AS (SELECT pu.id, pu.affiliate_id FROM pu JOIN af ON af.id = pu.affiliate_id JOIN dp ON dp.id = pu.product_id WHERE af.is_active)
+    SELECT 'profiles' AS tbl, id, CASE WHEN referred_by IN (SELECT id FROM g) THEN NULL ELSE referred_by END AS link FROM pr WHERE id NOT IN (SELECT id FROM g)
+    UNION ALL SELECT 'purchases', id, CASE WHEN profile_id IN (SELECT id FROM g) THEN NULL ELSE profile_id END FROM pu
+    UNION ALL SELECT 'purchases_affiliate', id, CASE WHEN affiliate_id IN (SELECT id FROM ga) THEN NULL ELSE affiliate_id END FROM pu
+    UNION ALL SELECT 'affiliates', id, profile_id FROM af WHERE id NOT IN (SELECT id FROM ga)
+    UNION ALL SELECT 'affiliate_commissions', id, affiliate_id FROM k WHERE affiliate_id NOT IN (SELECT id FROM ga)""")
+def _(t: Tables) -> DataFrame:
+    gone = t.profiles.where("acct_cents < 0").select("id")
+    after, _ = Q.delete_with_rules(_shop(t), "profiles", gone)
+
+    def rows(table: str, link: str, name: str | None = None) -> DataFrame:
+        return after[table].select(F.lit(name or table).alias("tbl"), "id", F.col(link).alias("link"))
+
+    return (
+        rows("profiles", "referred_by").unionAll(rows("purchases", "profile_id"))
+        .unionAll(rows("purchases", "affiliate_id", "purchases_affiliate")).unionAll(rows("affiliates", "profile_id"))
+        .unionAll(rows("affiliate_commissions", "affiliate_id"))
+    )
+
+
+@op("delete_restricted", """SELECT g.id, count(*) AS holders FROM (SELECT id FROM dp WHERE NOT is_active) g JOIN
+    (SELECT product_id FROM pu) p ON p.product_id = g.id GROUP BY 1""")
+def _(t: Tables) -> DataFrame:
+    gone = t.products.where("not is_active").select("id")
+    return Q.delete_with_rules(_shop(t), "digital_products", gone)[1]

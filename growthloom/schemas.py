@@ -223,6 +223,95 @@ NATURAL_KEYS: dict[str, list[str]] = {
     "affiliates": ["referral_code"],
 }
 
+REQUIRED: dict[str, list[str]] = {
+    "profiles": ["email"],
+    "user_sessions": ["profile_id", "session_token"],
+    "email_tags": ["name", "slug"],
+    "membership_plans": ["name", "slug", "price_cents", "interval"],
+    "digital_products": ["name", "slug", "price_cents", "product_type"],
+    "content_templates": [
+        "name", "slug", "hook_format", "point_1_framework", "point_2_framework", "point_3_framework", "cta_framework",
+        "category",
+    ],
+    "viral_hooks": ["hook_text", "category", "trigger_type", "estimated_performance"],
+    "content_scripts": ["title", "hook_text", "body_text"],
+    "content_videos": ["title", "slug", "script_text"],
+    "content_publishing_queue": ["video_id", "platform", "scheduled_for"],
+    "email_subscribers": ["email", "source"],
+    "email_subscriber_tags": ["subscriber_id", "tag_id"],
+    "email_campaigns": ["name", "sequence_name", "step_number", "subject"],
+    "email_campaign_logs": ["campaign_id", "subscriber_id"],
+    "purchases": ["product_id", "customer_email", "amount_cents"],
+    "purchase_items": ["purchase_id", "product_id", "unit_price_cents"],
+    "memberships": [
+        "profile_id", "plan_id", "current_period_start", "current_period_end", "price_cents_at_subscription",
+    ],
+    "membership_events": ["membership_id", "profile_id", "event_type"],
+    "automation_membership_blueprints": ["name", "slug", "platform", "category", "blueprint_json"],
+    "analytics_page_views": ["url", "path"],
+    "analytics_content_events": ["video_id", "platform", "event_date"],
+    "analytics_funnel_events": ["stage"],
+    "analytics_daily_metrics": ["metric_date"],
+    "affiliates": ["email", "full_name", "referral_code", "referral_link"],
+    "affiliate_referrals": ["affiliate_id", "referred_email"],
+    "affiliate_commissions": ["affiliate_id", "amount_cents", "commission_type"],
+    "automation_workflows": ["name", "slug", "platform", "category"],
+    "automation_execution_logs": ["workflow_id"],
+}
+
+# (table, column) -> lowest, highest, lowest itself excluded
+RANGES: dict[tuple[str, str], tuple[float | None, float | None, bool]] = {
+    ("membership_plans", "price_cents"): (0, None, True),
+    ("digital_products", "price_cents"): (0, None, False),
+    ("viral_hooks", "estimated_performance"): (0, 10, False),
+}
+
+# child table, column, parent table, what a delete of the parent does
+LINKS: list[tuple[str, str, str, str]] = [
+    ("profiles", "referred_by", "profiles", "set null"),
+    ("user_sessions", "profile_id", "profiles", "cascade"),
+    ("viral_hooks", "winning_variant_id", "viral_hooks", "set null"),
+    ("content_scripts", "previous_version_id", "content_scripts", "set null"),
+    ("content_videos", "hook_id", "viral_hooks", "set null"),
+    ("content_videos", "template_id", "content_templates", "set null"),
+    ("content_videos", "script_id", "content_scripts", "set null"),
+    ("content_publishing_queue", "video_id", "content_videos", "cascade"),
+    ("email_subscribers", "profile_id", "profiles", "set null"),
+    ("email_subscribers", "source_video_id", "content_videos", "set null"),
+    ("email_subscriber_tags", "subscriber_id", "email_subscribers", "cascade"),
+    ("email_subscriber_tags", "tag_id", "email_tags", "cascade"),
+    ("email_campaign_logs", "campaign_id", "email_campaigns", "cascade"),
+    ("email_campaign_logs", "subscriber_id", "email_subscribers", "cascade"),
+    ("purchases", "product_id", "digital_products", "restrict"),
+    ("purchases", "profile_id", "profiles", "set null"),
+    ("purchases", "subscriber_id", "email_subscribers", "set null"),
+    ("purchases", "affiliate_id", "affiliates", "set null"),
+    ("purchases", "source_video_id", "content_videos", "set null"),
+    ("purchase_items", "purchase_id", "purchases", "cascade"),
+    ("purchase_items", "product_id", "digital_products", "restrict"),
+    ("memberships", "profile_id", "profiles", "cascade"),
+    ("memberships", "plan_id", "membership_plans", "restrict"),
+    ("membership_events", "membership_id", "memberships", "cascade"),
+    ("membership_events", "profile_id", "profiles", "cascade"),
+    ("membership_events", "previous_plan_id", "membership_plans", "restrict"),
+    ("membership_events", "new_plan_id", "membership_plans", "restrict"),
+    ("analytics_page_views", "profile_id", "profiles", "set null"),
+    ("analytics_page_views", "session_id", "user_sessions", "set null"),
+    ("analytics_content_events", "video_id", "content_videos", "cascade"),
+    ("analytics_funnel_events", "profile_id", "profiles", "set null"),
+    ("analytics_funnel_events", "session_id", "user_sessions", "set null"),
+    ("analytics_funnel_events", "source_video_id", "content_videos", "set null"),
+    ("affiliates", "profile_id", "profiles", "cascade"),
+    ("affiliate_referrals", "affiliate_id", "affiliates", "cascade"),
+    ("affiliate_referrals", "referred_profile_id", "profiles", "set null"),
+    ("affiliate_referrals", "purchase_id", "purchases", "set null"),
+    ("affiliate_commissions", "affiliate_id", "affiliates", "cascade"),
+    ("affiliate_commissions", "referral_id", "affiliate_referrals", "set null"),
+    ("affiliate_commissions", "source_purchase_id", "purchases", "set null"),
+    ("affiliate_commissions", "source_membership_id", "memberships", "set null"),
+    ("automation_execution_logs", "workflow_id", "automation_workflows", "cascade"),
+]
+
 # Message bodies
 LEAD_MESSAGE = """email string, name string, source string, source_url string, source_video_id string,
     double_opt_in boolean, ip string"""

@@ -30,6 +30,14 @@ def pick(col: Column, values: list[str]) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (col + 1).cast("int"))
 
 
+def utm_columns(k: Column) -> list[Column]:
+    return [
+        pick(k % 4, ["tiktok", "instagram", "youtube", "email"]).alias("utm_source"),
+        pick(k % 3, ["short_video", "bio_link", "newsletter"]).alias("utm_medium"),
+        F.concat(F.lit("batch-"), (k % 5).cast("string")).alias("utm_campaign"),
+    ]
+
+
 # Schemas of the given tables, so that a scan never has to read footers first.
 RAW = {
     "region": "r_regionkey int, r_name string",
@@ -88,7 +96,7 @@ class Tables:
                 .alias("status"),
                 F.when(F.col("event_id") % 3 == 0, F.col("event_id") % suppliers).alias("affiliate_id"),
                 F.col("k").alias("source_video_id"),
-                pick(F.col("k") % 4, ["tiktok", "instagram", "youtube", "email"]).alias("utm_source"),
+                *utm_columns(F.col("k")),
                 F.col("ts").alias("created_at"),
             )
         )
@@ -568,7 +576,7 @@ def funnel_view(events: DataFrame) -> DataFrame:
         F.when(anonymous, F.concat(F.lit("a"), F.col("user_id"))).otherwise(F.col("user_id").cast("string")).alias("person"),
         stage.alias("stage"),
         k.alias("source_video_id"),
-        pick(k % 4, ["tiktok", "instagram", "youtube", "email"]).alias("utm_source"),
+        *utm_columns(k),
         F.when(kind == "purchase", X.cents("value")).otherwise(F.lit(0)).cast("long").alias("revenue_cents"),
         F.col("ts").alias("created_at"),
     )

@@ -11,9 +11,11 @@ def append(df: DataFrame, path: str, cols: Sequence[str]) -> None:
     df.select(*cols).write.mode("append").parquet(path)
 
 
-def write_packages(df: DataFrame, path: str, batch: str = "batch") -> None:
-    """Nested rows as JSON lines, one folder per batch."""
-    df.write.mode("errorifexists").partitionBy(batch).json(path)
+def write_packages(df: DataFrame, path: str, batch: str = "batch", rows_per_file: int = 100_000) -> None:
+    """Nested rows as JSON lines in batch order; a batch number is a field, not a folder,
+    so small batches do not make as many files as rows."""
+    ranged = df.repartitionByRange(F.col(batch)).sortWithinPartitions(batch)
+    ranged.write.mode("errorifexists").option("maxRecordsPerFile", rows_per_file).json(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -298,3 +298,9 @@ def test_spec_limits(frame):
     assert [got[(i, "tiktok")] for i in range(6)] == [False, True, True, True, True, False]
     assert [got[(i, "instagram")] for i in range(6)] == [False, True, True, False, False, False]
     assert [got[(i, "youtube")] for i in range(6)] == [True, True, True, False, False, False]
+
+
+def test_answer_without_a_hook_keeps_the_one_asked_for(frame):
+    df = frame([(1, "plain", "H"), (2, '{"hook": "own", "body": "b"}', "H"), (3, '{"body": "b"}', None)], "id long, text string, asked string")
+    assert rows(drafts.ingest_completions(df, "text", ["id"], "asked"), "id", "hook_text", "body_text") == [
+        (1, "H", "plain"), (2, "own", "b"), (3, "", "b")]

@@ -201,3 +201,36 @@ def test_stage_cuts_lineage(spark):
 def test_declared_schemas_are_those_of_the_files(spark, sf, name):
     found = spark.read.parquet(f"{sf}/{name}.parquet").schema
     assert [(f.name, f.dataType) for f in T.StructType.fromDDL(RAW[name])] == [(f.name, f.dataType) for f in found]
+
+
+def test_delete_with_rules_follows_every_link(frame):
+    tables = {
+        "profiles": frame([(1, None), (2, 1), (3, 2)], "id long, referred_by long"),
+        "memberships": frame([(10, 1, 5), (11, 2, 5)], "id long, profile_id long, plan_id long"),
+        "membership_events": frame([(100, 10, 1), (101, 11, 2), (102, 11, 1)], "id long, membership_id long, profile_id long"),
+        "purchases": frame([(20, 1), (21, 2), (22, None)], "id long, profile_id long"),
+        "membership_plans": frame([(5,), (6,)], "id long"),
+    }
+    after, refused = Q.delete_with_rules(tables, "profiles", frame([(1,), (1,), (99,)], "id long"))
+    assert rows(after["profiles"]) == sorted([(2, None), (3, 2)], key=repr)
+    assert rows(after["memberships"], "id") == [(11,)]
+    assert rows(after["membership_events"], "id") == [(101,)]  # 100 by membership, 102 by profile
+    assert rows(after["purchases"]) == sorted([(20, None), (21, 2), (22, None)], key=repr)
+    assert rows(refused) == [] and rows(after["membership_plans"]) == [(5,), (6,)]
+    after, refused = Q.delete_with_rules(tables, "membership_plans", frame([(5,), (6,)], "id long"))
+    assert rows(refused) == [(5, 2)] and rows(after["membership_plans"]) == [(5,)]
+
+
+def test_declared_links_name_real_columns():
+    for child, link, parent, rule in schemas.LINKS:
+        assert link in schemas.schema_of(child).fieldNames() and parent in schemas.TABLES
+        assert rule in ("cascade", "set null", "restrict")
+    for table, cols in schemas.REQUIRED.items():
+        assert set(cols) <= set(schemas.schema_of(table).fieldNames())
+    assert set(schemas.REQUIRED) == set(schemas.TABLES)
+
+
+def test_table_rules(frame):
+    df = frame([(1, None, "n", 5), (2, "s", "n", 0), (3, "s", None, 7)], "id long, slug string, name string, price_cents long")
+    out = Q.apply_rules(df, Q.table_rules("membership_plans", df.columns))
+    assert {r["id"]: r["failed_rules"] for r in out.collect()} == {1: ["slug_required"], 2: ["price_cents_range"], 3: ["name_required"]}
