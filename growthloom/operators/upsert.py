@@ -15,7 +15,9 @@ def insert_ignore(target: DataFrame, source: DataFrame, key: Sequence[str], orde
 
 def new_rows(target: DataFrame, source: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     rest = [c for c in source.columns if c not in key]
-    if rest:
+    if rest == list(order) and len(rest) == 1:
+        one = source.groupBy(*key).agg(F.min(rest[0]).alias(rest[0]))
+    elif rest:
         first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_r")
         one = source.groupBy(*key).agg(first).select(*key, "_r.*")
     else:

@@ -21,8 +21,8 @@ _LEAD = """(SELECT event_id AS id, ts AS received_at, event_id % 10 <> 7 AS vali
 
 
 def _known(t: Tables) -> DataFrame:
-    """Subscribers there before the leads: those who already bought for 150 or more."""
-    return t.subscribers.where("ltv_cents >= 15000")
+    """Subscribers there before the leads: those who already bought for 600 or more."""
+    return t.subscribers.where("ltv_cents >= 60000")
 
 
 @op("lead_rows", f"SELECT * FROM {_LEAD}")
@@ -31,7 +31,7 @@ def _(t: Tables) -> DataFrame:
 
 
 @op("lead_capture", f"""SELECT email, full_name, source, double_opt_in_confirmed, received_at AS created_at, 'active' AS status FROM {_LEAD} l
-    WHERE valid AND email NOT IN (SELECT email FROM su WHERE ltv_cents >= 15000)
+    WHERE valid AND email NOT IN (SELECT email FROM su WHERE ltv_cents >= 60000)
     QUALIFY row_number() OVER (PARTITION BY email ORDER BY received_at, id) = 1""")
 def _(t: Tables) -> DataFrame:
     return leads.lead_capture(t.lead_messages, _known(t)).new_subscribers

@@ -10,7 +10,7 @@ from growthloom.registry.core import op
 from growthloom.registry.sources import mart
 from growthloom.session import scratch_path
 from growthloom.sources import documents as D
-from growthloom.sources import sinks, tables
+from growthloom.sources import layout, sinks, tables
 from growthloom.sources.fixtures import Tables
 
 
@@ -198,3 +198,17 @@ def _(t: Tables) -> DataFrame:
         t.events, F.col("user_id") % 8, status, ["event_id", "user_id"], ["k"],
         {"related_video_id": "k", "related_subscriber_id": "user_id"}, "webhook",
     )
+
+
+@op("table_layout", """SELECT CAST(id AS VARCHAR) AS id, person, stage, revenue_cents FROM (SELECT id, person, stage, revenue_cents, created_at FROM fe)
+    WHERE CAST(created_at AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'""")
+def _(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "funnel-layout")
+    have = t.funnel_events.withColumn("anonymous_id", F.col("person"))
+    declared = schemas.schema_of("analytics_funnel_events")
+    typed = have.select(
+        *[(F.col(f.name) if f.name in have.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in declared.fields]
+    )
+    layout.write_table(typed, "analytics_funnel_events", path)
+    days = layout.read_days(t.spark, "analytics_funnel_events", path, "2024-01-10", "2024-01-12")
+    return days.select("id", F.col("anonymous_id").alias("person"), "stage", "revenue_cents")

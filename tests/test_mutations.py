@@ -1,13 +1,15 @@
 """Upserts, quality rules and visibility on hand-made rows."""
 from __future__ import annotations
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F, types as T
 
 from conftest import rows
 from growthloom import schemas
 from growthloom.operators import access, filters, quality as Q, upsert as U
-from growthloom.sources import sinks, tables
+from growthloom.sources import layout, sinks, tables
 from growthloom.sources.fixtures import RAW
 from growthloom.session import scratch_path, stage
 
@@ -234,3 +236,15 @@ def test_table_rules(frame):
     df = frame([(1, None, "n", 5), (2, "s", "n", 0), (3, "s", None, 7)], "id long, slug string, name string, price_cents long")
     out = Q.apply_rules(df, Q.table_rules("membership_plans", df.columns))
     assert {r["id"]: r["failed_rules"] for r in out.collect()} == {1: ["slug_required"], 2: ["price_cents_range"], 3: ["name_required"]}
+
+
+def test_layout_prunes_days_and_replaces_only_written_days(spark, frame):
+    path = scratch_path(spark, "layout")
+    ddl = "id string, stage string, created_at timestamp, revenue_cents long"
+    at = lambda d: datetime(2024, 1, d, 12)
+    layout.write_table(frame([("a", "s", at(1), 1), ("b", "s", at(2), 2), ("c", "r", at(2), 3)], ddl), "analytics_funnel_events", path)
+    layout.write_table(frame([("d", "s", at(2), 4)], ddl), "analytics_funnel_events", path)
+    got = layout.read_days(spark, "analytics_funnel_events", path, "2024-01-01", "2024-01-03")
+    assert rows(got, "id", "revenue_cents") == [("a", 1), ("d", 4)]
+    plan = layout.read_days(spark, "analytics_funnel_events", path, "2024-01-02", "2024-01-02")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
