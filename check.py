@@ -52,7 +52,9 @@ def table(cols, rows):
 def connect(sf: str):
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+        path = f"{sf}/{t}.parquet"
+        files = f"{path}/*.parquet" if os.path.isdir(path) else path
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{files}'")
     return con
 
 
