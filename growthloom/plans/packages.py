@@ -38,6 +38,13 @@ def packages(scripts: DataFrame, brand: str | None = None) -> DataFrame:
     )
 
 
+def manifest_lines(numbered: DataFrame) -> DataFrame:
+    """Markdown table row of every manifest entry, with its order number."""
+    cells = [F.col(c).cast("string") for c in ("id", "hook_text", "category", "score", "priority", "order_no")]
+    row = F.concat(F.lit("| "), F.concat_ws(" | ", *[F.coalesce(c, F.lit("")) for c in cells]), F.lit(" |"))
+    return numbered.select("order_no", row.alias("line"))
+
+
 def manifest(packaged: DataFrame, order: Sequence[Column]) -> DataFrame:
     """Hook, score, priority and overall order of every package."""
     rows = packaged.select("id", "hook_text", "category", "score", "priority")

@@ -181,6 +181,14 @@ def _(t: Tables) -> DataFrame:
     return packages.manifest(rows, [F.asc("id")]).select("id", "priority", "order_no", "batch")
 
 
+@op("production_manifest_text", """SELECT n AS order_no, '| ' || id || ' | ' || hook_text || ' | ' || category || ' | ' || estimated_performance || ' | ' ||
+    CASE WHEN estimated_performance > 9.2 THEN 'High' ELSE 'Medium' END || ' | ' || n || ' |' AS line
+    FROM (SELECT *, row_number() OVER (ORDER BY estimated_performance DESC, id) AS n FROM ho)""")
+def _(t: Tables) -> DataFrame:
+    rows = t.hooks.withColumn("score", F.col("estimated_performance")).withColumn("priority", packages.X.priority(F.col("score").cast("double")))
+    return packages.manifest_lines(packages.manifest(rows, [F.desc_nulls_last("score"), F.asc("id")]))
+
+
 @op("script_drafts", r"""SELECT id, i AS position, 'script-' || lpad(CAST(i + 41 AS VARCHAR), 3, '0') AS script_id, ['1','2','3','9'][i % 4 + 1] AS template_no,
     hook_text || chr(10) || 'Audit ' || trim(list_filter(regexp_split_to_array(hook_text, '\s+'), lambda x: x <> '')[-1], '.') || ' with Acme.' AS body_text
     FROM (SELECT id, hook_text, row_number() OVER (ORDER BY estimated_performance DESC, id) - 1 AS i FROM ho

@@ -7,7 +7,8 @@ from growthloom.operators import ops
 from growthloom.plans.membership import subscription_rows
 from growthloom.registry.aggregates import SLIDES, _ALERT
 from growthloom.registry.core import op
-from growthloom.sources.fixtures import RAW, Tables, funnel_view, subscription_view
+from growthloom.session import scratch_path
+from growthloom.sources.fixtures import RAW, Tables, checkout_view, funnel_view, lead_view, subscription_view
 from growthloom.streaming import jobs, sinks
 from growthloom.streaming.runner import as_ntz, run_append, run_update
 from growthloom.streaming.sources import read_events, read_stream
@@ -113,3 +114,40 @@ def _(t: Tables) -> DataFrame:
     rows = t.raw("orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("at"))
     seen = t.raw("lineitem").agg(F.max("l_shipdate")).scalar()
     return sinks.split_late(rows, "at", seen, "1800 days")[1]
+
+
+@op("stream_purchase_intake", """SELECT 'purchase' AS kind, ev.event_id AS id, CAST(k AS BIGINT) AS ref, val_cents AS amount_cents FROM ev JOIN dp ON dp.id = ev.k WHERE event_type = 'purchase'
+    UNION ALL SELECT 'subscription', event_id, NULL, val_cents FROM ev WHERE event_type = 'signup'
+    UNION ALL SELECT 'skipped', event_id, NULL, val_cents FROM ev WHERE event_type NOT IN ('purchase','signup')
+    UNION ALL SELECT 'commission', id, affiliate_id, CASE tier WHEN 'premium' THEN CAST(floor(base * 1.1::DOUBLE + 0.5) AS BIGINT)
+      WHEN 'elite' THEN CAST(floor(base * 1.25::DOUBLE + 0.5) AS BIGINT) ELSE CAST(base AS BIGINT) END FROM
+      (SELECT ev.event_id AS id, af.id AS affiliate_id, af.tier,
+         floor(CAST(val_cents AS DOUBLE) * (CASE dp.product_type WHEN 'membership' THEN 30 WHEN 'automation_package' THEN 20 ELSE 40 END / 100.0::DOUBLE) + 0.5) AS base
+       FROM ev JOIN dp ON dp.id = ev.k JOIN af ON af.id = ev.k % 10 AND af.is_active WHERE event_type = 'purchase')""")
+def _(t: Tables) -> DataFrame:
+    events = _events(t)
+    rows = checkout_view(events.withColumn("affiliate_id", (F.col("k") % 10).cast("long")), keep=("affiliate_id",))
+    path = scratch_path(t.spark, "stream-intake")
+    sink = sinks.IntakeSink(path, t.products, t.profiles, t.affiliates)
+    sinks.run_batches(rows, sink, f"{path}-checkpoint")
+    none = F.lit(None).cast("long")
+
+    def table(name: str, kind: str, key: str, ref) -> DataFrame:
+        df = t.spark.read.parquet(f"{path}/{name}")
+        return df.select(F.lit(kind).alias("kind"), F.col(key).alias("id"), ref.alias("ref"), "amount_cents")
+
+    return (
+        table("purchases", "purchase", "id", F.col("product_id")).unionAll(table("subscriptions", "subscription", "id", none))
+        .unionAll(table("skipped", "skipped", "id", none))
+        .unionAll(table("commissions", "commission", "purchase_id", F.col("affiliate_id")))
+    )
+
+
+@op("stream_lead_capture", """SELECT email, min(received_at) AS created_at FROM (SELECT ts AS received_at,
+      'customer.' || lpad(CAST(user_id AS VARCHAR), 9, '0') || '@example.com' AS email FROM ev WHERE event_type = 'signup' AND event_id % 10 <> 7)
+    WHERE email NOT IN (SELECT email FROM su WHERE ltv_cents >= 60000) GROUP BY 1""")
+def _(t: Tables) -> DataFrame:
+    rows = lead_view(_events(t))
+    known = t.subscribers.where("ltv_cents >= 60000")
+    out = sinks.run_sink(rows, lambda p: sinks.LeadSink(p, known), "stream-leads", "new_subscribers")
+    return as_ntz(out.select("email", "created_at"), "created_at")

@@ -446,64 +446,73 @@ class Tables:
     # messages --------------------------------------------------------------------
     @cached_property
     def lead_messages(self) -> DataFrame:
-        """One lead body per signup event; every tenth address is not valid."""
-        u = F.col("user_id")
-        mail = F.concat(F.lit(" Customer."), F.lpad(u.cast("string"), 9, "0"),
-                        F.when(F.col("event_id") % 10 == 7, "(at)").otherwise("@"), F.lit("Example.com "))
-        return self.events.where(F.col("event_type") == "signup").select(
-            F.col("event_id").alias("id"),
-            F.col("ts").alias("received_at"),
-            F.to_json(
-                F.struct(
-                    mail.alias("email"),
-                    F.when(F.col("k") < 50, F.concat(F.lit("Lead 7 "), F.col("k"))).otherwise("").alias("name"),
-                    F.when(F.col("k") % 2 == 0, "referral").alias("source"),
-                    (F.col("k") % 3 == 0).alias("double_opt_in"),
-                )
-            ).alias("body"),
-        )
+        return lead_view(self.events)
 
     @cached_property
     def checkout_messages(self) -> DataFrame:
-        """One message per event: purchases complete a checkout, signups start a
-        subscription checkout, everything else is a type nobody handles."""
-        kind = F.col("event_type")
-        u = F.col("user_id")
-        return self.events.select(
-            F.col("event_id").alias("id"),
-            F.col("ts").alias("received_at"),
-            F.to_json(
-                F.struct(
-                    F.when(kind.isin("purchase", "signup"), "checkout.session.completed")
-                    .otherwise(F.concat(F.lit("page."), kind))
-                    .alias("type"),
-                    F.struct(
-                        F.struct(
-                            F.concat(F.lit("cs_"), F.col("event_id")).alias("id"),
-                            F.when(kind == "signup", "subscription").otherwise("payment").alias("mode"),
-                            X.cents("value").alias("amount_total"),
-                            F.lit("usd").alias("currency"),
-                            F.concat(F.lit("cus_"), u).alias("customer"),
-                            F.struct(
-                                F.concat(F.lit("customer."), F.lpad(u.cast("string"), 9, "0"), F.lit("@example.com"))
-                                .alias("email"),
-                                F.concat(F.lit("Customer#"), F.lpad(u.cast("string"), 9, "0")).alias("name"),
-                            ).alias("customer_details"),
-                            F.struct(
-                                F.when(F.col("k") < 50, F.col("k").cast("string")).alias("product_id"),
-                                F.when(F.col("k") >= 50, F.concat(F.lit("price_"), F.col("k"))).alias("price_id"),
-                            ).alias("metadata"),
-                        ).alias("object")
-                    ).alias("data"),
-                )
-            ).alias("body"),
-        )
+        return checkout_view(self.events)
 
     @cached_property
     def subscription_messages(self) -> DataFrame:
         return subscription_view(self.raw("orders"))
 
 
+def lead_view(events: DataFrame) -> DataFrame:
+    """One lead body per signup event; every tenth address is not valid. Works on a stream too."""
+    u = F.col("user_id")
+    mail = F.concat(F.lit(" Customer."), F.lpad(u.cast("string"), 9, "0"),
+                    F.when(F.col("event_id") % 10 == 7, "(at)").otherwise("@"), F.lit("Example.com "))
+    return events.where(F.col("event_type") == "signup").select(
+        F.col("event_id").alias("id"),
+        F.col("ts").alias("received_at"),
+        F.to_json(
+            F.struct(
+                mail.alias("email"),
+                F.when(F.col("k") < 50, F.concat(F.lit("Lead 7 "), F.col("k"))).otherwise("").alias("name"),
+                F.when(F.col("k") % 2 == 0, "referral").alias("source"),
+                (F.col("k") % 3 == 0).alias("double_opt_in"),
+            )
+        ).alias("body"),
+    )
+
+
+def checkout_view(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One message per event: purchases complete a checkout, signups start a subscription
+    checkout, everything else is a type nobody handles.  Works on a stream too."""
+    kind = F.col("event_type")
+    u = F.col("user_id")
+    return events.select(
+        *keep,
+        F.col("event_id").alias("id"),
+        F.col("ts").alias("received_at"),
+        F.to_json(
+            F.struct(
+                F.when(kind.isin("purchase", "signup"), "checkout.session.completed")
+                .otherwise(F.concat(F.lit("page."), kind))
+                .alias("type"),
+                F.struct(
+                    F.struct(
+                        F.concat(F.lit("cs_"), F.col("event_id")).alias("id"),
+                        F.when(kind == "signup", "subscription").otherwise("payment").alias("mode"),
+                        X.cents("value").alias("amount_total"),
+                        F.lit("usd").alias("currency"),
+                        F.concat(F.lit("cus_"), u).alias("customer"),
+                        F.struct(
+                            F.concat(F.lit("customer."), F.lpad(u.cast("string"), 9, "0"), F.lit("@example.com"))
+                            .alias("email"),
+                            F.concat(F.lit("Customer#"), F.lpad(u.cast("string"), 9, "0")).alias("name"),
+                        ).alias("customer_details"),
+                        F.struct(
+                            F.when(F.col("k") < 50, F.col("k").cast("string")).alias("product_id"),
+                            F.when(F.col("k") >= 50, F.concat(F.lit("price_"), F.col("k"))).alias("price_id"),
+                        ).alias("metadata"),
+                    ).alias("object")
+                ).alias("data"),
+            )
+        ).alias("body"),
+    )
+
+
 def subscription_view(orders: DataFrame) -> DataFrame:
     """One subscription message per order, in the sender's JSON shape; works on a stream too."""
     key, cust = F.col("o_orderkey"), F.col("o_custkey")

@@ -10,9 +10,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
+from growthloom.operators.affiliates import affiliate_run
 from growthloom.operators.email import WELCOME_HOURS
 from growthloom.operators.joins import attribute, next_buy
 from growthloom.plans.keyed import HOT_ROWS, latest_by
+from growthloom.plans.leads import lead_capture
+from growthloom.plans.purchases import purchases_from
 from growthloom.session import scratch_path
 
 
@@ -177,6 +180,49 @@ class LateSplitter(_State):
         self.clock(batch, batch_id)
 
 
+class IntakeSink(_State):
+    """Checkout messages to purchases, subscription checkouts, skipped messages and
+    affiliate commissions, set-wise per micro-batch.
+
+    Rows need id, received_at, body; a message may carry the affiliate id in the
+    column `affiliate_id`.
+    """
+
+    def __init__(self, path: str, products: DataFrame, profiles: DataFrame, affiliates: DataFrame):
+        super().__init__(path)
+        self.products, self.profiles, self.affiliates = products, profiles, affiliates
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        out = purchases_from(batch, self.products, self.profiles)
+        bought = self.save("purchases", batch_id, out.purchases)
+        self.save("subscriptions", batch_id, out.subscriptions)
+        self.save("skipped", batch_id, out.skipped)
+        brought = bought.drop("product_type").join(batch.select("id", "affiliate_id"), "id")
+        self.save("commissions", batch_id, affiliate_run(brought, self.affiliates, self.products))
+
+
+class LeadSink(_State):
+    """Lead messages to new subscribers, tags and invalid leads.
+
+    An address is new when neither the given subscribers nor an earlier batch has
+    it.  Each batch adds only its own rows to the state.
+    """
+
+    def __init__(self, path: str, subscribers: DataFrame):
+        super().__init__(path)
+        self.subscribers = subscribers
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        known = self.subscribers.select("email")
+        if batch_id > 0:
+            made = batch.sparkSession.read.schema("email string, batch_id long").parquet(f"{self.path}/new_subscribers")
+            known = known.unionByName(made.where(F.col("batch_id") < batch_id).select("email"))
+        out = lead_capture(batch, known)
+        self.save("new_subscribers", batch_id, out.new_subscribers)
+        self.save("tags", batch_id, out.tags)
+        self.save("invalid", batch_id, out.invalid)
+
+
 def run_batches(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> int:
     """Drive a foreachBatch sink to the end of the input; returns the last batch id."""
     last = [-1]

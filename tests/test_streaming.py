@@ -182,3 +182,21 @@ def test_session_gap_edge(frame):
 def test_read_stream_makes_zoned_times(spark, sf):
     df = read_stream(spark, f"{sf}/events.parquet", RAW["events"], "ts")
     assert df.isStreaming and dict(df.dtypes)["ts"] == "timestamp"
+
+
+def test_leads_over_many_batches(spark, frame, feed):
+    """An address is new once, across batches and against the subscribers there before."""
+    ddl = "id long, received_at timestamp, body string"
+    mails = ["a@x.y", "B@x.y ", "a@x.y", "old@x.y", "b@x.y", "bad", "c@x.y", "a@x.y"]
+    data = [(i, T0 + timedelta(hours=i), '{"email": "%s"}' % m) for i, m in enumerate(mails)]
+    path = scratch_path(spark, "t-leads")
+    sink = sinks.LeadSink(path, frame([("old@x.y",)], "email string"))
+    last = sinks.run_batches(feed(data, 4, ddl), sink, f"{path}-checkpoint")
+    new = spark.read.parquet(f"{path}/new_subscribers")
+    assert last == 3 and rows(new, "email", "created_at") == [("a@x.y", T0), ("b@x.y", T0 + timedelta(hours=1)), ("c@x.y", T0 + timedelta(hours=6))]
+    assert rows(spark.read.parquet(f"{path}/invalid"), "id") == [(5,)]
+    # A replay of the second batch must find its own addresses new again.
+    sink(frame(data[2:4], ddl), 1)
+    assert rows(spark.read.parquet(f"{path}/new_subscribers"), "email") == [("a@x.y",), ("b@x.y",), ("c@x.y",)]
+    sink(frame([(0, T0, '{"email": "a@x.y"}')], ddl), 0)
+    assert rows(spark.read.parquet(f"{path}/new_subscribers/batch_id=0"), "email") == [("a@x.y",)]
