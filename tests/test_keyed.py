@@ -62,6 +62,15 @@ def test_hot_key_is_cut_into_several_slices(frame):
     assert all(not hot and n == 1 for k, (hot, n) in got.items() if k != "hot")
 
 
+def test_a_burst_inside_a_hot_key_stays_below_the_limit(frame):
+    # 900 of 1000 rows fall into three days of a month: nine times the average.
+    data = [(i, "hot", T0 + timedelta(days=i % 30, minutes=i)) for i in range(100)]
+    data += [(100 + i, "hot", T0 + timedelta(days=15, seconds=288 * i)) for i in range(900)]
+    df = frame(data, "id long, key string, at timestamp_ntz")
+    sizes = keyed.slice_hot_keys(df, ["key"], "at", rows=50).groupBy("_slice").count()
+    assert max(r["count"] for r in sizes.collect()) <= 50
+
+
 @pytest.mark.parametrize("limit", [4, keyed.HOT_ROWS])
 def test_attribution_equals_brute_force(frame, limit):
     data = make(5, 240)
