@@ -35,8 +35,11 @@ def clean_leads(messages: DataFrame) -> DataFrame:
 
 
 def lead_capture(messages: DataFrame, subscribers: DataFrame, lead_tag: str = LEAD_TAG) -> LeadResult:
+    return capture(clean_leads(messages), subscribers, lead_tag)
+
+
+def capture(rows: DataFrame, subscribers: DataFrame, lead_tag: str = LEAD_TAG) -> LeadResult:
     """Valid leads make a subscriber when their address is new; all of them get both tags."""
-    rows = clean_leads(messages)
     good, bad = rows.where("valid"), rows.where("not valid")
     new = U.new_rows(
         subscribers.select("email"),

@@ -38,9 +38,12 @@ def checkouts(messages: DataFrame) -> DataFrame:
 
 
 def purchases_from(messages: DataFrame, products: DataFrame, profiles: DataFrame) -> PurchaseResult:
+    return route_checkouts(checkouts(messages), products, profiles)
+
+
+def route_checkouts(rows: DataFrame, products: DataFrame, profiles: DataFrame) -> PurchaseResult:
     """Payments with their product and buyer; subscription checkouts go to the
     membership job, unhandled types are kept aside."""
-    rows = checkouts(messages)
     skipped, handled = filters.route(rows, F.col("skip"))
     subs, payments = filters.route(handled, F.col("mode") == "subscription")
     catalog = products.select(

@@ -14,8 +14,8 @@ from growthloom.operators.affiliates import affiliate_run
 from growthloom.operators.email import WELCOME_HOURS
 from growthloom.operators.joins import attribute, next_buy
 from growthloom.plans.keyed import HOT_ROWS, latest_by
-from growthloom.plans.leads import lead_capture
-from growthloom.plans.purchases import purchases_from
+from growthloom.plans.leads import capture, clean_leads
+from growthloom.plans.purchases import checkouts, route_checkouts
 from growthloom.session import scratch_path
 
 
@@ -184,8 +184,8 @@ class IntakeSink(_State):
     """Checkout messages to purchases, subscription checkouts, skipped messages and
     affiliate commissions, set-wise per micro-batch.
 
-    Rows need id, received_at, body; a message may carry the affiliate id in the
-    column `affiliate_id`.
+    Rows need id, received_at, body.  Commissions are made when they also have the
+    column `affiliate_id`.  Bodies are parsed once; all outputs start from that table.
     """
 
     def __init__(self, path: str, products: DataFrame, profiles: DataFrame, affiliates: DataFrame):
@@ -193,12 +193,14 @@ class IntakeSink(_State):
         self.products, self.profiles, self.affiliates = products, profiles, affiliates
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        out = purchases_from(batch, self.products, self.profiles)
+        rows = self.save("checkouts", batch_id, checkouts(batch))
+        out = route_checkouts(rows, self.products, self.profiles)
         bought = self.save("purchases", batch_id, out.purchases)
         self.save("subscriptions", batch_id, out.subscriptions)
         self.save("skipped", batch_id, out.skipped)
-        brought = bought.drop("product_type").join(batch.select("id", "affiliate_id"), "id")
-        self.save("commissions", batch_id, affiliate_run(brought, self.affiliates, self.products))
+        if "affiliate_id" in batch.columns:
+            brought = bought.drop("product_type").join(batch.select("id", "affiliate_id"), "id")
+            self.save("commissions", batch_id, affiliate_run(brought, self.affiliates, self.products))
 
 
 class LeadSink(_State):
@@ -217,7 +219,7 @@ class LeadSink(_State):
         if batch_id > 0:
             made = batch.sparkSession.read.schema("email string, batch_id long").parquet(f"{self.path}/new_subscribers")
             known = known.unionByName(made.where(F.col("batch_id") < batch_id).select("email"))
-        out = lead_capture(batch, known)
+        out = capture(self.save("leads", batch_id, clean_leads(batch)), known)
         self.save("new_subscribers", batch_id, out.new_subscribers)
         self.save("tags", batch_id, out.tags)
         self.save("invalid", batch_id, out.invalid)
