@@ -109,6 +109,33 @@ def test_next_hooks_keep_catalog_order_on_ties(frame):
                    (3, "script-044", "9", "Antoni"), (5, "script-045", "1", "Adam (v2)")]
 
 
+# Scores of the fifty seed hooks in catalog order, the positions that
+# scripts have used, and the published order of the next twenty.
+SEED_SCORES = [
+    9.2, 9.5, 8.8, 9.1, 8.7, 9.0, 8.5, 9.3, 9.4, 8.9, 8.6, 8.9, 8.8, 9.6, 9.0, 9.2, 9.1, 8.7, 8.9, 9.3, 9.0, 9.2, 9.4, 8.8, 9.5,
+    8.7, 8.9, 9.1, 9.3, 9.5, 9.2, 8.6, 9.0, 9.4, 9.1, 8.5, 8.7, 9.6, 8.8, 8.4, 9.5, 8.9, 9.0, 8.7, 9.2, 9.3, 8.9, 9.1, 9.0, 9.7,
+]
+SEED_USED = [1, 2, 4, 5, 6, 8, 9, 10, 11, 12, 14, 15, 17, 18, 20, 21, 22, 23, 24, 25, 26, 28, 30, 31, 33, 34, 36, 38, 40, 42]
+PUBLISHED = [49, 13, 37, 29, 7, 19, 45, 0, 44, 3, 16, 27, 47, 32, 48, 41, 46, 43, 35, 39]
+
+
+def test_published_order_of_the_seed_hooks(frame):
+    ddl = "id long, hook_text string, category string, estimated_performance double"
+    hooks = frame([(i, f"hook {i}", "Money", s) for i, s in enumerate(SEED_SCORES)], ddl)
+    picked = C.next_hooks(hooks, hooks.where(F.col("id").isin(SEED_USED)), 20)
+    order = [F.desc("estimated_performance"), F.asc("id")]
+    named = C.assign_templates(picked, order, prefix="s-")
+    scored = named.withColumn("score", F.col("estimated_performance")).withColumn("priority", packages.X.priority("score"))
+    rows_ = scored.select("id", "hook_text", "category", "score", "priority", "script_id", "template_no").orderBy("script_id").collect()
+    assert [r["id"] for r in rows_] == PUBLISHED
+    assert [r["script_id"] for r in rows_] == [f"s-{n:03}" for n in range(41, 61)]
+    assert [r["priority"] for r in rows_] == ["High"] * 7 + ["Medium"] * 13
+    assert [r["template_no"] for r in rows_] == ["1", "2", "3", "9"] * 5
+    numbered = packages.manifest(scored, order)
+    lines = packages.manifest_lines(numbered).orderBy("order_no").collect()
+    assert lines[0]["line"] == "| 49 | hook 49 | Money | 9.7 | High | 1 |" and lines[19]["order_no"] == 20
+
+
 def test_random_pick_is_repeatable(spark):
     df = spark.range(100).repartition(7)
     a, b = C.random_pick(df, "id", 5, 1), C.random_pick(df.repartition(3), "id", 5, 1)
