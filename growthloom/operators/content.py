@@ -124,7 +124,7 @@ def next_hooks(hooks: DataFrame, used: DataFrame, n: int = 20) -> DataFrame:
 
 def random_pick(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """A repeatable random choice: smallest seeded hashes first."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    return df.orderBy(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(seed))), key).limit(n)
 
 
 def assign_templates(picked: DataFrame, order: Sequence[Column], first_no: int = 41, prefix: str = "script-") -> DataFrame:

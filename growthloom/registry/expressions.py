@@ -201,20 +201,19 @@ def _(t: Tables) -> DataFrame:
     return drafts.build_prompt(hooks, templates, "Voice", "Spec")
 
 
-@op("parse_json_from_text", rf"""SELECT conv_id, turn, CASE WHEN turn % 3 = 1 THEN 'H' || turn ELSE '' END AS hook_text,
-    CASE WHEN turn % 3 = 1 THEN text ELSE CASE WHEN turn % 3 = 2 THEN 'So {{' || text ELSE text END END AS body_text,
+@op("parse_json_from_text", f"""SELECT conv_id, turn, CASE WHEN turn % 3 = 1 THEN 'H' || turn ELSE '' END AS hook_text,
+    CASE WHEN turn % 3 = 2 THEN 'So {{' || text ELSE text END AS body_text,
     CAST(CASE WHEN turn % 3 = 1 THEN turn ELSE len({WORDS.format("CASE WHEN turn % 3 = 2 THEN 'So {' || text ELSE text END")}) END AS BIGINT) AS word_count
-    FROM conversations WHERE role = 'assistant' AND position('{{' IN text) = 0 AND position('}}' IN text) = 0""".replace("{{", "{").replace("}}", "}"))
+    FROM conversations WHERE role = 'assistant'""")
 def _(t: Tables) -> DataFrame:
-    # A third of the answers hold a document, a third an unfinished one, a third none.
-    plain = t.completions.where(~F.contains("text", F.lit("{")) & ~F.contains("text", F.lit("}")))
+    # By turn the answers hold a document, an unfinished one, or none.
     doc = F.to_json(F.struct(F.concat(F.lit("H"), F.col("turn")).alias("hook"), F.col("text").alias("body"), F.col("turn").alias("word_count")))
     answer = (
         F.when(F.col("turn") % 3 == 1, F.concat(F.lit("Here it is:\n"), doc, F.lit("\nEnjoy")))
         .when(F.col("turn") % 3 == 2, F.concat(F.lit("So {"), F.col("text")))
         .otherwise(F.col("text"))
     )
-    parsed = drafts.ingest_completions(plain.withColumn("answer", answer), "answer", ["conv_id", "turn"])
+    parsed = drafts.ingest_completions(t.completions.withColumn("answer", answer), "answer", ["conv_id", "turn"])
     return parsed.select("conv_id", "turn", "hook_text", "body_text", "word_count")
 
 

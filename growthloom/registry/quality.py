@@ -78,17 +78,15 @@ def _(t: Tables) -> DataFrame:
 
 @op("hook_import_qa", """SELECT text AS hook_text, min(doc_id) AS id,
       arg_min(least(10.0::DOUBLE, greatest(0.0::DOUBLE, (n_chars % 2000) / 100.0::DOUBLE - 5)), doc_id) AS estimated_performance
-    FROM documents WHERE source IN (SELECT DISTINCT source FROM documents WHERE lang = 'en') AND lang IN ('en', 'fr')
-      AND text NOT IN (SELECT text FROM benchmark) GROUP BY text""")
+    FROM documents WHERE lang IN ('en', 'fr', 'de') AND text NOT IN (SELECT text FROM benchmark) GROUP BY text""")
 def _(t: Tables) -> DataFrame:
-    docs = t.raw("documents")
+    # The language plays the category; Spanish is the unknown one.
     score = (F.col("n_chars") % 2000) / F.lit(100.0) - 5
-    english = docs.where("lang = 'en'").select("source").distinct()
-    new = docs.join(english, "source", "left_semi").select(
+    new = t.raw("documents").select(
         F.col("doc_id").alias("id"), F.col("text").alias("hook_text"), F.col("lang").alias("category"),
         score.alias("estimated_performance"),
     )
-    return Q.import_hooks(new, t.hooks, ["en", "fr"]).select("hook_text", "id", "estimated_performance")
+    return Q.import_hooks(new, t.hooks, ["en", "fr", "de"]).select("hook_text", "id", "estimated_performance")
 
 
 @op("quarantine_split", """SELECT id, stage, list_filter([CASE WHEN profile_id IS NULL THEN 'has_profile' END,

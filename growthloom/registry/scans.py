@@ -105,8 +105,8 @@ def _(t: Tables) -> DataFrame:
     return D.explode_lines(t.scripts, "id", "lines")
 
 
-@op("scan_templates_text", """SELECT id, CAST(line_no AS BIGINT) AS section_no, 'Part ' || line_no AS name, line AS point1,
-    len(line) AS cta_len FROM ln WHERE line <> '' AND position('**' IN line) = 0 AND position('"' IN line) = 0""")
+@op("scan_templates_text", """SELECT id, CAST(line_no AS BIGINT) AS section_no, 'Part ' || line_no AS name, nullif(line, '') AS point1,
+    nullif(split_part(line, '"', 1), '') AS cta FROM ln""")
 def _(t: Tables) -> DataFrame:
     # Every document becomes a Markdown text with one numbered section per line.
     body = F.array_join(
@@ -119,10 +119,8 @@ def _(t: Tables) -> DataFrame:
         ),
         "\n",
     )
-    marked = t.scripts.select("id", body.alias("md"))
-    out = D.parse_sections(marked, "id", "md").where(F.col("point1").isNotNull())
-    plain = ~F.contains("point1", F.lit("**")) & ~F.contains("point1", F.lit('"'))
-    return out.where(plain).select("id", "section_no", "name", "point1", F.length("cta").cast("long").alias("cta_len"))
+    out = D.parse_sections(t.scripts.select("id", body.alias("md")), "id", "md")
+    return out.select("id", "section_no", "name", "point1", "cta")
 
 
 @op("ingest_webhook_inbox", """SELECT id, CASE WHEN event_type = 'error' THEN NULL ELSE email END AS email,

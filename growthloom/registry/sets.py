@@ -72,6 +72,6 @@ def _(t: Tables) -> DataFrame:
     return lines.where(one).select("line").intersect(lines.where(~one).select("line"))
 
 
-@op("random_pick")
+@op("random_pick", "SELECT id, hook_text FROM ho ORDER BY md5(id || ':42'), id LIMIT 5")
 def _(t: Tables) -> DataFrame:
     return C.random_pick(t.hooks, "id", 5, seed=42).select("id", "hook_text")
