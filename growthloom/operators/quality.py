@@ -28,6 +28,22 @@ def table_rules(table: str, columns: Sequence[str]) -> dict[str, Column]:
     return rules
 
 
+def table_report(df: DataFrame, table: str) -> DataFrame:
+    """(rule, failures) for every declared rule of a table and its natural key.
+
+    Row rules are counted in one pass; the key adds one grouping.
+    """
+    rules = table_rules(table, df.columns)
+    failing = [F.count_if(~F.coalesce(ok, F.lit(True))).alias(name) for name, ok in rules.items()]
+    out = df.agg(*failing).unpivot([], list(rules), "rule", "failures") if rules else None
+    key = schemas.NATURAL_KEYS.get(table, [])
+    if key and set(key) <= set(df.columns):
+        copies = violations_unique(df, key).agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("failures"))
+        row = copies.select(F.lit("_".join([*key, "unique"])).alias("rule"), "failures")
+        out = row if out is None else out.unionAll(row)
+    return out
+
+
 def check_links(tables: dict[str, DataFrame]) -> DataFrame:
     """(child, link, orphans) of every declared link between the given tables."""
     out = None

@@ -168,3 +168,22 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     gone = t.products.where("not is_active").select("id")
     return Q.delete_with_rules(_shop(t), "digital_products", gone)[1]
+
+
+@op("table_report", """SELECT 'content_events' AS tbl, 'video_id_required' AS rule, 0 AS failures UNION ALL SELECT 'content_events', 'platform_required', 0
+    UNION ALL SELECT 'content_events', 'event_date_required', 0 UNION ALL SELECT 'content_events', 'platform_domain', count(*) FILTER (platform = 'youtube') FROM ce
+    UNION ALL SELECT 'content_events', 'video_id_platform_event_date_unique', 0
+    UNION ALL SELECT 'hooks', 'hook_text_required', 0 UNION ALL SELECT 'hooks', 'category_required', 0
+    UNION ALL SELECT 'hooks', 'trigger_type_required', count(*) FILTER (source IS NULL) FROM documents UNION ALL SELECT 'hooks', 'estimated_performance_required', 0
+    UNION ALL SELECT 'hooks', 'estimated_performance_range', count(*) FILTER (n_chars / 100.0 > 10) FROM documents
+    UNION ALL SELECT 'hooks', 'hook_text_unique', count(*) - count(DISTINCT text) FROM documents""")
+def _(t: Tables) -> DataFrame:
+    # Texts play the hooks: copies break the unique key, long ones the score range.
+    hooks = t.raw("documents").select(
+        F.col("text").alias("hook_text"), F.col("lang").alias("category"), F.col("source").alias("trigger_type"),
+        (F.col("n_chars") / 100).alias("estimated_performance"),
+    )
+    renamed = F.when(F.col("platform") == "youtube", "shorts").otherwise(F.col("platform"))
+    content = t.content_events.withColumn("platform", renamed)
+    a = Q.table_report(content, "analytics_content_events").select(F.lit("content_events").alias("tbl"), "rule", "failures")
+    return a.unionAll(Q.table_report(hooks, "viral_hooks").select(F.lit("hooks").alias("tbl"), "rule", "failures"))
