@@ -17,6 +17,14 @@ TARGETS = [
     ("churn_pct", "<", 8.0),
     ("workflow_success_pct", ">", 95.0),
 ]
+# Growth targets at the end of each horizon; money in cents
+GROWTH_TARGETS = {
+    "30 days": [("followers", 2_000), ("subscribers", 500), ("revenue_cents", 50_000), ("videos", 30)],
+    "90 days": [("followers", 20_000), ("subscribers", 5_000), ("revenue_cents", 500_000), ("videos", 90)],
+    "month 1": [("followers", 10_000), ("subscribers", 2_000), ("members", 0), ("revenue_cents", 200_000)],
+    "month 2": [("followers", 50_000), ("subscribers", 10_000), ("members", 150), ("revenue_cents", 500_000)],
+    "month 3": [("followers", 100_000), ("subscribers", 25_000), ("members", 400), ("revenue_cents", 1_000_000)],
+}
 
 
 def run_counts(logs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -113,6 +121,20 @@ def scorecard(kpis: DataFrame, targets: Sequence[tuple[str, str, float]] = tuple
                          met.alias("met"))
 
 
+def growth_scorecard(totals: DataFrame, targets: dict[str, list[tuple[str, int]]] = GROWTH_TARGETS) -> DataFrame:
+    """One row of totals against the targets of every horizon that names them."""
+    rows = [
+        F.struct(
+            F.lit(horizon).alias("horizon"), F.lit(metric).alias("metric"), F.col(metric).cast("long").alias("value"),
+            F.lit(goal).cast("long").alias("target"), (F.col(metric) >= goal).alias("met"),
+        )
+        for horizon, goals in targets.items()
+        for metric, goal in goals
+        if metric in totals.columns
+    ]
+    return totals.select(F.inline(F.array(*rows)))
+
+
 def render_summary(daily: DataFrame) -> DataFrame:
     """One line of report text per day."""
     line = F.concat_ws(

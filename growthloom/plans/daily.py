@@ -183,3 +183,12 @@ def kpis(daily: DataFrame) -> DataFrame:
         X.pct(F.sum("workflows_run"), F.sum("workflow_total")).alias("workflow_success_pct"),
     )
     return sums.unpivot([], sums.columns, "metric", "value")
+
+
+def growth_totals(daily: DataFrame) -> DataFrame:
+    """One row with what the given days added."""
+    return daily.agg(
+        F.sum("new_followers").alias("followers"), F.sum("new_subscribers").alias("subscribers"),
+        F.sum("total_revenue_cents").alias("revenue_cents"), F.sum("videos_published").alias("videos"),
+        F.sum("membership_new_sales").alias("members"),
+    )

@@ -399,3 +399,17 @@ def _(t: Tables) -> DataFrame:
     src = sources(t)
     src.memberships, src.commissions = t.memberships, t.commissions
     return daily.daily_metrics(src, "2024-01-01", LAST_DAY)
+
+
+@op("growth_scorecard", """WITH s AS (SELECT CAST(sum(new_followers) AS BIGINT) AS followers, CAST(sum(new_subscribers) AS BIGINT) AS subscribers,
+      CAST(sum(total_revenue_cents) AS BIGINT) AS revenue_cents, CAST(sum(videos_published) AS BIGINT) AS videos, CAST(sum(membership_new_sales) AS BIGINT) AS members FROM dm),
+    g(horizon, metric, target) AS (VALUES ('30 days', 'followers', 2000), ('30 days', 'subscribers', 500), ('30 days', 'revenue_cents', 50000), ('30 days', 'videos', 30),
+      ('90 days', 'followers', 20000), ('90 days', 'subscribers', 5000), ('90 days', 'revenue_cents', 500000), ('90 days', 'videos', 90),
+      ('month 1', 'followers', 10000), ('month 1', 'subscribers', 2000), ('month 1', 'members', 0), ('month 1', 'revenue_cents', 200000),
+      ('month 2', 'followers', 50000), ('month 2', 'subscribers', 10000), ('month 2', 'members', 150), ('month 2', 'revenue_cents', 500000),
+      ('month 3', 'followers', 100000), ('month 3', 'subscribers', 25000), ('month 3', 'members', 400), ('month 3', 'revenue_cents', 1000000))
+    SELECT horizon, metric, v AS value, CAST(target AS BIGINT) AS target, v >= target AS met FROM
+      (SELECT g.*, CASE metric WHEN 'followers' THEN followers WHEN 'subscribers' THEN subscribers WHEN 'revenue_cents' THEN revenue_cents
+         WHEN 'videos' THEN videos ELSE members END AS v FROM g, s)""")
+def _(t: Tables) -> DataFrame:
+    return ops.growth_scorecard(daily.growth_totals(mart(t)))
