@@ -251,4 +251,5 @@ def run_upsert(df: DataFrame, name: str, key: list[str], set_cols: list[str], or
     path = scratch_path(df.sparkSession, name)
     sink = MartUpsert(path, key, set_cols, order)
     last = run_batches(df, sink, f"{path}-checkpoint", mode)
-    return sink.read(df.sparkSession.read.parquet(sink.at("delta", last)), last)
+    like = df.sparkSession.createDataFrame([], df.select(*key, *set_cols).schema)
+    return sink.read(like, last) if last >= 0 else like

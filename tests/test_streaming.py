@@ -200,3 +200,33 @@ def test_leads_over_many_batches(spark, frame, feed):
     assert rows(spark.read.parquet(f"{path}/new_subscribers"), "email") == [("a@x.y",), ("b@x.y",), ("c@x.y",)]
     sink(frame([(0, T0, '{"email": "a@x.y"}')], ddl), 0)
     assert rows(spark.read.parquet(f"{path}/new_subscribers/batch_id=0"), "email") == [("a@x.y",)]
+
+
+def test_intake_over_many_batches(spark, frame, feed):
+    def body(kind, mode, price):
+        return ('{"type": "%s", "data": {"object": {"id": "cs", "mode": "%s", "amount_total": 2700, "customer_details": {"email": "a@b.c"},'
+                ' "metadata": {"price_id": "%s"}}}}' % (kind, mode, price))
+
+    done = "checkout.session.completed"
+    data = [(1, T0, body(done, "payment", "p1"), 5), (2, T0, body(done, "subscription", "p1"), None), (3, T0, body("ping", "payment", "p1"), 5),
+            (4, T0, body(done, "payment", "p2"), 6), (5, T0, body(done, "payment", "p1"), None), (6, T0, "{", None)]
+    prods = frame([(10, "p1", "tripwire"), (11, "p2", "membership")], "id long, stripe_price_id string, product_type string")
+    profs = frame([(7, "a@b.c")], "id long, email string")
+    affs = frame([(5, "premium", 30.0, True), (6, "standard", 30.0, False)], "id long, tier string, commission_pct double, is_active boolean")
+    path = scratch_path(spark, "t-intake")
+    sink = sinks.IntakeSink(path, prods, profs, affs)
+    sinks.run_batches(feed(data, 3, "id long, received_at timestamp, body string, affiliate_id long"), sink, f"{path}-checkpoint")
+
+    def table(name, *cols):
+        return rows(spark.read.parquet(f"{path}/{name}"), *cols)
+
+    assert table("purchases", "id", "product_id", "profile_id") == [(1, 10, 7), (4, 11, 7), (5, 10, 7)]
+    assert table("subscriptions", "id") == [(2,)] and table("skipped", "id") == [(3,), (6,)]
+    assert table("commissions", "purchase_id", "amount_cents") == [(1, 1188)]  # 6 is not active
+
+
+def test_upsert_of_an_empty_stream(spark):
+    path = scratch_path(spark, "empty")
+    spark.createDataFrame([], "k string, v long").write.parquet(path)
+    stream = spark.readStream.schema("k string, v long").parquet(path)
+    assert sinks.run_upsert(stream, "t-empty", ["k"], ["v"], mode="append").count() == 0
