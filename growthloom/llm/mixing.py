@@ -64,7 +64,7 @@ def mix(docs: DataFrame, seed: int = 10, weights=WEIGHTS, share: float = SHARE,
     without words take 0 words. No document is held more than twice with the given limits.
     """
     docs = docs.drop("size", "source_size", "target", "copies", "taken")
-    ranges = max(1, docs.count() // RANGE_ROWS)
+    ranges = 64 + docs.count() // RANGE_ROWS
     u = F.coalesce(F.conv(F.left(F.md5(F.concat(F.lit(f"{seed}:"), F.col("doc_id").cast("string"))), F.lit(10)), 16, 10).cast("long"), F.lit(0))
     keyed = docs.withColumns({
         "__source": _source_key(F.col("source")), "size": words_in(F.col("text")), "__key": u,

@@ -62,7 +62,7 @@ def shard(docs: DataFrame, shards: int = 16) -> DataFrame:
     placed = schedule([(r["__size"], (r["__bundle"] is None, r["__one"] or 0, r["__two"] or 0, r["__bundle"] or 0)) for r in items], shards)
     large = spark.createDataFrame([(k[1], k[2], s) for k, s in placed.items() if k[0]], "__one long, __two long, __large int")
     small = spark.createDataFrame([(k[3], s) for k, s in placed.items() if not k[0]], "__bundle int, __small int")
-    ranges = max(1, rows // RANGE_ROWS)
+    ranges = 64 + rows // RANGE_ROWS
     put = (
         docs.withColumns({"size": size, "text_crc32": F.coalesce(F.crc32("text"), F.lit(0)).cast("long"),
                           "__one": one, "__two": two, "__bundle": _bundle(two),
