@@ -42,7 +42,7 @@ def phrases(items: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def build_index(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
-    """Postings (term, row, at) of every token of (doc_id, text), or of those in `terms` (one column, term).
+    """Postings (term, row, at) of every token of (doc_id, text), or of those in `terms` (one column, term, distinct).
 
     Written to the shared folder, one segment per part of the documents; nothing is shuffled.
     """
@@ -51,7 +51,7 @@ def build_index(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
     # A text that begins with a separator has an empty first part: all its positions are one higher, which no phrase sees.
     if terms is None:
         return stage(tokens.where("word <> ''").select(F.xxhash64("word").alias("term"), "row", "at"), "postings")
-    wanted = terms.select(F.col("term").alias("word")).distinct()
+    wanted = terms.select(F.col("term").alias("word"))
     return stage(tokens.join(wanted, "word").select(F.xxhash64("word").alias("term"), "row", "at"), "postings")
 
 
@@ -107,7 +107,8 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, depth:
     """
     columns = [c for c in docs.columns if c not in ("n_words", "n_hit", "n_items", "items", "contaminated")]
     found = stage(phrases(items, window), "phrases")
-    index = build_index(docs, found.select(F.explode("words").alias("term")))
+    terms = stage(found.select(F.explode("words").alias("term")).distinct().coalesce(8), "terms")  # its size on disk decides the join
+    index = build_index(docs, terms)
     places = candidates(index, found, depth).join(found, "phrase")
     hits = places.groupBy("row").agg(F.collect_set(F.struct("start", "n", "words", "items")).alias("__hits"))
     # Positions of the index count an empty first part; so do these.

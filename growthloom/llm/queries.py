@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from growthloom.llm import contamination, language, lines, mixing, shards
+from growthloom.llm import contamination, jaccard, language, lines, mixing, shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -34,6 +34,11 @@ def op2_line_dedup(spark, sf_dir):
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op4_jaccard(spark, sf_dir):
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_shards(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
