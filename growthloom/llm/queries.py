@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from growthloom.llm import contamination, jaccard, language, lines, mixing, shards
+from growthloom.llm import contamination, jaccard, language, lines, mixing, neighbours, shards, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -34,6 +34,14 @@ def op2_line_dedup(spark, sf_dir):
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op3_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = language.held_out("doc_id", 5, 0)
+    network = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~out))
+    return toxicity.score(docs, network).select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
 @query
 def op4_jaccard(spark, sf_dir):
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
@@ -52,6 +60,11 @@ def op6_decontamination(spark, sf_dir):
     return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+@query
+def op8_neighbours(spark, sf_dir):
+    return neighbours.search(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op10_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
