@@ -56,7 +56,7 @@ class Shingler:
             return np.empty(0, dtype=U64)
         if len(self.seen) > CACHE:
             self.seen.clear()
-        for w in set(split) - self.seen.keys():
+        for w in set(split).difference(self.seen):
             self.seen[w] = xxhash.xxh3_64_intdigest(w)
         a = np.fromiter(map(self.seen.__getitem__, split), dtype=U64, count=len(split))
         width = min(self.words, len(a))

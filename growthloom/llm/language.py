@@ -89,7 +89,7 @@ def _scored(model: Model, texts: pd.Series, rows: dict[str, int], matrix: list[n
         if len(rows) > CACHE:
             rows.clear()
             matrix.clear()
-        for w in set(words) - rows.keys():
+        for w in set(words).difference(rows):
             rows[w] = len(matrix)
             matrix.append(model.word(w))
         n = len(words)

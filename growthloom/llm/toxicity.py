@@ -196,7 +196,7 @@ class Scorer:
             words = words_of(text)
             if not words:
                 continue
-            new = set(words) - self.rows.keys()
+            new = set(words).difference(self.rows)
             if new:
                 if len(self.rows) + len(new) > CACHE:
                     self.flush(waiting, owner, best)
@@ -265,7 +265,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network | N
                 words = words_of(text)
                 if len(seen) > CACHE:
                     seen.clear()
-                for w in set(words) - seen.keys():
+                for w in set(words).difference(seen):
                     ids = network.ids(w)
                     seen[w] = max(first_word[ids[0]], max(first_gram[ids[1:]]))
                 marks = np.array([seen[w] for w in words])
