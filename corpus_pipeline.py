@@ -3,7 +3,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from growthloom.llm import language, mixing, shards
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from growthloom.llm import contamination, jaccard, language, mixing, shards
 from growthloom.session import stage
 
 
@@ -13,6 +16,21 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.identify(docs, model).where("lang_pred <> 'und'").select(*docs.columns)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked ones: the smallest doc_id. Rows without doc_id stay, a repeated row once."""
+    found = jaccard.jaccard_components(docs.select("doc_id", "text"))
+    first = found.where("doc_id = component_id").select("doc_id").distinct()
+    one = W.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.xxhash64("lang", "source", "n_chars"))
+    kept = docs.join(first, "doc_id").withColumn("__nth", F.row_number().over(one)).where("__nth = 1")
+    return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return contamination.contaminated(docs, items).where("not contaminated").select(*docs.columns)
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: documents repeated or left out to meet each source's target."""
     return mixing.mixed(docs)
@@ -23,7 +41,8 @@ def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return shards.shard(docs)
 
 
-STAGES = [("language ID", languages), ("mixing", mixture), ("sharding", sharding)]
+STAGES = [("language ID", languages), ("near copies", near_copies), ("decontamination", decontamination),
+          ("mixing", mixture), ("sharding", sharding)]
 ORACLE_SQL = None  # fitted models, graph components and a heap: tested against brute force instead
 
 

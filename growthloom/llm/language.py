@@ -64,8 +64,8 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     padded = F.concat(F.lit(" "), F.col("gram"), F.lit(" "))
     tables = {0: words.where(F.col("n") >= LEAST)}
     for n in ORDERS:
-        last = F.length("gram") + 3 - n
-        grams = F.transform(F.sequence(F.lit(1), last), lambda i, n=n: F.substring(padded, i, F.lit(n)))
+        length = F.lit(n)
+        grams = F.transform(F.sequence(F.lit(1), F.length("gram") + 3 - n), lambda i: F.substring(padded, i, length))  # noqa: B023
         tables[n] = (words.where(F.length("gram") + 3 > n).select("lang", F.explode(grams).alias("gram"), "n")
                      .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     entries, totals = {}, {}

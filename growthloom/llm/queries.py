@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from growthloom.llm import contamination, jaccard, language, lines, mixing, neighbours, shards, toxicity
+from growthloom.llm import contamination, jaccard, language, licenses, lines, mixing, neighbours, pii, shards, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -60,11 +60,30 @@ def op6_decontamination(spark, sf_dir):
     return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+@query
+def op7_licenses(spark, sf_dir):
+    """The documents as a tree: source, hundreds of ids, file. One that opens with a licence statement is a licence file."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    opens = F.substring_index("text", "\n", 1).rlike(licenses.CUES)
+    name = F.when(opens, F.concat(F.lit("LICENSE."), "doc_id")).otherwise(F.concat("doc_id", F.lit(".txt")))
+    folder = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.floor(F.col("doc_id") / 100))
+    files = docs.select(F.concat(folder, F.lit("/"), name).alias("path"), "text")
+    out = licenses.scan(files, licenses.templates(spark))
+    return out.select(F.regexp_extract("path", r"/(?:LICENSE\.)?(-?[0-9]+)[^/]*$", 1).cast("long").alias("doc_id"), "path", "license", "score", "own", "from_path")
+
+
 @query
 def op8_neighbours(spark, sf_dir):
     return neighbours.search(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op9_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pii.find(docs, pii.fit(docs))
+    return out.select("doc_id", *[pii.count_of("base", k).alias(f"n_{k}") for k in pii.KINDS], F.sha2(pii.written("base"), 256).alias("base_sha256"), pii.written("spans").alias("spans"))
+
+
 @query
 def op10_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
