@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # Fixed values ---------------------------------------------------------------
-EMAIL_PATTERN = r"^[^\s@]+@[^\s@]+\.[^\s@]+$"
+EMAIL_PATTERN = r"^[^\s@]+@[^\s@]+\.[^\s@]+\z"
 SECONDS_PER_WORD = 0.45
 HIGH_SCORE = 9.2
 VIRAL_VIEWS = 10_000
@@ -70,8 +70,13 @@ def session_seconds(start, end) -> Column:
     return F.round(span).cast("long")
 
 
+def stripped(col) -> Column:
+    """Without white space of any kind at either end."""
+    return F.regexp_replace(_c(col), r"^\s+|\s+\z", "")
+
+
 def normalize_email(col) -> Column:
-    return F.lower(F.trim(_c(col)))
+    return F.lower(stripped(_c(col)))
 
 
 def valid_email(col) -> Column:
@@ -81,7 +86,7 @@ def valid_email(col) -> Column:
 def display_name(name, email) -> Column:
     """Name, or the mailbox part when blank, without digits."""
     given = F.nullif(_c(name), F.lit(""))
-    return F.trim(F.regexp_replace(F.coalesce(given, F.split_part(_c(email), F.lit("@"), F.lit(1))), "[0-9]", ""))
+    return stripped(F.regexp_replace(F.coalesce(given, F.split_part(_c(email), F.lit("@"), F.lit(1))), "[0-9]", ""))
 
 
 def or_default(col, default, kind: str = "string") -> Column:

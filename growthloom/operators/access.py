@@ -56,21 +56,21 @@ def visible(tables: dict[str, DataFrame], table: str, role: str = "anon", uid: s
 
 
 def check_writes(df: DataFrame, profiles: DataFrame, table: str, role: str, uid: str | None = None) -> DataFrame:
-    """Add `accepted`: may this role insert the row?
+    """Add `accepted`: may this role write the row?
 
-    Anonymous callers may add funnel events without a profile; signed-in callers
-    funnel events of their own profile, and page views of their own or none.
+    The insert policies name no role, so they hold for every caller and are ORed: funnel events and page views without a
+    profile are open to all, those of a profile to its owner. On `profiles` the row is an update, allowed to its owner.
     """
-    free = F.col("profile_id").isNull()
     if role == "service_role":
         return df.withColumn("accepted", F.lit(True))
-    if role == "anon":
-        allowed = free if table == "analytics_funnel_events" else F.lit(False)
-        return df.withColumn("accepted", allowed)
-    if table not in ("analytics_funnel_events", "analytics_page_views"):
+    if table not in ("analytics_funnel_events", "analytics_page_views", "profiles"):
         return df.withColumn("accepted", F.lit(False))
-    mine = _own_profiles({"profiles": profiles}, uid)
+    if table == "profiles":
+        own = F.coalesce(F.col("auth_id") == F.lit(uid), F.lit(False))
+        return df.withColumn("accepted", own if role == "authenticated" else F.lit(False))
+    free = F.col("profile_id").isNull()
+    if role != "authenticated" or uid is None:
+        return df.withColumn("accepted", free)
+    mine = _own_profiles({"profiles": profiles}, uid).distinct()
     joined = df.join(mine, F.col("profile_id") == F.col("_owner"), "left")
-    own = F.col("_owner").isNotNull()
-    accepted = (own | free) if table == "analytics_page_views" else own
-    return joined.withColumn("accepted", accepted).drop("_owner")
+    return joined.withColumn("accepted", free | F.col("_owner").isNotNull()).drop("_owner")

@@ -37,13 +37,14 @@ def workflow_logs(workflows: DataFrame, logs: DataFrame, cond: Column, keep_idle
 def or_lookup(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], payload: Sequence[str]) -> DataFrame:
     """Match on the first key pair that hits, later pairs only where earlier ones miss.
 
-    One equi-join per pair instead of a nested-loop join on an OR.  Right keys
-    must be unique; left rows without any match keep NULL payload.
+    One equi-join per pair instead of a nested-loop join on an OR.  A right key
+    that repeats counts once, with its least payload, so no left row is doubled;
+    left rows without any match keep NULL payload.
     """
     out = left
     for n, (lk, rk) in enumerate(pairs):
-        side = right.where(F.col(rk).isNotNull()).select(
-            F.col(rk).alias(f"_k{n}"), F.struct(*[F.col(p) for p in payload]).alias(f"_p{n}")
+        side = right.where(F.col(rk).isNotNull()).groupBy(F.col(rk).alias(f"_k{n}")).agg(
+            F.min(F.struct(*[F.col(p) for p in payload])).alias(f"_p{n}")
         )
         out = out.join(side, F.col(lk) == F.col(f"_k{n}"), "left")
     hit = F.coalesce(*[F.col(f"_p{n}") for n in range(len(pairs))])

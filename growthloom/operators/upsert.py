@@ -96,23 +96,33 @@ def touch(df: DataFrame, changed: Column, as_of: Column) -> DataFrame:
 
 
 def grant_access(items: DataFrame, products: DataFrame, paid: DataFrame, as_of: Column) -> DataFrame:
-    """Open paid items: flag, time and the first file of the product."""
+    """Open the items paid in this run: flag, time and the first file of the product.
+
+    Items not paid here keep what they have, and an item granted before keeps its time and its link.
+    """
     files = products.select(F.col("id").alias("product_id"), F.get_json_object("file_urls", "$[0].url").alias("_url"))
     done = paid.select("purchase_id").distinct().withColumn("_paid", F.lit(True))
     joined = items.join(done, "purchase_id", "left").join(files, "product_id", "left")
     opened = F.coalesce(F.col("_paid"), F.lit(False))
+
+    def old(name: str, kind: str) -> Column:
+        return F.col(name) if name in items.columns else F.lit(None).cast(kind)
+
+    before = F.coalesce(old("access_granted", "boolean"), F.lit(False))
+    fresh = opened & ~before
     return joined.withColumns(
         {
-            "access_granted": opened,
-            "access_granted_at": F.when(opened, as_of),
-            "download_url": F.when(opened, F.col("_url")),
+            "access_granted": before | opened,
+            "access_granted_at": F.when(fresh, as_of).otherwise(old("access_granted_at", "timestamp_ntz")),
+            "download_url": F.when(fresh, F.col("_url")).otherwise(old("download_url", "string")),
         }
     ).drop("_paid", "_url")
 
 
 def refresh_last_run(workflows: DataFrame, logs: DataFrame) -> DataFrame:
-    """Registry rows with time and status of their newest run."""
+    """Registry rows with time and status of their newest run; a workflow without a run in `logs` keeps its own."""
     last = logs.groupBy(F.col("workflow_id").alias("id")).agg(
         F.max("started_at").alias("last_run_at"), F.max_by("status", F.struct("started_at", "id")).alias("last_run_status")
     )
-    return workflows.join(last, "id", "left")
+    last = last.withColumnsRenamed({"last_run_at": "_at", "last_run_status": "_status"})
+    return update_from(workflows, last, ["id"], {"last_run_at": F.col("_at"), "last_run_status": F.col("_status")})

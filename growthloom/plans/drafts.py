@@ -33,12 +33,13 @@ def ingest_completions(completions: DataFrame, text: str, keys: list[str], asked
 
 def count_usage(hooks: DataFrame, used: DataFrame, as_of) -> DataFrame:
     """Usage counter and last use of every hook after the scripts in `used` (hook_id) are made."""
+    old = F.col("last_used_at") if "last_used_at" in hooks.columns else F.lit(None)
     n = used.groupBy(F.col("hook_id").alias("id")).agg(F.count(F.lit(1)).alias("_n"))
     joined = hooks.join(n, "id", "left")
     return joined.withColumns(
         {
             "times_used": F.col("times_used") + F.coalesce("_n", F.lit(0)),
-            "last_used_at": F.when(F.col("_n").isNotNull(), as_of),
+            "last_used_at": F.when(F.col("_n").isNotNull(), as_of).otherwise(old),
         }
     ).drop("_n")
 

@@ -51,7 +51,7 @@ def slice_hot_keys(df: DataFrame, keys: Sequence[str], order: str, rows: int = H
     parts = F.ceil(F.col("_n") * SLICES_PER_LIMIT / F.lit(rows))
     share = (place - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1)
     return (
-        df.join(F.broadcast(stats), _same(keys, "_h_"), "left")
+        df.join(stats, _same(keys, "_h_"), "left")
         .withColumn("_hot", F.col("_n").isNotNull())
         .withColumn("_slice", F.when(F.col("_hot"), F.floor(share * parts)).otherwise(F.lit(0)).cast("long"))
         .drop("_n", "_lo", "_hi", *[f"_h_{k}" for k in keys])
@@ -119,7 +119,7 @@ def scan_by_key(
         .agg(*totals)
         .select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_slice").alias("_k__slice"), *carries)
     )
-    out = work.select("*", *local).join(F.broadcast(carry), _same([*keys, "_slice"], "_k_"), "left")
+    out = work.select("*", *local).join(carry, _same([*keys, "_slice"], "_k_"), "left")
     for name, (kind, _) in outputs.items():
         here, past = F.col(f"_l_{name}"), F.col(f"_c_{name}")
         if kind == "lag":

@@ -165,10 +165,10 @@ def _(t: Tables) -> DataFrame:
 
 @op("production_shots", """SELECT id, line_no, round((before * 45) / 100.0::DOUBLE, 2) AS start_s, lower(ov) AS term, lower(category) AS pillar FROM
     (SELECT wl.*, CAST(sum(words) OVER (PARTITION BY wl.id ORDER BY line_no) AS BIGINT) - words AS before,
-       upper(replace(array_to_string(list_filter(regexp_split_to_array(coalesce(sc.lines[1:4][least(line_no, len(sc.lines[1:4]))], ''), '\\s+'), lambda x: x <> '')[1:2], ' '), 'ß', 'SS')) AS ov
+       upper(replace(array_to_string(list_filter(regexp_split_to_array(coalesce(list_filter(sc.lines, lambda x, i: i % 2 = 1)[least(line_no, len(list_filter(sc.lines, lambda x, i: i % 2 = 1)))], ''), '\\s+'), lambda x: x <> '')[1:2], ' '), 'ß', 'SS')) AS ov
      FROM wl JOIN sc ON sc.id = wl.id)""")
 def _(t: Tables) -> DataFrame:
-    rows = t.scripts.withColumn("visuals", F.slice("lines", 1, 4))
+    rows = t.scripts.withColumn("visuals", F.filter("lines", lambda x, i: i % 2 == 0))
     return packages.shot_list(rows).select(
         "id", "line_no", "start_s", F.col("search_terms")[0].alias("term"), F.col("search_terms")[1].alias("pillar")
     )

@@ -162,15 +162,22 @@ def _(t: Tables) -> DataFrame:
     return _visible(t, "profiles", "service_role").select("id", "email")
 
 
-@op("rls_write_check", """SELECT id, profile_id IS NULL AS anon_ok, profile_id IS NOT NULL AND profile_id = 7 AS user_ok,
-    profile_id IS NULL OR profile_id = 7 AS page_ok FROM fe""")
+@op("rls_write_check", """WITH r AS (SELECT * FROM (VALUES ('anon'), ('authenticated'), ('service_role')) v(role)),
+    t AS (SELECT * FROM (VALUES ('analytics_funnel_events'), ('analytics_page_views'), ('purchases')) v(tbl))
+    SELECT id, tbl, role, role = 'service_role' OR (tbl <> 'purchases' AND (profile_id IS NULL OR (role = 'authenticated' AND profile_id = 7))) AS accepted
+    FROM fe, r, t
+    UNION ALL SELECT id, 'profiles', role, role = 'service_role' OR (role = 'authenticated' AND id = 7) FROM pr, r""")
 def _(t: Tables) -> DataFrame:
     rows = t.funnel_events.select("id", "profile_id")
-    anon = access.check_writes(rows, t.profiles, "analytics_funnel_events", "anon").withColumnRenamed("accepted", "anon_ok")
-    user = access.check_writes(anon, t.profiles, "analytics_funnel_events", "authenticated", "auth-7")
-    page = access.check_writes(user.withColumnRenamed("accepted", "user_ok"), t.profiles, "analytics_page_views",
-                               "authenticated", "auth-7")
-    return page.select("id", "anon_ok", "user_ok", F.col("accepted").alias("page_ok"))
+    out = None
+    for table in ("analytics_funnel_events", "analytics_page_views", "purchases", "profiles"):
+        written = t.profiles.select("id", "auth_id") if table == "profiles" else rows
+        for role in ("anon", "authenticated", "service_role"):
+            uid = "auth-7" if role == "authenticated" else None
+            one = access.check_writes(written, t.profiles, table, role, uid)
+            one = one.select("id", F.lit(table).alias("tbl"), F.lit(role).alias("role"), "accepted")
+            out = one if out is None else out.unionAll(one)
+    return out
 
 
 @op("event_type_gate", """SELECT event_id AS id, event_type NOT IN ('purchase','signup') AS skip,

@@ -66,13 +66,15 @@ def _(t: Tables) -> DataFrame:
 @op("or_key_lookup", """SELECT m.id, coalesce(a.id, b.id) AS product_id, CASE WHEN a.id IS NOT NULL THEN 'product_key'
       WHEN b.id IS NOT NULL THEN 'price_key' END AS matched_on
     FROM (SELECT event_id AS id, CASE WHEN k < 60 THEN CAST(k AS VARCHAR) END AS pk, CASE WHEN k >= 40 THEN 'price_' || k END AS rk FROM ev) m
-    LEFT JOIN dp a ON CAST(a.id AS VARCHAR) = m.pk LEFT JOIN dp b ON b.stripe_price_id = m.rk""")
+    LEFT JOIN dp a ON CAST(a.id AS VARCHAR) = m.pk
+    LEFT JOIN (SELECT min(id) AS id, 'price_' || (id % 70) AS price FROM dp GROUP BY 2) b ON b.price = m.rk""")
 def _(t: Tables) -> DataFrame:
     asked = t.events.select(
         F.col("event_id").alias("id"), F.when(F.col("k") < 60, F.col("k").cast("string")).alias("product_key"),
         F.when(F.col("k") >= 40, F.concat(F.lit("price_"), F.col("k"))).alias("price_key"),
     )
-    shelf = t.products.select(F.col("id").alias("product_id"), F.col("id").cast("string").alias("_pid"), "stripe_price_id")
+    shelf = t.products.select(F.col("id").alias("product_id"), F.col("id").cast("string").alias("_pid"),
+                              F.concat(F.lit("price_"), F.col("id") % 70).alias("stripe_price_id"))  # prices that products share
     found = J.or_lookup(asked, shelf, [("product_key", "_pid"), ("price_key", "stripe_price_id")], ["product_id"])
     return found.select("id", "product_id", "matched_on")
 
@@ -101,11 +103,11 @@ def _(t: Tables) -> DataFrame:
     return zipped.select("position", "order_id", "event_id")
 
 
-@op("line_visual_align", """SELECT id, CAST(line_no AS BIGINT) AS line_no, line, lines[1:3][least(line_no, len(lines[1:3]))] AS visual
-    FROM (SELECT id, lines, unnest(lines) AS line, generate_subscripts(lines, 1) AS line_no FROM sc)""")
+@op("line_visual_align", """SELECT id, CAST(line_no AS BIGINT) AS line_no, line, seen[least(line_no, len(seen))] AS visual
+    FROM (SELECT id, list_filter(lines, lambda x, i: i % 2 = 1) AS seen, unnest(lines) AS line, generate_subscripts(lines, 1) AS line_no FROM sc)""")
 def _(t: Tables) -> DataFrame:
-    # Scripts with up to three visuals each: their first lines.
-    seen = t.scripts.withColumn("visuals", F.slice("lines", 1, 3))
+    # Every second line is a visual.
+    seen = t.scripts.withColumn("visuals", F.filter("lines", lambda x, i: i % 2 == 0))
     return J.align(seen, ["id"], "lines", "visuals")
 
 
@@ -123,16 +125,16 @@ def _(t: Tables) -> DataFrame:
 
 
 @op("cookie_window_join", """SELECT b.id, b.affiliate_id, b.at, c.id AS click_id FROM
-    (SELECT DISTINCT affiliate_id, converted_at AS at, CAST(purchase_id * 10 + line_no AS BIGINT) AS id FROM rf) b
-    ASOF LEFT JOIN (SELECT affiliate_id, clicked_at AS at, max(purchase_id) AS id FROM rf GROUP BY 1, 2) c
-      ON c.affiliate_id = b.affiliate_id AND c.at <= b.at
+    (SELECT DISTINCT affiliate_id, profile_id, converted_at AS at, CAST(purchase_id * 10 + line_no AS BIGINT) AS id FROM rf) b
+    ASOF LEFT JOIN (SELECT affiliate_id, profile_id, clicked_at AS at, max(purchase_id) AS id FROM rf GROUP BY 1, 2, 3) c
+      ON c.affiliate_id = b.affiliate_id AND c.profile_id = b.profile_id AND c.at <= b.at
     WHERE c.at >= b.at - INTERVAL 60 DAY""")
 def _(t: Tables) -> DataFrame:
-    clicks = t.referrals.groupBy("affiliate_id", F.col("clicked_at").alias("at")).agg(F.max("purchase_id").alias("id"))
+    clicks = t.referrals.groupBy("affiliate_id", "profile_id", F.col("clicked_at").alias("at")).agg(F.max("purchase_id").alias("id"))
     buys = t.referrals.select(
-        "affiliate_id", F.col("converted_at").alias("at"), (F.col("purchase_id") * 10 + F.col("line_no")).alias("id")
+        "affiliate_id", "profile_id", F.col("converted_at").alias("at"), (F.col("purchase_id") * 10 + F.col("line_no")).alias("id")
     ).distinct()
-    done = J.attribute(clicks, buys, ["affiliate_id"], 60)
+    done = J.attribute(clicks, buys, ["affiliate_id", "profile_id"], 60)
     return done.where("click_id is not null").select("id", "affiliate_id", "at", "click_id")
 
 

@@ -65,10 +65,14 @@ def _(t: Tables) -> DataFrame:
     return U.swap_tag(t.subscriber_tags, buyers, "signup-3", "buyer")
 
 
-@op("increment_counters", """SELECT ho.id, ho.times_used + coalesce(v.n, 0) AS times_used, CASE WHEN v.n IS NOT NULL THEN {ea} END AS last_used_at
-    FROM ho LEFT JOIN (SELECT hook_id, count(*) AS n FROM vi GROUP BY 1) v ON v.hook_id = ho.id""".format(ea=EA))
+@op("increment_counters", """SELECT ho.id, ho.times_used + coalesce(v.n, 0) AS times_used,
+    CASE WHEN v.n IS NOT NULL THEN {ea} WHEN ho.id % 3 > 0 THEN TIMESTAMP '2023-06-01' END AS last_used_at
+    FROM ho LEFT JOIN (SELECT hook_id, count(*) AS n FROM vi WHERE hook_id % 2 = 0 GROUP BY 1) v ON v.hook_id = ho.id""".format(ea=EA))
 def _(t: Tables) -> DataFrame:
-    return drafts.count_usage(t.hooks, t.videos.select("hook_id"), as_ts(AS_OF_EVENTS)).select("id", "times_used", "last_used_at")
+    # Two hooks in three were used before; hooks with odd ids are not used in this run.
+    before = t.hooks.withColumn("last_used_at", F.when(F.col("id") % 3 > 0, as_ts("2023-06-01 00:00:00")))
+    used = t.videos.where("hook_id % 2 = 0").select("hook_id")
+    return drafts.count_usage(before, used, as_ts(AS_OF_EVENTS)).select("id", "times_used", "last_used_at")
 
 
 @op("apply_deltas", """SELECT pr.id, pr.acct_cents + coalesce(o.s, 0) AS acct_cents FROM pr LEFT JOIN
@@ -84,17 +88,27 @@ def _(t: Tables) -> DataFrame:
     return U.delete_where(t.subscriber_tags, gone)
 
 
-@op("grant_access", f"""SELECT it.purchase_id, it.line_no, it.product_id, it.quantity, ph.status = 'completed' AS access_granted,
-    CASE WHEN ph.status = 'completed' THEN {OA} END AS access_granted_at, CASE WHEN ph.status = 'completed' THEN dp.first_file END AS download_url
+@op("grant_access", f"""SELECT it.purchase_id, it.line_no, it.product_id, it.quantity, it.line_no = 1 OR ph.status = 'completed' AS access_granted,
+    CASE WHEN it.line_no = 1 THEN TIMESTAMP '1998-01-01' WHEN ph.status = 'completed' THEN {OA} END AS access_granted_at,
+    CASE WHEN it.line_no = 1 THEN 'sent/' || it.purchase_id WHEN ph.status = 'completed' THEN dp.first_file END AS download_url
     FROM it JOIN ph ON ph.id = it.purchase_id LEFT JOIN dp ON dp.id = it.product_id""")
 def _(t: Tables) -> DataFrame:
-    items = t.purchase_items.select("purchase_id", "line_no", "product_id", "quantity")
+    # First lines were granted earlier, whatever became of their purchase.
+    first = F.col("line_no") == 1
+    items = t.purchase_items.select(
+        "purchase_id", "line_no", "product_id", "quantity", first.alias("access_granted"),
+        F.when(first, as_ts("1998-01-01 00:00:00")).alias("access_granted_at"),
+        F.when(first, F.concat(F.lit("sent/"), "purchase_id")).alias("download_url"),
+    )
     paid = t.purchases_hist.where("status = 'completed'").select(F.col("id").alias("purchase_id"))
     return U.grant_access(items, t.products, paid, as_ts(AS_OF_ORDERS))
 
 
-@op("refresh_last_run", """SELECT wf.id, wf.name, l.last_run_at, l.last_run_status FROM wf LEFT JOIN
-    (SELECT workflow_id, started_at AS last_run_at, status AS last_run_status FROM lg
+@op("refresh_last_run", """SELECT wf.id, wf.name, coalesce(l.last_run_at, TIMESTAMP '2023-06-01') AS last_run_at,
+    coalesce(l.last_run_status, 'success') AS last_run_status FROM wf LEFT JOIN
+    (SELECT workflow_id, started_at AS last_run_at, status AS last_run_status FROM lg WHERE workflow_id % 2 = 0
      QUALIFY row_number() OVER (PARTITION BY workflow_id ORDER BY started_at DESC, id DESC) = 1) l ON l.workflow_id = wf.id""")
 def _(t: Tables) -> DataFrame:
-    return U.refresh_last_run(t.workflows, t.execution_logs)
+    # All workflows have run before; those with odd ids are idle now.
+    before = t.workflows.select("id", "name", as_ts("2023-06-01 00:00:00").alias("last_run_at"), F.lit("success").alias("last_run_status"))
+    return U.refresh_last_run(before, t.execution_logs.where("workflow_id % 2 = 0"))

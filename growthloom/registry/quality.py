@@ -35,9 +35,12 @@ def _(t: Tables) -> DataFrame:
     return Q.violations_null(t.funnel_events, ["profile_id", "anonymous_id", "stage"])
 
 
-@op("check_fk", """SELECT o_orderkey AS id FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""")
+@op("check_fk", """SELECT l_orderkey AS purchase_id, CAST(l_linenumber AS BIGINT) AS line_no FROM lineitem
+    WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')""")
 def _(t: Tables) -> DataFrame:
-    return Q.violations_fk(t.purchases_hist, t.purchase_items, "id", "purchase_id").select("id")
+    kept = t.raw("orders").where("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("id"))
+    gone = Q.violations_fk(t.purchase_items, kept, "purchase_id", "id")
+    return gone.select("purchase_id", F.col("line_no").cast("long").alias("line_no"))
 
 
 @op("cascade_delete", """SELECT 'cascade' AS rule, p.id, p.referred_by AS link FROM pr p

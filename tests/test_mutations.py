@@ -8,6 +8,7 @@ from pyspark.sql import functions as F, types as T
 
 from conftest import rows
 from growthloom import schemas
+from growthloom.plans import drafts
 from growthloom.operators import access, filters, quality as Q, upsert as U
 from growthloom.sources import layout, sinks, tables
 from growthloom.sources.fixtures import RAW
@@ -169,8 +170,10 @@ def test_write_rules(frame):
     def ok(table, role, uid=None):
         return rows(access.check_writes(ev, profiles, table, role, uid).where("accepted"), "id")
 
-    assert ok("analytics_funnel_events", "anon") == [(3,)] and ok("analytics_page_views", "anon") == []
-    assert ok("analytics_funnel_events", "authenticated", "u1") == [(1,)]
+    assert ok("analytics_funnel_events", "anon") == [(3,)] and ok("analytics_page_views", "anon") == [(3,)]
+    assert ok("analytics_funnel_events", "authenticated", "u1") == [(1,), (3,)]
+    me = access.check_writes(profiles, profiles, "profiles", "authenticated", "u2")
+    assert rows(me.where("accepted"), "id") == [(2,)]
     assert ok("analytics_page_views", "authenticated", "u1") == [(1,), (3,)]
     assert ok("purchases", "authenticated", "u1") == [] and ok("purchases", "service_role") == [(1,), (2,), (3,)]
 
@@ -248,3 +251,17 @@ def test_layout_prunes_days_and_replaces_only_written_days(spark, frame):
     assert rows(got, "id", "revenue_cents") == [("a", 1), ("d", 4)]
     plan = layout.read_days(spark, "analytics_funnel_events", path, "2024-01-02", "2024-01-02")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan
+
+
+def test_mutations_leave_other_rows_alone(frame):
+    items = frame([(1, 5, True, "2020-01-01", "old"), (2, 5, False, None, None), (3, 5, True, "2020-01-01", "old")],
+                  "purchase_id long, product_id long, access_granted boolean, access_granted_at string, download_url string")
+    products = frame([(5, '[{"url": "new"}]')], "id long, file_urls string")
+    got = U.grant_access(items, products, frame([(2,), (3,)], "purchase_id long"), F.lit("2024-01-01"))
+    assert rows(got, "purchase_id", "access_granted", "access_granted_at", "download_url") == [
+        (1, True, "2020-01-01", "old"), (2, True, "2024-01-01", "new"), (3, True, "2020-01-01", "old")]
+    flows = frame([(1, "a", "ok"), (2, "b", "ok")], "id long, last_run_at string, last_run_status string")
+    logs = frame([(9, 1, "c", "failed")], "id long, workflow_id long, started_at string, status string")
+    assert rows(U.refresh_last_run(flows, logs)) == [(1, "c", "failed"), (2, "b", "ok")]
+    hooks = frame([(1, 3, "x"), (2, 3, "x")], "id long, times_used long, last_used_at string")
+    assert rows(drafts.count_usage(hooks, frame([(2,)], "hook_id long"), F.lit("y"))) == [(1, 3, "x"), (2, 4, "y")]
