@@ -22,6 +22,7 @@ KNOWN_WORDS, KNOWN_GRAMS = 4_000, 6_000  # words and n-grams with a vector: the
 LEAST = 5  # occurrences of a word or n-gram that has one
 SIZE, HIDDEN = 6, 8
 GRAMS = 8  # known n-grams of a word that count, the first ones
+EPOCHS, STEPS = 8, 400  # passes over the windows, more if these are too few for that many steps
 BATCH = 2048  # windows scored at once
 CACHE = 200_000  # words a task remembers at once
 WORD = re.compile(r"[^\W\d_]+")
@@ -106,15 +107,15 @@ class Network:
     def logits(self, projected: dict[str, np.ndarray], rows: np.ndarray) -> np.ndarray:
         """Scores of windows; `rows` (n, t) are rows of the projected inputs, -1 past the end."""
         mask = (rows >= 0)[..., None].astype(np.float32)
-        states = [self._gru(d, projected[d][rows], mask, False)[0] for d in "fb"]
+        states = [self._gru(d, projected[d][np.maximum(rows, 0)], mask, False)[0] for d in "fb"]
         return self._pool(np.concatenate(states, axis=2), mask)[3] + np.float32(self.shift)
 
-    def fit(self, ids: np.ndarray, mask: np.ndarray, label: np.ndarray, epochs: int = 8, seed: int = 3) -> None:
+    def fit(self, ids: np.ndarray, mask: np.ndarray, label: np.ndarray, seed: int = 3) -> None:
         """Train on windows: ids (n, t, 1 + GRAMS), mask (n, t), label (n); Adam on weighted log loss."""
         rng, p = np.random.default_rng(seed), self.p
         m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
         weight = np.where(label == 1, 0.5 / max(label.mean(), 1e-9), 0.5 / max(1 - label.mean(), 1e-9))
-        step = 0
+        step, epochs = 0, max(EPOCHS, -(-STEPS * 128 // max(len(label), 128)))
         for epoch in range(epochs):
             order = rng.permutation(len(label))
             for low in range(0, len(order), 128):
