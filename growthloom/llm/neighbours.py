@@ -155,7 +155,7 @@ def _top(block: pa.Table, k: int) -> pa.Table:
     def side(query: bool):
         rows = block.filter(pa.compute.equal(block["query"], query))
         v = rows["v"].combine_chunks()
-        return rows["vec_id"].to_numpy(), np.asarray(v.flatten()).reshape(len(rows), -1)
+        return rows["vec_id"].to_numpy(), np.asarray(v.flatten()).reshape(len(rows), -1 if len(rows) else 0)
 
     query_ids, q = side(True)
     ids, v = side(False)
