@@ -18,10 +18,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 SAMPLE = 8_000  # vectors the partitions are learned from
-PART_ROWS = 1_000  # vectors a partition should hold, as far as the sample allows that many partitions
+SPREAD = 16  # one partition per SPREAD of the root of the vectors: a query gets k rows from each one it visits
 MOST_PARTS = 128
 LINKS = 16  # neighbours of a vector in the graph
-RECALL = 0.99  # wanted on the sample
+RECALL = 0.95  # wanted on the sample
 BLOCK = 4096  # vectors, BLOCK_QUERIES queries in one block
 BLOCK_QUERIES = 1024
 
@@ -127,7 +127,7 @@ def fit(vectors: DataFrame, rows: int, k: int, sample: int = SAMPLE, recall: flo
     """Router, number of parts and parts to visit, learned from about `sample` vectors picked by hash."""
     share = min(1.0, sample / max(rows, 1))
     picked = vectors.where(F.pmod(F.xxhash64("vec_id", F.lit(8)), F.lit(1 << 30)) < share * (1 << 30)).orderBy("vec_id").limit(2 * sample).collect()
-    parts = min(MOST_PARTS, rows // PART_ROWS, len(picked) // 32)
+    parts = min(MOST_PARTS, math.ceil(math.sqrt(rows) / SPREAD), len(picked) // 32)
     if parts < 2:
         return None, 1, 1
     x = np.array([r["v"] for r in picked])
@@ -142,7 +142,7 @@ def fit(vectors: DataFrame, rows: int, k: int, sample: int = SAMPLE, recall: flo
     order = np.argsort(-chance, axis=1, kind="stable")
     place = np.empty_like(order)
     np.put_along_axis(place, order, np.arange(parts)[None, :].repeat(len(x), 0), axis=1)
-    # The sample is thinner than the table: k neighbours there lie as far out as k * share of them here, so more is safe.
+    # The k nearest of a thin sample lie further out than those of the table, so this does not flatter.
     wanted = graph(x, k)
     rank = np.take_along_axis(place, home[wanted], axis=1)
     found = [(rank < n).mean() for n in range(1, parts + 1)]

@@ -339,7 +339,7 @@ def test_neighbours_against_brute_force(spark, sf):
 
 
 def test_neighbours_of_many_parts(frame, monkeypatch):
-    monkeypatch.setattr(neighbours, "PART_ROWS", 50)
+    monkeypatch.setattr(neighbours, "SPREAD", 2)
     monkeypatch.setattr(neighbours, "BLOCK", 64)
     monkeypatch.setattr(neighbours, "BLOCK_QUERIES", 4)
     rng = np.random.default_rng(1)
