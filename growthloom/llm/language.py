@@ -78,7 +78,27 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(sorted(share), entries, totals)
 
 
-def _scored(model: Model, texts: pd.Series, rows: dict[str, int], matrix: list[np.ndarray]) -> tuple[list, list]:
+class Scores:
+    """Scores of the words a task has met: a row number per word, the rows in one array that grows by doubling."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.rows: dict[str, int] = {}
+        self.table = np.empty((1024, len(model.languages)), dtype=np.float32)
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        if len(self.rows) > CACHE:
+            self.rows.clear()
+        new = set(words).difference(self.rows)
+        while len(self.table) < len(self.rows) + len(new):
+            self.table = np.concatenate([self.table, np.empty_like(self.table)])
+        for w in new:
+            self.table[len(self.rows)] = self.model.word(w)
+            self.rows[w] = len(self.rows)
+        return np.fromiter(map(self.rows.__getitem__, words), dtype=np.int64, count=len(words))
+
+
+def _scored(model: Model, texts: pd.Series, known: Scores) -> tuple[list, list]:
     names, scores = [], []
     for text in texts:
         words = WORD.findall(text.lower()) if text else []
@@ -86,16 +106,9 @@ def _scored(model: Model, texts: pd.Series, rows: dict[str, int], matrix: list[n
             names.append("und")
             scores.append(0.0)
             continue
-        if len(rows) > CACHE:
-            rows.clear()
-            matrix.clear()
-        for w in set(words).difference(rows):
-            rows[w] = len(matrix)
-            matrix.append(model.word(w))
         n = len(words)
-        uses = np.bincount(np.fromiter(map(rows.__getitem__, words), dtype=np.int64, count=n))
-        used = np.flatnonzero(uses)
-        total = uses[used] @ np.array([matrix[i] for i in used], dtype=np.float64)
+        at = known.numbers(words)  # may replace the table
+        total = known.table[at].sum(axis=0, dtype=np.float64)
         logit = total / n * min(n, SURE)
         p = np.exp(logit - logit.max())
         best = int(p.argmax())
@@ -114,10 +127,9 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     @F.pandas_udf("lang_pred string, score double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        rows: dict[str, int] = {}
-        matrix: list[np.ndarray] = []
+        known = Scores(shared.value)
         for texts in batches:
-            names, scores = _scored(shared.value, texts, rows, matrix)
+            names, scores = _scored(shared.value, texts, known)
             yield pd.DataFrame({"lang_pred": names, "score": scores})
 
     return docs.drop("lang_pred", "score").withColumn("__lang", score("text")).select(
