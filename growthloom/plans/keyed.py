@@ -4,8 +4,8 @@ A plain `Window.partitionBy(key)` sends all rows of a key to one task.  Here a
 key with more than `rows` rows is cut into slices along its order column; each
 slice is computed on its own and then corrected by a carry, the summary of the
 slices before it.  The side frames hold at most one entry per `rows` input rows
-(hot keys) and SLICES_PER_LIMIT per `rows` (carries), which is the bound that makes
-broadcasting them safe.  All of it is one lazy plan: the counting pass shares its
+(hot keys) and SLICES_PER_LIMIT per `rows` (carries); Spark decides by their size
+whether to broadcast them.  All of it is one lazy plan: the counting pass shares its
 exchanges with the main pass, and without a hot key AQE drops both joins.
 """
 from __future__ import annotations
