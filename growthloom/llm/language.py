@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -17,38 +18,56 @@ WORDS, GRAMS = 80_000, 20_000  # entries kept: words, n-grams of each length (th
 LEAST = 2  # occurrences of a word that is kept
 FLOOR = 0.1  # count given to a language in which an entry was not seen
 SURE = 50  # words from which more text adds no confidence
-CACHE = 300_000  # words whose scores a task remembers at once
+CACHE = 300_000  # unknown words whose scores a task remembers at once
+AT_ONCE = 50_000  # words from which the texts gathered so far are scored
 WORD = re.compile(r"[^\W\d_]+")
 
 
 class Model:
-    """Log frequencies per language of words and n-grams."""
+    """Log frequencies per language of words and n-grams: one row of `table` each."""
 
     def __init__(self, languages: list[str], entries: dict[int, dict[str, dict[str, int]]], totals: dict[tuple, int]):
         self.languages = languages
         at = {x: i for i, x in enumerate(languages)}
-        self.known: dict[int, dict[str, np.ndarray]] = {}
+        self.known: dict[int, dict[str, int]] = {}  # length (0: whole words) -> entry -> row
+        self.table = np.full((sum(map(len, entries.values())), len(languages)), FLOOR)
+        row = 0
         for order, found in entries.items():
             total = np.array([totals.get((order, x), 0) for x in languages], dtype=float) + 1
-            table = self.known[order] = {}
+            rows = self.known[order] = {}
             for gram, counts in found.items():
-                row = np.full(len(languages), FLOOR)
                 for x, n in counts.items():
-                    row[at[x]] = n + FLOOR
-                table[gram] = np.log(row / total).astype(np.float32)
-
-    def word(self, w: str) -> np.ndarray:
-        """Scores of one word: its own, or the mean of its known n-grams of the greatest length that has any."""
-        own = self.known[0].get(w)
-        if own is not None:
-            return own
-        padded = f" {w} "
+                    self.table[row, at[x]] += n
+                self.table[row] = np.log(self.table[row] / total)
+                rows[gram] = row
+                row += 1
+        self.table = self.table.astype(np.float32)
+
+    def backoff(self, word: str) -> list[int]:
+        """Rows of an unknown word's known n-grams, of the greatest length that has any."""
+        padded = f" {word} "
         for n in ORDERS:
-            table = self.known[n]
-            hits = [s for s in (table.get(padded[i : i + n]) for i in range(len(padded) - n + 1)) if s is not None]
+            rows = self.known[n]
+            hits = [rows[g] for i in range(len(padded) - n + 1) if (g := padded[i : i + n]) in rows]
             if hits:
-                return np.mean(hits, axis=0, dtype=np.float32)
-        return np.zeros(len(self.languages), dtype=np.float32)
+                return hits
+        return []
+
+    def words(self, words: list[str]) -> np.ndarray:
+        """Scores of unknown words: the mean of the rows found for each, zeros where there are none."""
+        hits = [self.backoff(w) for w in words]
+        counts = np.fromiter(map(len, hits), dtype=np.int64, count=len(hits))
+        rows = np.fromiter(chain.from_iterable(hits), dtype=np.int64, count=int(counts.sum()))
+        sums = summed(self.table, rows, np.repeat(np.arange(len(hits)), counts), len(hits))
+        return (sums / np.maximum(counts, 1)[:, None]).astype(np.float32)
+
+
+def summed(table: np.ndarray, rows: np.ndarray, group: np.ndarray, groups: int) -> np.ndarray:
+    """Sums of the given rows by group."""
+    out = np.empty((groups, table.shape[1]))
+    for i in range(table.shape[1]):
+        out[:, i] = np.bincount(group, weights=table[rows, i], minlength=groups)
+    return out
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
@@ -79,41 +98,55 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
 
 
 class Scores:
-    """Scores of the words a task has met: a row number per word, the rows in one array that grows by doubling."""
+    """Scores of the model's words and of those a task has met: a row number per word, the rows in one growing array."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.rows: dict[str, int] = {}
-        self.table = np.empty((1024, len(model.languages)), dtype=np.float32)
+        self.forget()
+
+    def forget(self) -> None:
+        self.rows = dict(self.model.known[0])
+        self.table, self.used = self.model.table, len(self.model.table)
 
     def numbers(self, words: list[str]) -> np.ndarray:
-        if len(self.rows) > CACHE:
-            self.rows.clear()
-        new = set(words).difference(self.rows)
-        while len(self.table) < len(self.rows) + len(new):
-            self.table = np.concatenate([self.table, np.empty_like(self.table)])
-        for w in new:
-            self.table[len(self.rows)] = self.model.word(w)
-            self.rows[w] = len(self.rows)
+        if self.used > len(self.model.table) + CACHE:
+            self.forget()
+        new = list(set(words).difference(self.rows))
+        if new:
+            if len(self.table) < self.used + len(new):
+                self.table = np.concatenate([self.table[: self.used], np.empty((self.used + len(new), self.table.shape[1]), dtype=np.float32)])
+            self.table[self.used : self.used + len(new)] = self.model.words(new)
+            self.rows.update(zip(new, range(self.used, self.used + len(new))))
+            self.used += len(new)
         return np.fromiter(map(self.rows.__getitem__, words), dtype=np.int64, count=len(words))
 
 
 def _scored(model: Model, texts: pd.Series, known: Scores) -> tuple[list, list]:
-    names, scores = [], []
-    for text in texts:
-        words = WORD.findall(text.lower()) if text else []
-        if not model.languages or not any(c.isalpha() for w in words for c in w):
-            names.append("und")
-            scores.append(0.0)
-            continue
-        n = len(words)
+    names, scores = ["und"] * len(texts), [0.0] * len(texts)
+    if not model.languages:
+        return names, scores
+
+    def settle(places: list[int], words: list[str], counts: list[int]) -> None:
         at = known.numbers(words)  # may replace the table
-        total = known.table[at].sum(axis=0, dtype=np.float64)
-        logit = total / n * min(n, SURE)
-        p = np.exp(logit - logit.max())
-        best = int(p.argmax())
-        names.append(model.languages[best])
-        scores.append(float(p[best] / p.sum()))
+        total = summed(known.table, at, np.repeat(np.arange(len(counts)), counts), len(counts))
+        n = np.array(counts)[:, None]
+        logit = total / n * np.minimum(n, SURE)
+        p = np.exp(logit - logit.max(axis=1, keepdims=True))
+        for place, best, sure in zip(places, p.argmax(axis=1), p.max(axis=1) / p.sum(axis=1)):
+            names[place], scores[place] = model.languages[best], float(sure)
+
+    places, words, counts = [], [], []
+    for place, text in enumerate(texts):
+        own = WORD.findall(text.lower()) if text else []
+        if any(c.isalpha() for w in own for c in w):
+            places.append(place)
+            words += own
+            counts.append(len(own))
+        if len(words) >= AT_ONCE:
+            settle(places, words, counts)
+            places, words, counts = [], [], []
+    if words:
+        settle(places, words, counts)
     return names, scores
 
 

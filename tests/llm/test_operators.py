@@ -57,8 +57,25 @@ def test_language_of_held_out_documents(spark, sf):
 def test_unseen_words_fall_back_to_shorter_grams():
     model = language.Model(["a", "b"], {0: {"known": {"a": 5}}, 5: {" unse": {"b": 4}}, 4: {}, 3: {"zzz": {"a": 3}}, 2: {}, 1: {"q": {"b": 2}}},
                            {(n, x): 10 for n in range(6) for x in "ab"})
-    assert model.word("known").argmax() == 0 and model.word("unseen").argmax() == 1
-    assert model.word("bzzzb").argmax() == 0 and model.word("q").argmax() == 1 and not model.word("w").any()
+    known = language.Scores(model)
+
+    def word(w):
+        at = known.numbers([w])
+        return known.table[at[0]]
+
+    assert word("known").argmax() == 0 and word("unseen").argmax() == 1
+    assert word("bzzzb").argmax() == 0 and word("q").argmax() == 1 and not word("w").any()
+
+
+def test_scores_do_not_depend_on_what_a_task_met_before(monkeypatch):
+    model = language.Model(["a", "b"], {0: {"known": {"a": 5}}, 5: {}, 4: {}, 3: {"zzz": {"a": 3}}, 2: {"un": {"b": 1}}, 1: {"q": {"b": 2}}},
+                           {(n, x): 10 for n in range(6) for x in "ab"})
+    texts = ["known unseen", None, "", "12 3", "bzzzb q w", "unzzz " * 300, "known"] * 5
+    whole = language._scored(model, texts, language.Scores(model))
+    assert whole[0][:5] == ["a", "und", "und", "und", "a"] and whole[0][6] == "a"
+    monkeypatch.setattr(language, "AT_ONCE", 1)
+    monkeypatch.setattr(language, "CACHE", 1)
+    assert language._scored(model, texts, language.Scores(model)) == whole
 
 
 def test_language_edges(frame):
