@@ -64,7 +64,7 @@ def _(t: Tables) -> DataFrame:
     both = _events(t).where(F.col("event_type").isin("click", "purchase")).select(
         "user_id", F.col("event_id").alias("id"), F.col("ts").alias("at"), kind.alias("kind")
     )
-    out = sinks.run_sink(both, lambda p: sinks.AttributionSink(p, "user_id", 60), "stream-attribution", "credited")
+    out = sinks.run_attribution(both, lambda p: sinks.AttributionSink(p, "user_id", 60), "stream-attribution")
     return as_ntz(out, "at", "clicked_at")
 
 

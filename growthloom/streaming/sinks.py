@@ -80,10 +80,13 @@ class MartUpsert(_State):
 class AttributionSink(_State):
     """Credit each purchase to the latest click before it.
 
-    The stream holds both sides as (key, id, at, kind), kind 0 click and 1 buy.
-    Between batches only the clicks that can still win are kept: the newest one
-    per key before the lateness limit and those after it.  No click-buy pairs
-    are formed, and purchases may come up to `late` after newer clicks.
+    The stream holds both sides as (key, id, at, kind), kind 0 click and 1 buy;
+    rows may come up to `late` after newer ones.  A purchase is held until the
+    clock has passed it by `late`, so that all of its clicks are there, and is then
+    credited once.  Besides the held purchases only the clicks that can still win
+    are kept: the newest one per key before the lateness limit and those after it.
+    No click-buy pairs are formed.  `rest` credits what is held when a stream ends.
+    A purchase that comes later than `late`, or without a time, is credited at once.
     """
 
     def __init__(self, path: str, key: str, days: int = 60, late: str = "1 hour", rows: int = HOT_ROWS):
@@ -91,16 +94,26 @@ class AttributionSink(_State):
         self.key, self.days, self.late, self.rows = key, days, late, rows
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.where("kind = 0").select(self.key, "id", "at")
-        clicks = fresh.unionByName(self.load("clicks", batch_id, fresh))
-        buys = batch.where("kind = 1").select(self.key, "id", "at")
-        self.save("credited", batch_id, attribute(clicks, buys, [self.key], self.days, self.rows))
         limit = self.clock(batch, batch_id).select(F.col("seen") - F.expr(f"interval {self.late}")).scalar()
+        held = F.coalesce(F.col("at") >= limit, F.lit(False))
+        clicks = self._with_kept("clicks", batch.where("kind = 0"), batch_id)
+        buys = self._with_kept("buys", batch.where("kind = 1"), batch_id)
+        self.save("credited", batch_id, attribute(clicks, buys.where(~held), [self.key], self.days, self.rows))
+        self.save("buys", batch_id, buys.where(held))
         # Clicks whose cookie has run out can never win again.
         alive = clicks.where(F.col("at") >= limit - F.expr(f"interval {self.days} days"))
         settled = latest_by(alive.where(F.col("at") <= limit), [self.key], ["at", "id"]).select(self.key, "id", "at")
         self.save("clicks", batch_id, settled.unionByName(clicks.where(F.col("at") > limit)))
 
+    def _with_kept(self, name: str, rows: DataFrame, batch_id: int) -> DataFrame:
+        fresh = rows.select(self.key, "id", "at")
+        return fresh.unionByName(self.load(name, batch_id, fresh))
+
+    def rest(self, like: DataFrame, batch_id: int) -> DataFrame:
+        """Credits of the purchases held after batch `batch_id`; `like` is an empty frame of (key, id, at)."""
+        clicks, buys = (self.load(name, batch_id + 1, like) for name in ("clicks", "buys"))
+        return attribute(clicks, buys, [self.key], self.days, self.rows)
+
 
 class AbandonedSink(_State):
     """Emit checkouts that had no purchase within `wait` once the clock is past it.
@@ -245,6 +258,17 @@ def run_sink(df: DataFrame, make: Callable[[str], _State], name: str, table: str
     return df.sparkSession.read.parquet(f"{path}/{table}").drop("batch_id")
 
 
+def run_attribution(df: DataFrame, make: Callable[[str], AttributionSink], name: str) -> DataFrame:
+    """Credits of a stream that has ended: those given on the way and those of the purchases still held."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    sink = make(path)
+    last = run_batches(df, sink, f"{path}-checkpoint")
+    rest = sink.rest(spark.createDataFrame([], df.select(sink.key, "id", "at").schema), last)
+    if last < 0:
+        return rest
+    return spark.read.schema(rest.schema).parquet(f"{path}/credited").select(*rest.columns).unionByName(rest)
+
+
 def run_upsert(df: DataFrame, name: str, key: list[str], set_cols: list[str], order: list[str] | None = None,
                mode: str = "update") -> DataFrame:
     """Upsert a stream into a mart and read it."""

@@ -48,22 +48,25 @@ def feed(spark):
 def test_attribution_over_many_batches(spark, frame, feed, disorder, limit):
     data = events(1, 150, disorder)
     make = lambda p: sinks.AttributionSink(p, "key", 1, "1 hour", limit)
-    got = sinks.run_sink(feed(data, 6), make, "t-attr", "credited")
+    got = sinks.run_attribution(feed(data, 6), make, "t-attr")
     both = frame(data, DDL)
-    # A click that arrives after its purchase's batch cannot be seen, so compare
-    # with the clicks that were there: all but those from later chunks.
-    size = 25
-    order = {r[1]: n // size for n, r in enumerate(data)}
     want = {}
     for k, i, at, kind in data:
         if kind == 1:
-            near = [(ca, ci) for ck, ci, ca, kk in data if kk == 0 and ck == k and ca <= at and order[ci] <= order[i]]
-            best = max(near, default=None)
-            want[i] = best[1] if best and best[0] >= at - timedelta(days=1) else None
-    assert {r["id"]: r["click_id"] for r in got.collect()} == want
-    if not disorder:
-        batch = J.attribute(both.where("kind = 0"), both.where("kind = 1"), ["key"], 1)
-        assert rows(batch, "id", "click_id") == rows(got, "id", "click_id")
+            near = [(ca, ci) for ck, ci, ca, kk in data if kk == 0 and ck == k and at - timedelta(days=1) <= ca <= at]
+            want[i] = max(near, default=(None, None))[1]
+    found = got.collect()
+    assert {r["id"]: r["click_id"] for r in found} == want and len(found) == len(want)
+    batch = J.attribute(both.where("kind = 0"), both.where("kind = 1"), ["key"], 1)
+    assert rows(batch, "id", "click_id") == rows(got, "id", "click_id")
+
+
+def test_a_click_one_batch_after_its_purchase_is_credited(feed):
+    minutes = lambda n: T0 + timedelta(minutes=n)
+    data = [("a", 1, minutes(0), 0), ("a", 2, minutes(30), 1), ("a", 3, minutes(20), 0), ("a", 4, minutes(200), 2), ("a", 5, minutes(201), 1),
+            ("b", 6, None, 1)]
+    got = sinks.run_attribution(feed(data, 6), lambda p: sinks.AttributionSink(p, "key", 1), "t-attr")
+    assert rows(got, "id", "click_id") == [(2, 3), (5, 3), (6, None)]
 
 
 @pytest.mark.parametrize("disorder", [0, 4])
