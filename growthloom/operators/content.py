@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from growthloom.functions import exprs as X
+from growthloom.operators.joins import visual_at
 from growthloom.plans import keyed
 
 METRICS = ["views", "likes", "shares", "comments", "saves"]
@@ -149,17 +150,34 @@ def production_order(df: DataFrame, order: Sequence[Column], batch: int = 10) ->
     return numbered.withColumn("batch", F.floor((F.col("order_no") - 1) / batch) + 1)
 
 
-def timecodes(long: DataFrame, key: str = "id") -> DataFrame:
-    """Start and end second of every line; needs key, line_no, line.
+def with_timed_lines(scripts: DataFrame, lines: str, name: str, visuals: str | None = None) -> DataFrame:
+    """Add an array of (line_no, line, words, start_s, end_s), and the visual of each line if asked.
 
-    A group is the lines of one script, that is of one input row.
+    The running sum is one fold inside the row, so no text is shuffled.
     """
-    counted = long.withColumn("words", X.word_count("line"))
-    before = Window.partitionBy(key).orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
-    timed = counted.withColumn("_b", F.coalesce(F.sum("words").over(before), F.lit(0)))
-    return timed.withColumns(
-        {"start_s": X.speech_seconds("_b"), "end_s": X.speech_seconds(F.col("_b") + F.col("words"))}
-    ).drop("_b")
+    nothing = F.array(F.lit(0).cast("long"))
+    ends = F.aggregate(
+        F.transform(lines, X.word_count), nothing,
+        lambda seen, n: F.concat(seen, F.array(F.element_at(seen, -1) + n)),
+    )
+
+    def timed(seen: Column) -> Column:
+        def one(line: Column, i: Column) -> Column:
+            fields = [
+                (i + 1).cast("long").alias("line_no"), line.alias("line"), (seen[i + 1] - seen[i]).alias("words"),
+                X.speech_seconds(seen[i]).alias("start_s"), X.speech_seconds(seen[i + 1]).alias("end_s"),
+            ]
+            return F.struct(*fields, *([visual_at(visuals, i).alias("visual")] if visuals else []))
+
+        return F.transform(lines, one)
+
+    # The one-element array binds the fold to a variable: it runs once per script.
+    return scripts.withColumn(name, F.transform(F.array(ends), timed)[0])
+
+
+def timecodes(scripts: DataFrame, keep: Sequence[str], lines: str, visuals: str | None = None) -> DataFrame:
+    """One row per script line with its words, start and end second."""
+    return with_timed_lines(scripts, lines, "_timed", visuals).select(*keep, F.inline("_timed"))
 
 
 def lint(df: DataFrame, text: str, forbidden: Sequence[str] = tuple(X.FORBIDDEN_WORDS),

@@ -65,14 +65,18 @@ def zip_rows(a: DataFrame, b: DataFrame, order_a: Sequence[Column], order_b: Seq
     return left.join(right, "position")
 
 
+def visual_at(visuals: str, i: Column) -> Column:
+    """The visual at position `i` from 0, or the last one; NULL when there is none."""
+    last = F.size(visuals)
+    return F.when(last > 0, F.try_element_at(F.col(visuals), F.least(i + 1, last)))
+
+
 def align(scripts: DataFrame, keep: Sequence[str], lines: str, visuals: str) -> DataFrame:
     """One row per script line with the visual of the same position, or the last one
     when there are fewer.  Paired inside the row, so arrays are never copied per line."""
-    last = F.size(visuals)
 
     def pair(line: Column, i: Column) -> Column:
-        seen = F.when(last > 0, F.try_element_at(F.col(visuals), F.least(i + 1, last)))
-        return F.struct((i + 1).cast("long").alias("line_no"), line.alias("line"), seen.alias("visual"))
+        return F.struct((i + 1).cast("long").alias("line_no"), line.alias("line"), visual_at(visuals, i).alias("visual"))
 
     return scripts.select(*keep, F.inline(F.transform(lines, pair)))
 

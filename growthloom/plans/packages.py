@@ -7,13 +7,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from growthloom.functions import exprs as X
 from growthloom.operators import content as C
-from growthloom.operators.joins import align
-from growthloom.sources.documents import explode_lines
 
 
 def shot_list(scripts: DataFrame, visuals: str = "visuals") -> DataFrame:
     """One row per script line: times, overlay and search terms.  Needs id, category, lines."""
-    timed = C.timecodes(align(scripts, ["id", "category"], "lines", visuals))
+    timed = C.timecodes(scripts, ["id", "category"], "lines", visuals)
     shots = timed.withColumn("text_overlay", X.overlay(F.coalesce("visual", F.lit(""))))
     # The empty suffix keeps Spark from folding lower(upper(x)) into lower(x), which
     # differs for letters such as the German sharp s.
@@ -26,11 +24,14 @@ def shot_list(scripts: DataFrame, visuals: str = "visuals") -> DataFrame:
 
 def packages(scripts: DataFrame, brand: str | None = None) -> DataFrame:
     """One nested package per script; its lists hold the lines of one input row only."""
-    timed = C.timecodes(explode_lines(scripts, "id", "lines"))
-    line = F.struct("line_no", "start_s", "end_s", "line", X.overlay("line").alias("text_overlay"))
-    nested = timed.groupBy("id").agg(F.array_sort(F.collect_list(line)).alias("lines"), F.max("end_s").alias("total_s"))
-    meta = scripts.select("id", "category", "score", "hook_text")
-    return meta.join(nested, "id").withColumns(
+    timed = C.with_timed_lines(scripts.where(F.size("lines") > 0), "lines", "_timed")
+    nested = F.transform("_timed", lambda x: F.struct(
+        x["line_no"].alias("line_no"), x["start_s"].alias("start_s"), x["end_s"].alias("end_s"), x["line"].alias("line"),
+        X.overlay(x["line"]).alias("text_overlay")))
+    meta = timed.select(
+        "id", "category", "score", "hook_text", nested.alias("lines"), F.element_at("_timed", -1)["end_s"].alias("total_s")
+    )
+    return meta.withColumns(
         {
             "priority": X.priority("score"),
             "hashtags": F.create_map(*[x for p in X.PLATFORM_HASHTAGS for x in (F.lit(p), X.hashtags(F.lit(p), brand))]),

@@ -12,7 +12,6 @@ from growthloom.plans.keyed import latest_by
 from growthloom.registry.core import op
 from growthloom.registry.duck import EVENTS_AS_OF as EA, ORDERS_AS_OF as OA
 from growthloom.registry.sources import mart
-from growthloom.sources.documents import explode_lines
 from growthloom.sources.fixtures import AS_OF_EVENTS, AS_OF_ORDERS, Tables, as_ts
 
 
@@ -23,7 +22,7 @@ def _now():
 @op("line_timecodes", """SELECT id, line_no, words, round((before * 45) / 100.0::DOUBLE, 2) AS start_s, round(((before + words) * 45) / 100.0::DOUBLE, 2) AS end_s
     FROM (SELECT *, CAST(sum(words) OVER (PARTITION BY id ORDER BY line_no) AS BIGINT) - words AS before FROM wl)""")
 def _(t: Tables) -> DataFrame:
-    return C.timecodes(explode_lines(t.scripts, "id", "lines")).select("id", "line_no", "words", "start_s", "end_s")
+    return C.timecodes(t.scripts, ["id"], "lines").select("id", "line_no", "words", "start_s", "end_s")
 
 
 @op("production_order", """SELECT o_orderkey AS id, n AS order_no, CAST((n - 1) // 10 + 1 AS BIGINT) AS batch FROM

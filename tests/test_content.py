@@ -77,10 +77,19 @@ def test_inbox_keeps_bad_records(spark):
 
 def test_timecodes_and_alignment(frame):
     df = frame([("s", ["one two three", "", "four five"], ["V1 a", "V2 b c"])], "id string, lines array<string>, visuals array<string>")
-    got = rows(C.timecodes(J.align(df, ["id"], "lines", "visuals")), "line_no", "start_s", "end_s", "visual")
+    got = rows(C.timecodes(df, ["id"], "lines", "visuals"), "line_no", "start_s", "end_s", "visual")
     assert got == [(1, 0.0, 1.35, "V1 a"), (2, 1.35, 1.35, "V2 b c"), (3, 1.35, 2.25, "V2 b c")]
     none = frame([("s", ["x"], [])], "id string, lines array<string>, visuals array<string>")
     assert rows(J.align(none, ["id"], "lines", "visuals"), "line_no", "visual") == [(1, None)]
+    assert rows(C.timecodes(none, ["id"], "lines", "visuals"), "line_no", "end_s", "visual") == [(1, 0.45, None)]
+    empty = frame([("s", [], ["V"]), ("t", None, None)], "id string, lines array<string>, visuals array<string>")
+    assert C.timecodes(empty, ["id"], "lines", "visuals").count() == 0
+
+
+def test_no_text_is_shuffled_for_time_codes(frame):
+    df = frame([("s", "Money", ["a b", "c"], 9.5, "a b")], "id string, category string, lines array<string>, score double, hook_text string")
+    for made in (packages.packages(df), C.timecodes(df, ["id"], "lines")):
+        assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
 
 
 def test_package(spark, frame):
