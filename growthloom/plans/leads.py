@@ -11,6 +11,7 @@ from growthloom.operators import upsert as U
 from growthloom.sources.documents import parse_messages
 
 LEAD_TAG = "lead-magnet"
+SUBSCRIBER = ["full_name", "source", "source_url", "source_video_id", "double_opt_in_confirmed", "consent_ip", "consent_timestamp"]
 
 
 @dataclass
@@ -29,7 +30,11 @@ def clean_leads(messages: DataFrame) -> DataFrame:
         "id", "received_at", "email",
         X.display_name("name", "email").alias("full_name"),
         X.or_default("source", "landing_page").alias("source"),
+        X.or_default("source_url", "").alias("source_url"),
+        F.nullif("source_video_id", F.lit("")).alias("source_video_id"),
         F.coalesce("double_opt_in", F.lit(False)).alias("double_opt_in_confirmed"),
+        X.or_default("ip", "").alias("consent_ip"),
+        F.col("received_at").alias("consent_timestamp"),
         X.valid_email("email").alias("valid"),
     )
 
@@ -43,7 +48,7 @@ def capture(rows: DataFrame, subscribers: DataFrame, lead_tag: str = LEAD_TAG) -
     good, bad = rows.where("valid"), rows.where("not valid")
     new = U.new_rows(
         subscribers.select("email"),
-        good.select("email", "id", "full_name", "source", "double_opt_in_confirmed", F.col("received_at").alias("created_at")),
+        good.select("email", "id", *SUBSCRIBER, F.col("received_at").alias("created_at")),
         ["email"], ["created_at", "id"],
     ).drop("id").withColumn("status", F.lit("active"))
     tags = good.select(

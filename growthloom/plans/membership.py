@@ -23,7 +23,8 @@ def subscription_rows(messages: DataFrame) -> DataFrame:
         (~F.coalesce(o["status"].isin(X.SUBSCRIPTION_STATUS), F.lit(False))).alias("unknown_status"),
         X.epoch_ts(o["current_period_start"]).cast("timestamp_ntz").alias("current_period_start"),
         X.epoch_ts(o["current_period_end"]).cast("timestamp_ntz").alias("current_period_end"),
-        X.epoch_ts(o["ended_at"]).cast("timestamp_ntz").alias("ended_at"),
+        *[X.epoch_ts(o[c]).cast("timestamp_ntz").alias(c) for c in ("trial_start", "trial_end", "canceled_at", "ended_at")],
+        o["metadata"]["plan_id"].alias("plan_id"),
         F.coalesce(o["cancel_at_period_end"], F.lit(False)).alias("cancel_at_period_end"),
         F.coalesce(price["unit_amount"], o["metadata"]["price_cents"], F.lit(1900)).alias("price_cents"),
         F.coalesce(price["currency"], F.lit("usd")).alias("currency"),
@@ -52,11 +53,11 @@ def lifecycle_log(rows: DataFrame, limit: int = keyed.HOT_ROWS) -> DataFrame:
     )
 
 
-SYNCED = ["status", "current_period_start", "current_period_end", "cancel_at_period_end", "ended_at"]
+SYNCED = ["status", "current_period_start", "current_period_end", "cancel_at_period_end", "canceled_at", "ended_at"]
 
 
 def membership_sync(memberships: DataFrame, messages: DataFrame) -> DataFrame:
-    """Memberships after the messages: newest message wins, price stays as first seen."""
+    """Memberships after the messages: newest message wins; price, plan and trial stay as first seen."""
     rows = subscription_rows(messages).where("not unknown_status")
     return U.upsert(
         memberships,

@@ -17,7 +17,9 @@ from growthloom.sources.sinks import overwrite_partitions
 _LEAD = """(SELECT event_id AS id, ts AS received_at, event_id % 10 <> 7 AS valid,
     'customer.' || lpad(CAST(user_id AS VARCHAR), 9, '0') || CASE WHEN event_id % 10 = 7 THEN '(at)' ELSE '@' END || 'example.com' AS email,
     CASE WHEN k < 50 THEN 'Lead' WHEN event_id % 10 = 7 THEN 'customer.(at)example.com' ELSE 'customer.' END AS full_name,
-    CASE WHEN k % 2 = 0 THEN 'referral' ELSE 'landing_page' END AS source, k % 3 = 0 AS double_opt_in_confirmed FROM ev WHERE event_type = 'signup')"""
+    CASE WHEN k % 2 = 0 THEN 'referral' ELSE 'landing_page' END AS source, k % 3 = 0 AS double_opt_in_confirmed,
+    CASE WHEN k % 4 = 0 THEN 'https://example.com/p/' || k ELSE '' END AS source_url, CASE WHEN k % 5 = 0 THEN 'v' || k END AS source_video_id,
+    CASE WHEN k % 3 = 0 THEN '10.0.0.' || k ELSE '' END AS consent_ip, ts AS consent_timestamp FROM ev WHERE event_type = 'signup')"""
 
 
 def _known(t: Tables) -> DataFrame:
@@ -30,7 +32,7 @@ def _(t: Tables) -> DataFrame:
     return leads.clean_leads(t.lead_messages)
 
 
-@op("lead_capture", f"""SELECT email, full_name, source, double_opt_in_confirmed, received_at AS created_at, 'active' AS status FROM {_LEAD} l
+@op("lead_capture", f"""SELECT email, full_name, source, source_url, source_video_id, double_opt_in_confirmed, consent_ip, consent_timestamp, received_at AS created_at, 'active' AS status FROM {_LEAD} l
     WHERE valid AND email NOT IN (SELECT email FROM su WHERE ltv_cents >= 60000)
     QUALIFY row_number() OVER (PARTITION BY email ORDER BY received_at, id) = 1""")
 def _(t: Tables) -> DataFrame:
@@ -71,11 +73,16 @@ def _(t: Tables) -> DataFrame:
       QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)
     SELECT 'sub_' || o_custkey AS stripe_subscription_id, CASE WHEN m = 1 THEN 'canceled' WHEN o_orderstatus = 'P' THEN 'past_due' ELSE 'active' END AS status,
       o_orderdate AS current_period_start, o_orderdate + INTERVAL 30 DAY AS current_period_end, flag AS cancel_at_period_end,
-      CASE WHEN m = 1 THEN o_orderdate END AS ended_at, coalesce(me.price_cents, msg.price_cents) AS price_cents
+      CASE WHEN m = 1 THEN o_orderdate END AS ended_at, CASE WHEN m = 1 OR flag THEN o_orderdate END AS canceled_at,
+      CASE WHEN me.profile_id IS NULL AND o_orderkey % 13 = 0 THEN o_orderdate END AS trial_start,
+      CASE WHEN me.profile_id IS NULL AND o_orderkey % 13 = 0 THEN o_orderdate + INTERVAL 14 DAY END AS trial_end,
+      CASE WHEN me.profile_id IS NULL THEN 'plan_' || (o_orderkey % 3) ELSE 'plan_kept' END AS plan_id, coalesce(me.price_cents, msg.price_cents) AS price_cents
     FROM msg LEFT JOIN (SELECT * FROM me WHERE status <> 'past_due') me ON me.profile_id = msg.o_custkey""")
 def _(t: Tables) -> DataFrame:
-    cols = ["stripe_subscription_id", *membership.SYNCED, "price_cents"]
-    there = t.memberships.where("status <> 'past_due'").select(*cols)
+    cols = ["stripe_subscription_id", *[c for c in membership.SYNCED if c != "canceled_at"], "price_cents"]
+    never = F.lit(None).cast("timestamp_ntz")
+    there = t.memberships.where("status <> 'past_due'").select(
+        *cols, *[never.alias(c) for c in ("canceled_at", "trial_start", "trial_end")], F.lit("plan_kept").alias("plan_id"))
     return membership.membership_sync(there, t.subscription_messages)
 
 

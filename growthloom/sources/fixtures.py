@@ -471,6 +471,9 @@ def lead_view(events: DataFrame) -> DataFrame:
                 F.when(F.col("k") < 50, F.concat(F.lit("Lead 7 "), F.col("k"))).otherwise("").alias("name"),
                 F.when(F.col("k") % 2 == 0, "referral").alias("source"),
                 (F.col("k") % 3 == 0).alias("double_opt_in"),
+                F.when(F.col("k") % 4 == 0, F.concat(F.lit("https://example.com/p/"), F.col("k"))).alias("source_url"),
+                F.when(F.col("k") % 5 == 0, F.concat(F.lit("v"), F.col("k"))).when(F.col("k") % 5 == 1, "").alias("source_video_id"),
+                F.when(F.col("k") % 3 == 0, F.concat(F.lit("10.0.0."), F.col("k"))).alias("ip"),
             )
         ).alias("body"),
     )
@@ -540,6 +543,10 @@ def subscription_view(orders: DataFrame) -> DataFrame:
                         (start + 30 * 86400).alias("current_period_end"),
                         (key % 17 == 0).alias("cancel_at_period_end"),
                         F.when(key % 11 == 1, start).alias("ended_at"),
+                        F.when((key % 11 == 1) | (key % 17 == 0), start).alias("canceled_at"),
+                        F.when(key % 13 == 0, start).alias("trial_start"),
+                        F.when(key % 13 == 0, start + 14 * 86400).alias("trial_end"),
+                        F.struct(F.concat(F.lit("plan_"), key % 3).alias("plan_id")).alias("metadata"),
                         F.struct(
                             F.array(F.struct(F.struct(X.cents("o_totalprice").alias("unit_amount")).alias("price")))
                             .alias("data")
