@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from growthloom.llm import contamination, jaccard, language, mixing, shards
 from growthloom.session import stage
 
+WORDS, PERCENT = 5, 80  # near copies: shingles of five words, Jaccard similarity from 0.8
+
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language; null texts and texts without a letter go."""
@@ -17,11 +19,17 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked ones: the smallest doc_id. Rows without doc_id stay, a repeated row once."""
-    found = jaccard.jaccard_components(docs.select("doc_id", "text"))
-    first = found.where("doc_id = component_id").select("doc_id").distinct()
-    one = W.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.xxhash64("lang", "source", "n_chars"))
-    kept = docs.join(first, "doc_id").withColumn("__nth", F.row_number().over(one)).where("__nth = 1")
+    """One document of each group of near copies: the smallest doc_id. Rows without doc_id stay, a repeated row once.
+
+    Rows of one doc_id with different texts are documents of their own here: a hash of id and text names them.
+    """
+    named = docs.where("doc_id is not null").withColumn("__key", F.xxhash64("doc_id", "text"))
+    found = jaccard.jaccard_components(named.select(F.col("__key").alias("doc_id"), "text"), words=WORDS, percent=PERCENT)
+    group = found.select(F.col("doc_id").alias("__key"), "component_id").distinct()
+    ids = named.select("__key", "doc_id").distinct().join(group, "__key")
+    first = ids.groupBy("component_id").agg(F.min(F.struct("doc_id", "__key"))["__key"].alias("__key")).select("__key")
+    one = W.partitionBy("__key").orderBy(F.xxhash64("lang", "source", "n_chars"))
+    kept = named.join(first, "__key").withColumn("__nth", F.row_number().over(one)).where("__nth = 1")
     return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 

@@ -1,6 +1,7 @@
 """The pipeline: every stage's rows against a plainer reading of its own input."""
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import pytest
@@ -42,3 +43,42 @@ def test_stages_take_nulls_repeats_and_empty_tables(spark, frame, sf, rows):
         kept[name] = out.count()
         assert out.columns[:5] == docs.columns
     assert kept["near copies"] == (3 if rows else 0) and kept["sharding"] == len(rows)
+
+
+def near_copy_groups(rows, words=5, percent=80):
+    """Groups of row numbers that all pairs link."""
+    def shingles(text):
+        w = text.lower().split()
+        return {tuple(w[i : i + words]) for i in range(max(1, len(w) - words + 1))} if w else set()
+
+    sets = [shingles(t or "") for _, t in rows]
+    group = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and 100 * len(a & b) >= percent * len(a | b):
+                group = [group[j] if g == group[i] else g for g in group]
+    return group
+
+
+def test_near_copies_against_all_pairs_at_five_words(spark, frame, sf):
+    rng = random.Random(4)
+    texts = []
+    for _ in range(12):
+        base = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([3, 20, 60, 100]))]
+        for changes in (0, 1, 2, 2, 3, 6):
+            copy = list(base)
+            for at in rng.sample(range(len(base)), min(changes, len(base))):
+                copy[at] = f"x{rng.randrange(5000)}"
+            texts.append(" ".join(copy))
+    base = [f"a{i}" for i in range(100)]  # two words apart: 86 of 106 shingles of five words, 92 of 104 of three
+    texts += [" ".join(base), " ".join("z" if i in (20, 50) else w for i, w in enumerate(base))]
+    order = rng.sample(range(len(texts)), len(texts))
+    rows = [(i, texts[k]) for i, k in enumerate(order)]
+    rows += [(5, "another text of the same id that is like no other one"), (6, None)]
+    rows = list(dict.fromkeys(rows))
+    smallest = {}
+    for (i, _), g in zip(rows, near_copy_groups(rows), strict=True):
+        smallest[g] = min(smallest.get(g, i), i)
+    rows.append((6, None))
+    out = corpus_pipeline.near_copies(spark, frame([(i, t, "en", "s", 1) for i, t in rows], EXTRA), sf).collect()
+    assert Counter(r["doc_id"] for r in out) == Counter(smallest.values())
