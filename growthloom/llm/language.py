@@ -8,13 +8,14 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from growthloom.session import stage
 
 SAMPLE = 5_000  # labelled documents per language that the model is fitted on
 ORDERS = (5, 4, 3, 2, 1)  # lengths of the n-grams, in the order they are tried
-WORDS, GRAMS = 80_000, 20_000  # entries kept: words, n-grams of each length (the most frequent)
+WORDS, GRAMS = 80_000, 20_000  # entries kept per language: words, n-grams of each length (the most frequent)
 LEAST = 2  # occurrences of a word that is kept
 FLOOR = 0.1  # count given to a language in which an entry was not seen
 SURE = 50  # words from which more text adds no confidence
@@ -26,14 +27,17 @@ WORD = re.compile(r"[^\W\d_]+")
 class Model:
     """Log frequencies per language of words and n-grams: one row of `table` each."""
 
-    def __init__(self, languages: list[str], entries: dict[int, dict[str, dict[str, int]]], totals: dict[tuple, int]):
+    def __init__(self, languages: list[str], entries: dict[int, dict[str, dict[str, int]]], totals: dict[tuple, int],
+                 sizes: dict[int, int] | None = None):
+        """Counts of the entries kept per language; totals by (order, language) and numbers of different entries by order, both of all counted."""
         self.languages = languages
         at = {x: i for i, x in enumerate(languages)}
         self.known: dict[int, dict[str, int]] = {}  # length (0: whole words) -> entry -> row
         self.table = np.full((sum(map(len, entries.values())), len(languages)), FLOOR)
         row = 0
         for order, found in entries.items():
-            total = np.array([totals.get((order, x), 0) for x in languages], dtype=float) + 1
+            size = (sizes or {}).get(order, len(found))
+            total = np.array([totals.get((order, x), 0) for x in languages], dtype=float) + FLOOR * max(size, 1)
             rows = self.known[order] = {}
             for gram, counts in found.items():
                 for x, n in counts.items():
@@ -71,7 +75,11 @@ def summed(table: np.ndarray, rows: np.ndarray, group: np.ndarray, groups: int)
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
-    """Fit on rows of (doc_id, text, lang): about `sample` documents per language, picked by hash; counted on Spark."""
+    """Fit on rows of (doc_id, text, lang): about `sample` documents per language, picked by hash; counted on Spark.
+
+    Each language keeps its own most frequent entries, however few documents it has; the driver holds up to
+    WORDS + 5 GRAMS of them per language.
+    """
     rows = labelled.where("lang is not null and text is not null and doc_id is not null")
     share = {r["lang"]: min(1.0, sample / r["n"]) for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not share:
@@ -81,20 +89,22 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     words = picked.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"))).alias("gram"))
     words = stage(words.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n")), "language-words")
     padded = F.concat(F.lit(" "), F.col("gram"), F.lit(" "))
-    tables = {0: words.where(F.col("n") >= LEAST)}
+    counted = words.select(F.lit(0).alias("order"), "lang", "gram", "n")
     for n in ORDERS:
         length = F.lit(n)
         grams = F.transform(F.sequence(F.lit(1), F.length("gram") + 3 - n), lambda i: F.substring(padded, i, length))  # noqa: B023
-        tables[n] = (words.where(F.length("gram") + 3 > n).select("lang", F.explode(grams).alias("gram"), "n")
-                     .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-    entries, totals = {}, {}
-    for order, table in tables.items():
-        found = entries[order] = {}
-        best = table.orderBy(F.desc("n"), "gram", "lang").limit(WORDS if order == 0 else GRAMS)
-        for r in best.collect():
-            found.setdefault(r["gram"], {})[r["lang"]] = r["n"]
-            totals[order, r["lang"]] = totals.get((order, r["lang"]), 0) + r["n"]
-    return Model(sorted(share), entries, totals)
+        table = words.where(F.length("gram") + 3 > n).select("lang", F.explode(grams).alias("gram"), "n").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+        counted = counted.unionByName(table.withColumn("order", length))
+    counted = stage(counted, "language-counts")
+    sizes = {r["order"]: r["v"] for r in counted.groupBy("order").agg(F.count_distinct("gram").alias("v")).collect()}
+    totals = {(r["order"], r["lang"]): r["n"] for r in counted.groupBy("order", "lang").agg(F.sum("n").alias("n")).collect()}
+    place = F.row_number().over(W.partitionBy("order", "lang").orderBy(F.desc("n"), "gram"))
+    best = counted.where((F.col("order") > 0) | (F.col("n") >= LEAST)).withColumn("place", place)
+    best = best.where(F.col("place") <= F.when(F.col("order") == 0, WORDS).otherwise(GRAMS)).drop("place")
+    entries: dict[int, dict[str, dict[str, int]]] = {n: {} for n in (0, *ORDERS)}
+    for r in best.collect():
+        entries[r["order"]].setdefault(r["gram"], {})[r["lang"]] = r["n"]
+    return Model(sorted(share), entries, totals, sizes)
 
 
 class Scores:

@@ -88,6 +88,27 @@ def test_language_edges(frame):
     assert all(0 <= r["score"] <= 1 for r in got.values()) and got[11]["size"] == "x"
 
 
+@pytest.mark.parametrize("rare", [1, 3, 10])
+def test_a_language_with_few_documents_wins_only_its_own_texts(frame, monkeypatch, rare):
+    monkeypatch.setattr(language, "WORDS", 400)
+    monkeypatch.setattr(language, "GRAMS", 300)
+    rng = random.Random(rare)
+
+    def words(letters, n):
+        return ["".join(rng.choice(letters) for _ in range(rng.randint(3, 8))) for _ in range(n)]
+
+    pools = {"aa": words("aeioubcdlm", 600), "bb": words("aeiouprstv", 600), "rr": words("aeioughkwz", 60)}
+
+    def text(lang, n):
+        return " ".join(pools[lang][int(len(pools[lang]) * rng.random() ** 2)] for _ in range(n))
+
+    fitted = [(x, text(x, 30 if x == "rr" else 120)) for x, n in (("aa", 150), ("bb", 150), ("rr", rare)) for _ in range(n)]
+    model = language.fit(frame([(i, t, x) for i, (x, t) in enumerate(fitted)], "doc_id long, text string, lang string"))
+    tried = [(x, text(x, 40)) for x in ("aa", "bb", "rr") for _ in range(40)]
+    names, _ = language._scored(model, [t for _, t in tried], language.Scores(model))
+    assert Counter((x, name) for (x, _), name in zip(tried, names, strict=True)) == {("aa", "aa"): 40, ("bb", "bb"): 40, ("rr", "rr"): 40}
+
+
 # Lines
 
 
