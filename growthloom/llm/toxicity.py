@@ -1,7 +1,8 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
-A word enters as its own vector and the mean vector of its character n-grams. All overlapping windows of a text are scored;
-the text's score is that of its worst window.
+A word enters as its own vector and the mean vector of its character n-grams; a run of letters with more than GRAMS known
+n-grams enters as several pieces, so that all of it is read. All overlapping windows of a text are scored; the text's score is
+that of its worst window.
 """
 from __future__ import annotations
 
@@ -21,7 +22,7 @@ GRAM = 4
 KNOWN_WORDS, KNOWN_GRAMS = 4_000, 6_000  # words and n-grams with a vector: the most telling ones
 LEAST = 5  # occurrences of a word or n-gram that has one
 SIZE, HIDDEN = 6, 8
-GRAMS = 8  # known n-grams of a word that count, the first ones
+GRAMS = 8  # known n-grams of a piece; a word with more of them is several pieces
 EPOCHS, STEPS = 8, 400  # passes over the windows, more if these are too few for that many steps
 BATCH = 2048  # windows scored at once
 CACHE = 200_000  # words a task remembers at once
@@ -68,10 +69,11 @@ class Network:
             p[d + "b"] = np.zeros(3 * HIDDEN)
         self.shift = 0.0
 
-    def ids(self, word: str) -> list[int]:
-        """Number of the word, then GRAMS numbers of n-grams (0: none)."""
-        found = [self.grams[g] for g in grams_of(word) if g in self.grams][:GRAMS]
-        return [self.words.get(word, 0), *found, *[0] * (GRAMS - len(found))]
+    def ids(self, word: str) -> list[list[int]]:
+        """Of each piece of a word: number of the word (0 after the first), then GRAMS numbers of n-grams (0: none)."""
+        found = [self.grams[g] for g in grams_of(word) if g in self.grams]
+        cut = [found[at : at + GRAMS] for at in range(0, len(found), GRAMS)] or [[]]
+        return [[0 if i else self.words.get(word, 0), *part, *[0] * (GRAMS - len(part))] for i, part in enumerate(cut)]
 
     def inputs(self, ids: np.ndarray) -> np.ndarray:
         """Vectors of words given by `ids`, one row each."""
@@ -175,19 +177,25 @@ class Scorer:
         self.clear()
 
     def clear(self) -> None:
-        self.rows: dict[str, int] = {}
+        self.rows: dict[str, int] = {}  # first row of a word's pieces
+        self.used, self.pieces = 0, np.empty(1024, dtype=np.int64)
         self.inputs = {d: np.empty((1024, 3 * HIDDEN), dtype=np.float32) for d in "fb"}
 
     def learn(self, words: list[str]) -> None:
         net = self.network
-        x = net.inputs(np.array([net.ids(w) for w in words]))
-        first = len(self.rows)
+        found = [net.ids(w) for w in words]
+        counts = np.array([len(f) for f in found])
+        x = net.inputs(np.array([piece for f in found for piece in f]))
+        first, end = self.used, self.used + len(x)
+        while len(self.pieces) < end:
+            self.pieces = np.concatenate([self.pieces, np.empty_like(self.pieces)])
+            self.inputs = {d: np.concatenate([v, np.empty_like(v)]) for d, v in self.inputs.items()}
         for d in "fb":
-            while len(self.inputs[d]) < first + len(words):
-                self.inputs[d] = np.concatenate([self.inputs[d], np.empty_like(self.inputs[d])])
-            self.inputs[d][first : first + len(words)] = x @ net.p[d + "x"] + net.p[d + "b"]
-        for i, w in enumerate(words, first):
-            self.rows[w] = i
+            self.inputs[d][first:end] = x @ net.p[d + "x"] + net.p[d + "b"]
+        starts = first + np.cumsum(counts) - counts
+        self.pieces[starts] = counts
+        self.rows.update(zip(words, starts.tolist(), strict=True))
+        self.used = end
 
     def __call__(self, texts) -> np.ndarray:
         """The highest window logit of each text, -inf for a text without words."""
@@ -199,16 +207,19 @@ class Scorer:
                 continue
             new = set(words).difference(self.rows)
             if new:
-                if len(self.rows) + len(new) > CACHE:
+                if self.used + len(new) > CACHE:
                     self.flush(waiting, owner, best)
                     waiting, owner = [], []
                     self.clear()
                     new = set(words)
                 self.learn(sorted(new))
             ids = np.fromiter(map(self.rows.__getitem__, words), dtype=np.int64, count=len(words))
-            starts = np.array(windows_of(len(words)))
+            counts = self.pieces[ids]
+            if counts.max() > 1:
+                ids = np.repeat(ids - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+            starts = np.array(windows_of(len(ids)))
             at = starts[:, None] + np.arange(WIDTH)
-            waiting.append(np.where(at < len(words), ids[np.minimum(at, len(words) - 1)], -1))
+            waiting.append(np.where(at < len(ids), ids[np.minimum(at, len(ids) - 1)], -1))
             owner.append(np.full(len(starts), k))
             if sum(map(len, owner)) >= BATCH:
                 self.flush(waiting, owner, best)
@@ -259,7 +270,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network | N
 
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         first_word, first_gram = network.p["ew"][:, 0], network.p["eg"][:, 0]
-        seen: dict[str, float] = {}
+        seen: dict[str, list[tuple[list[int], float]]] = {}
         for batch in batches:
             out = []
             for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
@@ -267,24 +278,21 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network | N
                 if len(seen) > CACHE:
                     seen.clear()
                 for w in set(words).difference(seen):
-                    ids = network.ids(w)
-                    seen[w] = max(first_word[ids[0]], max(first_gram[ids[1:]]))
-                marks = np.array([seen[w] for w in words])
-                starts = list(windows_of(len(words)))
+                    seen[w] = [(ids, max(first_word[ids[0]], max(first_gram[ids[1:]]))) for ids in network.ids(w)]
+                pieces = [piece for w in words for piece in seen[w]]
+                marks = np.array([mark for _, mark in pieces])
+                starts = list(windows_of(len(pieces)))
                 order = sorted(starts, key=lambda s: (-marks[s : s + WIDTH].max(initial=-9), s))
                 chosen = order[:1] if toxic else dict.fromkeys([*order[:2], order[len(order) // 2]])
-                out += [(" ".join(words[s : s + WIDTH]), int(toxic)) for s in chosen if words]
-            yield pd.DataFrame(out, columns=["words", "toxic"])
+                out += [([i for ids, _ in pieces[s : s + WIDTH] for i in ids], int(toxic)) for s in chosen if pieces]
+            yield pd.DataFrame(out, columns=["ids", "toxic"])
 
-    kept = rows.mapInPandas(pick, "words string, toxic int").orderBy("words", "toxic").collect()
+    kept = rows.mapInPandas(pick, "ids array<int>, toxic int").orderBy("ids", "toxic").collect()
     ids = np.zeros((len(kept), WIDTH, 1 + GRAMS), dtype=np.int64)
     mask = np.zeros((len(kept), WIDTH))
-    known: dict[str, list[int]] = {}
     for i, r in enumerate(kept):
-        for t, w in enumerate(r["words"].split(" ")):
-            if w not in known:
-                known[w] = network.ids(w)
-            ids[i, t], mask[i, t] = known[w], 1
+        window = np.array(r["ids"]).reshape(-1, 1 + GRAMS)
+        ids[i, : len(window)], mask[i, : len(window)] = window, 1
     network.fit(ids, mask, np.array([r["toxic"] for r in kept], dtype=float))
 
     # Put 0.5 where it tells the sampled documents apart best, halfway between the classes' nearest scores.

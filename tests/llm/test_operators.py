@@ -186,6 +186,20 @@ def test_toxicity_finds_words_anywhere_and_reads_only_text(frame):
     assert {r["score"] for r in toxicity.score(docs, None).collect()} == {0.0}
 
 
+def test_toxicity_reads_a_long_run_of_letters_to_its_end(frame):
+    rng = random.Random(2)
+    plain = ["the", "tree", "house", "river", "window", "garden"]
+    word = lambda n: "".join(rng.choice(plain) for _ in range(n))
+    docs = docs_of(frame, [" ".join([word(rng.randint(1, 3)) for _ in range(30)] + ([word(2) + "vermin"] if i % 2 else [])) for i in range(120)])
+    net = toxicity.fit(docs, frame([(i, i % 2) for i in range(120)], "doc_id long, toxic int"))
+    run = word(45)[:194]
+    pieces = net.ids(run + "vermin")
+    assert [g for p in pieces for g in p[1:] if g] == [net.grams[g] for g in toxicity.grams_of(run + "vermin") if g in net.grams]
+    assert len(pieces) > 1 and all(len(p) == 1 + toxicity.GRAMS for p in pieces)
+    bad, good = toxicity.Scorer(net)([run + "vermin", run])
+    assert bad > 0 > good
+
+
 def test_windows_cover_all_words():
     for n in (1, 47, 48, 49, 64, 65, 1000):
         starts = toxicity.windows_of(n)
