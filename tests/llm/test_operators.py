@@ -450,6 +450,25 @@ def test_trees_add_spans_and_keep_the_strict_ones(frame):
     assert pii.fit(docs.limit(0)) is None
 
 
+def test_trees_add_forms_that_the_strict_patterns_do_not_have(frame):
+    rng = random.Random(6)
+    number = lambda n: "".join(rng.choice("123456789") for _ in range(n))
+    texts = []
+    for i in range(60):
+        texts += [f"please call +1 ({number(3)}) {number(3)}-{number(4)} today", f"card 4111 1111 1111 1111 of {i}", f"server 10.{i}.3.4 is up",
+                  f"write to mail u{i}@example.com now", f"order {number(10)} and {number(3)},{number(3)},{number(3)},{number(3)} pieces, item {number(14)}"]
+    new = {"phone": ["call (555) 123-4567 now", "phone 555.123.4567 now"], "card": ["card 5500.0055.5555.5559 now", "card 4111/1111/1111/1111 now"],
+           "ip": ["server 192,168,0,1 now"], "email": ["mail jörg@exämple.de now"]}
+    forms = [(k, t) for k, found in new.items() for t in found]
+    docs = docs_of(frame, [*texts, *[t for _, t in forms], "order 5551234567 now"])
+    got = {r["doc_id"]: (r["base"], r["spans"]) for r in pii.find(docs, pii.fit(docs)).select("doc_id", pii.written("base").alias("base"), pii.written("spans").alias("spans")).collect()}
+    for i, (kind, text) in enumerate(forms, len(texts)):
+        start = text.index(" ") + 1
+        wanted = f"{kind}:{start}:{text.index(' now')}"
+        assert wanted in got[i][1].split(",") and wanted not in got[i][0].split(","), text
+    assert got[len(texts) + len(forms)] == ("", "")
+
+
 def test_pii_query_against_the_patterns(spark, sf):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
     for r in QUERIES["op9_pii"](spark, sf).collect():
