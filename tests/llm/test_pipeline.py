@@ -24,7 +24,7 @@ def test_stages_hand_on_the_columns_of_documents(spark, sf):
         ids = {r["doc_id"] for r in before.select("doc_id").collect()}
         assert {r["doc_id"] for r in docs.select("doc_id").collect()} <= ids
         if name == "near copies":
-            found = jaccard.jaccard_components(before)
+            found = jaccard.jaccard_components(before, words=5, percent=80)
             assert docs.count() == found.select("component_id").distinct().count()
         if name == "decontamination":
             items = spark.read.parquet(f"{sf}/benchmark.parquet")
