@@ -3,20 +3,20 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from growthloom.session import stage
 
-SAMPLE = 5_000  # labelled documents per language that the model is fitted on
+SAMPLE = 5_000  # labelled documents per language that the model is fitted on, at most
+SAMPLE_ALL = 50_000  # and over all languages: what bounds the model, whose entries are all words and n-grams of the sample
 ORDERS = (5, 4, 3, 2, 1)  # lengths of the n-grams, in the order they are tried
-WORDS, GRAMS = 80_000, 20_000  # entries kept per language: words, n-grams of each length (the most frequent)
-LEAST = 2  # occurrences of a word that is kept
 FLOOR = 0.1  # count given to a language in which an entry was not seen
 SURE = 50  # words from which more text adds no confidence
 CACHE = 300_000  # unknown words whose scores a task remembers at once
@@ -25,27 +25,28 @@ WORD = re.compile(r"[^\W\d_]+")
 
 
 class Model:
-    """Log frequencies per language of words and n-grams: one row of `table` each."""
-
-    def __init__(self, languages: list[str], entries: dict[int, dict[str, dict[str, int]]], totals: dict[tuple, int],
-                 sizes: dict[int, int] | None = None):
-        """Counts of the entries kept per language; totals by (order, language) and numbers of different entries by order, both of all counted."""
-        self.languages = languages
-        at = {x: i for i, x in enumerate(languages)}
-        self.known: dict[int, dict[str, int]] = {}  # length (0: whole words) -> entry -> row
-        self.table = np.full((sum(map(len, entries.values())), len(languages)), FLOOR)
-        row = 0
-        for order, found in entries.items():
-            size = (sizes or {}).get(order, len(found))
-            total = np.array([totals.get((order, x), 0) for x in languages], dtype=float) + FLOOR * max(size, 1)
-            rows = self.known[order] = {}
-            for gram, counts in found.items():
-                for x, n in counts.items():
-                    self.table[row, at[x]] += n
-                self.table[row] = np.log(self.table[row] / total)
-                rows[gram] = row
-                row += 1
-        self.table = self.table.astype(np.float32)
+    """Log frequencies per language of words and n-grams: one row of `table` each, in the order of `grams`."""
+
+    def __init__(self, languages: list[str], grams: dict[int, pa.Array], table: np.ndarray):
+        self.languages, self.grams, self.table = languages, grams, table
+
+    @classmethod
+    def counted(cls, languages: list[str], counts: dict[int, tuple[pa.Array, np.ndarray]]) -> Model:
+        """From the entries of every order (0: whole words) and their counts, one column per language."""
+        parts = []
+        for grams, table in counts.values():
+            floored = table.astype(np.float32) + np.float32(FLOOR)
+            parts.append(np.log(floored / floored.sum(axis=0, dtype=np.float64).astype(np.float32)))
+        return cls(languages, {n: grams for n, (grams, _) in counts.items()}, np.concatenate(parts))
+
+    @cached_property
+    def known(self) -> dict[int, dict[str, int]]:
+        """Order -> entry -> row. Made where texts are scored; the driver holds Arrow arrays only."""
+        out, row = {}, 0
+        for n, grams in self.grams.items():
+            out[n] = dict(zip(grams.to_pylist(), range(row, row + len(grams))))
+            row += len(grams)
+        return out
 
     def backoff(self, word: str) -> list[int]:
         """Rows of an unknown word's known n-grams, of the greatest length that has any."""
@@ -74,37 +75,38 @@ def summed(table: np.ndarray, rows: np.ndarray, group: np.ndarray, groups: int)
     return out
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
-    """Fit on rows of (doc_id, text, lang): about `sample` documents per language, picked by hash; counted on Spark.
+def fit(labelled: DataFrame, sample: int = SAMPLE, sample_all: int = SAMPLE_ALL) -> Model:
+    """Fit on rows of (doc_id, text, lang): about `sample` documents per language and `sample_all` in all, picked by hash.
 
-    Each language keeps its own most frequent entries, however few documents it has; the driver holds up to
-    WORDS + 5 GRAMS of them per language.
+    Words and n-grams are counted on Spark, all of the sample's, and come to the driver as one row per entry with an array of
+    counts by language. A table without usable rows gives a model without languages.
     """
     rows = labelled.where("lang is not null and text is not null and doc_id is not null")
-    share = {r["lang"]: min(1.0, sample / r["n"]) for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not share:
-        return Model([], {n: {} for n in (0, *ORDERS)}, {})
-    cut = F.create_map(*[F.lit(x) for pair in share.items() for x in pair])[F.col("lang")]
+    found = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    languages = sorted(found)
+    if not found:
+        return Model([], {n: pa.array([], pa.string()) for n in (0, *ORDERS)}, np.zeros((0, 0), dtype=np.float32))
+    each = min(sample, max(1, sample_all // len(found)))
+    cut = F.create_map(*[F.lit(x) for lang, n in found.items() for x in (lang, min(1.0, each / n))])[F.col("lang")]
     picked = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 30)) / F.lit(float(1 << 30)) < cut)
     words = picked.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"))).alias("gram"))
+    counts = F.array(*[F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)) for x in languages])
     words = stage(words.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n")), "language-words")
     padded = F.concat(F.lit(" "), F.col("gram"), F.lit(" "))
     counted = words.select(F.lit(0).alias("order"), "lang", "gram", "n")
     for n in ORDERS:
         length = F.lit(n)
         grams = F.transform(F.sequence(F.lit(1), F.length("gram") + 3 - n), lambda i: F.substring(padded, i, length))  # noqa: B023
-        table = words.where(F.length("gram") + 3 > n).select("lang", F.explode(grams).alias("gram"), "n").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-        counted = counted.unionByName(table.withColumn("order", length))
-    counted = stage(counted, "language-counts")
-    sizes = {r["order"]: r["v"] for r in counted.groupBy("order").agg(F.count_distinct("gram").alias("v")).collect()}
-    totals = {(r["order"], r["lang"]): r["n"] for r in counted.groupBy("order", "lang").agg(F.sum("n").alias("n")).collect()}
-    place = F.row_number().over(W.partitionBy("order", "lang").orderBy(F.desc("n"), "gram"))
-    best = counted.where((F.col("order") > 0) | (F.col("n") >= LEAST)).withColumn("place", place)
-    best = best.where(F.col("place") <= F.when(F.col("order") == 0, WORDS).otherwise(GRAMS)).drop("place")
-    entries: dict[int, dict[str, dict[str, int]]] = {n: {} for n in (0, *ORDERS)}
-    for r in best.collect():
-        entries[r["order"]].setdefault(r["gram"], {})[r["lang"]] = r["n"]
-    return Model(sorted(share), entries, totals, sizes)
+        counted = counted.unionByName(words.where(F.length("gram") + 3 > n).select(length.alias("order"), "lang", F.explode(grams).alias("gram"), "n"))
+    table = counted.groupBy("order", "gram").agg(counts.cast("array<int>").alias("counts"))
+    table = stage(table, "language-counts")
+    out = {}
+    for n in (0, *ORDERS):  # order by order, so that the driver holds one table's batches beside the model
+        part = table.where(F.col("order") == n).select("gram", "counts").toArrow().combine_chunks()
+        lists = part["counts"].combine_chunks() if len(part) else pa.array([], pa.list_(pa.int32()))
+        grams = part["gram"].combine_chunks() if len(part) else pa.array([], pa.string())
+        out[n] = (grams, lists.flatten().to_numpy(zero_copy_only=False).reshape(len(part), len(languages)))
+    return Model.counted(languages, out)
 
 
 class Scores:

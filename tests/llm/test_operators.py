@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,9 +55,16 @@ def test_language_of_held_out_documents(spark, sf):
     assert sum(got[i]["lang_pred"] == truth[i] for i in held) / len(held) > 0.95
 
 
+def model_of(counts, languages=("a", "b")):
+    """A model from {order: {entry: {language: count}}}."""
+    return language.Model.counted(list(languages), {
+        n: (pa.array(list(found), pa.string()), np.array([[c.get(x, 0) for x in languages] for c in found.values()]).reshape(len(found), len(languages)))
+        for n, found in counts.items()})
+
+
 def test_unseen_words_fall_back_to_shorter_grams():
-    model = language.Model(["a", "b"], {0: {"known": {"a": 5}}, 5: {" unse": {"b": 4}}, 4: {}, 3: {"zzz": {"a": 3}}, 2: {}, 1: {"q": {"b": 2}}},
-                           {(n, x): 10 for n in range(6) for x in "ab"})
+    rest = {"other": {"a": 5, "b": 5}}
+    model = model_of({0: {"known": {"a": 5}, **rest}, 5: {" unse": {"b": 4}, **rest}, 4: {}, 3: {"zzz": {"a": 3}, **rest}, 2: {}, 1: {"q": {"b": 2}, **rest}})
     known = language.Scores(model)
 
     def word(w):
@@ -68,8 +76,8 @@ def test_unseen_words_fall_back_to_shorter_grams():
 
 
 def test_scores_do_not_depend_on_what_a_task_met_before(monkeypatch):
-    model = language.Model(["a", "b"], {0: {"known": {"a": 5}}, 5: {}, 4: {}, 3: {"zzz": {"a": 3}}, 2: {"un": {"b": 1}}, 1: {"q": {"b": 2}}},
-                           {(n, x): 10 for n in range(6) for x in "ab"})
+    rest = {"other": {"a": 5, "b": 5}}
+    model = model_of({0: {"known": {"a": 5}, **rest}, 5: {}, 4: {}, 3: {"zzz": {"a": 3}, **rest}, 2: {"un": {"b": 1}, **rest}, 1: {"q": {"b": 2}, **rest}})
     texts = ["known unseen", None, "", "12 3", "bzzzb q w", "unzzz " * 300, "known"] * 5
     whole = language._scored(model, texts, language.Scores(model))
     assert whole[0][:5] == ["a", "und", "und", "und", "a"] and whole[0][6] == "a"
@@ -89,9 +97,7 @@ def test_language_edges(frame):
 
 
 @pytest.mark.parametrize("rare", [1, 3, 10])
-def test_a_language_with_few_documents_wins_only_its_own_texts(frame, monkeypatch, rare):
-    monkeypatch.setattr(language, "WORDS", 400)
-    monkeypatch.setattr(language, "GRAMS", 300)
+def test_a_language_with_few_documents_wins_only_its_own_texts(frame, rare):
     rng = random.Random(rare)
 
     def words(letters, n):
