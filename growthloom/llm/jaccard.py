@@ -2,10 +2,11 @@
 
 All shingles stand in one order, that of their hashes. The order is cut into fragments, and so is every document's set.
 
-* Two sets that link differ in at most D shingles, so of D + 1 fragments at least one holds the same shingles in both.
-  Documents that share the content of a fragment are candidates. D follows from the size, so sizes fall into classes, and
-  a document shows its fragments in its own class and the next; linked documents share one of them. An empty fragment
-  counts as content, so nothing is lost.
+* Two sets that link differ in at most D shingles, so at most D fragments differ. Of a document with more than D fragments
+  that hold something, one of those is the same in its partner: documents that share the content of a fragment are
+  candidates. There are a few more than D + 1 fragments, so that nearly every document has that many. The rare document that
+  has not shows its empty fragments too: two such documents share one of all. D follows from the size, so sizes fall into
+  classes, and a document shows its fragments in its own class and the next; linked documents share one of them.
 * Per candidate pair the overlap is counted in each fragment of a coarser cut, and the counts are summed.
 * All pairs of a large group are never formed. Each candidate group has a hub, the document whose fragments are shared
   most; members are compared with the hub, linked ones are of one component and need no comparison with each other. Only
@@ -14,6 +15,7 @@ All shingles stand in one order, that of their hashes. The order is cut into fra
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +23,6 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from growthloom.llm.components import components
@@ -74,19 +75,38 @@ def size_classes(most: int, percent: int = PERCENT) -> list[int]:
     return out + [max(out[-1] + 1, (out[-1] - 1) * 100 // percent + 1), 0]
 
 
-def signatures(shingles: np.ndarray, starts: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Content hashes of a set's fragments in its class and the next."""
+def parts_of(largest: int, smallest: int, percent: int = PERCENT) -> tuple[int, int]:
+    """Most shingles in which linked sets of these sizes differ, and the fragments that leave nearly all of them more full ones."""
+    differ = 2 * largest * (100 - percent) // (100 + percent)
+    parts = differ + 1
+    while differ:
+        empty = parts * math.exp(-smallest / parts)
+        wanted = differ + 1 + math.ceil(empty + 3 * math.sqrt(empty))
+        if parts >= wanted or parts >= 2 * (differ + 1):
+            break
+        parts += 1
+    return differ, parts
+
+
+def class_parts(starts: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int]]:
+    """`parts_of` every class, which its own sizes and those of the class before it share."""
+    return [parts_of(int(starts[c + 1]) - 1, int(starts[max(c - 1, 0)]), percent) for c in range(len(starts) - 1)]
+
+
+def signatures(shingles: np.ndarray, starts: np.ndarray, classes: list[tuple[int, int]]) -> np.ndarray:
+    """Content hashes of a set's fragments in its class and the next: the full ones, and the empty ones if few are full."""
     n = len(shingles)
     own = int(np.searchsorted(starts[:-1], n, side="right")) - 1
     sums = np.concatenate([np.zeros(1, dtype=U64), np.cumsum(mixed(shingles ^ U64(0x5851F42D4C957F2D)), dtype=U64)])
     out = []
     for c in (own, own + 1):
-        largest = int(starts[c + 1]) - 1
-        parts = 2 * largest * (100 - percent) // (100 + percent) + 1  # one more than two linked sets can differ by
+        differ, parts = classes[c]
         fragment = ((shingles >> U64(32)) * U64(parts)) >> U64(32)
         cut = np.searchsorted(fragment, np.arange(parts + 1, dtype=U64))
         content = sums[cut[1:]] - sums[cut[:-1]]
-        out.append(mixed(mixed(content + np.arange(parts, dtype=U64) * U64(0xD6E8FEB86659FD93)) + U64(c)))
+        shown = mixed(mixed(content + np.arange(parts, dtype=U64) * U64(0xD6E8FEB86659FD93)) + U64(c))
+        full = cut[1:] > cut[:-1]
+        out.append(shown[full] if full.sum() > differ else shown)
     return np.concatenate(out)
 
 
@@ -100,6 +120,7 @@ def _shingled(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         make, starts = Shingler(words), np.array(size_classes(1 << 16, percent)[:-1])
+        classes = class_parts(starts, percent)
         for batch in batches:
             for at in range(0, len(batch), 512):
                 part = batch.iloc[at : at + 512]
@@ -107,10 +128,11 @@ def _shingled(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 most = max(map(len, sets), default=0)
                 if most >= starts[-3]:
                     starts = np.array(size_classes(2 * most, percent)[:-1])
+                    classes = class_parts(starts, percent)
                 yield pd.DataFrame({
                     "doc_id": part["doc_id"].astype("Int64"), "n": [len(s) for s in sets],
                     "node": pd.array([node_of(s) if len(s) else None for s in sets], dtype="Int64"),
-                    "signatures": [signatures(s, starts, percent).view(np.int64) if len(s) else np.empty(0, dtype=np.int64) for s in sets],
+                    "signatures": [signatures(s, starts, classes).view(np.int64) if len(s) else np.empty(0, dtype=np.int64) for s in sets],
                 })
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, n long, node long, signatures array<long>")
@@ -142,7 +164,8 @@ def _linked(overlap, n, m, percent: int):
 def _candidates(nodes: DataFrame) -> DataFrame:
     """(hub, node, n, hub_n): the members of each hub's group, without the hub itself."""
     shown = nodes.select("node", "n", F.explode("signatures").alias("sig"))
-    shared = stage(shown.withColumn("many", F.count(F.lit(1)).over(W.partitionBy("sig"))).where("many > 1"), "shared-fragments")
+    many = shown.groupBy("sig").agg(F.count(F.lit(1)).alias("many")).where("many > 1")  # summed map-side; AQE may split a hot fragment
+    shared = stage(shown.join(many, "sig"), "shared-fragments")
     central = shared.groupBy("node").agg((F.sum(F.log2("many")) / F.first("n")).alias("central"))
     rated = shared.join(central, "node")
     hubs = rated.groupBy("sig").agg(F.max(F.struct("central", "node", "n")).alias("hub"))

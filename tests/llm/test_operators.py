@@ -261,18 +261,28 @@ def test_jaccard_edges(frame):
     assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == Counter({(None, 2, 2): 1, (4, 2, 2): 2, (2, 2, 2): 1, (9, 0, 9): 1})
 
 
-def test_a_linked_pair_always_shares_a_fragment():
+@pytest.mark.parametrize("percent", [80, 90])
+def test_a_linked_pair_always_shares_a_fragment(percent):
     rng = np.random.default_rng(3)
-    starts = np.array(jaccard.size_classes(1 << 12)[:-1])
-    for _ in range(300):
-        n = int(rng.integers(1, 400))
+    starts = np.array(jaccard.size_classes(1 << 12, percent)[:-1])
+    classes = jaccard.class_parts(starts, percent)
+    for _ in range(600):
+        n = int(rng.integers(1, 400)) if rng.random() < 0.5 else int(rng.integers(1, 12))
         a = np.unique(jaccard.mixed(rng.integers(0, 1 << 62, n).astype(np.uint64)))
-        drop = int(rng.integers(0, n // 10 + 1))
-        add = int(rng.integers(0, max(n // 10 - drop, 0) + 1))
+        drop = int(rng.integers(0, n // 5 + 1))
+        add = int(rng.integers(0, max(n // 5 - drop, 0) + 1))
         b = np.unique(np.concatenate([a[drop:], jaccard.mixed(rng.integers(0, 1 << 62, add).astype(np.uint64))]))
         both = len(np.intersect1d(a, b))
-        if len(b) and 100 * both >= 90 * (len(a) + len(b) - both):
-            assert np.intersect1d(jaccard.signatures(a, starts), jaccard.signatures(b, starts)).size
+        if len(b) and 100 * both >= percent * (len(a) + len(b) - both):
+            assert np.intersect1d(jaccard.signatures(a, starts, classes), jaccard.signatures(b, starts, classes)).size
+
+
+def test_documents_with_few_full_fragments_show_the_empty_ones():
+    starts = np.array(jaccard.size_classes(1 << 12, 80)[:-1])
+    classes = jaccard.class_parts(starts, 80)
+    low = np.arange(1, 41, dtype=np.uint64)  # all in the first fragment
+    a, b = low[:36], np.concatenate([low[:36], low[37:39] << np.uint64(40)])
+    assert np.intersect1d(jaccard.signatures(a, starts, classes), jaccard.signatures(b, starts, classes)).size
 
 
 def test_components_of_chains_and_stars(frame):
