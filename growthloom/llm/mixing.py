@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from growthloom.llm.rows import packed, unpacked
+
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5  # of all words
 MOST = 2  # times a source's words
@@ -88,6 +90,7 @@ def mix(docs: DataFrame, seed: int = 10, weights=WEIGHTS, share: float = SHARE,
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each document as many times as it is held, with its own columns."""
-    out = mix(docs, **options).where("copies > 0")
-    return out.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select(*docs.columns)
+    """The mix itself: each document as many times as it is held, with its own columns, whatever their names."""
+    needed = ["doc_id", "text", "source"]
+    out = mix(packed(docs, needed), **options).where("copies > 0")
+    return out.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select(*unpacked(out, docs.columns, needed))
