@@ -82,3 +82,18 @@ def test_near_copies_against_all_pairs_at_five_words(spark, frame, sf):
     rows.append((6, None))
     out = corpus_pipeline.near_copies(spark, frame([(i, t, "en", "s", 1) for i, t in rows], EXTRA), sf).collect()
     assert Counter(r["doc_id"] for r in out) == Counter(smallest.values())
+
+
+def test_stages_keep_columns_whose_names_the_operators_use(spark, frame, sf):
+    names = "size string, score string, n_words string, lang_pred string, contaminated string, copies string, shard string, items string, `a.b` string"
+    texts = ["the first of all texts is about a house and a river", "the second text tells of a tree near the old mill", "x " * 9000, "the second text tells of a tree near the old mill"]
+    docs = frame([(i, t, "en", "s", 1, *"abcdefghi") for i, t in enumerate(texts)], f"{EXTRA}, {names}")
+    for name, step in corpus_pipeline.STAGES:
+        out = step(spark, docs, sf)
+        if name == "sharding":
+            assert {"shard", "slot", "input_shard"} <= set(out.columns)
+            assert {r["input_shard"] for r in out.collect()} == {"g"}
+        else:
+            assert out.columns == docs.columns, name
+            got = out.collect()
+            assert got and all(tuple(r)[5:] == tuple("abcdefghi") for r in got), name
