@@ -33,9 +33,11 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    named = tempfile.mkdtemp(prefix="growthloom-")
-    spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    # This setting cannot be changed on a running session; the context remembers its own folder.
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="growthloom-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
