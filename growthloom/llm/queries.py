@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from growthloom.llm import contamination, jaccard, language, licenses, lines, mixing, neighbours, pii, shards, toxicity
+from growthloom.llm import contamination, jaccard, language, licenses, lines, merkle, merkle_sql, mixing, neighbours, pii, shards, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -90,6 +90,11 @@ def op10_mixing(spark, sf_dir):
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op13_manifest(spark, sf_dir):
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
 ORACLE["op2_line_dedup"] = """
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 l AS (SELECT doc_id, generate_subscripts(lines, 1) AS pos, unnest(lines) AS line FROM d),
@@ -138,3 +143,5 @@ SELECT doc_id, size, source_size, target,
   (size * (whole + CASE WHEN whole < 2 AND before + size / 2.0 <= target - whole * source_size THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM p
 """
+
+ORACLE["op13_manifest"] = merkle_sql.audit_sql()
