@@ -54,4 +54,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged = path
+    return out
+
+
+def discard(*staged: DataFrame) -> None:
+    """Remove tables that `stage` wrote, once nothing that is still to run reads them. Other frames are left alone."""
+    for df in staged:
+        path = getattr(df, "_staged", None)
+        if path:
+            jvm = df.sparkSession.sparkContext._jvm
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
