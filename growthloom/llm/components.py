@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from growthloom.session import stage
+from growthloom.session import discard, stage
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -20,6 +20,9 @@ def components(edges: DataFrame) -> DataFrame:
         near = labels.join(heard, labels["node"] == heard["a"]).select("node", F.col("label").alias("old"), F.least("label", "heard").alias("label"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
         after = stage(near.join(jump, "label").select("node", "old", F.least("label", "further").alias("label")), "labels")
+        discard(labels)
         labels = after.select("node", "label")
+        labels._staged = after._staged
         if not after.where("label <> old").limit(1).count():
+            discard(both)
             return labels

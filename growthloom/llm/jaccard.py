@@ -6,7 +6,7 @@ All shingles stand in one order, that of their hashes. The order is cut into fra
   that hold something, one of those is the same in its partner: documents that share the content of a fragment are
   candidates. There are a few more than D + 1 fragments, so that nearly every document has that many. The rare document that
   has not shows its empty fragments too: two such documents share one of all. D follows from the size, so sizes fall into
-  classes, and a document shows its fragments in its own class and the next; linked documents share one of them.
+  classes; a document shows its fragments as its own class cuts them, and if its size links with the class below, as that one.
 * Per candidate pair the overlap is counted in each fragment of a coarser cut, and the counts are summed.
 * All pairs of a large group are never formed. Each candidate group has a hub, the document whose fragments are shared
   most; members are compared with the hub, linked ones are of one component and need no comparison with each other. Only
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from growthloom.llm.components import components
-from growthloom.session import stage
+from growthloom.session import discard, stage
 
 WORDS = 3
 PERCENT = 90
@@ -67,40 +67,46 @@ class Shingler:
         return np.unique(mixed(h))
 
 
+def reach(n: int, percent: int = PERCENT) -> int:
+    """The greatest size that links with size n."""
+    return n * 100 // percent
+
+
 def size_classes(most: int, percent: int = PERCENT) -> list[int]:
-    """First size of each class: sizes that can link lie in one class or in two that touch."""
+    """First size of each class, a step of `reach` wide, up to the first beyond `most`."""
     out = [1]
     while out[-1] <= most:
-        out.append(max(out[-1] + 1, (out[-1] - 1) * 100 // percent + 1))
-    return out + [max(out[-1] + 1, (out[-1] - 1) * 100 // percent + 1), 0]
+        out.append(max(out[-1] + 1, reach(out[-1], percent)))
+    return out
 
 
-def parts_of(largest: int, smallest: int, percent: int = PERCENT) -> tuple[int, int]:
-    """Most shingles in which linked sets of these sizes differ, and the fragments that leave nearly all of them more full ones."""
-    differ = 2 * largest * (100 - percent) // (100 + percent)
+def parts_of(first: int, last: int, percent: int = PERCENT) -> tuple[int, int, int]:
+    """Of the class of sizes first to last: most shingles in which two sets differ that link, one of them of the class and the
+    other not smaller than it; fragments, so many that nearly every set has more full ones; greatest size that shows them."""
+    far = reach(last, percent)
+    differ = (last + far) * (100 - percent) // (100 + percent)
     parts = differ + 1
     while differ:
-        empty = parts * math.exp(-smallest / parts)
-        wanted = differ + 1 + math.ceil(empty + 3 * math.sqrt(empty))
-        if parts >= wanted or parts >= 2 * (differ + 1):
+        empty = parts * math.exp(-first / parts)
+        if parts >= differ + 1 + empty + 3 * math.sqrt(empty) or parts >= 2 * (differ + 1):
             break
         parts += 1
-    return differ, parts
+    return differ, parts, far
 
 
-def class_parts(starts: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int]]:
-    """`parts_of` every class, which its own sizes and those of the class before it share."""
-    return [parts_of(int(starts[c + 1]) - 1, int(starts[max(c - 1, 0)]), percent) for c in range(len(starts) - 1)]
+def class_parts(starts: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int, int]]:
+    return [parts_of(int(a), int(b) - 1, percent) for a, b in zip(starts[:-1], starts[1:])]
 
 
-def signatures(shingles: np.ndarray, starts: np.ndarray, classes: list[tuple[int, int]]) -> np.ndarray:
-    """Content hashes of a set's fragments in its class and the next: the full ones, and the empty ones if few are full."""
+def signatures(shingles: np.ndarray, starts: np.ndarray, classes: list[tuple[int, int, int]]) -> np.ndarray:
+    """Content hashes of a set's fragments in its class and the one below that it links with: the full ones, and the empty ones
+    if few are full."""
     n = len(shingles)
-    own = int(np.searchsorted(starts[:-1], n, side="right")) - 1
+    own = int(np.searchsorted(starts, n, side="right")) - 1
     sums = np.concatenate([np.zeros(1, dtype=U64), np.cumsum(mixed(shingles ^ U64(0x5851F42D4C957F2D)), dtype=U64)])
     out = []
-    for c in (own, own + 1):
-        differ, parts = classes[c]
+    for c in (own, own - 1) if own and n <= classes[own - 1][2] else (own,):
+        differ, parts, _ = classes[c]
         fragment = ((shingles >> U64(32)) * U64(parts)) >> U64(32)
         cut = np.searchsorted(fragment, np.arange(parts + 1, dtype=U64))
         content = sums[cut[1:]] - sums[cut[:-1]]
@@ -116,24 +122,31 @@ def node_of(shingles: np.ndarray) -> int:
 
 
 def _shingled(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(doc_id, n, node, signatures) of every document; no node for an empty set."""
+    """(doc_id, n, node, signatures) of every document; no node for an empty set.
+
+    A set that a task met before comes without signatures, so equal documents multiply nothing; so do rows without doc_id.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        make, starts = Shingler(words), np.array(size_classes(1 << 16, percent)[:-1])
-        classes = class_parts(starts, percent)
+        make, starts, met = Shingler(words), np.array(size_classes(1 << 16, percent)), set()
+        classes, none = class_parts(starts, percent), np.empty(0, dtype=np.int64)
         for batch in batches:
+            if len(met) > CACHE:
+                met.clear()
             for at in range(0, len(batch), 512):
                 part = batch.iloc[at : at + 512]
                 sets = [make(t) for t in part["text"]]
                 most = max(map(len, sets), default=0)
-                if most >= starts[-3]:
-                    starts = np.array(size_classes(2 * most, percent)[:-1])
+                if most >= starts[-1]:
+                    starts = np.array(size_classes(2 * most, percent))
                     classes = class_parts(starts, percent)
+                nodes, shown = [node_of(s) if len(s) else None for s in sets], []
+                for s, node, i in zip(sets, nodes, part["doc_id"].isna()):
+                    fresh = node is not None and not i and node not in met
+                    met.update([node] if fresh else [])
+                    shown.append(signatures(s, starts, classes).view(np.int64) if fresh else none)
                 yield pd.DataFrame({
-                    "doc_id": part["doc_id"].astype("Int64"), "n": [len(s) for s in sets],
-                    "node": pd.array([node_of(s) if len(s) else None for s in sets], dtype="Int64"),
-                    "signatures": [signatures(s, starts, classes).view(np.int64) if len(s) else np.empty(0, dtype=np.int64) for s in sets],
-                })
+                    "doc_id": part["doc_id"].astype("Int64"), "n": [len(s) for s in sets], "node": pd.array(nodes, dtype="Int64"), "signatures": shown})
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, n long, node long, signatures array<long>")
 
@@ -161,15 +174,23 @@ def _linked(overlap, n, m, percent: int):
     return overlap * 100 >= (n + m - overlap) * percent
 
 
-def _candidates(nodes: DataFrame) -> DataFrame:
+def _candidates(made: DataFrame) -> DataFrame:
     """(hub, node, n, hub_n): the members of each hub's group, without the hub itself."""
-    shown = nodes.select("node", "n", F.explode("signatures").alias("sig"))
-    many = shown.groupBy("sig").agg(F.count(F.lit(1)).alias("many")).where("many > 1")  # summed map-side; AQE may split a hot fragment
-    shared = stage(shown.join(many, "sig"), "shared-fragments")
-    central = shared.groupBy("node").agg((F.sum(F.log2("many")) / F.first("n")).alias("central"))
-    rated = shared.join(central, "node")
+    shown = made.select("node", F.explode("signatures").alias("sig"))
+    # Counted map-side first; the join back is left to AQE, which may split a hot fragment.
+    twice = shown.groupBy("sig").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("sig")
+    shared = stage(shown.join(twice, "sig").distinct(), "shared-fragments")
+    sizes = made.join(shared.select("node").distinct(), "node", "left_semi").select("node", "n").distinct()
+    many = shared.groupBy("sig").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
+    rated = shared.join(many, "sig")
+    central = rated.groupBy("node").agg(F.sum(F.log2("many")).alias("central")).join(sizes, "node").select(
+        "node", "n", (F.col("central") / F.col("n")).alias("central"))
+    rated = rated.select("sig", "node").join(central, "node")
     hubs = rated.groupBy("sig").agg(F.max(F.struct("central", "node", "n")).alias("hub"))
-    return shared.join(hubs, "sig").select(F.col("hub.node").alias("hub"), "node", "n", F.col("hub.n").alias("hub_n")).where("hub <> node").distinct()
+    found = rated.join(hubs, "sig").select(F.col("hub.node").alias("hub"), "node", "n", F.col("hub.n").alias("hub_n")).where("hub <> node")
+    found = stage(found.distinct(), "candidate-groups")
+    discard(shared)
+    return found
 
 
 def _pair_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -258,10 +279,11 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     text or one without words has none and links with nothing. Rows with equal sets are one node, whatever their number;
     rows with null doc_id link others but name no component. An empty table gives an empty table.
     """
-    made = stage(_shingled(docs, words, percent), "shingled")
+    shown = stage(_shingled(docs, words, percent), "shingled")
+    groups = _candidates(shown.where("node is not null"))
+    made = stage(shown.select("doc_id", "n", "node"), "sets")
+    discard(shown)  # the signatures, the largest table here
     full = made.where("node is not null")
-    nodes = full.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("signatures").alias("signatures"))
-    groups = stage(_candidates(nodes.where("rep is not null")), "candidate-groups")
     names = full.groupBy("node").agg(F.min("doc_id").alias("rep"))
     wanted = groups.select("node").unionByName(groups.select(F.col("hub").alias("node"))).distinct().join(names, "node")
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
@@ -269,6 +291,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     direct = stage(_pair_links(groups, sets, percent), "links")
     labels = components(direct)
     more = stage(_rest_links(groups, labels, sets, percent), "links")
+    discard(sets, direct)
     merged = components(more).select(F.col("node").alias("label"), F.col("label").alias("merged"))
     labels = labels.join(merged, "label", "full").select(
         F.coalesce("node", "label").alias("node"), F.coalesce("merged", "label").alias("label"))
