@@ -6,7 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from growthloom.llm import contamination, jaccard, language, licenses, lines, merkle, merkle_sql, mixing, neighbours, pii, shards, toxicity
+from growthloom.llm import contamination, jaccard, language, licenses, lines, merkle, merkle_sql, mixing, negatives, neighbours, pii, shards, token_files, toxicity
+from growthloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -90,6 +91,22 @@ def op10_mixing(spark, sf_dir):
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op11_tokens(spark, sf_dir):
+    import public_tokenizers
+
+    path = scratch_path(spark, "tokens")
+    token_files.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.stream(token_files.read(spark, path))
+
+
+@query
+def op12_negatives(spark, sf_dir):
+    label = F.col("label").cast("long")
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return negatives.mine(rows)
+
+
 @query
 def op13_manifest(spark, sf_dir):
     return merkle.audit(table(spark, sf_dir, "documents"))
@@ -144,4 +161,18 @@ SELECT doc_id, size, source_size, target,
 FROM p
 """
 
+ORACLE["op12_negatives"] = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)),
+s AS (SELECT a.vec_id AS anchor_id, a.label AS own, e.label AS other, e.vec_id AS id, list_inner_product(a.v, e.v)::BIGINT AS score
+  FROM e a JOIN e ON e.vec_id <> a.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE own = other
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (SELECT p.*, s.id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.id)::INTEGER AS rank
+  FROM p JOIN s USING (anchor_id) WHERE own <> other AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
 ORACLE["op13_manifest"] = merkle_sql.audit_sql()
