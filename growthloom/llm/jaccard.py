@@ -21,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -206,7 +207,7 @@ def _pair_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _side(table: pa.Table, left: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict]:
     """Nodes, sizes, labels of one side of a block, and per part the row numbers and shingles."""
-    rows = table.filter(pa.compute.equal(table["left"], left))
+    rows = table.filter(pc.equal(table["left"], left))
     node = rows["node"].to_numpy()
     nodes, first, at = np.unique(node, return_index=True, return_inverse=True)
     part = rows["part"].to_numpy()

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -137,8 +138,8 @@ def _blocks(anchors: DataFrame, candidates: DataFrame, keys: list[str], extra: l
 
 def _sides(block: pa.Table):
     """Anchor rows with their vectors, candidate rows with their planes; None where a side is empty."""
-    anchors = block.filter(pa.compute.is_null(block["packed"]))
-    candidates = block.filter(pa.compute.is_valid(block["packed"]))
+    anchors = block.filter(pc.is_null(block["packed"]))
+    candidates = block.filter(pc.is_valid(block["packed"]))
     if not len(anchors) or not len(candidates):
         return None
     d = int(block["d"][0].as_py())

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -153,7 +154,7 @@ def fit(vectors: DataFrame, rows: int, k: int, sample: int = SAMPLE, recall: flo
 def _top(block: pa.Table, k: int) -> pa.Table:
     """The k best vectors of a block for each of its queries: exact products, ties to the smaller id."""
     def side(query: bool):
-        rows = block.filter(pa.compute.equal(block["query"], query))
+        rows = block.filter(pc.equal(block["query"], query))
         v = rows["v"].combine_chunks()
         return rows["vec_id"].to_numpy(), np.asarray(v.flatten()).reshape(len(rows), -1 if len(rows) else 0)
 

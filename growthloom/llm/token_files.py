@@ -14,6 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -88,7 +89,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, at_once: int = AT_ONCE, sp
         part, at = TaskContext.get().partitionId(), 0
         for batch in batches:
             low, size = 0, 0
-            lengths = pa.compute.fill_null(pa.compute.utf8_length(batch["text"]), 0).to_numpy(zero_copy_only=False)
+            lengths = pc.fill_null(pc.utf8_length(batch["text"]), 0).to_numpy(zero_copy_only=False)
             for high in range(1, batch.num_rows + 1):
                 size += int(lengths[high - 1])
                 if size < 4 * at_once and high < batch.num_rows:
