@@ -1,12 +1,17 @@
 """Ordered per-key computations that stay exact when one key is very large.
 
 A plain `Window.partitionBy(key)` sends all rows of a key to one task.  Here a
-key with more than `rows` rows is cut into slices along its order column; each
-slice is computed on its own and then corrected by a carry, the summary of the
-slices before it.  The side frames hold at most one entry per `rows` input rows
-(hot keys) and SLICES_PER_LIMIT per `rows` (carries); Spark decides by their size
-whether to broadcast them.  All of it is one lazy plan: the counting pass shares its
-exchanges with the main pass, and without a hot key AQE drops both joins.
+key with more than about `rows` rows is cut into slices along its order and tie
+columns, and the rows are dealt out by key and slice, in one shuffle.  Each slice
+is computed on its own and then corrected by a carry, the summary of the slices
+before it.
+
+Slices are equally deep: their bounds are every so-manieth row of a sample that a
+hash of the row picks, so bursts and rows of one instant are cut too, and every
+evaluation of the plan cuts the same slices.  Bounds and carries together hold at
+most a few entries per `rows` input rows (about one per two million by default);
+that bound is why they are broadcast.  Without a hot key there are no bounds, and
+AQE drops both joins.
 """
 from __future__ import annotations
 
@@ -17,9 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from growthloom.session import stage
 
 HOT_ROWS = 4_000_000
-# Slices per HOT_ROWS rows of a hot key: times with up to this factor more rows than the
-# key's average still give slices below the limit.
-SLICES_PER_LIMIT = 16
+SAMPLED = 32  # sampled rows of a key per `rows` rows; every SAMPLED / 2 of them is a bound
 
 
 def micros(ts: Column) -> Column:
@@ -34,27 +37,45 @@ def _same(names: Sequence[str], prefix: str) -> Column:
     return cond
 
 
-def slice_hot_keys(df: DataFrame, keys: Sequence[str], order: str, rows: int = HOT_ROWS) -> DataFrame:
-    """Add `_hot` and `_slice`: 0 for ordinary keys, an order-true slice for hot ones.
+def _place(df: DataFrame, order: str, tie: Sequence[str], descending: bool = False) -> Column:
+    """A row's place in the scan as one comparable value; rows without an order value come first, or last when descending."""
+    at = F.col(order) if dict(df.dtypes)[order] in ("bigint", "int") else micros(F.col(order))
+    first = [at.isNull().alias("last"), (-at).alias("at")] if descending else [at.alias("at")]
+    return F.struct(*first, *[F.col(c).alias(f"tie{n}") for n, c in enumerate(tie)])
 
-    `order` is a timestamp or a long.  Count, least and greatest value of a key
-    are exact, so every evaluation of the plan cuts the same slices.  When no key
-    is hot, AQE drops the joins with the empty side.
+
+def slice_bounds(df: DataFrame, keys: Sequence[str], place: Column, rows: int = HOT_ROWS) -> DataFrame:
+    """(keys as _h_*, _bounds): the first places of the slices of every key with more than about `rows` rows."""
+    per = max(1, min(SAMPLED, rows))
+    step = max(1, per // 2)
+    picked = df.select(*[F.col(k).alias(f"_h_{k}") for k in keys], place.alias("_x"))
+    hot = [f"_h_{k}" for k in keys]
+    picked = picked.where(F.pmod(F.xxhash64(*hot, "_x"), F.lit(max(1, rows // per))) == 0)
+    whole = Window.partitionBy(*hot)
+    nth = picked.withColumns({"_nth": F.row_number().over(whole.orderBy("_x")), "_all": F.count(F.lit(1)).over(whole)})
+    return nth.where((F.col("_all") > per) & (F.col("_nth") % step == 0)).groupBy(*hot).agg(
+        F.array_sort(F.collect_list("_x")).alias("_bounds"))
+
+
+def _slice_of(bounds: Column, place: Column) -> Column:
+    """How many bounds lie at or before the place, by halving steps."""
+    steps = F.array(*[F.lit(1 << b) for b in range(30, -1, -1)])
+    return F.aggregate(steps, F.lit(0), lambda n, step: F.when(F.get(bounds, n + step - 1) <= place, n + step).otherwise(n))
+
+
+def slice_hot_keys(df: DataFrame, keys: Sequence[str], order: str, rows: int = HOT_ROWS, tie: Sequence[str] = (),
+                   descending: bool = False) -> DataFrame:
+    """Add `_hot` and `_slice`: 0 for ordinary keys, a slice true to (order, tie) for hot ones.
+
+    `order` is a timestamp or a whole number; rows that are equal in `order` and `tie` stay together.
     """
-    place = F.col(order) if dict(df.dtypes)[order] == "bigint" else micros(F.col(order))
-    stats = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_lo"), F.max(place).alias("_hi"))
-        .where(F.col("_n") > rows)
-        .select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_n", "_lo", "_hi")
-    )
-    parts = F.ceil(F.col("_n") * SLICES_PER_LIMIT / F.lit(rows))
-    share = (place - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1)
+    place = _place(df, order, tie, descending)
+    bounds = slice_bounds(df, keys, place, rows)
     return (
-        df.join(stats, _same(keys, "_h_"), "left")
-        .withColumn("_hot", F.col("_n").isNotNull())
-        .withColumn("_slice", F.when(F.col("_hot"), F.floor(share * parts)).otherwise(F.lit(0)).cast("long"))
-        .drop("_n", "_lo", "_hi", *[f"_h_{k}" for k in keys])
+        df.join(F.broadcast(bounds), _same(keys, "_h_"), "left")
+        .withColumn("_hot", F.col("_bounds").isNotNull())
+        .withColumn("_slice", F.when(F.col("_hot"), _slice_of(F.col("_bounds"), place)).otherwise(F.lit(0)).cast("long"))
+        .drop("_bounds", *[f"_h_{k}" for k in keys])
     )
 
 
@@ -72,7 +93,7 @@ def scan_by_key(
 ) -> DataFrame:
     """Ordered scan of every key.
 
-    `order` names a timestamp or long column; `tie` makes the order total.
+    `order` names a timestamp or whole-number column; `tie` makes the order total.
     `outputs` maps a new column to (kind, value), kind one of lag, rownum, sum,
     max, min; sum, max and min include the row itself.  Plain column names as
     values add nothing to the shuffle.
@@ -86,12 +107,11 @@ def scan_by_key(
         else:
             values[name] = f"_v_{name}"
             work = work.withColumn(values[name], value)
-    work = slice_hot_keys(work, keys, order, rows)
+    work = slice_hot_keys(work, keys, order, rows, tie, descending)
 
-    turn = F.desc if descending else F.asc
-    at = Window.partitionBy(*keys, "_slice").orderBy(turn(order), *tie)
+    at = Window.partitionBy(*keys, "_slice").orderBy((F.desc if descending else F.asc)(order), *tie)
     upto = at.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = Window.partitionBy(*keys).orderBy(turn("_slice"))
+    before = Window.partitionBy(*keys).orderBy("_slice")
     all_before = before.rowsBetween(Window.unboundedPreceding, -1)
     # The last row of a slice in scan order, as an aggregate.
     place = F.struct(order, *tie)
@@ -119,7 +139,7 @@ def scan_by_key(
         .agg(*totals)
         .select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_slice").alias("_k__slice"), *carries)
     )
-    out = work.select("*", *local).join(carry, _same([*keys, "_slice"], "_k_"), "left")
+    out = work.select("*", *local).join(F.broadcast(carry), _same([*keys, "_slice"], "_k_"), "left")
     for name, (kind, _) in outputs.items():
         here, past = F.col(f"_l_{name}"), F.col(f"_c_{name}")
         if kind == "lag":

@@ -52,23 +52,48 @@ def test_scan_equals_brute_force(frame, limit, seed):
     assert got == brute(data)
 
 
+def slices_of(df, keys, **options):
+    cut = keyed.slice_hot_keys(df, keys, "at", tie=["id"], **options).select(*keys, "at", "id", "_hot", "_slice").collect()
+    return [(tuple(r[k] for k in keys), r["at"], r["id"], r["_hot"], r["_slice"]) for r in cut]
+
+
 def test_hot_key_is_cut_into_several_slices(frame):
-    df = frame(make(3, 400), "id long, key string, at timestamp_ntz, v long")
-    cut = keyed.slice_hot_keys(df, ["key"], "at", rows=100).groupBy("key", "_hot").agg(
-        F.count_distinct("_slice").alias("slices")
-    )
-    got = {r["key"]: (r["_hot"], r["slices"]) for r in cut.collect()}
-    assert got["hot"][0] and got["hot"][1] >= 4
-    assert all(not hot and n == 1 for k, (hot, n) in got.items() if k != "hot")
-
-
-def test_a_burst_inside_a_hot_key_stays_below_the_limit(frame):
-    # 900 of 1000 rows fall into three days of a month: nine times the average.
-    data = [(i, "hot", T0 + timedelta(days=i % 30, minutes=i)) for i in range(100)]
-    data += [(100 + i, "hot", T0 + timedelta(days=15, seconds=288 * i)) for i in range(900)]
-    df = frame(data, "id long, key string, at timestamp_ntz")
-    sizes = keyed.slice_hot_keys(df, ["key"], "at", rows=50).groupBy("_slice").count()
-    assert max(r["count"] for r in sizes.collect()) <= 50
+    got = slices_of(frame(make(3, 400), "id long, key string, at timestamp_ntz, v long"), ["key"], rows=100)
+    assert len({s for (k,), _, _, hot, s in got if k == "hot" and hot}) >= 2
+    ordinary = [k for (k,), _, _, hot, _ in got if not hot]
+    assert all(ordinary.count(k) <= 130 for k in set(ordinary)) and "hot" not in ordinary
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_bursts_and_rows_of_one_instant_are_cut_in_order(frame, descending):
+    # 190 of 200 rows at one instant, 900 of 1000 within three days of a month, and rows without a time.
+    data = [(i, "one", T0 + timedelta(days=i if i < 10 else 5)) for i in range(200)]
+    data += [(i, "burst", T0 + timedelta(days=i % 30, minutes=i)) for i in range(1000, 1100)]
+    data += [(i, "burst", T0 + timedelta(days=15, seconds=288 * (i - 1100))) for i in range(1100, 2000)]
+    data += [(i, "none", None) for i in range(3000, 3100)] + [(4000, "few", T0), (4001, None, T0)]
+    got = slices_of(frame(data, "id long, key string, at timestamp_ntz"), ["key"], rows=40, descending=descending)
+    depth, spread = {}, {}
+    for (k,), _, _, _, s in got:
+        depth[k, s] = depth.get((k, s), 0) + 1
+    assert max(depth.values()) <= 60
+    for (k,), at, i, _, s in got:
+        spread.setdefault(k, []).append(((at is None) == descending, (0 if at is None else (at - T0).total_seconds() * (-1 if descending else 1)), i, s))
+    for k, places in spread.items():
+        assert [p[-1] for p in sorted(places)] == sorted(p[-1] for p in places), k
+    assert len({s for (k,), at, _, _, s in got if k == "one" and at == T0 + timedelta(days=5)}) >= 4
+
+
+def test_slices_of_a_hot_key_are_dealt_to_several_tasks(spark, frame):
+    data = make(6, 600)
+    df = frame(data, "id long, key string, at timestamp_ntz, v long")
+    out = keyed.scan_by_key(df, ["key"], "at", ["id"], {"n": ("rownum", "key")}, rows=20)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = out.where("key = 'hot'").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    hot = sum(r["count"] for r in tasks)
+    assert len(tasks) >= 4 and max(r["count"] for r in tasks) < hot / 2
 
 
 @pytest.mark.parametrize("limit", [4, keyed.HOT_ROWS])
