@@ -9,6 +9,8 @@ from growthloom.functions import exprs as X
 from growthloom.plans import keyed
 from growthloom.schemas import STAGES
 
+FUNNEL_ROWS = 250_000  # events of one person that are folded at once
+
 # Fixed values -----------------------------------------------------------------
 # report stage, counted stages, stage its share is taken of, benchmark per cent
 REPORT_STAGES = [
@@ -65,26 +67,48 @@ def time_to_convert(events: DataFrame, conversions: Sequence[str], rows: int = k
     )
 
 
-def strict_funnel(events: DataFrame, stages: Sequence[str]) -> DataFrame:
-    """Persons who reach each stage after the one before, in time order.
+def _walk(names: Column, events: Column, start: Column) -> Column:
+    """Stages reached and the time of the last one after the events in time order, from such a state on."""
+    def step(state: Column, e: Column) -> Column:
+        later = state["t"].isNull() | (e["at"] > state["t"])
+        return F.when((e["stage"] == F.get(names, state["n"])) & later, F.struct((state["n"] + 1).alias("n"), e["at"].alias("t"))).otherwise(state)
+
+    return F.aggregate(events, start, step)
+
+
+def _state(n: Column, t: Column) -> Column:
+    return F.struct(n.cast("int").alias("n"), t.cast("long").alias("t"))
 
-    Every step keeps one row per person (the first time of that stage) and meets
-    the next stage's events on the person; the minimum combines map-side, so no
-    person's events are gathered.
+
+def strict_funnel(events: DataFrame, stages: Sequence[str], rows: int = FUNNEL_ROWS) -> DataFrame:
+    """Persons who reach each stage after the one before, in time order; events of one instant do not follow each other.
+
+    One scan; the events are shuffled once, by person and slice.  A slice of a hot person is folded into what it does to any
+    state it may be entered in: stages held on entry, and whether the last of them was reached at the slice's first instant.
+    These summaries are composed in order per person, like a prefix sum.  An ordinary person has one slice and needs the
+    first entry only.  Events without a person or a time are not counted.
     """
-    at = keyed.micros(F.col("created_at"))
-    reached = events.where(F.col("stage") == stages[0]).groupBy("person").agg(F.min(at).alias("_t"))
-    out = None
-    for pos, name in enumerate(stages, 1):
-        if pos > 1:
-            step = events.where(F.col("stage") == name).select("person", at.alias("_at"))
-            later = step.join(reached, "person").where(F.col("_at") > F.col("_t"))
-            reached = later.groupBy("person").agg(F.min("_at").alias("_t"))
-        row = reached.agg(F.count(F.lit(1)).alias("persons")).select(
-            F.lit(pos).cast("long").alias("position"), F.lit(name).alias("stage"), "persons"
-        )
-        out = row if out is None else out.unionAll(row)
-    return out
+    none, count = F.lit(None), len(stages)
+    names = F.array(*[F.lit(s) for s in stages])
+    only = events.where(F.col("stage").isin(list(stages)) & F.col("person").isNotNull() & F.col("created_at").isNotNull()).select(
+        "person", "stage", keyed.micros(F.col("created_at")).alias("at"))
+    cut = keyed.slice_hot_keys(only, ["person"], "at", rows, tie=["stage"])
+    slices = cut.groupBy("person", "_hot", "_slice").agg(F.array_sort(F.collect_set(F.struct("at", "stage"))).alias("_e"))
+    first = F.col("_e")[0]["at"]
+    entered = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(2 * count + 1))).otherwise(F.array(F.lit(0)))
+    effects = F.transform(entered, lambda k: _walk(names, F.col("_e"), _state(F.floor(k / 2), F.when(k % 2 == 1, first))))
+    done = slices.select("person", F.struct(F.col("_slice").alias("no"), first.alias("first"), effects.alias("effects")).alias("_s"))
+    whole = done.groupBy("person").agg(F.array_sort(F.collect_list("_s")).alias("_s"))  # one entry per slice
+
+    def compose(state: Column, s: Column) -> Column:
+        after = F.get(s["effects"], state["n"] * 2 + F.coalesce(state["t"] == s["first"], F.lit(False)).cast("int"))
+        return _state(after["n"], F.coalesce(after["t"], state["t"]))
+
+    reached = whole.select(F.aggregate("_s", _state(F.lit(0), none), compose)["n"].alias("n"))
+    totals = reached.agg(*[F.count_if(F.col("n") >= pos).alias(f"_{pos}") for pos in range(1, count + 1)])
+    out = [F.struct(F.lit(pos).cast("long").alias("position"), F.lit(name).alias("stage"), F.col(f"_{pos}").alias("persons"))
+           for pos, name in enumerate(stages, 1)]
+    return totals.select(F.inline(F.array(*out)))
 
 
 def sessions(events: DataFrame, person: str, ts: str, page: str, event_id: str, gap_seconds: int = 1800) -> DataFrame:

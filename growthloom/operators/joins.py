@@ -100,6 +100,28 @@ def attribute(clicks: DataFrame, buys: DataFrame, keys: Sequence[str], days: int
     )
 
 
+def attribute_each(clicks: DataFrame, buys: DataFrame, keys: Sequence[str], rows: int = keyed.HOT_ROWS) -> DataFrame:
+    """Credit each buy to the latest click of the same keys that has not run out, where every click lasts its own `days`.
+
+    The newest click may have run out while an older one still lasts, so a single running maximum is not enough: of the clicks
+    of one length the newest is the best, so there is one as-of scan per key and length among the key's own clicks, and a buy
+    takes the latest of the clicks found that still last.  A buy is copied once per length of its key's clicks; no click-buy
+    pairs are formed, and hot keys are cut into slices.
+
+    Clicks have (keys, id, at, by, days), buys (keys, id, at) with ids of their own; the result has one row per buy with
+    click_id, clicked_at and by, NULL when no click lasts.  Clicks of one instant: the greatest id, then the greatest `by`, wins.
+    """
+    lengths = clicks.select(*keys, "days").distinct()
+    asked = buys.select(*keys, "id", "at").join(lengths, list(keys), "left")
+    both = clicks.select(*keys, "days", "id", "at", "by", F.lit(0).alias("kind")).unionByName(
+        asked.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+    seen = F.when(F.col("kind") == 0, F.struct("at", "id", "by"))
+    scanned = keyed.scan_by_key(both, [*keys, "days"], "at", ["kind", "id", "by"], {"_click": ("max", seen)}, rows)
+    lasts = F.col("_click.at") + F.make_dt_interval(days=F.col("days").cast("int")) >= F.col("at")
+    best = scanned.where("kind = 1").groupBy(*keys, "id", "at").agg(F.max(F.when(lasts, F.col("_click"))).alias("_click"))
+    return best.select(*keys, "id", "at", F.col("_click.id").alias("click_id"), F.col("_click.at").alias("clicked_at"), F.col("_click.by").alias("by"))
+
+
 def next_buy(starts: DataFrame, buys: DataFrame, key: str, rows: int = keyed.HOT_ROWS) -> DataFrame:
     """Every checkout start with `next_at`, the time of the next purchase of the same key."""
     cols = [key, "id", "at"]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 from growthloom.operators import affiliates as AF
 from growthloom.operators import content as C
 from growthloom.operators import members, upsert as U
+from growthloom.plans import affiliate as AP
 from growthloom.plans import daily, drafts, leads, membership, packages, purchases as P, weekly, welcome
 from growthloom.registry.core import op
 from growthloom.registry.duck import EVENTS_AS_OF as EA, ORDERS_AS_OF as OA
@@ -113,6 +114,41 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+@op("affiliate_commissions", """SELECT purchase_id, affiliate_id, sha2 AS referral_id, commission_cents AS amount_cents, CASE WHEN is_recurring THEN 'recurring' ELSE 'one_time' END AS commission_type,
+      rate AS rate_pct, CASE WHEN is_recurring THEN 'sub_' || user_id END AS source_membership_id, received_at AS created_at, 'pending' AS status
+    FROM (SELECT *, sha256('referral/' || purchase_id || '/' || affiliate_id) AS sha2 FROM ac WHERE is_active)""")
+def _(t: Tables) -> DataFrame:
+    return AP.affiliate_sync(t.affiliate_messages, t.affiliates).commissions.select(
+        F.col("source_purchase_id").alias("purchase_id"), "affiliate_id", "referral_id", "amount_cents", "commission_type", "rate_pct",
+        "source_membership_id", "created_at", "status")
+
+
+@op("affiliate_referrals", """SELECT purchase_id, affiliate_id, email AS referred_email, CASE WHEN event_id % 2 = 0 THEN CAST(user_id AS VARCHAR) END AS referred_profile_id,
+      amount_cents AS purchase_amount_cents, commission_cents, true AS converted, received_at AS converted_at FROM ac WHERE is_active""")
+def _(t: Tables) -> DataFrame:
+    return AP.affiliate_sync(t.affiliate_messages, t.affiliates).referrals.drop("id")
+
+
+@op("affiliate_totals", """SELECT af.id, CAST(af.total_earned_cents + coalesce(c.s, 0) AS BIGINT) AS total_earned_cents, af.total_paid_cents,
+      CAST(af.pending_cents + coalesce(c.s, 0) AS BIGINT) AS pending_cents FROM af LEFT JOIN
+      (SELECT affiliate_id, sum(commission_cents) AS s FROM ac WHERE is_active GROUP BY 1) c ON c.affiliate_id = af.id""")
+def _(t: Tables) -> DataFrame:
+    return AP.affiliate_sync(t.affiliate_messages, t.affiliates).affiliates.select("id", "total_earned_cents", "total_paid_cents", "pending_cents")
+
+
+@op("affiliate_rejected", """SELECT purchase_id, CASE WHEN am.affiliate_id IS NULL THEN 'unknown' ELSE 'inactive' END AS reason
+    FROM am LEFT JOIN af ON af.id = am.affiliate_id WHERE am.affiliate_id IS NULL OR NOT af.is_active""")
+def _(t: Tables) -> DataFrame:
+    return AP.affiliate_sync(t.affiliate_messages, t.affiliates).rejected.select("purchase_id", "reason")
+
+
+@op("affiliate_recurrence", """SELECT purchase_id, 'sub_' || user_id AS source_membership_id, row_number() OVER (PARTITION BY user_id ORDER BY received_at, purchase_id) AS recurrence_number
+    FROM ac WHERE is_active AND is_recurring""")
+def _(t: Tables) -> DataFrame:
+    made = AP.affiliate_sync(t.affiliate_messages, t.affiliates).commissions
+    return AP.number_recurring(made).select(F.col("source_purchase_id").alias("purchase_id"), "source_membership_id", "recurrence_number")
+
+
 @op("churn_alerts", f"""SELECT id, email, category FROM (SELECT me.id, pr.email, CASE
       WHEN status IN ('active','trialing') AND current_period_end BETWEEN {OA} AND {OA} + INTERVAL 5 DAY THEN
         CASE WHEN cancel_at_period_end THEN 'cancelling' ELSE 'renewing_soon' END

@@ -111,7 +111,20 @@ CTES: dict[str, str] = {
         CAST(round(l_extendedprice / l_quantity * 100) AS BIGINT) AS unit_price_cents, l_returnflag AS returnflag FROM lineitem""",
     "af": """SELECT s_suppkey AS id, s_suppkey AS profile_id, 'AFF' || s_suppkey AS referral_code, s_name AS full_name,
         CASE WHEN s_acctbal < 3000 THEN 'standard' WHEN s_acctbal < 7000 THEN 'premium' ELSE 'elite' END AS tier,
-        CAST(30.0 AS DOUBLE) AS commission_pct, s_acctbal >= 0 AS is_active FROM supplier""",
+        CAST(30.0 AS DOUBLE) AS commission_pct, s_acctbal >= 0 AS is_active,
+        CASE s_suppkey % 4 WHEN 0 THEN 30 WHEN 1 THEN 365 ELSE 60 END AS cookie_days, s_suppkey * 100 AS total_earned_cents,
+        s_suppkey * 40 AS total_paid_cents, s_suppkey * 60 AS pending_cents FROM supplier""",
+    "am": """SELECT 'p' || event_id AS purchase_id, event_id, user_id, ts AS received_at,
+        CASE WHEN event_id % 50 <> 0 THEN val_cents ELSE 0 END AS amount_cents,
+        CASE WHEN k < 30 THEN 'tripwire' WHEN k < 60 THEN 'membership' WHEN k < 80 THEN 'automation_package' WHEN k < 90 THEN 'course' ELSE 'tripwire' END AS product_type,
+        k >= 30 AND k < 60 AND event_id % 2 = 0 AS is_recurring, k % 4 = 0 AS own_rate,
+        CASE WHEN event_id % 3 < 2 THEN event_id % (SELECT count(*) FROM supplier) END AS affiliate_id,
+        'customer.' || lpad(CAST(user_id AS VARCHAR), 9, '0') || '@example.com' AS email FROM ev WHERE event_type = 'purchase'""",
+    "ac": """SELECT am.*, af.tier, af.is_active, CASE tier WHEN 'premium' THEN CAST(floor(base * 1.1::DOUBLE + 0.5) AS BIGINT)
+          WHEN 'elite' THEN CAST(floor(base * 1.25::DOUBLE + 0.5) AS BIGINT) ELSE CAST(base AS BIGINT) END AS commission_cents, rate
+        FROM (SELECT *, floor(CAST(amount_cents AS DOUBLE) * (rate / 100.0::DOUBLE) + 0.5) AS base FROM
+          (SELECT *, CASE WHEN own_rate THEN 45 ELSE CASE product_type WHEN 'membership' THEN 30 WHEN 'automation_package' THEN 20 WHEN 'tripwire' THEN 40 ELSE 30 END
+             END::DOUBLE AS rate FROM am)) am JOIN af ON af.id = am.affiliate_id""",
     "rf": """SELECT l_suppkey AS affiliate_id, o_custkey AS profile_id, l_orderkey AS purchase_id, l_linenumber AS line_no,
         o_orderdate AS clicked_at, l_shipdate AS converted_at, CAST(round(l_extendedprice * 100) AS BIGINT) AS amount_cents
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",

@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from growthloom.operators import joins as J
+from growthloom.plans import affiliate as AP
 from growthloom.operators.revenue import with_product_type
 from growthloom.registry.core import op
 from growthloom.registry.duck import EVENTS_AS_OF as EA
@@ -124,18 +125,40 @@ def _(t: Tables) -> DataFrame:
                        {"total_views": F.col("views"), "day_likes": F.col("likes")})
 
 
-@op("cookie_window_join", """SELECT b.id, b.affiliate_id, b.at, c.id AS click_id FROM
-    (SELECT DISTINCT affiliate_id, profile_id, converted_at AS at, CAST(purchase_id * 10 + line_no AS BIGINT) AS id FROM rf) b
-    ASOF LEFT JOIN (SELECT affiliate_id, profile_id, clicked_at AS at, max(purchase_id) AS id FROM rf GROUP BY 1, 2, 3) c
-      ON c.affiliate_id = b.affiliate_id AND c.profile_id = b.profile_id AND c.at <= b.at
-    WHERE c.at >= b.at - INTERVAL 60 DAY""")
+# A click (order) lasts the cookie days of its affiliate; every line of the order may be another affiliate's.
+CLICKS = """(SELECT DISTINCT rf.affiliate_id, rf.profile_id, rf.clicked_at AS at, rf.purchase_id AS id, af.cookie_days AS days FROM rf JOIN af ON af.id = rf.affiliate_id{active})"""
+SALES = """(SELECT DISTINCT profile_id, converted_at AS at, CAST(purchase_id * 10 + line_no AS BIGINT) AS id FROM rf)"""
+
+
+def clicks(t: Tables) -> DataFrame:
+    return t.referrals.select("affiliate_id", "profile_id", F.col("clicked_at").alias("at"), F.col("purchase_id").alias("id")).distinct()
+
+
+@op("cookie_window_join", f"""SELECT b.id, b.profile_id, b.at, max((c.at, c.id, c.affiliate_id))[3] AS affiliate_id, max((c.at, c.id, c.affiliate_id))[2] AS click_id
+    FROM {SALES} b JOIN {CLICKS.format(active='')} c ON c.profile_id = b.profile_id AND c.at <= b.at AND c.at + to_days(c.days) >= b.at GROUP BY 1, 2, 3""")
 def _(t: Tables) -> DataFrame:
-    clicks = t.referrals.groupBy("affiliate_id", "profile_id", F.col("clicked_at").alias("at")).agg(F.max("purchase_id").alias("id"))
+    lasting = clicks(t).join(t.affiliates.select(F.col("id").alias("affiliate_id"), F.col("cookie_days").alias("days")), "affiliate_id")
     buys = t.referrals.select(
-        "affiliate_id", "profile_id", F.col("converted_at").alias("at"), (F.col("purchase_id") * 10 + F.col("line_no")).alias("id")
-    ).distinct()
-    done = J.attribute(clicks, buys, ["affiliate_id", "profile_id"], 60)
-    return done.where("click_id is not null").select("id", "affiliate_id", "at", "click_id")
+        "profile_id", F.col("converted_at").alias("at"), (F.col("purchase_id") * 10 + F.col("line_no")).alias("id")).distinct()
+    done = J.attribute_each(lasting.withColumnRenamed("affiliate_id", "by"), buys, ["profile_id"])
+    return done.where("click_id is not null").select("id", "profile_id", "at", F.col("by").alias("affiliate_id"), "click_id")
+
+
+@op("attributed_commissions", f"""WITH won AS (SELECT b.id, b.profile_id, b.at, max((c.at, c.id, c.affiliate_id))[3] AS affiliate_id, max((c.at, c.id, c.affiliate_id))[2] AS click_id
+      FROM (SELECT s.profile_id, s.id, min(s."at") AS "at" FROM {SALES} s GROUP BY 1, 2) b JOIN {CLICKS.format(active=' AND af.is_active')} c ON c.profile_id = b.profile_id AND c.at <= b.at AND c.at + to_days(c.days) >= b.at GROUP BY 1, 2, 3),
+    sold AS (SELECT CAST(it.purchase_id * 10 + it.line_no AS BIGINT) AS id, max((it.line_cents, it.product_id)) AS s FROM it GROUP BY 1)
+    SELECT won.id, won.affiliate_id, won.click_id, CASE tier WHEN 'premium' THEN CAST(floor(base * 1.1::DOUBLE + 0.5) AS BIGINT)
+      WHEN 'elite' THEN CAST(floor(base * 1.25::DOUBLE + 0.5) AS BIGINT) ELSE CAST(base AS BIGINT) END AS amount_cents
+    FROM (SELECT won.*, floor(CAST(s[1] AS DOUBLE) * (CASE dp.product_type WHEN 'membership' THEN 30 WHEN 'automation_package' THEN 20 ELSE 40 END / 100.0::DOUBLE) + 0.5) AS base
+          FROM won JOIN sold USING (id) JOIN dp ON dp.id = s[2]) won JOIN af ON af.id = won.affiliate_id""")
+def _(t: Tables) -> DataFrame:
+    # Line numbers repeat within some orders: the dearest of the lines is what was sold, the first one says when.
+    line = (F.col("purchase_id") * 10 + F.col("line_no")).alias("id")
+    sold = t.purchase_items.groupBy(line).agg(F.max(F.struct("line_cents", "product_id")).alias("s"))
+    kinds = t.products.select(F.col("id").alias("product_id"), "product_type")
+    sold = sold.select("id", F.col("s.line_cents").alias("amount_cents"), F.col("s.product_id").alias("product_id")).join(kinds, "product_id")
+    sales = t.referrals.groupBy("profile_id", line).agg(F.min("converted_at").alias("at")).join(sold, "id")
+    return AP.attributed_commissions(clicks(t), sales, t.affiliates).select("id", "affiliate_id", "click_id", "amount_cents")
 
 
 @op("referral_conversion", """SELECT affiliate_id, count(*) AS conversions, CAST(sum(amount_cents) AS BIGINT) AS amount_cents FROM rf

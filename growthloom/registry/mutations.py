@@ -65,14 +65,15 @@ def _(t: Tables) -> DataFrame:
     return U.swap_tag(t.subscriber_tags, buyers, "signup-3", "buyer")
 
 
-@op("increment_counters", """SELECT ho.id, ho.times_used + coalesce(v.n, 0) AS times_used,
-    CASE WHEN v.n IS NOT NULL THEN {ea} WHEN ho.id % 3 > 0 THEN TIMESTAMP '2023-06-01' END AS last_used_at
-    FROM ho LEFT JOIN (SELECT hook_id, count(*) AS n FROM vi WHERE hook_id % 2 = 0 GROUP BY 1) v ON v.hook_id = ho.id""".format(ea=EA))
+@op("increment_counters", """WITH every AS (SELECT id, times_used FROM ho UNION ALL SELECT id + 1000000, times_used FROM ho)
+    SELECT every.id, every.times_used + coalesce(v.n, 0) AS times_used,
+    CASE WHEN v.n IS NOT NULL THEN {ea} WHEN every.id % 3 > 0 THEN TIMESTAMP '2023-06-01' END AS last_used_at
+    FROM every LEFT JOIN (SELECT hook_id, count(*) AS n FROM vi GROUP BY 1) v ON v.hook_id = every.id""".format(ea=EA))
 def _(t: Tables) -> DataFrame:
-    # Two hooks in three were used before; hooks with odd ids are not used in this run.
-    before = t.hooks.withColumn("last_used_at", F.when(F.col("id") % 3 > 0, as_ts("2023-06-01 00:00:00")))
-    used = t.videos.where("hook_id % 2 = 0").select("hook_id")
-    return drafts.count_usage(before, used, as_ts(AS_OF_EVENTS)).select("id", "times_used", "last_used_at")
+    # Two hooks in three were used before; every hook has a twin that no video refers to.
+    every = t.hooks.unionByName(t.hooks.withColumn("id", F.col("id") + 1_000_000))
+    before = every.withColumn("last_used_at", F.when(F.col("id") % 3 > 0, as_ts("2023-06-01 00:00:00")))
+    return drafts.count_usage(before, t.videos.select("hook_id"), as_ts(AS_OF_EVENTS)).select("id", "times_used", "last_used_at")
 
 
 @op("apply_deltas", """SELECT pr.id, pr.acct_cents + coalesce(o.s, 0) AS acct_cents FROM pr LEFT JOIN
@@ -104,11 +105,13 @@ def _(t: Tables) -> DataFrame:
     return U.grant_access(items, t.products, paid, as_ts(AS_OF_ORDERS))
 
 
-@op("refresh_last_run", """SELECT wf.id, wf.name, coalesce(l.last_run_at, TIMESTAMP '2023-06-01') AS last_run_at,
-    coalesce(l.last_run_status, 'success') AS last_run_status FROM wf LEFT JOIN
-    (SELECT workflow_id, started_at AS last_run_at, status AS last_run_status FROM lg WHERE workflow_id % 2 = 0
-     QUALIFY row_number() OVER (PARTITION BY workflow_id ORDER BY started_at DESC, id DESC) = 1) l ON l.workflow_id = wf.id""")
+@op("refresh_last_run", """WITH every AS (SELECT id, name FROM wf UNION ALL SELECT id + 100, name FROM wf)
+    SELECT every.id, every.name, coalesce(l.last_run_at, TIMESTAMP '2023-06-01') AS last_run_at,
+    coalesce(l.last_run_status, 'success') AS last_run_status FROM every LEFT JOIN
+    (SELECT workflow_id, started_at AS last_run_at, status AS last_run_status FROM lg
+     QUALIFY row_number() OVER (PARTITION BY workflow_id ORDER BY started_at DESC, id DESC) = 1) l ON l.workflow_id = every.id""")
 def _(t: Tables) -> DataFrame:
-    # All workflows have run before; those with odd ids are idle now.
-    before = t.workflows.select("id", "name", as_ts("2023-06-01 00:00:00").alias("last_run_at"), F.lit("success").alias("last_run_status"))
-    return U.refresh_last_run(before, t.execution_logs.where("workflow_id % 2 = 0"))
+    # All workflows have run before; every one has a twin that is idle now.
+    every = t.workflows.unionByName(t.workflows.withColumn("id", F.col("id") + 100))
+    before = every.select("id", "name", as_ts("2023-06-01 00:00:00").alias("last_run_at"), F.lit("success").alias("last_run_status"))
+    return U.refresh_last_run(before, t.execution_logs)

@@ -319,6 +319,8 @@ CHECKOUT_MESSAGE = """type string, data struct<object: struct<id: string, mode:
     currency: string, payment_status: string, customer: string, subscription: string, customer_email: string,
     customer_details: struct<email: string, name: string>,
     metadata: struct<product_id: string, price_id: string>>>"""
+AFFILIATE_MESSAGE = """purchase_id string, affiliate_id string, referral_code string, amount_cents bigint, product_type string,
+    commission_pct double, customer_email string, profile_id string, membership_id string, is_recurring boolean"""
 SUBSCRIPTION_MESSAGE = """type string, data struct<object: struct<id: string, status: string, customer: string,
     current_period_start: bigint, current_period_end: bigint, trial_start: bigint, trial_end: bigint,
     cancel_at_period_end: boolean, canceled_at: bigint, ended_at: bigint,

@@ -360,6 +360,10 @@ class Tables:
             F.when(bal < 3000, "standard").when(bal < 7000, "premium").otherwise("elite").alias("tier"),
             F.lit(30.0).alias("commission_pct"),
             (bal >= 0).alias("is_active"),
+            F.when(F.col("s_suppkey") % 4 == 0, 30).when(F.col("s_suppkey") % 4 == 1, 365).otherwise(60).alias("cookie_days"),
+            (F.col("s_suppkey") * 100).alias("total_earned_cents"),
+            (F.col("s_suppkey") * 40).alias("total_paid_cents"),
+            (F.col("s_suppkey") * 60).alias("pending_cents"),
         )
 
     @cached_property
@@ -452,6 +456,11 @@ class Tables:
     def checkout_messages(self) -> DataFrame:
         return checkout_view(self.events)
 
+    @cached_property
+    def affiliate_messages(self) -> DataFrame:
+        suppliers = self.raw("supplier").agg(F.count(F.lit(1))).scalar()
+        return affiliate_view(self.events, suppliers)
+
     @cached_property
     def subscription_messages(self) -> DataFrame:
         return subscription_view(self.raw("orders"))
@@ -516,6 +525,34 @@ def checkout_view(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
+def affiliate_view(events: DataFrame, affiliates: Column) -> DataFrame:
+    """One affiliate message per purchase: a third names the affiliate, a third the code, the rest a code nobody has.
+    Every fifth purchase is sent twice, the second time with another amount."""
+    e, k, u = F.col("event_id"), F.col("k"), F.col("user_id")
+    kind = F.when(k < 30, "tripwire").when(k < 60, "membership").when(k < 80, "automation_package").when(k < 90, "course")
+    sent = events.where("event_type = 'purchase'").select(
+        "event_id", "k", "user_id", "ts", X.cents("value").alias("cents"),
+        F.explode(F.when(e % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("again"))
+    return sent.select(
+        (e + F.col("again") * 10_000_000).alias("id"),
+        (F.col("ts") + F.make_dt_interval(hours=F.col("again"))).alias("received_at"),
+        F.to_json(
+            F.struct(
+                F.concat(F.lit("p"), e).alias("purchase_id"),
+                F.when(e % 3 == 0, (e % affiliates).cast("string")).alias("affiliate_id"),
+                F.when(e % 3 == 1, F.concat(F.lit("AFF"), e % affiliates)).when(e % 3 == 2, F.concat(F.lit("GONE"), e)).alias("referral_code"),
+                F.when(e % 50 != 0, F.col("cents") + F.col("again")).alias("amount_cents"),
+                kind.alias("product_type"),
+                F.when(k % 4 == 0, 45).when(k % 4 == 1, 0).alias("commission_pct"),
+                F.concat(F.lit("customer."), F.lpad(u.cast("string"), 9, "0"), F.lit("@example.com")).alias("customer_email"),
+                F.when(e % 2 == 0, u.cast("string")).alias("profile_id"),
+                F.when((kind == "membership") & (e % 2 == 0), F.concat(F.lit("sub_"), u)).alias("membership_id"),
+                F.when((kind == "membership") & (e % 2 == 0), F.lit(True)).alias("is_recurring"),
+            )
+        ).alias("body"),
+    )
+
+
 def subscription_view(orders: DataFrame) -> DataFrame:
     """One subscription message per order, in the sender's JSON shape; works on a stream too."""
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
