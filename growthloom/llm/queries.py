@@ -96,7 +96,7 @@ def op11_tokens(spark, sf_dir):
     import public_tokenizers
 
     path = scratch_path(spark, "tokens")
-    token_files.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    token_files.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), lower=True)
     return token_files.stream(token_files.read(spark, path))
 
 

@@ -8,9 +8,11 @@ known once the files' totals are summed, one number per file.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 END = 2  # id appended to every document
-AT_ONCE = 200_000  # characters encoded at once
+AT_ONCE = 500_000  # characters of texts, or of new runs, encoded at once
+CACHE = 1_000_000  # runs whose ids a worker remembers
+RUN = re.compile("[^ \\t-\\r]+")
 STRIPE = 16 << 20  # bytes of a stripe
 ROW_GROUP = 1_000  # rows of an index entry and of a Bloom filter
 FALSE_HITS = 0.01  # of a Bloom filter
@@ -38,43 +42,77 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def pieces(text: str, most: int) -> list[str]:
-    """The text cut behind ASCII spaces into pieces of about `most` characters; a run without a space is not cut.
+@lru_cache(maxsize=2)
+def _encoder(path: str, split: bool, lower: bool) -> Encoder:
+    """The worker's encoder: what one task has learned serves the next one."""
+    return Encoder(path, split, lower)
+
 
-    For tokenizers that split at white space and drop it, which makes the ids of the pieces together those of the text.
+class Encoder:
+    """Ids of texts, END behind each; null counts as empty.
+
+    With `split`, for tokenizers that cut at white space and drop it, the ids of a text are those of its runs without ASCII white
+    space, and a run that came before is not encoded again. With `lower`, for tokenizers that lower-case, A-Z are lower-cased
+    first, except in texts that may hold the name of a special token. Without `split` every text is encoded whole.
     """
-    out, low = [], 0
-    while len(text) - low > most:
-        cut = text.find(" ", low + most)
-        if cut < 0:
-            break
-        out.append(text[low : cut + 1])
-        low = cut + 1
-    return [*out, text[low:]]
-
-
-def encoded(texts: list[str | None], path: str, at_once: int = AT_ONCE, split: bool = True) -> list[np.ndarray]:
-    """Ids of each text with END behind; null counts as empty. `split` only where the tokenizer drops white space."""
-    tokenizer, out = _tokenizer(path), []
-    parts = [(i, p) for i, t in enumerate(texts) for p in (pieces(t or "", at_once) if split else [t or ""])]
-    found: list[list[np.ndarray]] = [[] for _ in texts]
-    low = 0
-    while low < len(parts):
-        high, size = low, 0
-        while high < len(parts) and (high == low or size + len(parts[high][1]) <= at_once):
-            size += len(parts[high][1])
-            high += 1
-        batch = tokenizer.encode_batch_fast([p for _, p in parts[low:high]], add_special_tokens=False)
-        for (i, _), e in zip(parts[low:high], batch, strict=True):
-            found[i].append(np.array(e.ids, dtype=np.int32))
-        low = high
-    end = np.array([END], dtype=np.int32)
-    for own in found:
-        out.append(np.concatenate([*own, end]))
-    return out
-
-
-def write(docs: DataFrame, path: str, tokenizer: str, at_once: int = AT_ONCE, split: bool = True, files: int | None = None) -> None:
+
+    def __init__(self, path: str, split: bool = True, lower: bool = False):
+        self.tokenizer, self.split, self.lower = _tokenizer(path), split, lower
+        self.forget()
+
+    def forget(self) -> None:
+        self.rows: dict[str, int] = {}  # run -> its row in `starts`; row 0 is END
+        self.starts, self.flat = np.zeros(1 << 16, dtype=np.int64), np.full(1 << 17, END, dtype=np.int32)
+        self.starts[1] = 1
+
+    @staticmethod
+    def _room(array: np.ndarray, size: int) -> np.ndarray:
+        return array if size <= len(array) else np.concatenate([array, np.empty(max(size, 2 * len(array)) - len(array), dtype=array.dtype)])
+
+    def _learn(self, new: list[str]) -> None:
+        low, row = 0, len(self.rows) + 1
+        self.starts = self._room(self.starts, row + len(new) + 1)
+        self.rows.update(zip(new, range(row, row + len(new))))
+        while low < len(new):
+            high, size = low, 0
+            while high < len(new) and (high == low or size + len(new[high]) <= AT_ONCE):
+                size += len(new[high])
+                high += 1
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(new[low:high], add_special_tokens=False)]
+            begin, count = int(self.starts[row]), len(found)
+            self.starts[row + 1 : row + 1 + count] = begin + np.cumsum(np.fromiter(map(len, found), dtype=np.int64, count=count))
+            end = int(self.starts[row + count])
+            self.flat = self._room(self.flat, end)
+            self.flat[begin:end] = np.fromiter(chain.from_iterable(found), dtype=np.int32, count=end - begin)
+            low, row = high, row + count
+
+    def _runs(self, text: str | None) -> list[str]:
+        if not text:
+            return []
+        if self.lower and "<|" not in text:
+            text = text.encode().lower().decode()  # as bytes: A-Z only
+        return RUN.findall(text) if self.split else [text]
+
+    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one behind the other, and how many each text has."""
+        if len(self.rows) > CACHE or not self.split:
+            self.forget()
+        runs = [self._runs(t) for t in texts]
+        new = list(set(chain.from_iterable(runs)).difference(self.rows))
+        if new:
+            self._learn(new)
+        many = np.fromiter(map(len, runs), dtype=np.int64, count=len(runs)) + 1
+        at = np.zeros(int(many.sum()), dtype=np.int64)
+        own = np.ones(len(at), dtype=bool)
+        own[np.cumsum(many) - 1] = False  # the places of END
+        at[own] = np.fromiter(map(self.rows.__getitem__, chain.from_iterable(runs)), dtype=np.int64, count=int(own.sum()))
+        lengths = self.starts[at + 1] - self.starts[at]
+        ends = np.cumsum(lengths)
+        ids = self.flat[np.repeat(self.starts[at] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        return ids, np.diff(np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(many)])])
+
+
+def write(docs: DataFrame, path: str, tokenizer: str, split: bool = True, lower: bool = False, files: int | None = None) -> None:
     """Write the ids of (doc_id, text) as ORC files, ascending by doc_id over files and rows: `files` of them, or as Spark sees fit.
 
     Null ids come first; equal ids are ordered by a hash of their texts, equal rows lie anywhere among each other and may be
@@ -86,21 +124,18 @@ def write(docs: DataFrame, path: str, tokenizer: str, at_once: int = AT_ONCE, sp
     ranged = rows.repartitionByRange(*([files] if files else []), *order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, at = TaskContext.get().partitionId(), 0
+        part, at, encode = TaskContext.get().partitionId(), 0, _encoder(tokenizer, split, lower)
         for batch in batches:
             low, size = 0, 0
             lengths = pc.fill_null(pc.utf8_length(batch["text"]), 0).to_numpy(zero_copy_only=False)
             for high in range(1, batch.num_rows + 1):
                 size += int(lengths[high - 1])
-                if size < 4 * at_once and high < batch.num_rows:
+                if size < AT_ONCE and high < batch.num_rows:
                     continue
-                ids = encoded(batch["text"].slice(low, high - low).to_pylist(), tokenizer, at_once, split)
-                counts = np.array([len(x) for x in ids], dtype=np.int64)
-                before = np.cumsum(counts) - counts + at
-                offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-                lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids)))
+                ids, counts = encode(batch["text"].slice(low, high - low).to_pylist())
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(ids), part, dtype=np.int32)), batch["doc_id"].slice(low, high - low), pa.array(before),
+                    [pa.array(np.full(len(counts), part, dtype=np.int32)), batch["doc_id"].slice(low, high - low), pa.array(np.cumsum(counts) - counts + at),
                      pa.array(counts.astype(np.int32)), lists],
                     names=["part", "doc_id", "at", "n", "ids"])
                 at += int(counts.sum())

@@ -30,16 +30,24 @@ def plain(text, path):
 
 def texts():
     rng = random.Random(11)
-    return [None, "", " \n\t ", "One two", "x" * 30_000, "word " * 20_000, "Ärger über 的 Σας ΣΑΣ naïve é é", "a<|endoftext|>b <|startoftext|>", "it's we'll 12 34",
+    return [None, "", " \n\t ", "One two", "x" * 30_000, "word " * 20_000, "Ärger über 的 Σας ΣΑΣ naïve é é", "a<|endoftext|>b <|startoftext|>", "A<|EndOfText|> B", "Mixed CASE Words, IT'S", "it's we'll 12 34",
             *["\n".join("".join(rng.choice("abcé ſİ的 .,́  '") for _ in range(rng.randint(0, 60))) for _ in range(4)) for _ in range(40)]]
 
 
-@pytest.mark.parametrize("at_once", [7, 200_000])
-def test_pieces_give_the_ids_of_the_whole_text(tokenizer, at_once):
+def lists(ids, counts):
+    return [list(x) for x in np.split(ids, np.cumsum(counts)[:-1])]
+
+
+@pytest.mark.parametrize("split,lower", [(True, True), (True, False), (False, False)])
+def test_runs_give_the_ids_of_the_whole_text(tokenizer, split, lower, monkeypatch):
     rows = texts()
-    got = token_files.encoded(rows, tokenizer, at_once)
-    assert [list(x) for x in got] == [plain(t, tokenizer) for t in rows]
-    assert all("".join(token_files.pieces(t, 7)) == t for t in rows if t)
+    encode = token_files.Encoder(tokenizer, split, lower)
+    assert lists(*encode(rows)) == [plain(t, tokenizer) for t in rows]
+    monkeypatch.setattr(token_files, "AT_ONCE", 9)
+    monkeypatch.setattr(token_files, "CACHE", 3)
+    again = token_files.Encoder(tokenizer, split, lower)
+    assert [lists(*again([t]))[0] for t in rows] == [plain(t, tokenizer) for t in rows]
+    assert again([])[0].size == 0
 
 
 def written(spark, frame, rows, tokenizer, **options):
@@ -50,7 +58,7 @@ def written(spark, frame, rows, tokenizer, **options):
 
 def test_stream_against_plain_encoding(spark, frame, tokenizer):
     rows = list(enumerate(texts())) + [(-5, "first of all"), (7, "twice"), (7, "twice"), (7, "other"), (None, "no id")]
-    _, files = written(spark, frame, rows, tokenizer, at_once=500, files=6)
+    _, files = written(spark, frame, rows, tokenizer, files=6)
     got = sorted((r["start"], r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in token_files.stream(files).collect() if r["doc_id"] is not None)
     ids = {t: plain(t, tokenizer) for _, t in rows}
     at, want = len(ids["no id"]), []
@@ -68,7 +76,7 @@ def test_files_ascend_hold_the_ids_and_prune(spark, frame, tokenizer):
     rows = [(i * 3, " ".join(rng.choice(["red", "green", "tree", "house"]) for _ in range(rng.randint(0, 9)))) for i in range(3000)]
     path, files = written(spark, frame, rows, tokenizer, files=5)
     back = {r["doc_id"]: r["ids"] for r in files.collect()}
-    assert back == {i: plain(t, tokenizer) for i, t in rows[:0]} | {i: list(x) for (i, _), x in zip(rows, token_files.encoded([t for _, t in rows], tokenizer))}
+    assert back == {i: x for (i, _), x in zip(rows, lists(*token_files.Encoder(tokenizer, False)([t for _, t in rows])))}
     ranges = sorted((r["part"], r["low"], r["high"]) for r in files.groupBy("part").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).collect())
     assert all(a[2] < b[1] for a, b in zip(ranges, ranges[1:])) and len(ranges) > 1
     one = files.where("doc_id = 300")
@@ -96,7 +104,7 @@ def test_query_against_plain_encoding(spark, sf, tokenizer):
     from growthloom.llm.queries import QUERIES
 
     docs = sorted((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect())
-    ids = token_files.encoded([t for _, t in docs], tokenizer)
+    ids = [np.array(x) for x in lists(*token_files.Encoder(tokenizer, False)([t for _, t in docs]))]
     starts = np.cumsum([0, *map(len, ids)])
     want = [(i, int(s), len(x), zlib.crc32(x.astype("<u4").tobytes())) for (i, _), s, x in zip(docs, starts, ids)]
     assert sorted(tuple(r) for r in QUERIES["op11_tokens"](spark, sf).collect()) == want
