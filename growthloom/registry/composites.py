@@ -7,7 +7,7 @@ from growthloom.operators import affiliates as AF
 from growthloom.operators import content as C
 from growthloom.operators import members, upsert as U
 from growthloom.plans import affiliate as AP
-from growthloom.plans import daily, drafts, leads, membership, packages, purchases as P, weekly, welcome
+from growthloom.plans import booking, daily, drafts, leads, membership, packages, purchases as P, weekly, welcome
 from growthloom.registry.core import op
 from growthloom.registry.duck import EVENTS_AS_OF as EA, ORDERS_AS_OF as OA
 from growthloom.registry.sources import mart, sources
@@ -70,6 +70,62 @@ def _(t: Tables) -> DataFrame:
     return P.buyer_ltv(t.subscribers.select("id", "ltv_cents"), bought)
 
 
+# Messages of every seventh event come again two days later; every third subscriber and profile is there before.
+_SOLD = """(SELECT event_id, user_id, val_cents, ts, k, dp.id AS product_id, dp.product_type, dp.first_file, 'customer.' || lpad(CAST(user_id AS VARCHAR), 9, '0') || '@example.com' AS email
+    FROM ev JOIN dp ON dp.id = ev.k WHERE event_type = 'purchase')"""
+_KNOWN = "(SELECT * FROM su WHERE id % 3 = 0)"
+
+
+def sent_twice(t: Tables) -> DataFrame:
+    again = t.checkout_messages.where("id % 7 = 0").withColumn("received_at", F.col("received_at") + F.expr("interval 2 days"))
+    return t.checkout_messages.unionByName(again)
+
+
+def books(t: Tables) -> booking.Books:
+    never = F.lit(None).cast("timestamp_ntz")
+    subs = t.subscribers.where("id % 3 = 0").select(
+        F.col("id").cast("string"), "email", "full_name", "source", "status", F.lit(False).alias("has_purchased"), "ltv_cents", never.alias("updated_at"))
+    profs = t.profiles.where("id % 3 = 0").select(
+        F.col("id").cast("string"), "email", "full_name", F.concat(F.lit("old_"), "id").alias("stripe_customer_id"), never.alias("updated_at"))
+    return booking.Books(subs, profs, t.subscriber_tags.where("subscriber_id % 3 = 0").select(F.col("subscriber_id").cast("string"), "tag"))
+
+
+_BOOKED_SUBSCRIBERS = f"""SELECT coalesce(CAST(s.id AS VARCHAR), sha256(p.email)) AS id, coalesce(s.email, p.email) AS email, coalesce(s.source, 'purchase') AS source,
+    coalesce(s.status, 'active') AS status, p.email IS NOT NULL AS has_purchased, CAST(coalesce(s.ltv_cents, 0) + coalesce(p.cents, 0) AS BIGINT) AS ltv_cents, p.seen AS updated_at
+    FROM {_KNOWN} s FULL JOIN (SELECT email, sum(val_cents) AS cents, max(ts) AS seen FROM {_SOLD} GROUP BY 1) p ON p.email = s.email"""
+
+
+@op("booked_subscribers", _BOOKED_SUBSCRIBERS)
+def _(t: Tables) -> DataFrame:
+    return booking.book_messages(sent_twice(t), t.products, books(t))[1].subscribers.drop("full_name")
+
+
+@op("booked_profiles", f"""SELECT coalesce(CAST(s.id AS VARCHAR), sha256(p.email)) AS id, coalesce(s.email, p.email) AS email, coalesce(s.full_name, p.full_name) AS full_name,
+    coalesce(p.customer, 'old_' || s.id) AS stripe_customer_id FROM (SELECT * FROM pr WHERE id % 3 = 0) s FULL JOIN
+    (SELECT email, any_value('cus_' || user_id) AS customer, any_value('Customer#' || lpad(CAST(user_id AS VARCHAR), 9, '0')) AS full_name FROM {_SOLD} GROUP BY 1) p ON p.email = s.email""")
+def _(t: Tables) -> DataFrame:
+    return booking.book_messages(sent_twice(t), t.products, books(t))[1].profiles.drop("updated_at")
+
+
+@op("booked_items", f"""SELECT event_id AS purchase_id, product_id, CAST(1 AS BIGINT) AS quantity, val_cents AS unit_price_cents, true AS access_granted, ts AS access_granted_at,
+    first_file AS download_url FROM {_SOLD}""")
+def _(t: Tables) -> DataFrame:
+    return booking.book_messages(sent_twice(t), t.products, books(t))[0]["items"]
+
+
+@op("booked_purchases", f"""SELECT event_id AS id, 'cs_' || event_id AS processor_charge_id, product_id, CASE WHEN user_id % 3 = 0 AND user_id IN (SELECT id FROM su) THEN CAST(user_id AS VARCHAR)
+    ELSE sha256(email) END AS subscriber_id, val_cents AS amount_cents, ts AS created_at FROM {_SOLD}""")
+def _(t: Tables) -> DataFrame:
+    made = booking.book_messages(sent_twice(t), t.products, books(t))[0]["purchases"]
+    return made.select("id", "processor_charge_id", "product_id", "subscriber_id", "amount_cents", "created_at")
+
+
+@op("booked_tags", f"""SELECT CAST(subscriber_id AS VARCHAR) AS subscriber_id, tag FROM st WHERE subscriber_id % 3 = 0 UNION
+    SELECT CASE WHEN user_id % 3 = 0 AND user_id IN (SELECT id FROM su) THEN CAST(user_id AS VARCHAR) ELSE sha256(email) END, 'purchased-' || replace(product_type, '_', '-') FROM {_SOLD}""")
+def _(t: Tables) -> DataFrame:
+    return booking.book_messages(sent_twice(t), t.products, books(t))[1].tags
+
+
 @op("membership_sync", """WITH msg AS (SELECT o_orderkey, o_custkey, o_orderdate, price_cents, o_orderkey % 11 AS m, o_orderkey % 17 = 0 AS flag, o_orderstatus FROM orr
       QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)
     SELECT 'sub_' || o_custkey AS stripe_subscription_id, CASE WHEN m = 1 THEN 'canceled' WHEN o_orderstatus = 'P' THEN 'past_due' ELSE 'active' END AS status,

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, functions as F
 from growthloom.operators import ops
 from growthloom.plans.membership import subscription_rows
 from growthloom.registry.aggregates import SLIDES, _ALERT
+from growthloom.registry.composites import _BOOKED_SUBSCRIBERS, books, sent_twice
 from growthloom.registry.core import op
 from growthloom.session import scratch_path
-from growthloom.sources.fixtures import RAW, Tables, checkout_view, funnel_view, lead_view, subscription_view
+from growthloom.sources.fixtures import Tables, checkout_view, funnel_view, lead_view, subscription_view
 from growthloom.streaming import jobs, sinks
 from growthloom.streaming.runner import as_ntz, run_append, run_update
-from growthloom.streaming.sources import read_events, read_stream
+from growthloom.streaming.sources import read_events, replay
 
 
 def _events(t: Tables) -> DataFrame:
@@ -87,7 +88,7 @@ def _(t: Tables) -> DataFrame:
       WHEN o_orderstatus = 'P' THEN 'past_due' ELSE 'active' END, (o_orderdate, o_orderkey)) AS status, arg_max(price_cents, (o_orderdate, o_orderkey)) AS price_cents,
       max(o_orderdate) AS current_period_start, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS last_id, count(*) AS messages FROM orr GROUP BY o_custkey""")
 def _(t: Tables) -> DataFrame:
-    orders = read_stream(t.spark, f"{t.dir}/orders.parquet", RAW["orders"])
+    orders = replay(t.raw("orders"), "o_orderdate")
     rows = subscription_rows(subscription_view(orders))
     return run_update(jobs.stream_members(rows), "stream-members", ["stripe_subscription_id"])
 
@@ -151,3 +152,11 @@ def _(t: Tables) -> DataFrame:
     known = t.subscribers.where("ltv_cents >= 60000")
     out = sinks.run_sink(rows, lambda p: sinks.LeadSink(p, known), "stream-leads", "new_subscribers")
     return as_ntz(out.select("email", "created_at"), "created_at")
+
+
+@op("stream_booked_subscribers", _BOOKED_SUBSCRIBERS)
+def _(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "stream-booking")
+    sink = sinks.BookingSink(path, t.products, books(t))
+    sinks.run_batches(replay(sent_twice(t), "received_at"), sink, f"{path}-checkpoint")
+    return sink.read(t.spark).subscribers.drop("full_name")

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from growthloom.operators.affiliates import affiliate_run
 from growthloom.operators.email import WELCOME_HOURS
 from growthloom.operators.joins import attribute, next_buy
+from growthloom.plans.booking import ADDED, Books, book, fresh
 from growthloom.plans.keyed import HOT_ROWS, latest_by
 from growthloom.plans.leads import capture, clean_leads
 from growthloom.plans.purchases import checkouts, route_checkouts
@@ -216,6 +217,42 @@ class IntakeSink(_State):
             self.save("commissions", batch_id, affiliate_run(brought, self.affiliates, self.products))
 
 
+class BookingSink(_State):
+    """Checkout messages booked once, over all micro-batches.
+
+    Each batch writes only what it adds, besides the ledger of the messages it applied; a message that an earlier batch
+    applied is left out before any table is touched, so a redelivery books nothing.  A replayed batch reads the ledgers
+    before its own and overwrites its own additions.  `read` gives the tables after the stream.
+    """
+
+    def __init__(self, path: str, products: DataFrame, books: Books):
+        super().__init__(path)
+        self.products, self.books = products, books
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        rows = fresh(checkouts(batch), self._earlier(batch, "ledger", "id long", batch_id))
+        rows = self.save("checkouts", batch_id, rows)
+        met = self._earlier(batch, "people", "email string, subscriber_id string, profile_id string", batch_id)
+        subs, profs = self.books.subscribers.select("id", "email"), self.books.profiles.select("id", "email")
+        if met is not None:
+            subs = subs.unionByName(met.select(F.col("subscriber_id").alias("id"), "email")).distinct()
+            profs = profs.unionByName(met.select(F.col("profile_id").alias("id"), "email")).distinct()
+        for name, df in book(rows, self.products, subs, profs).items():
+            self.save(name, batch_id, df)
+
+    def _earlier(self, batch: DataFrame, name: str, schema: str, batch_id: int) -> DataFrame | None:
+        if batch_id == 0:
+            return None
+        every = batch.sparkSession.read.schema(f"{schema}, batch_id long").parquet(f"{self.path}/{name}")
+        return every.where(F.col("batch_id") < batch_id).drop("batch_id")
+
+    def added(self, spark: SparkSession) -> dict[str, DataFrame]:
+        return {name: spark.read.parquet(f"{self.path}/{name}").drop("batch_id") for name in ADDED}
+
+    def read(self, spark: SparkSession) -> Books:
+        return self.books.after(self.added(spark))
+
+
 class LeadSink(_State):
     """Lead messages to new subscribers, tags and invalid leads.
 
