@@ -45,7 +45,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/growthloom/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write `df` once to the shared folder and read it back.
 
     Cuts lineage in a way that survives lost executors, and freezes results
@@ -53,7 +53,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").option("compression", compression).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged = path
     return out
