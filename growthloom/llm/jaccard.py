@@ -32,6 +32,7 @@ from growthloom.session import discard, stage
 WORDS = 3
 PERCENT = 90
 CUTS = 4  # fragments in which overlaps are counted
+BITS = 48  # of a fragment's content hash: among 10^12 fragments one in 280 meets a foreign one, which the comparison finds out
 BLOCK = 256  # documents on either side of a block
 COLUMNS = 8192  # shingles of a fragment counted at once
 CACHE = 400_000  # word hashes a task remembers at once
@@ -89,7 +90,7 @@ def parts_of(first: int, last: int, percent: int = PERCENT) -> tuple[int, int, i
     parts = differ + 1
     while differ:
         empty = parts * math.exp(-first / parts)
-        if parts >= differ + 1 + empty + 3 * math.sqrt(empty) or parts >= 2 * (differ + 1):
+        if parts >= differ + 1 + empty + math.sqrt(empty) or parts >= 2 * (differ + 1):
             break
         parts += 1
     return differ, parts, far
@@ -114,7 +115,7 @@ def signatures(shingles: np.ndarray, starts: np.ndarray, classes: list[tuple[int
         shown = mixed(mixed(content + np.arange(parts, dtype=U64) * U64(0xD6E8FEB86659FD93)) + U64(c))
         full = cut[1:] > cut[:-1]
         out.append(shown[full] if full.sum() > differ else shown)
-    return np.concatenate(out)
+    return np.concatenate(out) >> U64(64 - BITS)
 
 
 def node_of(shingles: np.ndarray) -> int:
@@ -280,7 +281,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     text or one without words has none and links with nothing. Rows with equal sets are one node, whatever their number;
     rows with null doc_id link others but name no component. An empty table gives an empty table.
     """
-    shown = stage(_shingled(docs, words, percent), "shingled")
+    shown = stage(_shingled(docs, words, percent), "shingled", "zstd")
     groups = _candidates(shown.where("node is not null"))
     made = stage(shown.select("doc_id", "n", "node"), "sets")
     discard(shown)  # the signatures, the largest table here
