@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from growthloom.functions import exprs as X
+from growthloom.functions.sketches import SKETCH, quantile, sketch
 from growthloom.operators.joins import visual_at
 from growthloom.plans import keyed
 
@@ -153,13 +154,19 @@ def production_order(df: DataFrame, order: Sequence[Column], batch: int = 10) ->
 def with_timed_lines(scripts: DataFrame, lines: str, name: str, visuals: str | None = None) -> DataFrame:
     """Add an array of (line_no, line, words, start_s, end_s), and the visual of each line if asked.
 
-    The running sum is one fold inside the row, so no text is shuffled.
+    Inside the row, so no text is shuffled.  Running sums go by blocks of lines: sums of the blocks before, then of the lines
+    before within the block, so a script of n lines costs n times the root of n additions and no array is copied.
     """
-    nothing = F.array(F.lit(0).cast("long"))
-    ends = F.aggregate(
-        F.transform(lines, X.word_count), nothing,
-        lambda seen, n: F.concat(seen, F.array(F.element_at(seen, -1) + n)),
-    )
+    def ends(words: Column) -> Column:
+        """Word counts to running sums, 0 in front."""
+        block = F.ceil(F.sqrt(F.size(words) + F.lit(1))).cast("int")
+        plus = lambda a, b: a + b
+        zero = F.lit(0).cast("long")
+        sums = F.transform(F.sequence(F.lit(0), F.floor(F.size(words) / block).cast("int")),
+                           lambda b: F.aggregate(F.slice(words, b * block + 1, block), zero, plus))
+        before = F.transform(sums, lambda _, b: F.aggregate(F.slice(sums, F.lit(1), b), zero, plus))
+        return F.transform(F.sequence(F.lit(0), F.size(words)), lambda i: before[F.floor(i / block).cast("int")] + F.aggregate(
+            F.slice(words, F.floor(i / block).cast("int") * block + 1, i % block), zero, plus))
 
     def timed(seen: Column) -> Column:
         def one(line: Column, i: Column) -> Column:
@@ -171,8 +178,9 @@ def with_timed_lines(scripts: DataFrame, lines: str, name: str, visuals: str | N
 
         return F.transform(lines, one)
 
-    # The one-element array binds the fold to a variable: it runs once per script.
-    return scripts.withColumn(name, F.transform(F.array(ends), timed)[0])
+    # One-element arrays bind the counts and the sums to variables: they are made once per script.
+    bound = F.transform(F.array(F.transform(lines, X.word_count)), ends)
+    return scripts.withColumn(name, F.transform(bound, timed)[0])
 
 
 def timecodes(scripts: DataFrame, keep: Sequence[str], lines: str, visuals: str | None = None) -> DataFrame:
@@ -241,15 +249,23 @@ def schedule_posts(videos: DataFrame, at: str, platform: str) -> DataFrame:
     return videos.withColumn("post_at", day.cast("timestamp_ntz") + F.make_dt_interval(hours=hour))
 
 
-def page_stats(views: DataFrame) -> DataFrame:
-    """Views and load times by section of the site and device, with subtotals.
+PAGE_BY = ("section", "device", "country")
+
+
+def page_stats_by_day(views: DataFrame, by: Sequence[str] = PAGE_BY) -> DataFrame:
+    """Views, load times and time on page per day and group: sums and sketches, which any range of days merges."""
+    work = views.withColumns({"_load": F.col("page_load_ms").cast("double"), "_stay": F.col("time_on_page_seconds").cast("double")})
+    return work.groupBy(F.to_date("viewed_at").alias("day"), *by).agg(
+        F.count(F.lit(1)).alias("views"), F.sum("page_load_ms").alias("load"), F.max("page_load_ms").alias("max_load"),
+        F.sum("time_on_page_seconds").alias("stay"), F.count("time_on_page_seconds").alias("stays"),
+        sketch("_load").alias("loads"), sketch("_stay").alias("times"))
 
-    The exact percentile keeps one counter per distinct whole millisecond.
-    """
-    return views.rollup("section", "device").agg(
-        F.count(F.lit(1)).alias("views"),
-        X.ratio(F.sum("page_load_ms"), F.count(F.lit(1)), 2).alias("mean_load"),
-        F.round(F.percentile("page_load_ms", 0.95), 2).alias("p95_load"),
-        F.max("page_load_ms").alias("max_load"),
-    )
 
+def page_stats(days: DataFrame, by: Sequence[str] = PAGE_BY) -> DataFrame:
+    """Views, load times and time on page by section, device and country, with subtotals, from the rows of any days."""
+    sums = days.rollup(*by).agg(
+        F.sum("views").alias("views"), F.sum("load").alias("_load"), F.max("max_load").alias("max_load"), F.sum("stay").alias("_stay"),
+        F.sum("stays").alias("_stays"), F.kll_merge_agg_double("loads", SKETCH).alias("_loads"), F.kll_merge_agg_double("times", SKETCH).alias("_times"))
+    return sums.select(
+        *by, "views", X.ratio("_load", "views", 2).alias("mean_load"), quantile("_loads", 0.95).alias("p95_load"), "max_load",
+        X.ratio("_stay", "_stays", 2).alias("mean_stay"), quantile("_times", 0.5).alias("median_stay"))

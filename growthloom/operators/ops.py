@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from growthloom.functions import exprs as X
+from growthloom.functions.sketches import SKETCH, quantile, sketch
 from growthloom.operators.filters import lookback
 
 SUCCESS_FLOOR = 95.0
@@ -26,6 +27,8 @@ GROWTH_TARGETS = {
     "month 3": [("followers", 100_000), ("subscribers", 25_000), ("members", 400), ("revenue_cents", 1_000_000)],
 }
 
+FAST_SECONDS = 30.0  # a run below this is fast
+
 
 def run_counts(logs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return logs.groupBy(*by).agg(
@@ -90,21 +93,20 @@ def uptime(logs: DataFrame) -> DataFrame:
     return sums.select("day", "workflow_total", rate.alias("uptime_pct"), (rate >= 99).alias("goal_met"))
 
 
-def latency(logs: DataFrame, seconds: Column, exact: bool = True, limit: float = 30.0) -> DataFrame:
-    """Run time per workflow.
-
-    Exact percentiles keep one counter per distinct duration, so durations come
-    in whole hundredths of a second; `exact=False` bounds memory for any input.
-    """
-    work = logs.withColumn("_s", seconds)
-    if exact:
-        p50, p95 = F.percentile("_s", 0.5), F.percentile("_s", 0.95)
-    else:
-        p50, p95 = F.percentile_approx("_s", 0.5, 10_000), F.percentile_approx("_s", 0.95, 10_000)
-    return work.groupBy("workflow_id").agg(
-        F.count(F.lit(1)).alias("runs"), F.round(p50, 3).alias("p50_s"), F.round(p95, 3).alias("p95_s"),
-        F.max("_s").alias("max_s"), X.ratio(F.count_if(F.col("_s") < limit), F.count(F.lit(1))).alias("fast_share"),
-    )
+def latency_by_day(logs: DataFrame, seconds: Column) -> DataFrame:
+    """Run times per workflow and day: count, fast runs, greatest, and a sketch; what a store keeps and any range is made of."""
+    return logs.withColumn("_s", seconds.cast("double")).groupBy("workflow_id", F.to_date("started_at").alias("day")).agg(
+        F.count(F.lit(1)).alias("runs"), F.count_if(F.col("_s") < FAST_SECONDS).alias("fast"), F.max("_s").alias("max_s"),
+        sketch("_s").alias("times"))
+
+
+def latency(days: DataFrame) -> DataFrame:
+    """Run time per workflow over the given days, from their sketches: memory does not grow with the distinct durations."""
+    sums = days.groupBy("workflow_id").agg(
+        F.sum("runs").alias("runs"), F.sum("fast").alias("fast"), F.max("max_s").alias("max_s"), F.kll_merge_agg_double("times", SKETCH).alias("_t"))
+    return sums.select(
+        "workflow_id", "runs", F.round(quantile("_t", 0.5), 3).alias("p50_s"), F.round(quantile("_t", 0.95), 3).alias("p95_s"),
+        "max_s", X.ratio("fast", "runs").alias("fast_share"))
 
 
 def scorecard(kpis: DataFrame, targets: Sequence[tuple[str, str, float]] = tuple(TARGETS)) -> DataFrame:

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from growthloom.functions import exprs as X
 from growthloom.operators import content as C
@@ -13,15 +13,15 @@ from growthloom.sources.sinks import overwrite_partitions
 
 @dataclass
 class Sources:
-    """Input tables of the mart."""
-
-    funnel: DataFrame
-    purchases: DataFrame
-    products: DataFrame
-    subscribers: DataFrame
-    videos: DataFrame
-    content: DataFrame
-    logs: DataFrame
+    """Input tables of the mart; a part of them is enough for `day_parts`."""
+
+    funnel: DataFrame | None = None
+    purchases: DataFrame | None = None
+    products: DataFrame | None = None
+    subscribers: DataFrame | None = None
+    videos: DataFrame | None = None
+    content: DataFrame | None = None
+    logs: DataFrame | None = None
     memberships: DataFrame | None = None
     commissions: DataFrame | None = None
 
@@ -79,52 +79,79 @@ def payouts_by_day(commissions: DataFrame, start: str, end: str) -> DataFrame:
     return paid.groupBy("metric_date").agg(F.sum("amount_cents").alias("affiliate_payouts_cents"))
 
 
+# Columns of the mart that are sums over a day's rows.
+ADDITIVE = (
+    "profile_visits", "landing_page_views", "lead_magnet_downloads", "tripwire_sales", "membership_new_sales", "automation_package_sales",
+    "tripwire_revenue_cents", "membership_revenue_cents", "automation_revenue_cents", "total_revenue_cents", "new_subscribers",
+    "videos_published", "total_content_views", "total_engagement", "new_followers", "workflows_run", "workflows_failed", "workflow_total",
+)
+
+
+def day_parts(src: Sources) -> list[DataFrame]:
+    """Every source that is there, reduced to one row per day with its columns of ADDITIVE."""
+    day, parts = ["metric_date"], []
+
+    def dated(df: DataFrame, ts: str) -> DataFrame:
+        return df.where(F.col(ts).isNotNull()).withColumn("metric_date", F.to_date(ts))
+
+    if src.funnel is not None:
+        steps = funnel.funnel_counts(dated(src.funnel, "created_at"), day)
+        parts.append(steps.select(
+            "metric_date", F.col("profile_visit").alias("profile_visits"), F.col("landing_page_view").alias("landing_page_views"),
+            F.col("lead_magnet_download").alias("lead_magnet_downloads"), F.col("tripwire_purchase").alias("tripwire_sales"),
+            F.col("membership_purchased").alias("membership_new_sales"), F.col("automation_package_purchase").alias("automation_package_sales")))
+    if src.purchases is not None:
+        parts.append(revenue.revenue(dated(src.purchases, "created_at"), src.products, day))
+    if src.subscribers is not None:
+        parts.append(dated(src.subscribers, "created_at").groupBy(*day).agg(F.count(F.lit(1)).alias("new_subscribers")))
+    if src.videos is not None:
+        parts.append(dated(src.videos.where("status = 'published'"), "published_at").groupBy(*day).agg(F.count(F.lit(1)).alias("videos_published")))
+    if src.content is not None:
+        parts.append(C.content_totals(src.content.withColumnRenamed("event_date", "metric_date"), day))
+    if src.logs is not None:
+        parts.append(ops.run_counts(dated(src.logs, "started_at"), day))
+    return parts
+
+
+def _so_far(rows: DataFrame, day: Column, amount: Column, start: str, name: str) -> DataFrame:
+    """Running total of `amount` per day; days before the range, and rows without a day, fold into one row before its first."""
+    first = F.date_sub(F.lit(start).cast("date"), 1)
+    return rows.groupBy(F.coalesce(F.greatest(day, first), first).alias("metric_date")).agg(F.sum(amount).alias(name))
+
+
 def daily_metrics(src: Sources, start: str, end: str) -> DataFrame:
     """Rows for every day in [start, end]; days without data hold zeros.
 
     Each source is reduced to one row per day before the day spine is joined, so
-    a wider range costs no more shuffles than a single day.
+    a wider range costs no more shuffles than a single day.  Totals are as of the
+    end of each day: active subscribers that were there by then, followers gained
+    up to then.
     """
-    day = ["metric_date"]
-    steps = funnel.funnel_counts(_by_day(src.funnel, "created_at", start, end), day)
-    steps = steps.select(
-        "metric_date", F.col("profile_visit").alias("profile_visits"),
-        F.col("landing_page_view").alias("landing_page_views"),
-        F.col("lead_magnet_download").alias("lead_magnet_downloads"),
-        F.col("tripwire_purchase").alias("tripwire_sales"),
-        F.col("membership_purchased").alias("membership_new_sales"),
-        F.col("automation_package_purchase").alias("automation_package_sales"),
-    )
-    money = revenue.revenue(_by_day(src.purchases, "created_at", start, end), src.products, day)
-    joined = _by_day(src.subscribers, "created_at", start, end).groupBy(*day).agg(
-        F.count(F.lit(1)).alias("new_subscribers")
-    )
-    active = src.subscribers.where("status = 'active'").agg(F.count(F.lit(1))).scalar()
-    published = _by_day(src.videos.where("status = 'published'"), "published_at", start, end).groupBy(*day).agg(
-        F.count(F.lit(1)).alias("videos_published")
-    )
-    inside = src.content.where(F.col("event_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-    views = C.content_totals(inside.withColumnRenamed("event_date", "metric_date"), day)
-    runs = ops.run_counts(_by_day(src.logs, "started_at", start, end), day)
-
-    spine = _spine(src.products, start, end)
-    # Every part has one row per day, so their union is small and meets in one shuffle.
-    parts = spine
+    inside = F.col("event_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    limited = Sources(
+        funnel=_between(src.funnel, "created_at", start, end), purchases=_between(src.purchases, "created_at", start, end), products=src.products,
+        subscribers=_between(src.subscribers, "created_at", start, end), videos=_between(src.videos, "published_at", start, end),
+        content=src.content.where(inside), logs=_between(src.logs, "started_at", start, end))
+    last = F.lit(end).cast("date")
+    there = src.subscribers.where("status = 'active'").where(F.col("created_at").isNull() | (F.to_date("created_at") <= last))
+    followers = src.content.where(F.col("event_date") <= last)
+    totals = [_so_far(there, F.to_date("created_at"), F.lit(1), start, "total_subscribers"),
+              _so_far(followers, F.col("event_date"), F.col("follower_gain"), start, "total_followers")]
     extra = []
     if src.memberships is not None:
         extra.append(retention(src.memberships, start, end))
     if src.commissions is not None:
         extra.append(payouts_by_day(src.commissions, start, end))
-    for part in (steps, money, joined, published, views, runs, *extra):
+    # Every part has one row per day, so their union is small and meets in one shuffle.
+    parts = _spine(src.products, start, end)
+    for part in (*day_parts(limited), *totals, *extra):
         parts = parts.unionByName(part, allowMissingColumns=True)
     out = parts.groupBy("metric_date").agg(*[F.max(c).alias(c) for c in parts.columns if c != "metric_date"])
     zero = {c: F.coalesce(F.col(c), F.lit(0)) for c in out.columns if c not in ("metric_date", "churn_rate")}
-    return out.withColumns(zero).withColumns(
-        {
-            "total_subscribers": active,
-            "automation_uptime_pct": X.pct("workflows_run", "workflow_total"),
-        }
-    )
+    upto = Window.orderBy("metric_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # one row per day of the range
+    running = {c: F.sum(c).over(upto) for c in ("total_subscribers", "total_followers")}
+    return out.withColumns(zero).withColumns(running).where(F.col("metric_date") >= F.lit(start).cast("date")).withColumn(
+        "automation_uptime_pct", X.pct("workflows_run", "workflow_total"))
 
 
 def daily_close(src: Sources, day: str, path: str) -> DataFrame:

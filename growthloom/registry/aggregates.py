@@ -279,10 +279,10 @@ def _(t: Tables) -> DataFrame:
     return ops.uptime(t.execution_logs)
 
 
-@op("latency_stats", """SELECT workflow_id, count(*) AS runs, round(quantile_cont(run_cs / 100.0::DOUBLE, 0.5), 3) AS p50_s, round(quantile_cont(run_cs / 100.0::DOUBLE, 0.95), 3) AS p95_s,
+@op("latency_stats", """SELECT workflow_id, count(*) AS runs, round(quantile_disc(run_cs / 100.0::DOUBLE, 0.5), 3) AS p50_s, round(quantile_disc(run_cs / 100.0::DOUBLE, 0.95), 3) AS p95_s,
     max(run_cs / 100.0::DOUBLE) AS max_s, round(count(*) FILTER (run_cs / 100.0 < 30) / count(*)::DOUBLE, 4) AS fast_share FROM lg GROUP BY 1""")
 def _(t: Tables) -> DataFrame:
-    return ops.latency(t.execution_logs, F.col("run_cs") / F.lit(100.0))
+    return ops.latency(ops.latency_by_day(t.execution_logs, F.col("run_cs") / F.lit(100.0)))
 
 
 @op("churn_breakdown", f"""SELECT cancellation_reason, count(*) AS churned FROM me WHERE status = 'canceled' AND ended_at >= {OA} - INTERVAL 24 HOUR
@@ -331,15 +331,16 @@ def _(t: Tables) -> DataFrame:
     return ops.scorecard(daily.kpis(mart(t)).unionByName(lost))
 
 
-@op("page_performance", """SELECT section, device, count(*) AS views, round(CAST(sum(page_load_ms) AS BIGINT) / count(*)::DOUBLE, 2) AS mean_load,
-    round(quantile_cont(page_load_ms::DOUBLE, 0.95), 2) AS p95_load, max(page_load_ms) AS max_load FROM
-    (SELECT string_split(path, '/')[2] AS section, CASE WHEN host LIKE 'm.%' THEN 'mobile' WHEN host LIKE 'blog.%' THEN 'tablet' ELSE 'desktop' END AS device, page_load_ms FROM pv)
-    GROUP BY ROLLUP (section, device)""")
+@op("page_performance", """SELECT section, device, country, count(*) AS views, round(CAST(sum(page_load_ms) AS BIGINT) / count(*)::DOUBLE, 2) AS mean_load,
+    quantile_disc(page_load_ms::DOUBLE, 0.95) AS p95_load, max(page_load_ms) AS max_load, round(CAST(sum(stay) AS BIGINT) / nullif(count(stay), 0)::DOUBLE, 2) AS mean_stay,
+    quantile_disc(stay::DOUBLE, 0.5) AS median_stay FROM
+    (SELECT string_split(path, '/')[2] AS section, CASE WHEN host LIKE 'm.%' THEN 'mobile' WHEN host LIKE 'blog.%' THEN 'tablet' ELSE 'desktop' END AS device, page_load_ms, country, stay FROM pv)
+    GROUP BY ROLLUP (section, device, country)""")
 def _(t: Tables) -> DataFrame:
     views = page_view_columns(t.page_views).select(
-        F.split_part("path", F.lit("/"), F.lit(2)).alias("section"), X.device_class("user_agent").alias("device"), "page_load_ms"
-    )
-    return C.page_stats(views)
+        F.split_part("path", F.lit("/"), F.lit(2)).alias("section"), X.device_class("user_agent").alias("device"), "country", "page_load_ms",
+        "time_on_page_seconds", "viewed_at")
+    return C.page_stats(C.page_stats_by_day(views))
 
 
 @op("queue_status", """SELECT platform, count(*) FILTER (status = 'queued') AS queued, count(*) FILTER (status = 'processing') AS processing,

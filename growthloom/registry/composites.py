@@ -7,7 +7,7 @@ from growthloom.operators import affiliates as AF
 from growthloom.operators import content as C
 from growthloom.operators import members, upsert as U
 from growthloom.plans import affiliate as AP
-from growthloom.plans import booking, daily, drafts, leads, membership, packages, purchases as P, weekly, welcome
+from growthloom.plans import booking, daily, delta_mart, drafts, leads, membership, packages, purchases as P, weekly, welcome
 from growthloom.registry.core import op
 from growthloom.registry.duck import EVENTS_AS_OF as EA, ORDERS_AS_OF as OA
 from growthloom.registry.sources import mart, sources
@@ -328,6 +328,24 @@ def _(t: Tables) -> DataFrame:
     return daily.reprocess_late(src, late, "ts", path)
 
 
+@op("mart_by_changes", "SELECT metric_date, profile_visits, tripwire_sales, tripwire_revenue_cents, total_revenue_cents, new_subscribers, videos_published, total_content_views, new_followers, workflow_total FROM dm")
+def _(t: Tables) -> DataFrame:
+    # First every purchase counts as completed and the even events of the automation are missing; then both are put right.
+    path = scratch_path(t.spark, "mart")
+    src = sources(t)
+    wrong = t.purchases.where("status <> 'completed'")
+    delta_mart.apply(delta_mart.changes(daily.Sources(
+        funnel=src.funnel, purchases=t.purchases.withColumn("status", F.lit("completed")), products=src.products, subscribers=src.subscribers,
+        videos=src.videos, content=src.content, logs=src.logs.where("id % 2 = 1"))), path, 0)
+    as_booked = daily.Sources(purchases=wrong.withColumn("status", F.lit("completed")), products=src.products)
+    as_they_are = daily.Sources(purchases=wrong, products=src.products, logs=src.logs.where("id % 2 = 0"))
+    for _ in range(2):  # the repeat must change nothing
+        delta_mart.apply(delta_mart.changes(as_they_are, as_booked), path, 1)
+    return delta_mart.read(t.spark, path).select(
+        "metric_date", "profile_visits", "tripwire_sales", "tripwire_revenue_cents", "total_revenue_cents", "new_subscribers", "videos_published",
+        "total_content_views", "new_followers", "workflow_total")
+
+
 @op("weekly_report", f"""WITH w AS (SELECT * FROM ce WHERE event_date BETWEEN CAST({EA} - INTERVAL 7 DAY AS DATE) AND CAST({EA} AS DATE)),
     p AS (SELECT platform, sum(views) AS a, sum(shares) AS b, sum(saves) AS c, sum(follower_gain) AS d FROM w GROUP BY 1),
     hk AS (SELECT vi.hook_id, CAST(sum(w.views) AS BIGINT) AS v, CAST(sum(w.likes + w.shares) AS BIGINT) AS e FROM w JOIN vi ON vi.id = w.video_id GROUP BY 1 ORDER BY v DESC, vi.hook_id LIMIT 3),

@@ -146,7 +146,8 @@ CTES: dict[str, str] = {
         CAST(len(list_filter(regexp_split_to_array(line, '\s+'), lambda x: x <> '')) AS BIGINT) AS words FROM ln""",
     "pv": """SELECT page_id AS id, url, CASE WHEN host LIKE 'm.%' THEN 'Mozilla/5.0 (iPhone) Mobile'
           WHEN host LIKE 'blog.%' THEN 'Mozilla/5.0 (iPad)' ELSE 'Mozilla/5.0 (X11; Linux x86_64)' END AS user_agent,
-        host, path, query, page_load_ms FROM (SELECT page_id, url, length(html) AS page_load_ms,
+        host, path, query, page_load_ms, ['US','DE','FR','GB','IN'][page_id % 5 + 1] AS country, CASE WHEN page_id % 9 > 0 THEN page_id * 37 % 300 END AS stay
+        FROM (SELECT page_id, url, length(html) AS page_load_ms,
           regexp_extract(url, '^https?://([^/?#]+)', 1) AS host,
           CASE WHEN regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1) = '' THEN '/'
                ELSE regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1) END AS path,
@@ -165,7 +166,8 @@ CTES: dict[str, str] = {
         coalesce(c.new_followers, 0) AS new_followers,
         coalesce(r.workflows_run, 0) AS workflows_run, coalesce(r.workflows_failed, 0) AS workflows_failed,
         coalesce(r.workflow_total, 0) AS workflow_total,
-        (SELECT count(*) FROM su WHERE status = 'active') AS total_subscribers,
+        (SELECT count(*) FROM su WHERE status = 'active' AND (created_at IS NULL OR CAST(created_at AS DATE) <= d.metric_date)) AS total_subscribers,
+        (SELECT CAST(coalesce(sum(follower_gain), 0) AS BIGINT) FROM ce WHERE event_date <= d.metric_date) AS total_followers,
         round(r.workflows_run * 100.0::DOUBLE / nullif(r.workflow_total, 0), 2) AS automation_uptime_pct
         FROM (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-30', INTERVAL 1 DAY)) AS DATE) AS metric_date) d
         LEFT JOIN (SELECT CAST(created_at AS DATE) AS dd,

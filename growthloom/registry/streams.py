@@ -4,6 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from growthloom.operators import ops
+from growthloom.plans import delta_mart
+from growthloom.plans.daily import Sources
 from growthloom.plans.membership import subscription_rows
 from growthloom.registry.aggregates import SLIDES, _ALERT
 from growthloom.registry.composites import _BOOKED_SUBSCRIBERS, books, sent_twice
@@ -160,3 +162,23 @@ def _(t: Tables) -> DataFrame:
     sink = sinks.BookingSink(path, t.products, books(t))
     sinks.run_batches(replay(sent_twice(t), "received_at"), sink, f"{path}-checkpoint")
     return sink.read(t.spark).subscribers.drop("full_name")
+
+
+@op("stream_late_mart", """SELECT CAST(ts AS DATE) AS metric_date, count(*) FILTER (event_type = 'view' AND k >= 50 AND k < 95) AS profile_visits,
+    count(*) FILTER (event_type = 'click' AND k < 50) AS landing_page_views, count(*) FILTER (event_type = 'signup' AND k < 70) AS lead_magnet_downloads,
+    count(*) FILTER (event_type = 'purchase' AND k < 60) AS tripwire_sales, count(*) FILTER (event_type <> 'error') AS workflows_run,
+    count(*) FILTER (event_type = 'error') AS workflows_failed FROM ev GROUP BY 1""")
+def _(t: Tables) -> DataFrame:
+    # Every fiftieth event arrives five days after it happened.
+    held = F.when(F.col("event_id") % 50 == 0, F.expr("interval 5 days")).otherwise(F.expr("interval 0 days"))
+    arriving = t.events.withColumns({"arrives": F.col("ts") + held, "at": F.col("ts")})
+    path = scratch_path(t.spark, "stream-mart")
+    sink = sinks.MartSink(path, "1 day", event_sources)
+    sinks.run_batches(replay(arriving, "arrives"), sink, f"{path}-checkpoint")
+    return delta_mart.read(t.spark, sink.mart).select(
+        "metric_date", "profile_visits", "landing_page_views", "lead_magnet_downloads", "tripwire_sales", "workflows_run", "workflows_failed")
+
+
+def event_sources(events: DataFrame) -> Sources:
+    status = F.when(F.col("event_type") == "error", "failed").otherwise("success")
+    return Sources(funnel=funnel_view(events), logs=events.select(F.col("ts").alias("started_at"), status.alias("status")))

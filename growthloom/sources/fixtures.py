@@ -441,6 +441,9 @@ class Tables:
         return self.raw("pages").select(
             F.col("page_id").alias("id"), "url", agent.alias("user_agent"),
             F.length("html").cast("long").alias("page_load_ms"),
+            pick(F.col("page_id") % 5, ["US", "DE", "FR", "GB", "IN"]).alias("country"),
+            F.when(F.col("page_id") % 9 > 0, F.col("page_id") * 37 % 300).alias("time_on_page_seconds"),
+            (as_ts(FIRST_DAY + " 00:00:00") + F.make_dt_interval(days=(F.col("page_id") % 30).cast("int"))).alias("viewed_at"),
         )
 
     @cached_property

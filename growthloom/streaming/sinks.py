@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from growthloom.operators.affiliates import affiliate_run
 from growthloom.operators.email import WELCOME_HOURS
 from growthloom.operators.joins import attribute, next_buy
+from growthloom.plans import delta_mart
 from growthloom.plans.booking import ADDED, Books, book, fresh
+from growthloom.plans.daily import Sources
 from growthloom.plans.keyed import HOT_ROWS, latest_by
 from growthloom.plans.leads import capture, clean_leads
 from growthloom.plans.purchases import checkouts, route_checkouts
@@ -179,8 +181,7 @@ def split_late(df: DataFrame, at: str, seen_until, delay: str) -> tuple[DataFram
 
 
 class LateSplitter(_State):
-    """Events in time and late events go to two tables; late days are then rebuilt by
-    the daily rollup.  Rows need `at`."""
+    """Events in time and late events go to two tables.  Rows need `at`."""
 
     def __init__(self, path: str, delay: str):
         super().__init__(path)
@@ -194,6 +195,22 @@ class LateSplitter(_State):
         self.clock(batch, batch_id)
 
 
+class MartSink(LateSplitter):
+    """Keeps the daily mart up from a stream: every batch adds its changes to the days it touches, late events like others.
+
+    `derive` turns events into the mart's sources.  Late events are also kept apart, as `LateSplitter` does; a late day is
+    not rebuilt from its events but gets their sums added.
+    """
+
+    def __init__(self, path: str, delay: str, derive: Callable[[DataFrame], Sources]):
+        super().__init__(path, delay)
+        self.derive, self.mart = derive, f"{path}/mart"
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        super().__call__(batch, batch_id)
+        delta_mart.apply(delta_mart.changes(self.derive(batch)), self.mart, batch_id)
+
+
 class IntakeSink(_State):
     """Checkout messages to purchases, subscription checkouts, skipped messages and
     affiliate commissions, set-wise per micro-batch.

@@ -201,11 +201,33 @@ def test_alert_rule(frame):
     assert rows(ops.alerts(counts), "w", "reason") == [(1, "failure_count"), (3, "failure_share")]
 
 
-def test_latency_forms_agree(frame):
-    logs = frame([(1, float(s)) for s in range(1, 101)], "workflow_id long, s double")
-    exact, fast = ops.latency(logs, F.col("s")).first(), ops.latency(logs, F.col("s"), exact=False).first()
-    assert (exact["p50_s"], exact["p95_s"], exact["max_s"], exact["fast_share"]) == (50.5, 95.05, 100.0, 0.29)
-    assert abs(fast["p50_s"] - 50.5) <= 1 and abs(fast["p95_s"] - 95.05) <= 1
+def test_latency_from_daily_sketches(frame):
+    logs = frame([(1, datetime(2024, 1, 1 + s % 7), float(s)) for s in range(1, 101)] + [(2, datetime(2024, 1, 1), None)],
+                 "workflow_id long, started_at timestamp_ntz, s double")
+    days = ops.latency_by_day(logs, F.col("s"))
+    assert days.count() == 8
+    got = {r["workflow_id"]: r for r in ops.latency(days).collect()}
+    assert (got[1]["p50_s"], got[1]["p95_s"], got[1]["max_s"], got[1]["fast_share"]) == (50.0, 95.0, 100.0, 0.29)
+    assert got[2]["p50_s"] is None and got[2]["runs"] == 1
+
+
+def test_sketches_of_many_values_keep_ranks_and_size(spark):
+    n = 300_000
+    logs = spark.range(n).select(F.lit(1).alias("workflow_id"), (F.col("id") % 9 * F.expr("interval 1 day") + F.lit(datetime(2024, 1, 1))).alias("started_at"),
+                                 (F.pmod(F.col("id") * 7919, F.lit(n)) / 10).alias("s"))
+    days = ops.latency_by_day(logs, F.col("s"))
+    got = ops.latency(days).first()
+    assert abs(got["p50_s"] * 10 / n - 0.5) < 0.01 and abs(got["p95_s"] * 10 / n - 0.95) < 0.01 and got["runs"] == n
+    assert days.agg(F.max(F.length("times"))).first()[0] < 200_000
+
+
+def test_running_sums_of_a_long_script(frame):
+    lines = [("w " * (n % 5)).strip() for n in range(5000)]
+    got = [(r["start_s"], r["end_s"]) for r in C.timecodes(frame([("s", lines)], "id string, lines array<string>"), ["id"], "lines").orderBy("line_no").collect()]
+    ends = [0]
+    for line in lines:
+        ends.append(ends[-1] + len(line.split()))
+    assert got == [(round(a * 45 / 100, 2), round(b * 45 / 100, 2)) for a, b in zip(ends, ends[1:])]
 
 
 def test_funnel_report_with_empty_base(frame):
