@@ -176,12 +176,16 @@ def _linked(overlap, n, m, percent: int):
     return overlap * 100 >= (n + m - overlap) * percent
 
 
-def _candidates(made: DataFrame) -> DataFrame:
-    """(hub, node, n, hub_n): the members of each hub's group, without the hub itself."""
-    shown = made.select("node", F.explode("signatures").alias("sig"))
+def _shared(shown: DataFrame) -> DataFrame:
+    """(sig, node): the fragments that more than one row shows."""
+    rows = shown.where("node is not null").select("node", F.explode("signatures").alias("sig"))
     # Counted map-side first; the join back is left to AQE, which may split a hot fragment.
-    twice = shown.groupBy("sig").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("sig")
-    shared = stage(shown.join(twice, "sig").distinct(), "shared-fragments")
+    twice = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("sig")
+    return rows.join(twice, "sig").distinct()
+
+
+def _candidates(shared: DataFrame, made: DataFrame) -> DataFrame:
+    """(hub, node, n, hub_n): the members of each hub's group, without the hub itself."""
     sizes = made.join(shared.select("node").distinct(), "node", "left_semi").select("node", "n").distinct()
     many = shared.groupBy("sig").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
     rated = shared.join(many, "sig")
@@ -190,9 +194,7 @@ def _candidates(made: DataFrame) -> DataFrame:
     rated = rated.select("sig", "node").join(central, "node")
     hubs = rated.groupBy("sig").agg(F.max(F.struct("central", "node", "n")).alias("hub"))
     found = rated.join(hubs, "sig").select(F.col("hub.node").alias("hub"), "node", "n", F.col("hub.n").alias("hub_n")).where("hub <> node")
-    found = stage(found.distinct(), "candidate-groups")
-    discard(shared)
-    return found
+    return found.distinct()
 
 
 def _pair_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -282,9 +284,11 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     rows with null doc_id link others but name no component. An empty table gives an empty table.
     """
     shown = stage(_shingled(docs, words, percent), "shingled", "zstd")
-    groups = _candidates(shown.where("node is not null"))
+    shared = stage(_shared(shown), "shared-fragments")
     made = stage(shown.select("doc_id", "n", "node"), "sets")
     discard(shown)  # the signatures, the largest table here
+    groups = stage(_candidates(shared, made.where("node is not null")), "candidate-groups")
+    discard(shared)
     full = made.where("node is not null")
     names = full.groupBy("node").agg(F.min("doc_id").alias("rep"))
     wanted = groups.select("node").unionByName(groups.select(F.col("hub").alias("node"))).distinct().join(names, "node")
