@@ -8,11 +8,10 @@ known once the files' totals are summed, one number per file.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +23,7 @@ from pyspark.sql import functions as F
 
 END = 2  # id appended to every document
 AT_ONCE = 500_000  # characters of texts, or of new runs, encoded at once
-CACHE = 1_000_000  # runs whose ids a worker remembers
-RUN = re.compile("[^ \\t-\\r]+")
+CACHE = 1_000_000  # runs whose ids a worker remembers, the first ones it meets
 STRIPE = 16 << 20  # bytes of a stripe
 ROW_GROUP = 1_000  # rows of an index entry and of a Bloom filter
 FALSE_HITS = 0.01  # of a Bloom filter
@@ -61,7 +59,7 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.rows: dict[str, int] = {}  # run -> its row in `starts`; row 0 is END
+        self.rows: dict[bytes, int] = {}  # run -> its row in `starts`; row 0 is END
         self.starts, self.flat = np.zeros(1 << 16, dtype=np.int64), np.full(1 << 17, END, dtype=np.int32)
         self.starts[1] = 1
 
@@ -69,16 +67,17 @@ class Encoder:
     def _room(array: np.ndarray, size: int) -> np.ndarray:
         return array if size <= len(array) else np.concatenate([array, np.empty(max(size, 2 * len(array)) - len(array), dtype=array.dtype)])
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: list[bytes]) -> None:
         low, row = 0, len(self.rows) + 1
         self.starts = self._room(self.starts, row + len(new) + 1)
         self.rows.update(zip(new, range(row, row + len(new))))
-        while low < len(new):
+        texts = [x.decode() for x in new]
+        while low < len(texts):
             high, size = low, 0
-            while high < len(new) and (high == low or size + len(new[high]) <= AT_ONCE):
-                size += len(new[high])
+            while high < len(texts) and (high == low or size + len(texts[high]) <= AT_ONCE):
+                size += len(texts[high])
                 high += 1
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(new[low:high], add_special_tokens=False)]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts[low:high], add_special_tokens=False)]
             begin, count = int(self.starts[row]), len(found)
             self.starts[row + 1 : row + 1 + count] = begin + np.cumsum(np.fromiter(map(len, found), dtype=np.int64, count=count))
             end = int(self.starts[row + count])
@@ -86,29 +85,38 @@ class Encoder:
             self.flat[begin:end] = np.fromiter(chain.from_iterable(found), dtype=np.int32, count=end - begin)
             low, row = high, row + count
 
-    def _runs(self, text: str | None) -> list[str]:
+    def _runs(self, text: str | None) -> list[bytes]:
         if not text:
             return []
-        if self.lower and "<|" not in text:
-            text = text.encode().lower().decode()  # as bytes: A-Z only
-        return RUN.findall(text) if self.split else [text]
+        data = text.encode()
+        if not self.split:
+            return [data]
+        return (data.lower() if self.lower and b"<|" not in data else data).split()  # as bytes: A-Z and ASCII white space only
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one behind the other, and how many each text has."""
-        if len(self.rows) > CACHE or not self.split:
+        if not self.split:
             self.forget()
+        kept = len(self.rows)
         runs = [self._runs(t) for t in texts]
-        new = list(set(chain.from_iterable(runs)).difference(self.rows))
-        if new:
-            self._learn(new)
         many = np.fromiter(map(len, runs), dtype=np.int64, count=len(runs)) + 1
+        words = list(chain.from_iterable(runs))
+        places = np.fromiter(map(self.rows.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        missing = np.flatnonzero(places < 0)
+        if len(missing):
+            new = [words[i] for i in missing]
+            self._learn(list(dict.fromkeys(new)))
+            places[missing] = np.fromiter(map(self.rows.__getitem__, new), dtype=np.int64, count=len(new))
         at = np.zeros(int(many.sum()), dtype=np.int64)
         own = np.ones(len(at), dtype=bool)
         own[np.cumsum(many) - 1] = False  # the places of END
-        at[own] = np.fromiter(map(self.rows.__getitem__, chain.from_iterable(runs)), dtype=np.int64, count=int(own.sum()))
+        at[own] = places
         lengths = self.starts[at + 1] - self.starts[at]
         ends = np.cumsum(lengths)
         ids = self.flat[np.repeat(self.starts[at] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        if kept >= CACHE:  # what is new now is rare: it served this call
+            for _ in range(len(self.rows) - kept):
+                self.rows.popitem()  # the last one added
         return ids, np.diff(np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(many)])])
 
 
