@@ -31,6 +31,9 @@ PREFERRED_WORDS = [
     "framework", "protocol", "sovereignty", "friction", "asymmetric",
     "system", "cognitive", "primal", "discipline", "velocity",
 ]
+# The brand guide's own vocabulary
+GUIDE_FORBIDDEN = ["amazing", "unbelievable", "just", "very", "literally", "crazy", "secret trick"]
+GUIDE_PREFERRED = ["essential", "critical", "framework", "discipline", "sovereignty", "clarity", "asymmetric"]
 PLATFORM_HASHTAGS = {
     "tiktok": ["#productivity", "#stoicism", "#discipline", "#mindset", "#motivation"],
     "instagram": ["#deepwork", "#stoicmindset", "#productivitytips"],
@@ -244,9 +247,14 @@ def device_class(user_agent) -> Column:
 
 
 def vocabulary_hits(col, words: list[str]) -> Column:
-    """How many different words of the list occur in the whole text, in any case."""
-    tokens = F.split(F.lower(_c(col)), "[^a-z]+")
-    return F.size(F.array_intersect(tokens, F.array(*[F.lit(w) for w in words]))).cast("long")
+    """How many entries of a vocabulary occur in the text; an entry of several words may have any white space between them."""
+    single, phrases = [w for w in words if " " not in w], [w.split() for w in words if " " in w]
+    text = F.coalesce(F.lower(_c(col)), F.lit(""))
+    found = F.array_intersect(F.split(text, "[^a-z]+"), F.array(*[F.lit(w) for w in single]).cast("array<string>"))
+    hits = F.size(found)
+    for phrase in phrases:
+        hits = hits + text.rlike(r"(?<![a-z])" + r"\s+".join(phrase) + r"(?![a-z])").cast("int")
+    return hits.cast("long")
 
 
 def hashtags(platform, brand: str | None = None) -> Column:

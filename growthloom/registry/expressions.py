@@ -257,6 +257,28 @@ def _(t: Tables) -> DataFrame:
     return C.lint(t.scripts, "body_text").select("id", "forbidden_hits", "passed")
 
 
+def _hits_sql(words: list[str], phrases: list[str]) -> str:
+    found = " + ".join(f"CAST(regexp_matches(t, '(^|[^a-z]){p.replace(' ', chr(92) + 's+')}($|[^a-z])') AS BIGINT)" for p in phrases)
+    return f"CAST(len(list_intersect(w, {words})) AS BIGINT)" + (f" + {found}" if found else "")
+
+
+@op("brand_voice_guide", f"""SELECT id, forbidden_hits, preferred_hits, forbidden_hits = 0 AS passed FROM
+    (SELECT id, {_hits_sql(['amazing', 'unbelievable', 'just', 'very', 'literally', 'crazy'], ['secret trick'])} AS forbidden_hits,
+      {_hits_sql(['essential', 'critical', 'framework', 'discipline', 'sovereignty', 'clarity', 'asymmetric'], [])} AS preferred_hits
+     FROM (SELECT id, lower(body_text) AS t, list_distinct(regexp_split_to_array(lower(body_text), '[^a-z]+')) AS w FROM sc))""")
+def _(t: Tables) -> DataFrame:
+    return C.lint(t.scripts, "body_text", X.GUIDE_FORBIDDEN, X.GUIDE_PREFERRED).select("id", "forbidden_hits", "preferred_hits", "passed")
+
+
+@op("brand_voice_phrases", f"""SELECT id, forbidden_hits, preferred_hits, forbidden_hits = 0 AS passed FROM
+    (SELECT id, {_hits_sql(['les'], ['of the', 'to be', 'in the', 'de la'])} AS forbidden_hits, {_hits_sql(['with'], ['and the'])} AS preferred_hits
+     FROM (SELECT id, lower(body_text) AS t, list_distinct(regexp_split_to_array(lower(body_text), '[^a-z]+')) AS w FROM sc))""")
+def _(t: Tables) -> DataFrame:
+    # Phrases that occur in the given texts.
+    return C.lint(t.scripts, "body_text", ["les", "of the", "to be", "in the", "de la"], ["with", "and the"]).select(
+        "id", "forbidden_hits", "preferred_hits", "passed")
+
+
 @op("script_spec_check", f"""SELECT id, platform, words, words * 45 / 100.0::DOUBLE AS seconds,
     CASE platform WHEN 'tiktok' THEN words * 45 BETWEEN 3000 AND 9000 WHEN 'instagram' THEN words * 45 BETWEEN 3000 AND 6000
       ELSE words * 45 < 6000 END AS duration_ok, words BETWEEN 130 AND 180 AS words_ok

@@ -16,12 +16,15 @@ from growthloom.operators.joins import attribute, next_buy
 from growthloom.plans import delta_mart
 from growthloom.plans.booking import ADDED, Books, book, fresh
 from growthloom.plans.daily import Sources
-from growthloom.plans.keyed import HOT_ROWS, latest_by
+from growthloom.plans.keyed import HOT_ROWS, latest_by, micros
 from growthloom.plans.leads import capture, clean_leads
 from growthloom.plans.purchases import checkouts, route_checkouts
 from growthloom.session import scratch_path
 
 
+HOUR = 3_600_000_000  # microseconds
+
+
 class _State:
     def __init__(self, path: str):
         self.path = path
@@ -146,8 +149,11 @@ class AbandonedSink(_State):
 class DripSink(_State):
     """Emit the welcome steps that fell due, once each.
 
-    The stream holds (subscriber_id, at, is_start); all rows move the clock.  The
-    state is one row per subscriber in the sequence: start and steps sent.
+    The stream holds (subscriber_id, at, is_start); all rows move the clock, which stands `late` behind the newest time.  A
+    subscriber begins with the earliest start once the clock has passed it.  Its steps then go to a calendar, a table with
+    a folder per hour in which steps fall due; nothing there is rewritten, a batch reads the hours the clock went through,
+    so what is read follows the steps that fall due.  Who began is
+    remembered as a list of ids, appended to and looked up, never rewritten.
     """
 
     def __init__(self, path: str, late: str = "1 hour"):
@@ -155,23 +161,37 @@ class DripSink(_State):
         self.late = late
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        begun = batch.where("is_start").groupBy("subscriber_id").agg(F.min("at").alias("started_at")).withColumn(
-            "sent", F.lit(0).cast("long")
-        )
-        known = begun.unionByName(self.load("state", batch_id, begun)).groupBy("subscriber_id").agg(
-            F.min("started_at").alias("started_at"), F.max("sent").alias("sent")
-        )
-        limit = self.clock(batch, batch_id).select(F.col("seen") - F.expr(f"interval {self.late}")).scalar()
-        due = sum(
-            (F.when(F.col("started_at") + F.expr(f"interval {h} hours") <= limit, 1).otherwise(0) for h in WELCOME_HOURS),
-            F.lit(0),
-        )
-        ready = known.withColumn("due", F.greatest(due.cast("long"), F.col("sent")))
-        steps = ready.where("due > sent").withColumn("step", F.explode(F.sequence(F.col("sent") + 1, F.col("due"))))
-        hours = F.element_at(F.array(*[F.lit(h) for h in WELCOME_HOURS]), F.col("step").cast("int"))
-        send_at = F.col("started_at") + F.make_dt_interval(hours=hours)
-        self.save("steps", batch_id, steps.select("subscriber_id", "step", send_at.alias("send_at")))
-        self.save("state", batch_id, ready.select("subscriber_id", "started_at", F.col("due").alias("sent")))
+        spark, shift = batch.sparkSession, F.expr(f"interval {self.late}")
+        before = self.load("clock", batch_id, batch.agg(F.max("at").alias("seen"))).agg((F.max("seen") - shift).alias("seen"))
+        clock = self.clock(batch, batch_id).select((F.col("seen") - shift).alias("seen"))
+        # Two values: where the clock was, where it is now.
+        was, now = before.first()["seen"], clock.first()["seen"]
+        starts = batch.where("is_start and at is not null").select("subscriber_id", "at")
+        starts = starts.unionByName(self.load("pending", batch_id, starts)).groupBy("subscriber_id").agg(F.min("at").alias("at"))
+        passed = F.lit(False) if now is None else F.coalesce(F.col("at") <= F.lit(now), F.lit(False))
+        self.save("pending", batch_id, starts.where(~passed))
+        begun = starts.where(passed)
+        if batch_id > 0:
+            known = spark.read.schema("subscriber_id {}, batch_id long".format(starts.schema["subscriber_id"].dataType.simpleString())).parquet(f"{self.path}/began")
+            begun = begun.join(known.where(F.col("batch_id") < batch_id), "subscriber_id", "left_anti")
+        begun = self.save("began", batch_id, begun)
+        steps = F.posexplode(F.array(*[F.lit(h) for h in WELCOME_HOURS]))
+        planned = begun.select("subscriber_id", "at", steps.alias("_n", "_h")).select(
+            "subscriber_id", (F.col("_n") + 1).cast("long").alias("step"), (F.col("at") + F.make_dt_interval(hours=F.col("_h"))).alias("send_at"))
+        due = F.lit(False) if now is None else F.col("send_at") <= F.lit(now)
+        later = planned.where(~due).withColumn("due_hour", F.floor(micros(F.col("send_at")) / HOUR).cast("long"))
+        later.write.mode("overwrite").partitionBy("due_hour").parquet(f"{self.path}/calendar/batch_id={batch_id}")
+        ready = planned.where(due)
+        if batch_id > 0 and was is not None:
+            calendar = spark.read.schema(f"{self._ddl(planned)}, batch_id long, due_hour long").parquet(f"{self.path}/calendar")
+            low, high = (F.floor(micros(F.lit(t)) / HOUR) for t in (was, now))
+            hours = calendar.where((F.col("due_hour") >= low) & (F.col("due_hour") <= high) & (F.col("batch_id") < batch_id))
+            ready = ready.unionByName(hours.where(due & (F.col("send_at") > F.lit(was))).select(*planned.columns))
+        self.save("steps", batch_id, ready.select("subscriber_id", "step", "send_at"))
+
+    @staticmethod
+    def _ddl(df: DataFrame) -> str:
+        return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
 def split_late(df: DataFrame, at: str, seen_until, delay: str) -> tuple[DataFrame, DataFrame]:

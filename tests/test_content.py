@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from growthloom import schemas
+from growthloom.functions import exprs as X
 from growthloom.operators import affiliates as AF, content as C, email as E, funnel, joins as J, members, ops, revenue
 from growthloom.plans import drafts, leads, membership, packages, purchases as P, welcome
 from growthloom.session import scratch_path
@@ -362,3 +363,9 @@ def test_answer_without_a_hook_keeps_the_one_asked_for(frame):
     df = frame([(1, "plain", "H"), (2, '{"hook": "own", "body": "b"}', "H"), (3, '{"body": "b"}', None)], "id long, text string, asked string")
     assert rows(drafts.ingest_completions(df, "text", ["id"], "asked"), "id", "hook_text", "body_text") == [
         (1, "H", "plain"), (2, "own", "b"), (3, "", "b")]
+
+
+def test_brand_phrases(frame):
+    df = frame([(1, "A Secret \n trick, very."), (2, "secret-trick"), (3, "my secret tricks"), (4, "insecret trick"), (5, None), (6, "trick secret trick just JUST")], "id long, t string")
+    got = rows(C.lint(df, "t", X.GUIDE_FORBIDDEN, X.GUIDE_PREFERRED), "id", "forbidden_hits", "passed")
+    assert got == [(1, 2, False), (2, 0, True), (3, 0, True), (4, 0, True), (5, 0, True), (6, 2, False)]
