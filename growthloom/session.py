@@ -1,6 +1,7 @@
 """Session settings and the shared folder for staged tables."""
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -60,10 +61,19 @@ def stage(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
 
 
 def discard(*staged: DataFrame) -> None:
-    """Remove tables that `stage` wrote, once nothing that is still to run reads them. Other frames are left alone."""
+    """Remove tables that `stage` wrote, once nothing that is still to run reads them. Other frames are left alone.
+
+    Spark removes the shuffle files of finished jobs when the driver's collector finds their plans unused; it is asked to look,
+    as it may otherwise not do so for half an hour.
+    """
+    jvm = None
     for df in staged:
         path = getattr(df, "_staged", None)
         if path:
-            jvm = df.sparkSession.sparkContext._jvm
+            context = df.sparkSession.sparkContext
+            jvm = context._jvm
             place = jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+    if jvm:
+        gc.collect()  # Python's references to plans first
+        jvm.java.lang.System.gc()
