@@ -182,3 +182,15 @@ def _(t: Tables) -> DataFrame:
 def event_sources(events: DataFrame) -> Sources:
     status = F.when(F.col("event_type") == "error", "failed").otherwise("success")
     return Sources(funnel=funnel_view(events), logs=events.select(F.col("ts").alias("started_at"), status.alias("status")))
+
+
+@op("stream_transitions", """SELECT o_custkey, o_orderkey, CASE WHEN pp IS NULL THEN 'created' WHEN price_cents > pp * 1.5::DOUBLE THEN 'upgraded'
+      WHEN price_cents * 1.5::DOUBLE < pp THEN 'downgraded' WHEN date_diff('day', pd, o_orderdate) > 365 THEN 'reactivated' ELSE 'renewed' END AS event_type,
+      pp AS previous_price FROM
+    (SELECT *, lag(price_cents) OVER w AS pp, lag(o_orderdate) OVER w AS pd FROM orr WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey))""")
+def _(t: Tables) -> DataFrame:
+    # Orders arrive by number, which has nothing to do with their dates.
+    path = scratch_path(t.spark, "stream-transitions")
+    sink = sinks.TransitionSink(path, "o_custkey", "price_cents", "o_orderdate", "o_orderkey")
+    sinks.run_batches(replay(t.orders, "o_orderkey"), sink, f"{path}-checkpoint")
+    return sink.read(t.spark).select("o_custkey", "o_orderkey", "event_type", "previous_price")

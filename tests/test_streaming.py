@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from growthloom.operators import funnel, joins as J, ops
+from growthloom.operators import funnel, joins as J, members, ops
 from growthloom.session import scratch_path
 from growthloom.streaming import jobs, sinks
 from growthloom.streaming.runner import run_append, run_update
@@ -96,6 +96,34 @@ def test_drip_over_many_batches(feed):
     assert sorted((r["step"], r["send_at"]) for r in got.collect()) == want
 
 
+def test_drip_begins_once_with_the_earliest_start_and_keeps_a_calendar(feed, spark):
+    start = [("a", 1, T0 + timedelta(minutes=50), 1), ("a", 2, T0 + timedelta(minutes=30), 1), ("b", 3, T0 + timedelta(hours=5), 1), ("c", 4, T0 + timedelta(hours=5), 0)]
+    later = [("c", 5, T0 + timedelta(hours=30), 0), ("a", 6, T0 + timedelta(hours=31), 1), ("c", 7, T0 + timedelta(hours=200), 0), ("a", 8, T0 + timedelta(hours=201), 1), ("c", 9, T0 + timedelta(hours=300), 0)]
+    stream = feed(start + later, 9).select(F.col("key").alias("subscriber_id"), "at", (F.col("kind") == 1).alias("is_start"))
+    path = scratch_path(spark, "t-drip")
+    sinks.run_batches(stream, sinks.DripSink(path), f"{path}-checkpoint")
+    want = [(w, n + 1, t + timedelta(hours=24 * n)) for w, t in (("a", T0 + timedelta(minutes=30)), ("b", T0 + timedelta(hours=5))) for n in range(5)]
+    assert rows(spark.read.parquet(f"{path}/steps"), "subscriber_id", "step", "send_at") == sorted(want, key=repr)
+    assert rows(spark.read.parquet(f"{path}/began"), "subscriber_id") == [("a",), ("b",)]
+
+
+def test_transitions_are_taken_back_for_any_order_of_arrival(spark, frame, feed):
+    rnd = random.Random(17)
+    ddl = "who string, price long, at timestamp, id long"
+    data = [(rnd.choice(["hot", "hot", "a", "b"]), rnd.choice([100, 150, 160, 400, 90]), T0 + timedelta(days=rnd.randrange(900)), i) for i in range(60)]
+    rnd.shuffle(data)
+    sent = data + rnd.sample(data, 10)  # some come again
+    path = scratch_path(spark, "t-transitions")
+    sink = sinks.TransitionSink(path, "who", "price", "at", "id", buckets=4)
+    last = sinks.run_batches(feed(sent, 7, ddl), sink, f"{path}-checkpoint")
+    want = members.transitions(frame(data, ddl), "who", "price", "at", "id")
+    assert last >= 5 and rows(sink.read(spark), *want.columns) == rows(want)
+    assert spark.read.parquet(f"{path}/changes").where("sign < 0").count() > 0
+    chunk = -(-len(sent) // 7)
+    sink(frame(sent[2 * chunk : 3 * chunk], ddl), 2)  # a replay writes the same changes
+    assert rows(sink.read(spark), *want.columns) == rows(want)
+
+
 def test_late_splitter(feed, spark):
     data = [("a", 1, T0, 0), ("a", 2, T0 + timedelta(days=5), 0), ("a", 3, T0 + timedelta(days=1), 0),
             ("a", 4, T0 + timedelta(days=2), 0), ("a", 5, T0 + timedelta(days=6), 0), ("a", 6, T0 + timedelta(days=2, seconds=1), 0)]
