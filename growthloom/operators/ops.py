@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from growthloom.functions import exprs as X
 from growthloom.functions.sketches import SKETCH, quantile, sketch
 from growthloom.operators.filters import lookback
+from growthloom.plans import keyed
 
 SUCCESS_FLOOR = 95.0
 # Metric, comparison, target
@@ -109,6 +110,31 @@ def latency(days: DataFrame) -> DataFrame:
         "max_s", X.ratio("fast", "runs").alias("fast_share"))
 
 
+def latency_exact(logs: DataFrame, seconds: Column, rows: int = keyed.HOT_ROWS) -> DataFrame:
+    """Run time per workflow with exact percentiles, interpolated between the two runs around a rank.
+
+    Equal durations are counted first; a scan then ranks the distinct ones and cuts workflows with very many of them, so no task
+    holds a workflow's durations.
+    """
+    counted = logs.select("workflow_id", seconds.cast("double").alias("_s")).groupBy("workflow_id", "_s").agg(F.count(F.lit(1)).alias("_runs"))
+    sums = counted.groupBy(F.col("workflow_id").alias("_w")).agg(
+        F.sum("_runs").alias("runs"), F.sum(F.when(F.col("_s") < FAST_SECONDS, F.col("_runs")).otherwise(0)).alias("fast"),
+        F.max("_s").alias("max_s"), F.sum(F.when(F.col("_s").isNotNull(), F.col("_runs"))).alias("_timed"))
+    ranked = keyed.scan_by_key(counted.where("_s is not null").withColumn("_whole", F.floor("_s")), ["workflow_id"], "_whole", ["_s"],
+                               {"_upto": ("sum", "_runs")}, rows)
+    marks = {"p50_s": 0.5, "p95_s": 0.95}
+    place = {c: F.lit(share) * (F.col("_timed") - 1) for c, share in marks.items()}
+    ends = [F.min(F.when(F.col("_upto") > end(at), F.col("_s"))).alias(f"_{c}_{end.__name__}") for c, at in place.items() for end in (F.floor, F.ceil)]
+    kept = ["_w", "runs", "fast", "max_s", "_timed"]
+    found = sums.join(ranked, F.col("_w").eqNullSafe(F.col("workflow_id")), "left").groupBy(*kept).agg(*ends)
+
+    def between(c: str) -> Column:
+        share = place[c] - F.floor(place[c])
+        return F.round(F.col(f"_{c}_floor") * (1 - share) + F.col(f"_{c}_ceil") * share, 3).alias(c)
+
+    return found.select(F.col("_w").alias("workflow_id"), "runs", between("p50_s"), between("p95_s"), "max_s", X.ratio("fast", "runs").alias("fast_share"))
+
+
 def scorecard(kpis: DataFrame, targets: Sequence[tuple[str, str, float]] = tuple(TARGETS)) -> DataFrame:
     """(metric, value) rows against their targets."""
     rows = F.array(

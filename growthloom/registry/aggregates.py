@@ -279,10 +279,10 @@ def _(t: Tables) -> DataFrame:
     return ops.uptime(t.execution_logs)
 
 
-@op("latency_stats", """SELECT workflow_id, count(*) AS runs, round(quantile_disc(run_cs / 100.0::DOUBLE, 0.5), 3) AS p50_s, round(quantile_disc(run_cs / 100.0::DOUBLE, 0.95), 3) AS p95_s,
+@op("latency_stats", """SELECT workflow_id, count(*) AS runs, round(quantile_cont(run_cs / 100.0::DOUBLE, 0.5), 3) AS p50_s, round(quantile_cont(run_cs / 100.0::DOUBLE, 0.95), 3) AS p95_s,
     max(run_cs / 100.0::DOUBLE) AS max_s, round(count(*) FILTER (run_cs / 100.0 < 30) / count(*)::DOUBLE, 4) AS fast_share FROM lg GROUP BY 1""")
 def _(t: Tables) -> DataFrame:
-    return ops.latency(ops.latency_by_day(t.execution_logs, F.col("run_cs") / F.lit(100.0)))
+    return ops.latency_exact(t.execution_logs, F.col("run_cs") / F.lit(100.0))
 
 
 @op("churn_breakdown", f"""SELECT cancellation_reason, count(*) AS churned FROM me WHERE status = 'canceled' AND ended_at >= {OA} - INTERVAL 24 HOUR

@@ -222,6 +222,19 @@ def test_sketches_of_many_values_keep_ranks_and_size(spark):
     assert days.agg(F.max(F.length("times"))).first()[0] < 200_000
 
 
+def test_latency_is_exact_and_interpolated(frame):
+    times = [float((n * 7919) % 20_011) / 4 for n in range(20_000)]
+    logs = frame([(1, s) for s in times] + [(1, None), (None, 2.0), (None, 5.0), (3, None), (4, 29.99), (4, 29.99), (4, 30.0)], "workflow_id long, s double")
+    for cut in (4_000_000, 50):
+        got = {r["workflow_id"]: r for r in ops.latency_exact(logs, F.col("s"), cut).collect()}
+        low = sorted(times)
+        want = [low[int(x)] * (1 - x % 1) + low[int(x) + 1] * (x % 1) for x in (0.5 * 19_999, 0.95 * 19_999)]
+        assert all(abs(got[1][c] - w) < 0.00051 for c, w in zip(("p50_s", "p95_s"), want)) and got[1]["runs"] == 20_001 and got[1]["max_s"] == low[-1]
+        assert (got[None]["p50_s"], got[None]["p95_s"], got[None]["runs"]) == (3.5, 4.85, 2)
+        assert (got[3]["p50_s"], got[3]["runs"], got[3]["fast_share"]) == (None, 1, 0.0)
+        assert (got[4]["p50_s"], got[4]["p95_s"], got[4]["fast_share"]) == (29.99, 29.999, 0.6667)
+
+
 def test_running_sums_of_a_long_script(frame):
     lines = [("w " * (n % 5)).strip() for n in range(5000)]
     got = [(r["start_s"], r["end_s"]) for r in C.timecodes(frame([("s", lines)], "id string, lines array<string>"), ["id"], "lines").orderBy("line_no").collect()]
