@@ -1,9 +1,9 @@
 """Personal data: strict spans, and more spans chosen by boosted trees over candidates of loose patterns.
 
 Loose patterns propose spans, several of which may cover the same characters. Each has features of its form and of the text
-around it, none of the way it is written (plus, dots, gaps), which would only tell the strict form. Trees are boosted on
-candidates of a bounded sample. Their labels are evidence that holds for any form: check sum, octets, number of digits, cue
-words of the kind before it, or a value that the sample also holds in strict form. Per kind the score that keeps the wanted
+around it, none of the way it is written (plus, dots, gaps), which would only tell the strict form. Trees are boosted on the
+candidates of all documents. Their labels are evidence that holds for any form: check sum, octets, number of digits, cue
+words of the kind before it, or a value that some document also holds in strict form. Per kind the score that keeps the wanted
 precision is the threshold. Candidates above it are added to the strict spans, which always stay.
 
 Patterns never start inside a run they have already tried, and repeat groups only possessively, so one very long run of
@@ -17,6 +17,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from growthloom.session import stage
+
 KINDS = ("email", "ip", "card", "phone")
 STRICT = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -33,8 +35,6 @@ LOOSE = {
 SIGN = {"email": "@", "ip": None, "card": None, "phone": None}  # what a loose span cannot be without
 CUES = {"email": "mail|contact|address", "ip": r"\bip\b|host|server|address", "card": "card|visa|account|payment", "phone": r"phone|\btel|call|mobile|fax|contact"}
 ADDRESS = r"^[\p{L}\p{N}._%+-]++@[\p{L}\p{N}.-]++(?<=[\p{L}\p{N}]\.\p{L}{2,24})$"
-SAMPLE = 20_000  # documents whose candidates the trees are fitted on
-COMBINATIONS = 5_000  # distinct feature rows of them that are kept, the most frequent
 ROUNDS, RATE = 30, 0.3
 PRECISION = 0.98  # of the candidates above a kind's threshold
 FEATURES = ("kind", "digits", "parts", "small_parts", "luhn", "fits", "joined_left", "joined_right", "cue")
@@ -215,22 +215,35 @@ class Trees:
         return self.score(x) >= limit
 
 
-def _valued(kind: int):
-    return lambda x: F.struct(F.lit(kind).alias("kind"), value_of(x["m"]).alias("value"))
+def _base(kind: int):
+    """A strict span as a row beside the candidates: its value only."""
+    return lambda x: F.struct(F.lit(True).alias("base"), F.lit(kind).alias("kind"), *[F.lit(0).alias(f) for f in FEATURES[1:]],
+                              F.md5(value_of(x["m"])).alias("value"), F.lit(False).alias("sure"))
+
 
+def examples(docs: DataFrame) -> DataFrame:
+    """(features, y, count): the candidates of all documents by their features and label.
 
-def fit(docs: DataFrame, sample: int = SAMPLE, combinations: int = COMBINATIONS) -> Trees | None:
-    """Trees fitted on the candidates of about `sample` documents picked by hash; None without candidates."""
-    share = min(1.0, sample / max(docs.count(), 1))
-    picked = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 30)) < share * (1 << 30)).select("doc_id", "text")
-    found = candidates(picked)
-    value = lambda x: value_of(F.substring("text", x["s"] + 1, x["e"] - x["s"]))
-    rows = found.select(F.explode(F.transform("__loose", lambda x: F.struct(
-        *[x[f].alias(f) for f in FEATURES], value(x).alias("value"), (_is_strict(x) | _evidence(x)).alias("sure")))).alias("x")).select("x.*")
-    strict = F.concat(*[F.transform(f"__{k}", _valued(i)) for i, k in enumerate(KINDS)])
-    seen = found.select(F.explode(strict).alias("x")).select("x.*").distinct().withColumn("seen", F.lit(1))
-    rows = rows.join(seen, ["kind", "value"], "left").withColumn("y", (F.col("sure") | F.col("seen").isNotNull()).cast("int"))
-    counted = rows.groupBy(*FEATURES, "y").count().orderBy(F.desc("count"), *FEATURES, "y").limit(combinations).collect()
+    Equal rows are counted before values meet: one that every document holds is no task's burden.
+    """
+    found = candidates(docs.select("doc_id", "text"))
+    value = lambda x: F.md5(value_of(F.substring("text", x["s"] + 1, x["e"] - x["s"])))
+    loose = F.transform("__loose", lambda x: F.struct(
+        F.lit(False).alias("base"), *[x[f].alias(f) for f in FEATURES], value(x).alias("value"), (_is_strict(x) | _evidence(x)).alias("sure")))
+    every = F.concat(loose, *[F.transform(f"__{k}", _base(i)) for i, k in enumerate(KINDS)])
+    rows = found.select(F.explode(every).alias("x")).select("x.*")
+    counted = stage(rows.groupBy("base", *FEATURES, "value", "sure").agg(F.count(F.lit(1)).alias("n")), "pii-candidates")
+    seen = counted.where("base").select("kind", "value").distinct().withColumn("seen", F.lit(1))
+    labelled = counted.where("not base").join(seen, ["kind", "value"], "left").withColumn("y", (F.col("sure") | F.col("seen").isNotNull()).cast("int"))
+    return labelled.groupBy(*FEATURES, "y").agg(F.sum("n").alias("count"))
+
+
+def fit(docs: DataFrame) -> Trees | None:
+    """Trees fitted on the candidates of all documents; None without candidates.
+
+    What reaches the driver does not grow with them: features are small whole numbers, of which there are few combinations.
+    """
+    counted = examples(docs).orderBy(F.desc("count"), *FEATURES, "y").collect()
     if not counted:
         return None
     x = np.array([[r[f] for f in FEATURES] for r in counted], dtype=np.int64)

@@ -466,6 +466,15 @@ def test_trees_add_spans_and_keep_the_strict_ones(frame):
     assert pii.fit(docs.limit(0)) is None
 
 
+def test_trees_learn_from_every_document(frame):
+    many = 30_000
+    texts = [f"mail me{i}@b.com now" for i in range(many)] + ["call 5551234567 now", "+1 (555) 123-4567", None]
+    counted = pii.examples(docs_of(frame, texts)).collect()
+    # `kind`, the first feature, is a place in KINDS; the plain number is known from its strict form elsewhere.
+    assert sum(r["count"] for r in counted if r["kind"] == 0) == many and all(r["y"] == 1 for r in counted if r["kind"] == 0)
+    assert sum(r["count"] for r in counted if r["kind"] == 3) >= 2
+
+
 def test_trees_add_forms_that_the_strict_patterns_do_not_have(frame):
     rng = random.Random(6)
     number = lambda n: "".join(rng.choice("123456789") for _ in range(n))
