@@ -6,13 +6,14 @@ a batch job folds one, a stream folds those of all its micro-batches, with equal
 """
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from growthloom.functions import exprs as X
 from growthloom.operators import filters
-from growthloom.operators.joins import or_lookup
+from growthloom.operators.joins import apart, or_lookup
 from growthloom.plans.keyed import latest_by
 from growthloom.plans.purchases import checkouts
 
@@ -34,14 +35,16 @@ def person_id(email: Column) -> Column:
 def fresh(rows: DataFrame, ledger: DataFrame | None) -> DataFrame:
     """Checkout rows whose message was not applied before, each message once."""
     one = first_of(rows.withColumn("message", F.col("id")), "message")
-    return one.drop("message") if ledger is None else one.join(ledger.select(F.col("id").alias("message")), "message", "left_anti").drop("message")
+    return one.drop("message") if ledger is None else one.join(apart(ledger.select(F.col("id").alias("message"))), "message", "left_anti").drop("message")
 
 
-def book(rows: DataFrame, products: DataFrame, subscribers: DataFrame, profiles: DataFrame) -> dict[str, DataFrame]:
+def book(rows: DataFrame, products: DataFrame, subscribers: DataFrame, profiles: DataFrame,
+         keep: Callable[[DataFrame], DataFrame] = lambda sold: sold) -> dict[str, DataFrame]:
     """What fresh checkout rows add to each table.
 
     `subscribers` and `profiles` need id and email.  A payment without a valid address books no person, tag or value; one whose
-    product is unknown books a purchase without items or tag.
+    product is unknown books a purchase without items or tag. `keep` may store the payments with product and buyer, from which
+    most tables are made.
     """
     skipped, handled = filters.route(rows, F.col("skip"))
     subs, payments = filters.route(handled, F.col("mode") == "subscription")
@@ -52,8 +55,9 @@ def book(rows: DataFrame, products: DataFrame, subscribers: DataFrame, profiles:
     known_subs = subscribers.groupBy(F.col("email").alias("customer_email")).agg(F.min(F.col("id").cast("string")).alias("_sid"))
     known_profs = profiles.groupBy(F.col("email").alias("customer_email")).agg(F.min(F.col("id").cast("string")).alias("_prid"))
     made = F.when(X.valid_email("customer_email"), person_id(F.col("customer_email")))
-    sold = sold.join(known_subs, "customer_email", "left").join(known_profs, "customer_email", "left").withColumns({
+    sold = sold.join(apart(known_subs), "customer_email", "left").join(apart(known_profs), "customer_email", "left").withColumns({
         "subscriber_id": F.coalesce("_sid", made), "profile_id": F.coalesce("_prid", made)})
+    sold = keep(sold)
     person = sold.where("subscriber_id is not null")
     names = person.groupBy(F.col("customer_email").alias("email")).agg(
         F.min("subscriber_id").alias("subscriber_id"), F.min("profile_id").alias("profile_id"),
@@ -94,7 +98,7 @@ class Books:
         sums = added["amounts"].groupBy(F.col("subscriber_id").alias("id")).agg(F.sum("amount_cents").alias("_added"))
         bought = met.select(F.col("subscriber_id").alias("id"), "email", "full_name", "_seen")
         subs = self._with_new(self.subscribers, bought, {"source": F.lit("purchase"), "status": F.lit("active"), "ltv_cents": F.lit(0).cast("long")})
-        subs = subs.join(sums, "id", "left").withColumns({
+        subs = subs.join(apart(sums), "id", "left").withColumns({
             "has_purchased": F.coalesce("has_purchased", F.lit(False)) | F.col("_seen").isNotNull(),
             "ltv_cents": F.coalesce("ltv_cents", F.lit(0)) + F.coalesce("_added", F.lit(0)),
             "updated_at": F.coalesce("_seen", "updated_at")}).select(*self.subscribers.columns)
@@ -108,8 +112,8 @@ class Books:
     def _with_new(table: DataFrame, met: DataFrame, fixed: dict[str, Column]) -> DataFrame:
         """The table's rows and those met for the first time, with what the meeting says beside them."""
         extra = [c for c in met.columns if c.startswith("_")]
-        there = table.join(met.select("id", *extra), "id", "left")
-        new = met.join(table.select("id"), "id", "left_anti").withColumns({n: c.cast(table.schema[n].dataType) for n, c in fixed.items()})
+        there = table.join(apart(met.select("id", *extra)), "id", "left")
+        new = met.join(apart(table.select("id")), "id", "left_anti").withColumns({n: c.cast(table.schema[n].dataType) for n, c in fixed.items()})
         return there.unionByName(new.withColumns({c: F.lit(None).cast(table.schema[c].dataType) for c in table.columns if c not in new.columns}))
 
 

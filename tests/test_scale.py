@@ -6,6 +6,8 @@ from datetime import datetime, timedelta
 from conftest import rows
 from pyspark.sql import functions as F
 
+from growthloom.operators import joins as J
+from growthloom.plans.booking import Books
 from growthloom.session import stage
 
 T0 = datetime(2024, 1, 1)
@@ -15,6 +17,26 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_lookups_do_not_gather_their_tables(frame):
+    left = frame([(1, "a", "x"), (2, "b", "y"), (3, None, "y")], "n long, k string, j string")
+    right = frame([("a", "z", 7), ("c", "y", 8)], "r string, s string, pid long")
+    found = J.or_lookup(left, right, [("k", "r"), ("j", "s")], ["pid"])
+    assert "Broadcast" not in plan(found)
+    assert rows(found, "n", "pid", "matched_on") == [(1, 7, "k"), (2, 8, "j"), (3, 8, "j")]
+
+
+def test_booked_tables_do_not_gather_people(frame):
+    subs = frame([("1", "a@b.c", "A", "lead", "active", False, 5, None)],
+                 "id string, email string, full_name string, source string, status string, has_purchased boolean, ltv_cents long, updated_at timestamp_ntz")
+    profs = frame([("1", "a@b.c", "A", "cus", None)], "id string, email string, full_name string, stripe_customer_id string, updated_at timestamp_ntz")
+    people = frame([("a@b.c", "1", "1", "A", "cus", T0, T0), ("n@b.c", "9", "9", "N", "new", T0, T0)],
+                   "email string, subscriber_id string, profile_id string, full_name string, stripe_customer_id string, created_at timestamp_ntz, updated_at timestamp_ntz")
+    added = {"people": people, "amounts": frame([("1", 10), ("9", 3)], "subscriber_id string, amount_cents long"), "tags": frame([], "subscriber_id string, tag string")}
+    after = Books(subs, profs, frame([], "subscriber_id string, tag string")).after(added)
+    assert "Broadcast" not in plan(after.subscribers) and "Broadcast" not in plan(after.profiles)
+    assert rows(after.subscribers, "id", "has_purchased", "ltv_cents") == [("1", True, 15), ("9", True, 3)]
+
+
 def test_a_staged_table_leaves_no_shuffle_files(spark):
     def files() -> set[str]:
         found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
