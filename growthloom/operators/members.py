@@ -64,15 +64,41 @@ def transitions(payments: DataFrame, person: str, price: str, at: str, order_id:
         payments.select(person, price, at, order_id), [person], at, [order_id],
         {"previous_price": ("lag", price), "_before": ("lag", at)}, rows,
     )
-    now, prev = F.col(price), F.col("previous_price")
-    kind = (
+    kind = _lifecycle(F.col(price), F.col("previous_price"), F.col(at), F.col("_before"), jump, pause_days)
+    return scanned.withColumn("event_type", kind).drop("_before")
+
+
+def _lifecycle(now: Column, prev: Column, at: Column, before: Column, jump: float, pause_days: int) -> Column:
+    return (
         F.when(prev.isNull(), "created")
         .when(now > prev * F.lit(jump), "upgraded")
         .when(now * F.lit(jump) < prev, "downgraded")
-        .when(F.datediff(F.col(at), F.col("_before")) > pause_days, "reactivated")
+        .when(F.datediff(at, before) > pause_days, "reactivated")
         .otherwise("renewed")
     )
-    return scanned.withColumn("event_type", kind).drop("_before")
+
+
+def transition_changes(past: DataFrame, fresh: DataFrame, person: str, price: str, at: str, order_id: str, rows: int = keyed.HOT_ROWS,
+                       jump: float = 1.5, pause_days: int = 365) -> DataFrame:
+    """What fresh payments change in `transitions` of the past ones: rows with sign -1 that no longer hold, with sign 1 that do now.
+
+    One scan over both: beside the payment before it, a past payment finds the one that was before it without the fresh ones.
+    """
+    cols = [person, price, at, order_id]
+    both = past.select(*cols, F.lit(False).alias("_new")).unionByName(fresh.select(*cols, F.lit(True).alias("_new")))
+    known = F.when(~F.col("_new"), F.struct(F.col(at).alias("at"), F.col(order_id).alias("tie"), F.col(price).alias("price")))
+    scanned = keyed.scan_by_key(
+        both, [person], at, [order_id],
+        {"previous_price": ("lag", price), "_before": ("lag", at), "_known": ("max_before", known)}, rows,
+    )
+
+    def state(sign: int, prev: Column, before: Column) -> Column:
+        kind = _lifecycle(F.col(price), prev, F.col(at), before, jump, pause_days)
+        return F.struct(prev.alias("previous_price"), kind.alias("event_type"), F.lit(sign).alias("sign"))
+
+    now, was = state(1, F.col("previous_price"), F.col("_before")), state(-1, F.col("_known.price"), F.col("_known.at"))
+    same = now["previous_price"].eqNullSafe(was["previous_price"]) & (now["event_type"] == was["event_type"])
+    return scanned.select(*cols, F.inline(F.when(F.col("_new"), F.array(now)).when(~same, F.array(now, was)).otherwise(F.slice(F.array(now), 1, 0))))
 
 
 def churn_report(memberships: DataFrame, profiles: DataFrame, as_of: Column, days: int = 5) -> DataFrame:
