@@ -10,7 +10,6 @@ from growthloom.functions import exprs as X
 from growthloom.operators import upsert as U
 from growthloom.operators.joins import attribute_each, or_lookup
 from growthloom.plans import keyed
-from growthloom.session import stage
 from growthloom.sources.documents import parse_messages
 
 
@@ -96,8 +95,6 @@ def attributed_commissions(clicks: DataFrame, sales: DataFrame, affiliates: Data
     """
     who = affiliates.where("is_active")
     lasting = clicks.join(who.select(F.col("id").alias("affiliate_id"), F.col("cookie_days").alias("days")), "affiliate_id")
-    # Read several times below: the joins behind them are made once.
-    lasting, sales = stage(lasting, "lasting-clicks"), stage(sales, "attributed-sales")
     won = attribute_each(lasting.withColumnRenamed("affiliate_id", "by"), sales, ["profile_id"], rows).where("click_id is not null")
     paid = won.join(sales.select("id", "amount_cents", "product_type"), "id").withColumnRenamed("by", "affiliate_id")
     terms = who.select(F.col("id").alias("affiliate_id"), "tier", "commission_pct")
