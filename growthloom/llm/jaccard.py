@@ -11,12 +11,15 @@ All shingles stand in one order, that of their hashes. The order is cut into fra
 * All pairs of a large group are never formed. Each candidate group has a hub, the document whose fragments are shared
   most; members are compared with the hub, linked ones are of one component and need no comparison with each other. Only
   the members still apart from the hub are then compared with the rest of the group, in blocks of bounded size.
+* Large joins go slice after slice: of the content hashes, of the coarser cut, of the blocks. The shuffle files of a slice are
+  removed before the next one, so the disk holds a part of what is shuffled.
 """
 from __future__ import annotations
 
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -32,6 +35,7 @@ from growthloom.session import discard, stage
 WORDS = 3
 PERCENT = 90
 CUTS = 4  # fragments in which overlaps are counted
+SLICES = 4  # of the content hashes and of the blocks, joined one after the other
 BITS = 48  # of a fragment's content hash: among 10^12 fragments one in 280 meets a foreign one, which the comparison finds out
 BLOCK = 256  # documents on either side of a block
 COLUMNS = 8192  # shingles of a fragment counted at once
@@ -124,7 +128,7 @@ def node_of(shingles: np.ndarray) -> int:
 
 
 def _shingled(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(doc_id, n, node, signatures) of every document; no node for an empty set.
+    """(doc_id, n, node, signatures by slice) of every document, a column `signatures_k` per slice k; no node for an empty set.
 
     A set that a task met before comes without signatures, so equal documents multiply nothing; so do rows without doc_id.
     """
@@ -148,9 +152,11 @@ def _shingled(docs: DataFrame, words: int, percent: int) -> DataFrame:
                     met.update([node] if fresh else [])
                     shown.append(signatures(s, starts, classes).view(np.int64) if fresh else none)
                 yield pd.DataFrame({
-                    "doc_id": part["doc_id"].astype("Int64"), "n": [len(s) for s in sets], "node": pd.array(nodes, dtype="Int64"), "signatures": shown})
+                    "doc_id": part["doc_id"].astype("Int64"), "n": [len(s) for s in sets], "node": pd.array(nodes, dtype="Int64"),
+                    **{f"signatures_{k}": [s[s % SLICES == k] for s in shown] for k in range(SLICES)}})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, n long, node long, signatures array<long>")
+    columns = ", ".join(f"signatures_{k} array<long>" for k in range(SLICES))
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, f"doc_id long, n long, node long, {columns}")
 
 
 def _fragments(docs: DataFrame, words: int, cuts: int) -> DataFrame:
@@ -176,9 +182,9 @@ def _linked(overlap, n, m, percent: int):
     return overlap * 100 >= (n + m - overlap) * percent
 
 
-def _shared(shown: DataFrame) -> DataFrame:
-    """(sig, node): the fragments that more than one row shows."""
-    rows = shown.where("node is not null").select("node", F.explode("signatures").alias("sig"))
+def _shared(shown: DataFrame, k: int) -> DataFrame:
+    """(sig, node): the fragments of a slice that more than one row shows."""
+    rows = shown.where("node is not null").select("node", F.explode(f"signatures_{k}").alias("sig"))
     # Counted map-side first; the join back is left to AQE, which may split a hot fragment.
     twice = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("sig")
     return rows.join(twice, "sig").distinct()
@@ -198,14 +204,19 @@ def _candidates(shared: DataFrame, made: DataFrame) -> DataFrame:
 
 
 def _pair_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs that link: partial overlaps counted per fragment, summed per pair."""
+    """Pairs that link: partial overlaps counted fragment after fragment, summed per pair."""
     fits = F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent
-    left = pairs.where(fits).join(sets, "node")
-    right = sets.select(F.col("node").alias("hub"), "part", F.col("shingles").alias("hub_shingles"))
-    partial = left.join(right, ["hub", "part"]).select(
-        "hub", "node", "n", "hub_n", F.size(F.array_intersect("shingles", "hub_shingles")).alias("overlap"))
-    whole = partial.groupBy("hub", "node", "n", "hub_n").agg(F.sum("overlap").alias("overlap"))
-    return whole.where(_linked(F.col("overlap"), F.col("n"), F.col("hub_n"), percent)).select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    partial = []
+    for part in range(CUTS):
+        own = sets.where(F.col("part") == part).select("node", "shingles")
+        right = own.select(F.col("node").alias("hub"), F.col("shingles").alias("hub_shingles"))
+        partial.append(stage(pairs.where(fits).join(own, "node").join(right, "hub").select(
+            "hub", "node", "n", "hub_n", F.size(F.array_intersect("shingles", "hub_shingles")).alias("overlap")), "overlaps"))
+    whole = reduce(DataFrame.unionByName, partial).groupBy("hub", "node", "n", "hub_n").agg(F.sum("overlap").alias("overlap"))
+    links = whole.where(_linked(F.col("overlap"), F.col("n"), F.col("hub_n"), percent)).select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    links = stage(links, "links")
+    discard(*partial)
+    return links
 
 
 def _side(table: pa.Table, left: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict]:
@@ -259,7 +270,7 @@ def _rest_links(groups: DataFrame, labels: DataFrame, sets: DataFrame, percent:
     # The hub was compared with all members; everyone else stands on the right.
     right = rows.where("node <> hub").withColumn("j", F.pmod(spot, "rights").cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)))
     columns = ["hub", "i", "j", "node", "n", "label"]
-    blocks = left.select(*columns, F.lit(True).alias("left")).unionByName(right.select(*columns, F.lit(False).alias("left"))).join(sets, "node")
+    blocks = left.select(*columns, F.lit(True).alias("left")).unionByName(right.select(*columns, F.lit(False).alias("left")))
 
     def compare(table: pa.Table) -> pa.Table:
         nodes, n, label, cells = _side(table, True)
@@ -273,7 +284,9 @@ def _rest_links(groups: DataFrame, labels: DataFrame, sets: DataFrame, percent:
         pairs = np.unique(np.stack([label[u], other_label[v]]), axis=1)
         return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
 
-    return blocks.groupBy("hub", "i", "j").applyInArrow(compare, "a long, b long")
+    slot = F.pmod(F.xxhash64("hub", "i", "j"), F.lit(SLICES))
+    found = [blocks.where(slot == k).join(sets, "node").groupBy("hub", "i", "j").applyInArrow(compare, "a long, b long") for k in range(SLICES)]
+    return reduce(DataFrame.unionByName, [stage(links, "links") for links in found])
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -284,19 +297,20 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     rows with null doc_id link others but name no component. An empty table gives an empty table.
     """
     shown = stage(_shingled(docs, words, percent), "shingled", "zstd")
-    shared = stage(_shared(shown), "shared-fragments")
+    slices = [stage(_shared(shown, k), "shared-fragments") for k in range(SLICES)]
+    shared = reduce(DataFrame.unionByName, slices)
     made = stage(shown.select("doc_id", "n", "node"), "sets")
     discard(shown)  # the signatures, the largest table here
     groups = stage(_candidates(shared, made.where("node is not null")), "candidate-groups")
-    discard(shared)
+    discard(*slices)
     full = made.where("node is not null")
     names = full.groupBy("node").agg(F.min("doc_id").alias("rep"))
     wanted = groups.select("node").unionByName(groups.select(F.col("hub").alias("node"))).distinct().join(names, "node")
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     sets = stage(_fragments(texts.where("text is not null").dropDuplicates(["doc_id", "text"]), words, CUTS), "fragments")
-    direct = stage(_pair_links(groups, sets, percent), "links")
+    direct = _pair_links(groups, sets, percent)
     labels = components(direct)
-    more = stage(_rest_links(groups, labels, sets, percent), "links")
+    more = _rest_links(groups, labels, sets, percent)
     discard(sets, direct)
     merged = components(more).select(F.col("node").alias("label"), F.col("label").alias("merged"))
     labels = labels.join(merged, "label", "full").select(

@@ -1,6 +1,7 @@
 """The pipeline: every stage's rows against a plainer reading of its own input."""
 from __future__ import annotations
 
+import os
 import random
 from collections import Counter
 
@@ -97,3 +98,30 @@ def test_stages_keep_columns_whose_names_the_operators_use(spark, frame, sf):
             assert out.columns == docs.columns, name
             got = out.collect()
             assert got and all(tuple(r)[5:] == tuple("abcdefghi") for r in got), name
+
+
+def test_near_copies_shuffle_a_part_at_a_time(spark, frame, monkeypatch, tmp_path):
+    """The joins of fragments, overlaps and blocks: the shuffle files of one written table stay near what all sets hold."""
+    rng = random.Random(9)
+    texts = []
+    for _ in range(150):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+        texts += [" ".join(f"x{rng.randrange(10**6)}" if i in at else w for i, w in enumerate(base)) for n in (0, 3, 3, 15, 15, 15) for at in [rng.sample(range(300), n)]]
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    written = []
+
+    def shuffled():
+        return {f: os.path.getsize(f) for f in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f and os.path.exists(f)}
+
+    def kept(df, name, compression="snappy"):
+        before = shuffled()
+        df.write.parquet(path := str(tmp_path / str(len(written))))
+        written.append((name, sum(size for f, size in shuffled().items() if f not in before)))
+        return spark.read.schema(df.schema).parquet(path)
+
+    monkeypatch.setattr(jaccard, "stage", kept)
+    docs = frame(list(enumerate(texts)), "doc_id long, text string")
+    found = jaccard.jaccard_components(docs, words=5, percent=80)
+    assert found.select("component_id").distinct().count() < len(texts)
+    sets = 8 * found.agg({"n_shingles": "sum"}).first()[0]
+    assert max(b for _, b in written) < 1.5 * sets
