@@ -9,8 +9,9 @@ All shingles stand in one order, that of their hashes. The order is cut into fra
   classes; a document shows its fragments as its own class cuts them, and if its size links with the class below, as that one.
 * Per candidate pair the overlap is counted in each fragment of a coarser cut, and the counts are summed.
 * All pairs of a large group are never formed. Each candidate group has a hub, the document whose fragments are shared
-  most; members are compared with the hub, linked ones are of one component and need no comparison with each other. Only
-  the members still apart from the hub are then compared with the rest of the group, in blocks of bounded size.
+  most; members are compared with the hub, linked ones are of one component and need no comparison with each other. Members still
+  apart from the hub leave if too many of their shingles are in no other component of the group, and so does the rest.
+  Only who stays is compared, those apart with the others, in blocks of bounded size.
 * Large joins go slice after slice: of the content hashes, of the coarser cut, of the blocks. The shuffle files of a slice are
   removed before the next one, so the disk holds a part of what is shuffled.
 """
@@ -254,21 +255,48 @@ def overlaps(left: dict, right: dict, shape: tuple[int, int]) -> np.ndarray:
     return total
 
 
+def _able(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of the members (hub, node, n, label, apart) those that may link with a member of another label in their group.
+
+    A member shares no more than it holds of shingles that other labels of the group hold too. The others, its own, are counted
+    part after part of the sets; a member with too many leaves before the next part, and so does a group with nobody apart.
+    """
+    able = rows.withColumn("own", F.lit(0).cast("long"))
+    for part in range(CUTS):
+        groups = able.groupBy("hub").agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("many"), F.max("apart").alias("open"))
+        rows = able.join(groups.where("open and many > 1").select("hub", "least"), "hub")
+        held = rows.join(sets.where(F.col("part") == part), "node").select("hub", "node", "label", F.explode("shingles").alias("shingle"))
+        # Two shingles of one hash only seem common; a node may stand in `sets` twice.
+        cells = held.select("hub", "node", "label", F.xxhash64("hub", "shingle").alias("cell"))
+        own = cells.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low = high").select("cell")
+        counted = cells.select("hub", "node", "cell").join(own, "cell").groupBy("hub", "node").agg(F.count_distinct("cell").alias("more"))
+        rows = rows.join(counted, ["hub", "node"], "left").withColumn("own", F.col("own") + F.coalesce("more", F.lit(0)))
+        # The partner has `least` shingles or more, and so many that the sizes may link.
+        partner = F.greatest(100 * F.col("least"), percent * F.col("n"))
+        after = stage(rows.where((F.col("n") - F.col("own")) * (100 + percent) * 100 >= (100 * F.col("n") + partner) * percent).select(
+            "hub", "node", "n", "label", "apart", "own"), "able-members")
+        discard(able)
+        able = after
+    return able
+
+
 def _rest_links(groups: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between labels: members apart from their hub against the whole group, block by block."""
     members = groups.select("hub", "node", "n").unionByName(groups.select("hub", F.col("hub").alias("node"), F.col("hub_n").alias("n")).distinct())
     labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     of_hub = labels.select(F.col("node").alias("hub"), F.col("label").alias("hub_label"))
     labelled = labelled.join(of_hub, "hub", "left").withColumn("apart", F.col("label") != F.coalesce("hub_label", "hub"))
-    labelled = stage(labelled.select("hub", "node", "n", "label", "apart"), "labelled-groups")
-    sizes = labelled.groupBy("hub").agg(F.count(F.lit(1)).alias("all"), F.sum(F.col("apart").cast("long")).alias("apart_rows"))
-    open_groups = sizes.where("apart_rows > 0 and all > 2").select(
+    # The hub was compared with all members; everyone else stands on the right.
+    labelled = stage(labelled.where("node <> hub").select("hub", "node", "n", "label", "apart"), "labelled-groups")
+    able = _able(labelled, sets, percent)
+    discard(labelled)
+    sizes = able.groupBy("hub").agg(F.count(F.lit(1)).alias("all"), F.sum(F.col("apart").cast("long")).alias("apart_rows"))
+    open_groups = sizes.where("apart_rows > 0 and all > 1").select(
         "hub", F.ceil(F.col("apart_rows") / BLOCK).cast("int").alias("lefts"), F.ceil(F.col("all") / BLOCK).cast("int").alias("rights"))
-    rows = labelled.join(open_groups, "hub")
+    rows = able.join(open_groups, "hub")
     spot = F.xxhash64("node")
     left = rows.where("apart").withColumn("i", F.pmod(spot, "lefts").cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("rights") - 1)))
-    # The hub was compared with all members; everyone else stands on the right.
-    right = rows.where("node <> hub").withColumn("j", F.pmod(spot, "rights").cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)))
+    right = rows.withColumn("j", F.pmod(spot, "rights").cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)))
     columns = ["hub", "i", "j", "node", "n", "label"]
     blocks = left.select(*columns, F.lit(True).alias("left")).unionByName(right.select(*columns, F.lit(False).alias("left")))
 

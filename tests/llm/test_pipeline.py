@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import GroupedData
 
 import corpus_pipeline
 from growthloom.llm import contamination, jaccard, mixing
@@ -125,3 +126,35 @@ def test_near_copies_shuffle_a_part_at_a_time(spark, frame, monkeypatch, tmp_pat
     assert found.select("component_id").distinct().count() < len(texts)
     sets = 8 * found.agg({"n_shingles": "sum"}).first()[0]
     assert max(b for _, b in written) < 1.5 * sets
+
+
+def test_blocks_of_a_group_do_not_grow_with_its_square(spark, frame, monkeypatch):
+    """Of copies too far from their hub, and of documents around one passage, only those that may link are compared."""
+    monkeypatch.setattr(jaccard, "BLOCK", 8)
+    rows, compare = [], GroupedData.applyInArrow
+
+    def counted(self, func, schema):
+        rows.append(self._df.select("hub", "i", "j", "node", "left").distinct().count())
+        return compare(self, func, schema)
+
+    monkeypatch.setattr(GroupedData, "applyInArrow", counted)
+    rng = random.Random(6)
+
+    def changed(words, n):
+        at = set(rng.sample(range(len(words)), n))
+        return [f"x{rng.randrange(10**9)}" if i in at else w for i, w in enumerate(words)]
+
+    base, passage = [f"w{i}" for i in range(120)], [f"p{i}" for i in range(60)]
+    texts = [base]
+    for _ in range(150):
+        texts += [changed(base, 1), changed(base, 7), passage + [f"y{rng.randrange(10**9)}" for _ in range(rng.randrange(60, 90))]]
+    far = texts[2::30]  # their copies link with them, some with copies of copies only
+    texts += [changed(t, 1) for t in far] + [changed(changed(t, 1), 2) for t in far] + [t[:100] for t in texts[3::60]]
+    rng.shuffle(texts)
+    docs = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(frame(docs, "doc_id long, text string"), words=5, percent=80).collect()}
+    assert sum(rows) < 4 * len(docs)
+    group, smallest = near_copy_groups(docs), {}
+    for i, g in enumerate(group):
+        smallest.setdefault(g, i)
+    assert got == {i: smallest[g] for i, g in enumerate(group)}
